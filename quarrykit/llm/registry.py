@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarrykit.llm import op4_pieces, op6_minhash
+from quarrykit.llm import op4_pieces, op6_minhash, op10_toxicity
 
-_MODULES = [op4_pieces, op6_minhash]
+_MODULES = [op4_pieces, op6_minhash, op10_toxicity]
 
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
