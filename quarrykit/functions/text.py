@@ -111,7 +111,7 @@ def wrapped(text: Column, width: int) -> Column:
 
 
 def data_url(data: Column, mime: str = "image/png") -> Column:
-    return F.concat(F.lit(f"data:{mime};base64,"), F.base64(data))
+    return F.concat(F.lit(f"data:{mime};base64,"), F.regexp_replace(F.base64(data), "[\\r\\n]", ""))
 
 
 def data_url_bytes(url: Column) -> Column:

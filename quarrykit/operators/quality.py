@@ -101,7 +101,7 @@ def verdicts(edits: DataFrame, t: dict = THRESHOLDS) -> DataFrame:
     score = F.when(kind == "identity", F.when(ok1, 1.0).otherwise(0.5)).when(~after, 0.0).when(~ok1, one * 0.5).when(~original, 0.0).otherwise(both)
     tier = F.when(kind == "identity", F.when(ok1, "high").otherwise("negative")).when(~after | ~ok1 | ~original, "rejected").otherwise(score_tier(both, ok1 & ok2))
     reason = F.when(kind == "identity", F.lit("")).when(~after, "missing after").when(~ok1, first_failure(F.col("l1"))).when(~original, "missing original").when(~ok2, first_failure(F.col("l2"))).otherwise("")
-    return d.select("*", F.round(score, 4).alias("score"), tier.alias("tier"), reason.alias("reason")).drop("l1", "l2")
+    return d.select("*", score.alias("score"), tier.alias("tier"), reason.alias("reason")).drop("l1", "l2")
 
 
 def summary(rows: DataFrame, *by: str) -> DataFrame:
