@@ -10,7 +10,8 @@ No piece of such a vocabulary has a word mark after its first other
 character, so no piece crosses the place before a mark or beside a line
 break, and a text's best path is the join of its segments' best paths. The
 same segments come again and again, so each worker keeps the ids of short
-ones it has met, up to a fixed number; that is a memory of exact results.
+ones it has met, up to a fixed number; that is a memory of exact results. New
+ones are solved in sorted order, each from where its beginning parts from the last.
 
 Scores. A unigram file holds log-probabilities, which are used as they are
 (``scores="file"``). A merge-based file holds minus the merge rank, which is
@@ -41,7 +42,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNK_PENALTY = 10.0
 #: Segments that a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 500_000, 48
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 
 
@@ -155,6 +156,10 @@ class Codec:
         self.unk_id = next(i for i, (_, _, k) in enumerate(pieces) if k == UNKNOWN)
         self.memory = _Memory(self)
 
+    def spelled(self, ch: str) -> list[int]:
+        """An uncovered character, last byte first."""
+        return [self.byte_ids[b] for b in reversed(ch.encode("utf-8", "replace"))] if self.has_bytes else [self.unk_id]
+
     def viterbi(self, s: str) -> list[int]:
         """Ids of the best path over ``s``, which is escaped already."""
         goto, fail, out, unk = self.auto.goto, self.auto.fail, self.auto.out, self.unk_score
@@ -185,27 +190,39 @@ class Codec:
             n, k = back[i]
             if k >= 0:
                 ids.append(k)
-            elif self.has_bytes:
-                ids.extend(self.byte_ids[b] for b in reversed(s[i - 1].encode("utf-8", "replace")))
             else:
-                ids.append(self.unk_id)
+                ids.extend(self.spelled(s[i - 1]))
             i -= n
         ids.reverse()
         return ids
 
+    def encode_many(self, texts: list[str | None]) -> list[bytes | None]:
+        """The ids of each text as little-endian int32."""
+        split: list[list[str] | None] = []
+        words: set[str] = set()
+        for text in texts:
+            parts = text.replace("\n", " \n").split(" ") if text else None
+            # runs of spaces, or a space at an end: segments hold a run and what follows it
+            if parts and ("" in parts or MARK in text):
+                parts = None
+            split.append(parts)
+            if parts:
+                words.update(parts)
+        self.memory.learn(words)
+        of, made = self.memory.__getitem__, []
+        for text, parts in zip(texts, split):
+            if parts:
+                # before a line break the dummy prefix stands alone
+                lead = self.memory.of(MARK) if parts[0][:1] == "\n" else b""
+                made.append(lead + b"".join(map(of, parts)))
+            elif text:
+                made.append(b"".join([self.memory.of(p) for p in _SEGMENT.findall(MARK + text.replace(" ", MARK))]))
+            else:
+                made.append(None if text is None else b"")
+        return made
+
     def encode_bytes(self, text: str) -> bytes:
-        """The ids of ``text`` as little-endian int32."""
-        if not text:
-            return b""
-        parts = text.replace("\n", " \n").split(" ")
-        if "" in parts or MARK in text:  # runs of spaces, or a space at an end: one segment holds a run and what follows it
-            escaped = MARK + text.replace(" ", MARK)
-            parts = _SEGMENT.findall(escaped)
-            return b"".join([self.memory.of(p) for p in parts])
-        if parts[0][:1] == "\n":
-            # the dummy prefix stands alone before a line break
-            return self.memory.of(MARK) + b"".join(map(self.memory.__getitem__, parts))
-        return b"".join(map(self.memory.__getitem__, parts))
+        return self.encode_many([text])[0]
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
@@ -219,24 +236,69 @@ _SEGMENT = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
 
 class _Memory(dict):
-    """Segment -> its ids. A key is a word without its mark, or a line break and the word after it."""
+    """Segment -> its ids, of two generations. A key is a word without its mark, or a line break and the word after it."""
 
     def __init__(self, codec: Codec):
         super().__init__()
-        self.codec = codec
+        self.codec, self.old = codec, {}
+
+    def learn(self, words: set[str]) -> None:
+        """Solve all unknown words in their order: each takes up the automaton's run of the word before where their beginnings agree."""
+        if len(self) + len(words) > REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        fresh = [w for w in words if w not in self]
+        kept = {w: ids for w in fresh if (ids := self.old.get(w)) is not None}
+        self.update(kept)
+        todo = sorted(w if w[:1] == "\n" else MARK + w for w in fresh if w not in kept and len(w) <= LONGEST_REMEMBERED)
+        c = self.codec
+        goto, fail, out, unk = c.auto.goto, c.auto.fail, c.auto.out, c.unk_score
+        best, back, states, before = [0.0], [(0, 0)], [0], ""
+        for s in todo:
+            i = 0
+            for a, b in zip(before, s):
+                if a != b:
+                    break
+                i += 1
+            del best[i + 1 :], back[i + 1 :], states[i + 1 :]
+            state = states[i]
+            for ch in s[i:]:
+                nxt = goto[state].get(ch)
+                while nxt is None and state:
+                    state = fail[state]
+                    nxt = goto[state].get(ch)
+                state = nxt or 0
+                i += 1
+                top, how, single = -math.inf, None, False
+                for piece in out[state]:
+                    n, score, _ = piece
+                    score += best[i - n]
+                    if score > top:
+                        top, how = score, piece
+                    if n == 1:
+                        single = True
+                if not single and best[i - 1] + unk > top:
+                    top, how = best[i - 1] + unk, None
+                best.append(top)
+                back.append(how)
+                states.append(state)
+            ids: list[int] = []
+            while i:
+                how = back[i]
+                if how is None:
+                    ids.extend(c.spelled(s[i - 1]))
+                    i -= 1
+                else:
+                    ids.append(how[2])
+                    i -= how[0]
+            ids.reverse()
+            self[s if s[:1] == "\n" else s[1:]] = struct.pack(f"<{len(ids)}i", *ids)
+            before = s
 
     def __missing__(self, part: str) -> bytes:
         c = self.codec
-        if part[:1] == "\n":
-            ids = c.viterbi("\n") + (c.viterbi(part[1:]) if len(part) > 1 else [])
-        else:
-            ids = c.viterbi(MARK + part)
-        made = struct.pack(f"<{len(ids)}i", *ids)
-        if len(part) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[part] = made
-        return made
+        ids = c.viterbi(part if part[:1] == "\n" else MARK + part)
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def of(self, segment: str) -> bytes:
         ids = self.codec.viterbi(segment)
@@ -254,26 +316,22 @@ def codec(pieces_key, make) -> Codec:
     return _CODECS[pieces_key]
 
 
-def encode_column(texts: pa.Array, c: Codec) -> tuple[pa.Array, pa.Array]:
-    """(ids, whether decoding them gives the text again) for a column of texts."""
-    made, ends, ok = [], [0], []
-    total = 0
-    for t in texts.to_pylist():
-        if t is None:
-            ok.append(None)
-        else:
-            b = c.encode_bytes(t)
-            made.append(b)
-            total += len(b) // 4
-            ok.append(c.decode(np.frombuffer(b, "<i4").tolist()) == t)
-        ends.append(total)
-    nulls = texts.is_null()
-    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(made), "<i4")), mask=nulls if texts.null_count else None)
+def encode_column(texts: pa.Array, c: Codec, check: bool = True) -> tuple[pa.Array, pa.Array]:
+    """(ids, whether decoding them gives the text again) for a column of texts; without ``check`` the second is null."""
+    rows = texts.to_pylist()
+    made = c.encode_many(rows)
+    ends = np.cumsum([0] + [len(b) // 4 if b else 0 for b in made])
+    flat = np.frombuffer(b"".join([b for b in made if b]), "<i4")
+    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat), mask=texts.is_null() if texts.null_count else None)
+    if not check:
+        return ids, pa.nulls(len(texts), pa.bool_())
+    flat = flat.tolist()
+    ok = [None if t is None else c.decode(flat[a:b]) == t for t, a, b in zip(rows, ends[:-1].tolist(), ends[1:].tolist())]
     return ids, pa.array(ok, pa.bool_())
 
 
-def encode_documents(docs: DataFrame, model: str = MODEL, scores: str = "zipf", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids, n_tokens, round_trip) for every row of ``docs``. The vocabulary, of fixed size, goes out with the tasks."""
+def encode_documents(docs: DataFrame, model: str = MODEL, scores: str = "zipf", id_col: str = "doc_id", text_col: str = "text", check: bool = True) -> DataFrame:
+    """(doc_id, ids, n_tokens, round_trip) for every row of ``docs``; ``round_trip`` says whether the decoded ids are the text, null without ``check``. The vocabulary, of fixed size, goes out with the tasks."""
     pieces = read_model(model)
     if scores == "zipf":
         pieces = zipf_scores(pieces)
@@ -287,7 +345,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL, scores: str = "zipf",
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                ids, ok = encode_column(part.column(1), c)
+                ids, ok = encode_column(part.column(1), c, check)
                 n = pc.list_value_length(ids)
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, n, ok], names=["doc_id", "ids", "n_tokens", "round_trip"])
 

@@ -95,4 +95,6 @@ def test_memory_is_bounded_and_changes_nothing(zipf, monkeypatch):
     monkeypatch.setattr(op, "REMEMBERED", 3)
     c.memory.clear()
     assert [c.encode(f"w{i} x") for i in range(50)] == want
-    assert len(c.memory) <= 3
+    assert len(c.memory) <= 3 and len(c.memory.old) <= 3
+    texts = [f"w{i} xé漢 w{i}a\nw{i} " + "z" * 60 for i in range(30)] + [None, ""]
+    assert [None if b is None else list(memoryview(b).cast("i")) for b in c.encode_many(texts)] == [None if t is None else c.encode(t) for t in texts]
