@@ -52,18 +52,62 @@ def score_tier(score: Column, passed: Column, high: float = 0.8, medium: float =
     return F.when(~passed, "negative").when(score >= high, "high").when(score >= medium, "medium").when(score >= low, "low").otherwise("negative")
 
 
-def layer_one(t: dict = THRESHOLDS, ss: bool = True) -> Column:
-    """Array sanity, from n_voxels, feat_max, feat_std, ss_max, ss_std, coord_min, coord_max, n_unique."""
+Rule = tuple  # (name, value, passed, weight)
+
+
+def _metrics(rules: list[Rule]) -> Column:
+    return F.array(*[metric(*r) for r in rules])
+
+
+def _bounded(name: str, value: Column, bounds: tuple[float, float], weight: float) -> Rule:
+    return name, value, value.between(*bounds), weight
+
+
+def rules_one(t: dict = THRESHOLDS, ss: bool = True) -> list[Rule]:
     c = F.col
     made = [
-        metric("voxel_count", c("n_voxels"), c("n_voxels").between(t["min_voxels"], t["max_voxels"]), 2),
-        metric("feat_range", c("feat_max"), (c("feat_max") <= t["max_feat_abs"]) & (c("feat_std") >= t["min_feat_std"])),
-        metric("coords_valid", c("coord_max"), (c("coord_min") >= 0) & (c("coord_max") < t["grid"])),
-        metric("coords_unique", c("n_unique"), c("n_unique") == c("n_voxels")),
+        ("voxel_count", c("n_voxels"), c("n_voxels").between(t["min_voxels"], t["max_voxels"]), 2),
+        ("feat_range", c("feat_max"), (c("feat_max") <= t["max_feat_abs"]) & (c("feat_std") >= t["min_feat_std"]), 1),
+        ("coords_valid", c("coord_max"), (c("coord_min") >= 0) & (c("coord_max") < t["grid"]), 1),
+        ("coords_unique", c("n_unique"), c("n_unique") == c("n_voxels"), 1),
     ]
     if ss:
-        made.insert(2, metric("ss_range", c("ss_max"), (c("ss_max") <= t["max_ss_abs"]) & (c("ss_std") >= t["min_ss_std"])))
-    return F.array(*made)
+        made.insert(2, ("ss_range", c("ss_max"), (c("ss_max") <= t["max_ss_abs"]) & (c("ss_std") >= t["min_ss_std"]), 1))
+    return made
+
+
+def rules_two(t: dict = THRESHOLDS) -> dict[str, list[Rule]]:
+    """By type; ``global+`` is for a global edit whose sides have as many voxels."""
+    c = F.col
+    d, a, m, s, mt, g = (t[k] for k in ("deletion", "addition", "modification", "scale", "material", "global"))
+
+    def painted(k):
+        return [("voxel_ratio", c("voxel_ratio"), F.abs(c("voxel_ratio") - 1) <= k["count"], 2), ("ss_unchanged", c("ss_diff"), c("ss_diff") < k["ss"], 3), _bounded("feat_change", c("feat_change"), k["feat"], 1.5)]
+
+    return {
+        "deletion": [_bounded("voxel_ratio", c("voxel_ratio"), d["voxel"], 2), _bounded("delete_ratio", c("deleted"), d["deleted"], 2), ("bbox_iou", c("iou"), c("iou") >= d["iou"], 1.5), _bounded("ss_change", c("ss_l2"), d["ss"], 1), ("connected_components", c("components"), c("components") <= d["components"], 1.5), ("not_degenerate", c("min_extent"), c("min_extent") > 1, 2)],
+        "addition": [_bounded("voxel_ratio", c("voxel_ratio"), a["voxel"], 2), _bounded("add_ratio", c("added"), a["added"], 2), ("bbox_iou", c("iou"), c("iou") >= a["iou"], 1.5)],
+        "modification": [_bounded("voxel_ratio", c("voxel_ratio"), m["voxel"], 1.5), ("ss_cosine", c("ss_cosine"), c("ss_cosine") >= m["cosine"], 2), _bounded("edit_locality", c("locality"), m["locality"], 2.5), ("connected_components", c("components"), c("components") <= m["components"], 1), ("center_drift", c("drift"), c("drift") < m["drift"], 1.5), ("feat_change", c("feat_change"), c("feat_change") < m["feat"], 1)],
+        "scale": [_bounded("voxel_ratio", c("voxel_ratio"), s["voxel"], 2), ("ss_cosine", c("ss_cosine"), c("ss_cosine") >= s["cosine"], 2.5), _bounded("edit_locality", c("locality"), s["locality"], 2), ("center_drift", c("drift"), c("drift") < s["drift"], 1.5), ("axis_ratio", c("axis_max"), (c("axis_min") >= s["axis"][0]) & (c("axis_max") <= s["axis"][1]), 1.5)],
+        "material": painted(mt),
+        "global": painted(g),
+        "global+": [*painted(g), ("change_coverage", c("coverage"), c("coverage") >= g["coverage"], 1.5)],
+        "identity": [("identity", F.lit(1.0), F.lit(True), 1)],
+    }
+
+
+def _by_type(rules: dict[str, list[Rule]], f, otherwise: Column) -> Column:
+    kind = F.col("edit_type")
+    made = F.when((kind == "global") & F.col("same_count"), f(rules["global+"]))
+    for k, rs in rules.items():
+        if k != "global+":
+            made = made.when(kind == k, f(rs))
+    return made.otherwise(otherwise)
+
+
+def layer_one(t: dict = THRESHOLDS, ss: bool = True) -> Column:
+    """Array sanity, from n_voxels, feat_max, feat_std, ss_max, ss_std, coord_min, coord_max, n_unique."""
+    return _metrics(rules_one(t, ss))
 
 
 def layer_two(t: dict = THRESHOLDS) -> Column:
@@ -71,37 +115,41 @@ def layer_two(t: dict = THRESHOLDS) -> Column:
 
     Of an addition "before" is its deletion's after side, so the ratios are taken as they come.
     """
-    c = F.col
-    d, a, m, s, mt, g = (t[k] for k in ("deletion", "addition", "modification", "scale", "material", "global"))
-    deletion = [within("voxel_ratio", c("voxel_ratio"), d["voxel"], 2), within("delete_ratio", c("deleted"), d["deleted"], 2), metric("bbox_iou", c("iou"), c("iou") >= d["iou"], 1.5), within("ss_change", c("ss_l2"), d["ss"], 1), metric("connected_components", c("components"), c("components") <= d["components"], 1.5), metric("not_degenerate", c("min_extent"), c("min_extent") > 1, 2)]
-    addition = [within("voxel_ratio", c("voxel_ratio"), a["voxel"], 2), within("add_ratio", c("added"), a["added"], 2), metric("bbox_iou", c("iou"), c("iou") >= a["iou"], 1.5)]
-    modification = [within("voxel_ratio", c("voxel_ratio"), m["voxel"], 1.5), metric("ss_cosine", c("ss_cosine"), c("ss_cosine") >= m["cosine"], 2), within("edit_locality", c("locality"), m["locality"], 2.5), metric("connected_components", c("components"), c("components") <= m["components"], 1), metric("center_drift", c("drift"), c("drift") < m["drift"], 1.5), metric("feat_change", c("feat_change"), c("feat_change") < m["feat"], 1)]
-    scale = [within("voxel_ratio", c("voxel_ratio"), s["voxel"], 2), metric("ss_cosine", c("ss_cosine"), c("ss_cosine") >= s["cosine"], 2.5), within("edit_locality", c("locality"), s["locality"], 2), metric("center_drift", c("drift"), c("drift") < s["drift"], 1.5), metric("axis_ratio", c("axis_max"), (c("axis_min") >= s["axis"][0]) & (c("axis_max") <= s["axis"][1]), 1.5)]
+    return _by_type(rules_two(t), _metrics, F.array(metric("unknown_type", F.lit(0.0), F.lit(False))))
 
-    def painted(k):
-        return [metric("voxel_ratio", c("voxel_ratio"), F.abs(c("voxel_ratio") - 1) <= k["count"], 2), metric("ss_unchanged", c("ss_diff"), c("ss_diff") < k["ss"], 3), within("feat_change", c("feat_change"), k["feat"], 1.5)]
-
-    material = F.array(*painted(mt))
-    whole = F.when(c("same_count"), F.array(*painted(g), metric("change_coverage", c("coverage"), c("coverage") >= g["coverage"], 1.5))).otherwise(F.array(*painted(g)))
-    kind = c("edit_type")
-    return (
-        F.when(kind == "deletion", F.array(*deletion)).when(kind == "addition", F.array(*addition)).when(kind == "modification", F.array(*modification)).when(kind == "scale", F.array(*scale))
-        .when(kind == "material", material).when(kind == "global", whole).when(kind == "identity", F.array(metric("identity", F.lit(1.0), F.lit(True))))
-        .otherwise(F.array(metric("unknown_type", F.lit(0.0), F.lit(False))))
-    )
+
+def _passed(r: Rule) -> Column:
+    return F.coalesce(r[2], F.lit(False))
+
+
+def _score(rules: list[Rule]) -> Column:
+    """As ``weighted_score``, in plain arithmetic."""
+    got = F.lit(0.0)
+    for r in rules:
+        got = got + F.when(_passed(r), F.lit(float(r[3]))).otherwise(F.lit(0.0))
+    return F.round(got / F.lit(float(sum(r[3] for r in rules))), 4)
+
+
+def _failure(rules: list[Rule]) -> Column:
+    """The first rule that fails, empty if none does."""
+    made = None
+    for r in rules:
+        made = (F if made is None else made).when(~_passed(r), F.lit(r[0]))
+    return made.otherwise(F.lit(""))
 
 
 def verdicts(edits: DataFrame, t: dict = THRESHOLDS) -> DataFrame:
     """(..., score, tier, reason) by the order of the rules: identity, missing after side, array sanity, missing original, both layers."""
-    d = edits.withColumn("l1", layer_one(t)).withColumn("l2", layer_two(t))
-    one, two = weighted_score(F.col("l1")), weighted_score(F.col("l2"))
-    ok1, ok2 = all_passed(F.col("l1")), all_passed(F.col("l2"))
+    # numbers and strings only, no arrays: each edit's rules are evaluated inside generated code
+    first, second = rules_one(t), rules_two(t)
+    d = edits.withColumns({"s1": _score(first), "f1": _failure(first), "s2": _by_type(second, _score, F.lit(0.0)), "f2": _by_type(second, _failure, F.lit("unknown_type"))})
+    one, two, ok1, ok2 = F.col("s1"), F.col("s2"), F.col("f1") == "", F.col("f2") == ""
     both = (one + two) / 2
     kind, after, original = F.col("edit_type"), F.col("has_after"), F.col("has_original")
     score = F.when(kind == "identity", F.when(ok1, 1.0).otherwise(0.5)).when(~after, 0.0).when(~ok1, one * 0.5).when(~original, 0.0).otherwise(both)
     tier = F.when(kind == "identity", F.when(ok1, "high").otherwise("negative")).when(~after | ~ok1 | ~original, "rejected").otherwise(score_tier(both, ok1 & ok2))
-    reason = F.when(kind == "identity", F.lit("")).when(~after, "missing after").when(~ok1, first_failure(F.col("l1"))).when(~original, "missing original").when(~ok2, first_failure(F.col("l2"))).otherwise("")
-    return d.select("*", score.alias("score"), tier.alias("tier"), reason.alias("reason")).drop("l1", "l2")
+    reason = F.when(kind == "identity", F.lit("")).when(~after, "missing after").when(~ok1, F.col("f1")).when(~original, "missing original").otherwise(F.col("f2"))
+    return d.select("*", score.alias("score"), tier.alias("tier"), reason.alias("reason")).drop("s1", "s2", "f1", "f2")
 
 
 def summary(rows: DataFrame, *by: str) -> DataFrame:
