@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrykit.llm.sampling import least_digests
+
 SAMPLE, BITS, GRADES = 12_000, 22, 4
 MIN_TOXIC, LIFT, MAX_WEIGHTS = 3, 20.0, 20_000
 MIN_TEXTS, SCREEN, L1, STEPS = 3, 15.0, 1e-4, 400
@@ -155,7 +157,7 @@ def fit(toxic: np.ndarray, rows: np.ndarray, cols: np.ndarray, times: np.ndarray
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on at most ``sample`` labelled rows of ``docs``."""
     known = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    chosen = known.orderBy(F.md5(F.col("__id").cast("string")), "__id", "toxic").limit(sample)
+    chosen = least_digests(known, "__id", sample, "toxic")
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
     got = texts.join(chosen, "__id").select("toxic", "text").mapInArrow(_hashed, "toxic int, words array<int>, times array<int>").toArrow().combine_chunks()
     words, times = (got.column(k).combine_chunks() if isinstance(got.column(k), pa.ChunkedArray) else got.column(k) for k in ("words", "times"))

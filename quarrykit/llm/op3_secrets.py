@@ -39,6 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarrykit.llm.sampling import least_digests
+
 SAMPLE, SEQUENCES, LENGTH, STEPS, RIDGE = 300, 3000, 28, 160, 2e-4
 B, I, O = 0, 1, 2
 MARK = "<secret>"
@@ -126,7 +128,7 @@ def _value(rng: random.Random) -> tuple[str, bool]:
     an, hx = string.ascii_letters + string.digits, "0123456789abcdef"
     kind = rng.randrange(12)
     if kind < 4:
-        v = _random(rng, hx, rng.choice([32, 40, 40, 40, 64]))
+        v = _random(rng, hx, rng.choice([16, 18, 20, 24, 32, 40, 40, 40, 64]))
         return (v.upper() if rng.random() < 0.15 else v), False
     if kind < 6:
         return _random(rng, an, 20, 48), False
@@ -307,7 +309,7 @@ def fit(made, steps: int = STEPS) -> Field:
     m1, m2 = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
     shift = [(0, slice(None), slice(None)), (1, slice(1, None), slice(None, -1)), (2, slice(2, None), slice(None, -2)), (3, slice(None, -1), slice(1, None))]
     onehot = np.eye(3)[tag] * real[..., None]
-    last = real.sum(axis=1) - 1
+    seen = onehot[:, :-1, :, None] * onehot[:, 1:, None, :]
     for step in range(1, steps + 1):
         e = np.zeros((n, most, 3))
         for k, to, frm in shift:
@@ -315,23 +317,21 @@ def fit(made, steps: int = STEPS) -> Field:
             e[:, to] += table[tok[:, frm]] * real[:, frm][..., None]
         for j in range(3):
             e += w["about"][j][about[:, j]][:, None, :]
-        alpha, beta = np.empty((n, most, 3)), np.zeros((n, most, 3))
-        alpha[:, 0] = w["first"] + e[:, 0]
+        # scaled sums: the scale of each step cancels in the two kinds of posterior
+        lift, turn = np.exp(e - e.max(axis=2, keepdims=True)), np.exp(w["pairs"])
+        alpha, beta = np.empty((n, most, 3)), np.ones((n, most, 3))
+        alpha[:, 0] = np.exp(w["first"]) * lift[:, 0]
         for t in range(1, most):
-            x = alpha[:, t - 1][:, :, None] + w["pairs"]
-            top = x.max(axis=1)
-            alpha[:, t] = top + np.log(np.exp(x - top[:, None]).sum(axis=1)) + e[:, t]
+            x = (alpha[:, t - 1] @ turn) * lift[:, t]
+            alpha[:, t] = x / x.sum(axis=1, keepdims=True)
         for t in range(most - 2, -1, -1):
-            x = w["pairs"] + (e[:, t + 1] + beta[:, t + 1])[:, None, :]
-            top = x.max(axis=2)
-            beta[:, t] = np.where(real[:, t + 1][:, None], top + np.log(np.exp(x - top[:, :, None]).sum(axis=2)), 0.0)
-        final = alpha[np.arange(n), last]
-        z = final.max(axis=1) + np.log(np.exp(final - final.max(axis=1, keepdims=True)).sum(axis=1))
-        p = np.exp(alpha + beta - z[:, None, None]) * real[..., None]
+            x = (lift[:, t + 1] * beta[:, t + 1]) @ turn.T
+            beta[:, t] = np.where(real[:, t + 1][:, None], x / x.sum(axis=1, keepdims=True), 1.0)
+        p = alpha * beta
+        p *= (real / p.sum(axis=2))[..., None]
         d = (p - onehot) / n
-        both = real[:, 1:]
-        pp = np.exp(alpha[:, :-1, :, None] + w["pairs"] + (e + beta)[:, 1:, None, :] - z[:, None, None, None]) * both[..., None, None]
-        seen = onehot[:, :-1, :, None] * onehot[:, 1:, None, :]
+        pp = alpha[:, :-1, :, None] * turn * (lift * beta)[:, 1:, None, :]
+        pp *= (real[:, 1:] / pp.sum(axis=(2, 3)))[..., None, None]
         g = {"pairs": (pp - seen).sum(axis=(0, 1)) / n, "first": d[:, 0].sum(axis=0), "off": np.zeros((4, nf, 3)), "about": np.zeros((3, 6, 3))}
         for k, to, frm in shift:
             part = (d[:, to] * real[:, frm][..., None]).reshape(-1, 3)
@@ -468,8 +468,8 @@ class Scanner:
 
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """Fit on sequences made over at most ``sample`` texts of ``docs``."""
-    some = docs.select(F.col(id_col).alias("i"), F.substring(F.col(text_col).cast("string"), 1, 20000).alias("t")).where("t is not null")
-    texts = [r.t for r in some.orderBy(F.md5(F.col("i").cast("string")), "i", "t").limit(sample).collect()]
+    some = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
+    texts = [r.t for r in least_digests(some, "i", sample, "t").collect() if r.t is not None]
     return fit(sequences(texts, SEQUENCES, random.Random(3)))
 
 
