@@ -43,6 +43,7 @@ MARK = "▁"
 UNK_PENALTY = 10.0
 #: Segments that a worker remembers, and the longest of them in characters.
 REMEMBERED, LONGEST_REMEMBERED = 500_000, 48
+MOST_EDGES = 300_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 
 
@@ -132,6 +133,21 @@ class Automaton:
                 # the output link: whatever ends at the failure state ends here too
                 self.out[nxt] = ((own[nxt],) if own[nxt] else ()) + self.out[self.fail[nxt]]
                 ready.append(nxt)
+        #: whether a piece of one character ends in a state
+        self.covers = [any(n == 1 for n, _, _ in o) for o in self.out]
+        self.added = 0
+
+    def step(self, state: int, ch: str) -> int:
+        """Along failure links to the next state. The way is kept as an edge, so a common one is walked once; their number is bounded."""
+        at, nxt = state, self.goto[state].get(ch)
+        while nxt is None and at:
+            at = self.fail[at]
+            nxt = self.goto[at].get(ch)
+        nxt = nxt or 0
+        if self.added < MOST_EDGES:
+            self.added += 1
+            self.goto[state][ch] = nxt
+        return nxt
 
 
 class Codec:
@@ -162,15 +178,12 @@ class Codec:
 
     def viterbi(self, s: str) -> list[int]:
         """Ids of the best path over ``s``, which is escaped already."""
-        goto, fail, out, unk = self.auto.goto, self.auto.fail, self.auto.out, self.unk_score
+        goto, out, unk = self.auto.goto, self.auto.out, self.unk_score
         best, back = [0.0], [(0, 0)]
         state = 0
         for i, ch in enumerate(s):
             nxt = goto[state].get(ch)
-            while nxt is None and state:
-                state = fail[state]
-                nxt = goto[state].get(ch)
-            state = nxt or 0
+            state = self.auto.step(state, ch) if nxt is None else nxt
             top, how, single = -math.inf, None, False
             for n, score, k in out[state]:
                 if n == 1:
@@ -198,23 +211,24 @@ class Codec:
 
     def encode_many(self, texts: list[str | None]) -> list[bytes | None]:
         """The ids of each text as little-endian int32."""
-        split: list[list[str] | None] = []
-        words: set[str] = set()
+        known, rows, unknown = self.memory.get, [], set()
         for text in texts:
             parts = text.replace("\n", " \n").split(" ") if text else None
             # runs of spaces, or a space at an end: segments hold a run and what follows it
             if parts and ("" in parts or MARK in text):
                 parts = None
-            split.append(parts)
-            if parts:
-                words.update(parts)
-        self.memory.learn(words)
+            ids = list(map(known, parts)) if parts else []
+            gaps = [k for k, v in enumerate(ids) if v is None]
+            unknown.update([parts[k] for k in gaps])
+            rows.append((text, parts, ids, gaps))
+        self.memory.learn(unknown)
         of, made = self.memory.__getitem__, []
-        for text, parts in zip(texts, split):
+        for text, parts, ids, gaps in rows:
             if parts:
+                for k in gaps:
+                    ids[k] = of(parts[k])
                 # before a line break the dummy prefix stands alone
-                lead = self.memory.of(MARK) if parts[0][:1] == "\n" else b""
-                made.append(lead + b"".join(map(of, parts)))
+                made.append((self.memory.of(MARK) if parts[0][:1] == "\n" else b"") + b"".join(ids))
             elif text:
                 made.append(b"".join([self.memory.of(p) for p in _SEGMENT.findall(MARK + text.replace(" ", MARK))]))
             else:
@@ -252,7 +266,7 @@ class _Memory(dict):
         self.update(kept)
         todo = sorted(w if w[:1] == "\n" else MARK + w for w in fresh if w not in kept and len(w) <= LONGEST_REMEMBERED)
         c = self.codec
-        goto, fail, out, unk = c.auto.goto, c.auto.fail, c.auto.out, c.unk_score
+        goto, out, covers, unk = c.auto.goto, c.auto.out, c.auto.covers, c.unk_score
         best, back, states, before = [0.0], [(0, 0)], [0], ""
         for s in todo:
             i = 0
@@ -264,20 +278,16 @@ class _Memory(dict):
             state = states[i]
             for ch in s[i:]:
                 nxt = goto[state].get(ch)
-                while nxt is None and state:
-                    state = fail[state]
-                    nxt = goto[state].get(ch)
-                state = nxt or 0
+                if nxt is None:
+                    nxt = c.auto.step(state, ch)
+                state = nxt
                 i += 1
-                top, how, single = -math.inf, None, False
+                top, how = -math.inf, None
                 for piece in out[state]:
-                    n, score, _ = piece
-                    score += best[i - n]
+                    score = best[i - piece[0]] + piece[1]
                     if score > top:
                         top, how = score, piece
-                    if n == 1:
-                        single = True
-                if not single and best[i - 1] + unk > top:
+                if not covers[state] and best[i - 1] + unk > top:
                     top, how = best[i - 1] + unk, None
                 best.append(top)
                 back.append(how)
