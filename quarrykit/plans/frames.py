@@ -29,7 +29,7 @@ FRAMES = {
     "files": "SELECT edit_id, CASE WHEN qty > 15 THEN concat('b/', edit_id) END AS before_path, CASE WHEN disc > 0.02 THEN concat('a/', edit_id) END AS after_path FROM {edits}",
     "listed": "SELECT edit_id FROM {edits} WHERE qty > 35",
     "objects": "SELECT CAST(o_orderkey AS STRING) AS obj_id, concat('0', CAST(o_orderkey % 10 AS STRING)) AS shard, o_orderkey AS num, o_orderstatus AS status, o_orderpriority AS priority, o_totalprice AS price FROM {orders}",
-    "parts": "SELECT CAST(l.o AS STRING) AS obj_id, l.n AS part_id, p.p_name AS label, p.p_type AS kind, p.p_size AS cluster_size, l.qty FROM {lines} l JOIN {part} p ON l.part = p.p_partkey",
+    "parts": "SELECT CAST(l.o AS STRING) AS obj_id, l.n AS part_id, p.p_name AS label, p.p_type AS kind, p.p_brand AS brand, p.p_size AS cluster_size, l.qty FROM {lines} l JOIN {part} p ON l.part = p.p_partkey",
     "side_a": "SELECT CAST(l_orderkey % 200 AS STRING) AS obj_id, CAST(l_partkey % 12 AS INT) AS x, CAST(l_suppkey % 12 AS INT) AS y, CAST(l_linenumber AS INT) AS z FROM {lineitem} WHERE l_returnflag <> 'R'",
     "side_b": "SELECT CAST(l_orderkey % 200 AS STRING) AS obj_id, CAST(l_partkey % 12 AS INT) AS x, CAST(l_suppkey % 12 AS INT) AS y, CAST(l_linenumber AS INT) AS z FROM {lineitem} WHERE l_returnflag <> 'A'",
     "vectors": "SELECT a.vec_id AS id, a.embedding AS a, b.embedding AS b FROM {embeddings} a JOIN {embeddings} b ON b.vec_id = a.vec_id + 1",

@@ -37,7 +37,7 @@ _add("m12_axes_turned", "SELECT edit_id, (qty + 0.5) * 2 AS x, (0.5 - disc) * 2
 _add("m15_pixel_ids", "SELECT edit_id, part % 256 + 256 * (supp % 256) AS id FROM {edits} e", lambda e: e.select("edit_id", V.pixel_id(F.col("part") % 256, F.col("supp") % 256).alias("id")), "edits")
 _add("m16_standardised", "SELECT id, round(list_sum(list_transform(range(1, 65), lambda i: (CAST(a[i] AS DOUBLE) - 0.1) / 0.5)), 6) AS total FROM {vectors} v", lambda v: v.select("id", F.round(V.total(V.standardised(V.doubles(F.col("a")), F.array_repeat(F.lit(0.1), 64), F.array_repeat(F.lit(0.5), 64))), 6).alias("total")), "vectors")
 _add("m04_feature_change", "SELECT id, round(abs(sqrt(list_dot_product(CAST(b[1:32] AS DOUBLE[]), CAST(b[1:32] AS DOUBLE[]))) - sqrt(list_dot_product(CAST(a AS DOUBLE[]), CAST(a AS DOUBLE[])))) / sqrt(list_dot_product(CAST(a AS DOUBLE[]), CAST(a AS DOUBLE[]))), 6) AS change FROM {vectors} v", lambda v: v.select("id", F.round(V.feature_change(V.doubles(F.col("a")), F.slice(V.doubles(F.col("b")), 1, 32)), 6).alias("change")), "vectors")
-_add("m20_m21_scales", "SELECT edit_id, round(least(qty / 2, supp / 3.0, price / 4), 6) AS fit, round(greatest(qty / 2, supp / 3.0, price / 4), 6) AS ratio, round(least(1.0, 0.4 * greatest(2, 3, 4) / greatest(qty, supp, price)), 9) AS graft FROM {edits} e WHERE supp > 0", lambda e: _scales(e.where("supp > 0")), "edits")
+_add("m20_m21_scales", "SELECT edit_id, round(least(qty / 2, supp / 3.0, price / 4), 6) AS fit, round(greatest(qty / 2, supp / 3.0, price / 4), 6) AS ratio, round(least(1.0, 0.4 * greatest(2, 3, 4) / greatest(qty, supp, price)), 9) AS graft FROM {edits} e", lambda e: _scales(e), "edits")
 
 
 def _scales(e: DataFrame) -> DataFrame:
@@ -56,9 +56,10 @@ def _first_labels(e: DataFrame) -> DataFrame:
 
 
 _add("p17_part_ids", "SELECT edit_id, CASE WHEN edit_type IN ('deletion', 'addition') OR (edit_type IN ('modification', 'scale') AND qty > 20) THEN CASE WHEN qty > 20 THEN '1,2' ELSE '' END ELSE '7' END AS ids FROM {edits} e", lambda e: e.select("edit_id", F.array_join(D.part_ids(F.col("edit_type"), F.when(F.col("qty") > 20, F.array(F.lit(1), F.lit(2))).otherwise(F.array().cast("array<int>")), F.lit(7)), ",").alias("ids")), "edits")
-_add("x02_object_types", "SELECT DISTINCT kind, regexp_extract(lower(kind), '([a-z]+)$', 1) AS t FROM {parts} p WHERE regexp_extract(lower(kind), '([a-z]+)$', 1) NOT IN ('" + "', '".join(X.ADJECTIVES) + "')", lambda p: p.select("kind", X.object_type(F.concat(F.col("kind"), F.lit(" with legs"))).alias("t")).distinct().where(~F.regexp_extract(F.lower("kind"), "([a-z]+)$", 1).isin(*X.ADJECTIVES)), "parts")
+_ADJ, _APP = "'" + "', '".join(X.ADJECTIVES) + "'", "'" + "', '".join(X.APPEARANCE_WORDS) + "'"
+_add("x02_object_types", f"SELECT DISTINCT kind, coalesce(list_filter(w, lambda x: x NOT IN ({_ADJ}))[-1], w[-1], '') AS t FROM (SELECT kind, list_filter(list_transform(string_split(lower(trim(kind)), ' '), lambda x: regexp_replace(x, '[^a-z]', '', 'g')), lambda x: x <> '') AS w FROM {{parts}} p) q", lambda p: p.select("kind", X.object_type(F.concat(F.col("kind"), F.lit(" with legs"))).alias("t")).distinct(), "parts")
 _add("x03_part_phrases", "SELECT obj_id, part_id, CASE WHEN qty > 30 THEN kind WHEN qty > 10 THEN label ELSE concat('part ', part_id) END AS p FROM {parts} p", lambda p: p.select("obj_id", "part_id", X.part_phrase(F.when(F.col("qty") > 30, F.col("kind")).otherwise(" "), F.when(F.col("qty") > 10, F.replace("label", F.lit(" "), F.lit("_"))).otherwise(""), F.col("part_id")).alias("p")), "parts")
-_add("x07_x08_channels", "SELECT obj_id, part_id, concat(label, ' box, stands') AS s FROM {parts} p WHERE len(list_intersect(string_split(lower(label), ' '), ['" + "', '".join(X.APPEARANCE_WORDS) + "'])) = 0", lambda p: p.where(~F.arrays_overlap(F.split(F.lower("label"), " "), F.array(*map(F.lit, X.APPEARANCE_WORDS)))).select("obj_id", "part_id", X.structure_of(F.concat("label", F.lit(" red box , shiny stands"))).alias("s")), "parts")
+_add("x07_x08_channels", f"SELECT obj_id, part_id, trim(concat(array_to_string(list_filter(string_split(label, ' '), lambda x: lower(regexp_replace(x, '[^A-Za-z]', '', 'g')) NOT IN ({_APP})), ' '), ' box, stands')) AS s FROM {{parts}} p", lambda p: p.select("obj_id", "part_id", X.structure_of(F.concat("label", F.lit(" red box , shiny stands"))).alias("s")), "parts")
 _add("x09_x11_prompts", "SELECT edit_id, CASE edit_type WHEN 'modification' THEN concat('Change the ', flag, ' of this box: go') WHEN 'scale' THEN concat('Resize the ', flag, ' of this box: go') WHEN 'global' THEN 'Restyle this box: go' ELSE 'Edit this box: go' END AS p, CASE WHEN qty > 20 THEN concat('Compare before and after. Instruction: ', flag) ELSE 'Compare before and after. No instruction was given; judge the visible change.' END AS j FROM {edits} e", lambda e: e.select("edit_id", X.edit_prompt(F.col("edit_type"), F.lit("go"), F.col("flag"), F.lit("box")).alias("p"), X.judge_prompt(F.when(F.col("qty") > 20, F.col("flag")).otherwise(" ")).alias("j")), "edits")
 _add("x12_label_lists", "SELECT obj_id, array_to_string(list_transform(range(1, len(ls) + 1), lambda i: concat('p', i - 1, '=', ls[i])), ', ') AS l FROM (SELECT obj_id, list_sort(list(label)) AS ls FROM {parts} p GROUP BY obj_id) q", lambda p: p.groupBy("obj_id").agg(F.array_sort(F.collect_list("label")).alias("ls")).select("obj_id", X.label_list(F.col("ls")).alias("l")), "parts")
 _add("n07_n11_records", "SELECT obj_id, CAST(count(*) AS INT) AS parts, CAST(count(*) FILTER (WHERE NOT core) AS INT) AS part_edits, CAST(0 AS INT) AS group_edits, CAST(0 AS INT) AS global_edits FROM (SELECT obj_id, len(list_intersect(regexp_split_to_array(lower(label), '[_\\s-]+'), ['" + "', '".join(D.CORE_WORDS) + "'])) > 0 AS core FROM {parts} p) q GROUP BY obj_id", lambda p: L.nested_counts(L.by_rules(p.groupBy("obj_id").agg(F.array_sort(F.collect_list("label")).alias("labels")).withColumn("shard", F.lit("00")))), "parts")

@@ -129,14 +129,13 @@ _add("o07_both_directions", "SELECT e.obj_id, e.edit_id, 'deletion' AS edit_type
 _add("s31_packed_entries", "SELECT e.obj_id, e.edit_id, e.edit_type, CAST(row_number() OVER (PARTITION BY e.obj_id, e.edit_type ORDER BY e.pos) - 1 AS INT) AS seq, b.original_path, CASE WHEN e.edit_type NOT IN ('addition', 'identity') THEN f.after_path END AS file_path FROM {edits} e JOIN {files} f ON f.edit_id = e.edit_id LEFT JOIN (SELECT x.obj_id, min_by(y.before_path, x.pos) AS original_path FROM {edits} x JOIN {files} y ON x.edit_id = y.edit_id WHERE y.before_path IS NOT NULL GROUP BY x.obj_id) b ON b.obj_id = e.obj_id", lambda e, f: P.packed_object_entries(e, f), "edits", "files")
 _add("s32_manifest", "SELECT shard, obj_id, CAST(row_number() OVER (PARTITION BY obj_id ORDER BY pos) - 1 AS INT) AS edit_idx, edit_id, edit_type FROM {edits} e", lambda e: P.manifest(e.groupBy("shard", "obj_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "edit_id", "edit_type"))), lambda s: F.struct(s["edit_id"].alias("edit_id"), s["edit_type"].alias("edit_type"))).alias("edits"))), "edits")
 _add("s40_first_existing", "SELECT edit_id, coalesce(before_path, after_path) AS path FROM {files} f WHERE coalesce(before_path, after_path) IS NOT NULL", lambda f: P.first_existing(f.select("edit_id", F.col("before_path").alias("path"), F.lit(0).alias("rank")).unionByName(f.select("edit_id", F.col("after_path").alias("path"), F.lit(1).alias("rank"))).where("path is not null"), "edit_id"), "files")
-_CAT = "(SELECT CAST(row_number() OVER (ORDER BY obj_id, part_id) AS INT) AS idx, obj_id, kind AS category, CASE WHEN qty > 10 THEN flag END AS object_type, cluster_size, qty AS aspect FROM (SELECT p.*, CASE WHEN p.qty > 25 THEN 'a' ELSE 'b' END AS flag FROM {parts} p WHERE CAST(obj_id AS INT) % 40 = 1) q)"
+_CAT = "(SELECT CAST(row_number() OVER (ORDER BY obj_id, part_id) AS INT) AS idx, obj_id, concat(kind, '|', brand, '|', label) AS category, CASE WHEN qty > 10 THEN flag END AS object_type, cluster_size, qty AS aspect FROM (SELECT p.*, CASE WHEN p.qty > 25 THEN 'a' ELSE 'b' END AS flag FROM {parts} p) q)"
 
 
 def _candidates(p: DataFrame) -> DataFrame:
-    from pyspark.sql import Window as W
-
-    some = p.where(F.col("obj_id").cast("int") % 40 == 1)
-    cat = some.select(F.row_number().over(W.orderBy("obj_id", "part_id")).alias("idx"), "obj_id", F.col("kind").alias("category"), F.when(F.col("qty") > 10, F.when(F.col("qty") > 25, "a").otherwise("b")).alias("object_type"), "cluster_size", F.col("qty").alias("aspect"))
+    cat = S.numbered(p, ["obj_id", "part_id"], "idx").select(
+        (F.col("idx") + 1).cast("int").alias("idx"), "obj_id", F.concat_ws("|", "kind", "brand", "label").alias("category"), F.when(F.col("qty") > 10, F.when(F.col("qty") > 25, "a").otherwise("b")).alias("object_type"), "cluster_size", F.col("qty").alias("aspect")
+    )
     return G.swap_candidates(cat, 3).select("idx", "candidate", F.col("rank").cast("int").alias("rank"))
 
 
@@ -208,9 +207,9 @@ _add("a22_unique_cells", "SELECT obj_id, count(*) AS n, count(DISTINCT (x, y, z)
 _add("q17_components", None, VX.components, "side_a")
 _add("j13_nearest_labels", "SELECT u.obj_id, u.x, u.y, u.z, arg_min(k.label, ((u.x - k.x) * (u.x - k.x) + (u.y - k.y) * (u.y - k.y) + (u.z - k.z) * (u.z - k.z)) * 1000000 + k.x * 10000 + k.y * 100 + k.z) AS label FROM (SELECT DISTINCT * FROM {side_a} a WHERE x < 2) u JOIN (SELECT DISTINCT obj_id, x, y, z, CASE WHEN y > 5 THEN 'up' ELSE 'down' END AS label FROM {side_b} b WHERE x >= 2) k ON k.obj_id = u.obj_id GROUP BY ALL", lambda a, b: VX.nearest_labels(a.where("x < 2").distinct(), b.where("x >= 2").distinct().withColumn("label", F.when(F.col("y") > 5, "up").otherwise("down"))).where("label is not null"), "side_a", "side_b")
 _add("o14_dilated", "WITH m AS (SELECT DISTINCT * FROM {side_a} a WHERE x < 3), d AS (SELECT DISTINCT m.obj_id, m.x + s.dx AS x, m.y + s.dy AS y, m.z + s.dz AS z FROM m CROSS JOIN (VALUES (0,0,0),(1,0,0),(-1,0,0),(0,1,0),(0,-1,0),(0,0,1),(0,0,-1)) s(dx, dy, dz)) SELECT d.obj_id, d.x, d.y, d.z FROM d SEMI JOIN {side_b} b USING (obj_id, x, y, z)", lambda a, b: VX.dilated(a.where("x < 3"), b, 1), "side_a", "side_b")
-_add("j14_voted_region", None, lambda a: VX.voted_region(a.where("obj_id in ('1', '2', '3')"), a.where("obj_id in ('1', '2', '3') and x < 4")), "side_a")
+_add("j14_voted_region", None, lambda a: VX.voted_region(a, a.where("x < 4")), "side_a")
 _add("m22_voxelised", "SELECT DISTINCT obj_id, " + ", ".join(f"greatest(0, least(63, CAST(floor(({c} / 12.0 - 0.5 + 0.5) * 64) AS INT))) AS {c}" for c in "xyz") + " FROM {side_a} a", lambda a: VX.voxelised(a.select("obj_id", *[(F.col(c) / 12.0 - 0.5).alias(c) for c in "xyz"])), "side_a")
-_add("a21_j17_gap", "WITH p AS (SELECT * FROM {side_a} a WHERE z < 3), b AS (SELECT * FROM {side_b} b WHERE z >= 4), d AS (SELECT p.obj_id, p.x, p.y, p.z, min(sqrt((p.x - b.x) * (p.x - b.x) + (p.y - b.y) * (p.y - b.y) + (p.z - b.z) * (p.z - b.z))) AS d FROM p JOIN b ON p.obj_id = b.obj_id GROUP BY ALL) SELECT obj_id, round(quantile_cont(d, 0.1), 6) AS gap FROM d GROUP BY obj_id", lambda a, b: G.gap_distance(a.where("z < 3"), b.where("z >= 4")).select("obj_id", F.round("gap", 6).alias("gap")), "side_a", "side_b")
+_add("a21_j17_gap", "WITH p AS (SELECT * FROM {side_a} a WHERE z < 3), b AS (SELECT * FROM {side_b} b WHERE z >= 3), d AS (SELECT p.obj_id, p.x, p.y, p.z, min(sqrt((p.x - b.x) * (p.x - b.x) + (p.y - b.y) * (p.y - b.y) + (p.z - b.z) * (p.z - b.z))) AS d FROM p JOIN b ON p.obj_id = b.obj_id GROUP BY ALL) SELECT obj_id, round(quantile_cont(d, 0.1), 6) AS gap FROM d GROUP BY obj_id", lambda a, b: G.gap_distance(a.where("z < 3"), b.where("z >= 3")).select("obj_id", F.round("gap", 6).alias("gap")), "side_a", "side_b")
 _add("j16_orthogonal_views", None, lambda e: G.orthogonal_views(e.select("obj_id", F.col("seq").alias("view"), (F.col("qty") - 25).alias("cx"), (F.col("disc") * 100 - 5).alias("cy"))), "edits")
 
 # --- text -----------------------------------------------------------------------------------------
@@ -220,7 +219,7 @@ _add("x01_categories", f"SELECT DISTINCT label, coalesce(nullif(array_to_string(
 _add("x04_x16_labels", "SELECT DISTINCT label, trim(replace(replace(label, ' ', '_'), '_', ' ')) AS human, replace(replace(kind, '&&', ' and '), '-', ' ') AS clean FROM {parts} p", lambda p: p.select("label", X.human_label(F.replace("label", F.lit(" "), F.lit("_"))).alias("human"), X.clean_category(F.col("kind")).alias("clean")).distinct(), "parts")
 _add("x05_templates", "SELECT obj_id, part_id, concat('Put the ', label, ' of ', kind, ' on ', substr(obj_id, 1, 8)) AS t FROM {parts} p", lambda p: p.select("obj_id", "part_id", X.fill_template(F.lit("Put the {part} of {obj} on {donor}"), part=F.col("label"), obj=F.col("kind"), donor=F.substring("obj_id", 1, 8)).alias("t")), "parts")
 _add("x06_reversed_prompts", "SELECT edit_id, CASE WHEN qty > 30 THEN concat('Add the ', flag) WHEN qty > 20 THEN concat('Attach ', flag) ELSE concat('Add back lose ', flag) END AS p FROM {edits} e", lambda e: e.select("edit_id", X.reversed_prompt(F.when(F.col("qty") > 30, F.concat(F.lit("remove  the "), "flag")).when(F.col("qty") > 20, F.concat(F.lit("Detach "), "flag")).otherwise(F.concat(F.lit("Lose "), "flag"))).alias("p")), "edits")
-_add("x13_x14_captions", "SELECT conv_id, turn, substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 80) AS c FROM {conversations} WHERE text IS NOT NULL AND trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''", lambda c: c.select("conv_id", "turn", F.substring(X.short_caption(F.array(F.lit(" "), F.col("text"))), 1, 80).alias("c")).where("c <> ''"), "conversations")
+_add("x13_x14_captions", "SELECT conv_id, turn, coalesce(substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 80), '') AS c FROM {conversations}", lambda c: c.select("conv_id", "turn", F.substring(X.short_caption(F.array(F.lit(" "), F.col("text"))), 1, 80).alias("c")), "conversations")
 _add("x18_data_urls", "SELECT conv_id, turn, concat('data:image/png;base64,', to_base64(encode(text))) AS u FROM {conversations}", lambda c: c.select("conv_id", "turn", X.data_url(F.encode("text", "UTF-8")).alias("u")), "conversations")
 _add("n01_parsed", "SELECT event_id, CAST(CAST(props AS JSON) ->> '$.k' AS INT) AS k FROM {events}", lambda e: e.select("event_id", F.try_variant_get(__import__("quarrykit.operators.json_text", fromlist=["x"]).parsed(F.concat(F.lit("Sure:\n```json\n"), "props", F.lit("\n```"))), "$.k", "int").alias("k")), "events")
 _add("n02_first_balanced", "SELECT event_id, props AS j FROM {events}", lambda e: e.select("event_id", __import__("quarrykit.operators.json_text", fromlist=["x"]).extracted(F.concat(F.lit("so "), "props", F.lit(" and {more}"))).alias("j")), "events")
