@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quarrykit.functions import domain as D
 from quarrykit.functions.text import fill_template, part_phrase
 from quarrykit.operators.selection import digest_rank
+from quarrykit.sharedfs import cut
 
 SCALE = ["Make the {part} larger", "Make the {part} smaller", "Stretch the {part} upwards", "Widen the {part}"]
 MATERIAL = ["Turn the {part} into wood", "Turn the {part} into brushed steel", "Give the {part} a marble surface", "Make the {part} of clear glass"]
@@ -37,7 +38,8 @@ def plan(records: DataFrame, least_parts: int = 2, most_global: int = 3) -> Data
     """Specs of all records with at least ``least_parts`` parts: edit_id, type, parts, prompt, source deletion."""
     zero = F.lit(0)
     r = records.where(F.size("parts") >= least_parts).withColumn("all_ids", F.transform("parts", lambda p: p["part_id"])).withColumn("view", F.coalesce(F.get("orthogonal_views", zero), zero))
-    r = r.withColumn("grouped", F.array_distinct(F.flatten(F.transform("group_edits", lambda g: g["part_ids"]))))
+    # eight branches read it: written once, by object, so that they neither recompute nor differ
+    r = cut(r, "records").withColumn("grouped", F.array_distinct(F.flatten(F.transform("group_edits", lambda g: g["part_ids"]))))
     base = ["obj_id", "shard", "object_desc", "view"]
     # groups: a group of all parts emits nothing, yet its parts count as grouped
     g = r.select(*base, "all_ids", F.posexplode("group_edits").alias("i", "g")).withColumn("keep", F.filter("all_ids", lambda x: ~F.array_contains("g.part_ids", x))).where(F.size("keep") > 0)
@@ -82,6 +84,8 @@ def plan(records: DataFrame, least_parts: int = 2, most_global: int = 3) -> Data
     every = out[0]
     for d in out[1:]:
         every = every.unionByName(d)
+    # one shuffle by object serves both windows
+    every = every.repartition("obj_id")
     # in a part's turn: deletion, addition, then swaps, materials and scales each in their order
     place = ["branch", "i", F.when(F.col("branch") == 0, F.col("j")).otherwise(F.col("k")), "j"]
     every = every.withColumn("prefix", D.choose(F.col("edit_type"), D.PREFIX))

@@ -152,7 +152,7 @@ def voted_region(occupied: DataFrame, edited: DataFrame, key: str = "obj_id", pa
     kind = occupied.schema[key].dataType.simpleString()
 
     def run(occ: pd.DataFrame, ed: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({key: [], "x": [], "y": [], "z": []}).astype({"x": int, "y": int, "z": int})
+        empty = pd.DataFrame({key: pd.Series(dtype=object), **{c: pd.Series(dtype=np.int32) for c in XYZ}})
         if len(ed) == 0 or len(occ) == 0:
             return empty
         cells = np.unique(occ[XYZ].to_numpy(np.int64), axis=0)
@@ -161,10 +161,12 @@ def voted_region(occupied: DataFrame, edited: DataFrame, key: str = "obj_id", pa
         lo, hi = np.maximum(box.min(axis=0) - pad, 0), np.minimum(box.max(axis=0) + pad, grid - 1)
         near = np.stack(np.meshgrid(*[np.arange(a, b + 1) for a, b in zip(lo, hi)], indexing="ij"), axis=-1).reshape(-1, 3)
         held = {tuple(r) for r in cells}
-        near = np.array([r for r in near if tuple(r) not in held]).reshape(-1, 3)
+        near = np.array([r for r in near if tuple(r) not in held], np.int64).reshape(-1, 3)
+        if not len(near):
+            return empty
         flags = np.array([tuple(r) in chosen for r in cells])
         at = _nearest(near.astype(float), cells.astype(float), min(k, len(cells)))
-        won = near[flags[at].mean(axis=1) > 0.5] if len(near) else near
+        won = near[flags[at].mean(axis=1) > 0.5]
         return pd.DataFrame({key: [occ[key].iloc[0]] * len(won), "x": won[:, 0], "y": won[:, 1], "z": won[:, 2]}) if len(won) else empty
 
     return occupied.groupBy(key).cogroup(edited.groupBy(key)).applyInPandas(run, f"{key} {kind}, x int, y int, z int")
