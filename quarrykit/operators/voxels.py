@@ -123,6 +123,11 @@ def components_by_labels(v: DataFrame, key: str = "obj_id") -> DataFrame:
         now = cut(now.select(key, *XYZ).join(least, [key, *XYZ]), "labels")
 
 
+def _apart(df: DataFrame, key: str, *more: str) -> DataFrame:
+    """Key and columns under new attributes, so that two sides of a cogroup may come of one frame."""
+    return df.select(*[F.col(c).alias(f"r_{c}") for c in (key, *XYZ, *more)])
+
+
 def _nearest(points: np.ndarray, known: np.ndarray, k: int) -> np.ndarray:
     """Row numbers of the k nearest ``known`` (sorted by x, y, z) of each point; of equal distances the first."""
     out = []
@@ -138,13 +143,14 @@ def nearest_labels(unknown: DataFrame, known: DataFrame, key: str = "obj_id") ->
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         made = left[[key, *XYZ]].copy()
+        right = right.rename(columns=lambda c: c.removeprefix("r_"))
         if len(right) == 0 or len(left) == 0:
             return made.assign(label=pd.Series([None] * len(made), dtype=object))
         right = right.sort_values([*XYZ, "label"])
         return made.assign(label=right["label"].to_numpy()[_nearest(left[XYZ].to_numpy(float), right[XYZ].to_numpy(float), 1)[:, 0]])
 
     types = ", ".join(f"{c} {unknown.schema[c].dataType.simpleString()}" for c in XYZ)
-    return unknown.groupBy(key).cogroup(known.groupBy(key)).applyInPandas(run, f"{key} {kind}, {types}, label string")
+    return unknown.select(key, *XYZ).groupBy(key).cogroup(_apart(known, key, "label").groupBy(f"r_{key}")).applyInPandas(run, f"{key} {kind}, {types}, label string")
 
 
 def voted_region(occupied: DataFrame, edited: DataFrame, key: str = "obj_id", pad: int = 3, k: int = 100, grid: int = 64) -> DataFrame:
@@ -155,6 +161,7 @@ def voted_region(occupied: DataFrame, edited: DataFrame, key: str = "obj_id", pa
         empty = pd.DataFrame({key: pd.Series(dtype=object), **{c: pd.Series(dtype=np.int32) for c in XYZ}})
         if len(ed) == 0 or len(occ) == 0:
             return empty
+        ed = ed.rename(columns=lambda c: c.removeprefix("r_"))
         cells = np.unique(occ[XYZ].to_numpy(np.int64), axis=0)
         chosen = {tuple(r) for r in ed[XYZ].to_numpy(np.int64)}
         box = ed[XYZ].to_numpy(np.int64)
@@ -169,7 +176,7 @@ def voted_region(occupied: DataFrame, edited: DataFrame, key: str = "obj_id", pa
         won = near[flags[at].mean(axis=1) > 0.5]
         return pd.DataFrame({key: [occ[key].iloc[0]] * len(won), "x": won[:, 0], "y": won[:, 1], "z": won[:, 2]}) if len(won) else empty
 
-    return occupied.groupBy(key).cogroup(edited.groupBy(key)).applyInPandas(run, f"{key} {kind}, x int, y int, z int")
+    return occupied.select(key, *XYZ).groupBy(key).cogroup(_apart(edited, key).groupBy(f"r_{key}")).applyInPandas(run, f"{key} {kind}, x int, y int, z int")
 
 
 def mask_kind(edit_type, share, scale_threshold: float | None = None):
