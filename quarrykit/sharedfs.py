@@ -12,6 +12,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Of local mode without that setting: a folder for each application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -19,9 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="quarrykit-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="quarrykit-")
+    return _LOCAL[app]
 
 
 def new_path(spark: SparkSession, tag: str) -> str:

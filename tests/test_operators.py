@@ -189,3 +189,29 @@ def test_geometry(spark):
 def test_both_directions(spark):
     p = spark.createDataFrame([("o", "del_o_1", "b", "a")], "obj_id string, edit_id string, before_path string, after_path string")
     assert [(r.edit_id, r.before_path) for r in P.both_directions(p).orderBy("edit_id").collect()] == [("add_o_1", "a"), ("del_o_1", "b")]
+
+
+def test_shared_folder(spark):
+    from quarrykit import sharedfs
+
+    class Conf:
+        def __init__(self, named):
+            self.named = named
+
+        def get(self, key, default=None):
+            return self.named
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.applicationId = master, "app-of-a-test"
+
+    class Session:
+        def __init__(self, master, named):
+            self.conf, self.sparkContext = Conf(named), Context(master)
+
+    assert sharedfs.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert sharedfs.shared_dir(Session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    local = Session("local[2]", None)
+    assert sharedfs.shared_dir(local) == sharedfs.shared_dir(local)
+    with pytest.raises(ValueError):
+        sharedfs.shared_dir(Session("yarn", None))
