@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quarrykit.functions.domain import filled
 from quarrykit.functions.vectors import azimuth
+from quarrykit.sharedfs import cut
 
 
 def circular_distance(a: Column, b: Column) -> Column:
@@ -138,20 +142,42 @@ def graft_scale(donor: list[Column], target: list[Column], share: float = 0.4) -
     return F.least(F.lit(1.0), F.coalesce(F.try_divide(F.lit(share) * F.greatest(*target), F.greatest(*donor)), F.lit(1.0)))
 
 
-def swap_candidates(catalog: DataFrame, n: int = 5, faces: float = 5.0, aspect: float = 2.0) -> DataFrame:
+def swap_candidates(catalog: DataFrame, n: int = 5, faces: float = 5.0, aspect: float = 2.0, heads=(256, 4096)) -> DataFrame:
     """For each part of a catalogue up to ``n`` others of its category: another object, the same coarse type
     where both are known, face counts and aspects within a ratio where both are known; in catalogue order.
 
-    The equality on category is the join key; a category's pairs are ranked, so its cost is the square of its size.
+    Parts that are alike in all of that share one list, so likes are paired and not parts. Of one object ``n`` and in all ``2 n``
+    of a list are enough for every member, whose own object is then left out. A list is sought among the first rows of a category, as many as ``heads`` say; only
+    one that is not full there is held against the whole category, so the cost is near the first head times the likes.
     """
-    from quarrykit.functions.domain import filled
-
-    a, b = catalog.alias("a"), catalog.alias("b")
     c = lambda s: F.col(s)
-    like = (c("a.category") == c("b.category")) & (c("a.obj_id") != c("b.obj_id"))
-    like = like & F.coalesce(filled(c("a.object_type")) == filled(c("b.object_type")), F.lit(True))
-    for name, most in (("cluster_size", faces), ("aspect", aspect)):
-        x, y = c(f"a.{name}"), c(f"b.{name}")
-        like = like & ((x <= 0) | (y <= 0) | (F.greatest(x, y) <= F.lit(most) * F.least(x, y)))
-    pairs = a.join(b, like).select(c("a.idx").alias("idx"), c("b.idx").alias("candidate"))
-    return pairs.withColumn("rank", F.row_number().over(W.partitionBy("idx").orderBy("candidate"))).where(F.col("rank") <= n)
+    traits = ("category", "object_type", "cluster_size", "aspect")
+    parts = catalog.where("category is not null and obj_id is not null").select("idx", "obj_id", "category", filled(c("object_type")).alias("object_type"), "cluster_size", "aspect")
+
+    def enough(rows: DataFrame, *by: str) -> DataFrame:
+        rows = rows.withColumn("r", F.row_number().over(W.partitionBy(*by, "obj_id").orderBy("idx"))).where(c("r") <= n)
+        return rows.withColumn("r", F.row_number().over(W.partitionBy(*by).orderBy("idx"))).where(c("r") <= 2 * n).drop("r")
+
+    def lists(likes: DataFrame, rows: DataFrame) -> DataFrame:
+        a, b = likes.alias("a"), rows.alias("b")
+        like = (c("a.category") == c("b.category")) & F.coalesce(c("a.object_type") == c("b.object_type"), F.lit(True))
+        for name, most in (("cluster_size", faces), ("aspect", aspect)):
+            x, y = c(f"a.{name}"), c(f"b.{name}")
+            like = like & F.coalesce((x <= 0) | (y <= 0) | (F.greatest(x, y) <= F.lit(most) * F.least(x, y)), F.lit(True))
+        found = enough(a.join(b, like).select(*[c(f"a.{t}").alias(t) for t in traits], c("b.idx").alias("idx"), c("b.obj_id").alias("obj_id")), *traits)
+        return found.groupBy(*traits).agg(F.array_sort(F.collect_list(F.struct("idx", "obj_id"))).alias("found"))
+
+    same = lambda a, b: reduce(and_, [c(f"{a}.{t}").eqNullSafe(c(f"{b}.{t}")) for t in traits])
+    offered = cut(enough(parts, *traits), "offered")
+    open_, closed = offered.select(*traits).distinct(), []
+    for head in heads:
+        first = offered.withColumn("r", F.row_number().over(W.partitionBy("category").orderBy("idx"))).where(c("r") <= head).drop("r")
+        large = offered.groupBy("category").count().where(c("count") > head).select("category")
+        near = cut(lists(open_, first), "near")
+        full = near.where(F.size("found") == 2 * n).join(large, "category", "left_semi")
+        closed += [near.join(large, "category", "left_anti"), full]
+        open_ = cut(open_.join(large, "category", "left_semi").alias("l").join(full.alias("f"), same("l", "f"), "left_anti"), "open")
+    done = reduce(DataFrame.unionByName, [*closed, lists(open_, offered)])
+    others = F.slice(F.filter("found", lambda o: o["obj_id"] != c("p.obj_id")), 1, n)
+    ranked = parts.alias("p").join(done.alias("d"), same("p", "d")).select(c("p.idx").alias("idx"), F.posexplode(others).alias("k", "o"))
+    return ranked.select("idx", c("o.idx").alias("candidate"), (c("k") + 1).alias("rank"))

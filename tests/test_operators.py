@@ -1,6 +1,8 @@
 """Hand-computed cases of operators whose results no SQL of the test tables pins."""
 
+import itertools
 import json
+import random
 
 import numpy as np
 import pytest
@@ -215,3 +217,33 @@ def test_shared_folder(spark):
     assert sharedfs.shared_dir(local) == sharedfs.shared_dir(local)
     with pytest.raises(ValueError):
         sharedfs.shared_dir(Session("yarn", None))
+
+
+def _brute_candidates(rows, n):
+    """All pairs of a catalogue's rows (idx, obj_id, category, object_type, cluster_size, aspect)."""
+    far = lambda x, y, most: x is not None and y is not None and x > 0 and y > 0 and max(x, y) > most * min(x, y)
+    rows = sorted(rows)
+    found = []
+    for i, o, k, t, s, r in rows:
+        like = (b for b, p, l, u, z, q in rows if None not in (k, o, p) and l == k and p != o and (not t or not u or t == u) and not far(s, z, 5.0) and not far(r, q, 2.0))
+        found += [(i, b, rank) for rank, b in enumerate(itertools.islice(like, n), 1)]
+    return found
+
+
+@pytest.mark.parametrize("heads", [(3, 20), (4096,)])
+def test_swap_candidates_are_those_of_all_pairs(spark, heads):
+    draw = random.Random(7)
+    rows = [(i, draw.choice([*"pqrst", None]) if i % 3 else "p", draw.choice(["seat", "leg", None]), draw.choice(["a", "b", "", None]), draw.choice([0, 1, 4, 5, 6, 30, None]), draw.choice([-1.0, 1.0, 2.0, 2.5, 8.0, None])) for i in range(1, 300)]
+    df = spark.createDataFrame(rows, "idx int, obj_id string, category string, object_type string, cluster_size int, aspect double")
+    assert sorted(map(tuple, G.swap_candidates(df, 3, heads=heads).collect())) == _brute_candidates(rows, 3)
+
+
+def test_swap_candidates_by_kind_cross_labels(spark):
+    from quarrykit.plans import queries
+    from quarrykit.plans.frames import frame
+
+    parts = sorted(frame(spark, "/root/testdata/sf0.001", "parts").collect(), key=lambda r: (r.obj_id, r.part_id))
+    rows = [(i, r.obj_id, r.kind, None if r.qty <= 10 else "a" if r.qty > 25 else "b", r.cluster_size, r.qty) for i, r in enumerate(parts, 1)]
+    got = sorted(map(tuple, queries.QUERIES["j12_swap_candidates_by_kind"](spark, "/root/testdata/sf0.001").collect()))
+    assert got == _brute_candidates(rows, 3)
+    assert any(parts[i - 1].label != parts[b - 1].label for i, b, _ in got)
