@@ -32,6 +32,9 @@ FRAMES = {
     "parts": "SELECT CAST(l.o AS STRING) AS obj_id, l.n AS part_id, p.p_name AS label, p.p_type AS kind, p.p_brand AS brand, p.p_size AS cluster_size, l.qty FROM {lines} l JOIN {part} p ON l.part = p.p_partkey",
     "side_a": "SELECT CAST(l_orderkey % 200 AS STRING) AS obj_id, CAST(l_partkey % 12 AS INT) AS x, CAST(l_suppkey % 12 AS INT) AS y, CAST(l_linenumber AS INT) AS z FROM {lineitem} WHERE l_returnflag <> 'R'",
     "side_b": "SELECT CAST(l_orderkey % 200 AS STRING) AS obj_id, CAST(l_partkey % 12 AS INT) AS x, CAST(l_suppkey % 12 AS INT) AS y, CAST(l_linenumber AS INT) AS z FROM {lineitem} WHERE l_returnflag <> 'A'",
+    # the sides again with an order as object and cells all over the grid, so that both grow with the table
+    "order_a": "SELECT CAST(l_orderkey AS STRING) AS obj_id, CAST((l_partkey * 31 + l_linenumber) % 64 AS BIGINT) AS x, CAST((l_suppkey * 29 + l_partkey) % 64 AS BIGINT) AS y, CAST((l_orderkey * 13 + l_linenumber * 7) % 64 AS BIGINT) AS z FROM {lineitem} WHERE l_returnflag <> 'R'",
+    "order_b": "SELECT CAST(l_orderkey AS STRING) AS obj_id, CAST((l_partkey * 31 + l_linenumber) % 64 AS BIGINT) AS x, CAST((l_suppkey * 29 + l_partkey) % 64 AS BIGINT) AS y, CAST((l_orderkey * 13 + l_linenumber * 7) % 64 AS BIGINT) AS z FROM {lineitem} WHERE l_returnflag <> 'A'",
     "vectors": "SELECT a.vec_id AS id, a.embedding AS a, b.embedding AS b FROM {embeddings} a JOIN {embeddings} b ON b.vec_id = a.vec_id + 1",
 }
 

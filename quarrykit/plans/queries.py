@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,13 +22,17 @@ from quarrykit.plans.frames import frame, sql_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+_BY_ORDER = {"side_a": "order_a", "side_b": "order_b"}
 
 
 def _add(name: str, sql: str | None, make: Callable[..., DataFrame], *frames: str) -> None:
-    """``make`` gets the named frames."""
+    """``make`` gets the named frames. What reads the sides is registered over the orders too, as ``name_by_order``."""
     QUERIES[name] = lambda spark, sf_dir: make(*[frame(spark, sf_dir, f) for f in frames])
     if sql:
         ORACLE[name] = sql_of(sql)
+    if not set(frames).isdisjoint(_BY_ORDER):
+        over = lambda text: re.sub(r"\{(side_[ab])\}", lambda m: "{" + _BY_ORDER[m[1]] + "}", text)
+        _add(f"{name}_by_order", over(sql) if sql else None, make, *[_BY_ORDER.get(f, f) for f in frames])
 
 
 _T = "CASE coalesce({c}, '') WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 WHEN 'negative' THEN 3 ELSE 4 END"
@@ -160,10 +165,15 @@ _add("a12_training_meta", "SELECT count(DISTINCT obj_id) AS objects, count(*) AS
 _add("a14_passed_per_object", "SELECT e.obj_id, count(*) AS n, count(*) FILTER (WHERE tier IN ('high', 'medium')) AS passed, count(*) FILTER (WHERE tier = 'high') AS clean FROM {edits} e JOIN {scores} s USING (edit_id) GROUP BY e.obj_id", lambda e, s: Q.clean_counts(e.select("edit_id", "obj_id").join(s, "edit_id"), "high", "obj_id"), "edits", "scores")
 _add("a15_majority_labels", "SELECT obj_id, arg_min(cluster_size, CAST(-n AS BIGINT) * 1000 + cluster_size) AS cluster_size FROM (SELECT obj_id, cluster_size, count(*) AS n FROM {parts} p GROUP BY ALL) q GROUP BY obj_id", lambda p: G.majority_labels(p, "obj_id", "cluster_size"), "parts")
 _PIX = "(SELECT CAST(l_orderkey % 300 AS STRING) AS obj_id, CAST(l_partkey % 5 AS INT) AS \"view\", CAST(l_suppkey % 4 AS INT) - 1 AS part FROM {lineitem})"
-_pix = lambda li: li.select((F.col("l_orderkey") % 300).cast("string").alias("obj_id"), (F.col("l_partkey") % 5).cast("int").alias("view"), ((F.col("l_suppkey") % 4).cast("int") - 1).alias("part"))
+_pix = lambda li, key="l_orderkey % 300": li.select(F.expr(key).cast("string").alias("obj_id"), (F.col("l_partkey") % 5).cast("int").alias("view"), ((F.col("l_suppkey") % 4).cast("int") - 1).alias("part"))
+_PIX_BY_ORDER = _PIX.replace("l_orderkey % 300", "l_orderkey")
+_pix_by_order = lambda li: _pix(li, "l_orderkey")
 _add("a16_pixel_counts", f'SELECT obj_id, "view", part, count(*) AS n FROM {_PIX} q WHERE part >= 0 GROUP BY ALL', lambda li: G.pixel_counts(_pix(li)), "lineitem")
+_add("a16_pixel_counts_by_order", f'SELECT obj_id, "view", part, count(*) AS n FROM {_PIX_BY_ORDER} q WHERE part >= 0 GROUP BY ALL', lambda li: G.pixel_counts(_pix_by_order(li)), "lineitem")
 _add("w06_best_views", f'WITH c AS (SELECT obj_id, "view" AS v, part, count(*) AS n FROM {_PIX} q WHERE part >= 0 GROUP BY ALL) SELECT p.obj_id, p.part, CAST(coalesce(b.v, 0) AS INT) AS "view" FROM (SELECT DISTINCT obj_id, part FROM {_PIX} q) p LEFT JOIN (SELECT obj_id, part, arg_max(v, n * 10 - v) AS v FROM c GROUP BY obj_id, part) b ON b.obj_id = p.obj_id AND b.part = p.part', lambda li: G.best_views(G.pixel_counts(_pix(li)), _pix(li)), "lineitem")
+_add("w06_best_views_by_order", f'WITH c AS (SELECT obj_id, "view" AS v, part, count(*) AS n FROM {_PIX_BY_ORDER} q WHERE part >= 0 GROUP BY ALL) SELECT p.obj_id, p.part, CAST(coalesce(b.v, 0) AS INT) AS "view" FROM (SELECT DISTINCT obj_id, part FROM {_PIX_BY_ORDER} q) p LEFT JOIN (SELECT obj_id, part, arg_max(v, n * 10 - v) AS v FROM c GROUP BY obj_id, part) b ON b.obj_id = p.obj_id AND b.part = p.part', lambda li: G.best_views(G.pixel_counts(_pix_by_order(li)), _pix_by_order(li)), "lineitem")
 _add("w07_best_view_of_set", f'WITH c AS (SELECT obj_id, "view" AS v, count(*) AS n FROM {_PIX} q WHERE part IN (0, 1) AND "view" NOT IN (0, 3) GROUP BY ALL), p AS (SELECT DISTINCT obj_id FROM {_PIX} q WHERE part IN (0, 1)) SELECT p.obj_id, CAST(coalesce(b.v, 0) AS INT) AS "view" FROM p LEFT JOIN (SELECT obj_id, arg_max(v, n * 10 - v) AS v FROM c GROUP BY obj_id) b ON b.obj_id = p.obj_id', lambda li: G.best_view_of_set(G.pixel_counts(_pix(li)), _pix(li).where("part in (0, 1)"), skip=(0, 3)), "lineitem")
+_add("w07_best_view_of_set_by_order", f'WITH c AS (SELECT obj_id, "view" AS v, count(*) AS n FROM {_PIX_BY_ORDER} q WHERE part IN (0, 1) AND "view" NOT IN (0, 3) GROUP BY ALL), p AS (SELECT DISTINCT obj_id FROM {_PIX_BY_ORDER} q WHERE part IN (0, 1)) SELECT p.obj_id, CAST(coalesce(b.v, 0) AS INT) AS "view" FROM p LEFT JOIN (SELECT obj_id, arg_max(v, n * 10 - v) AS v FROM c GROUP BY obj_id) b ON b.obj_id = p.obj_id', lambda li: G.best_view_of_set(G.pixel_counts(_pix_by_order(li)), _pix_by_order(li).where("part in (0, 1)"), skip=(0, 3)), "lineitem")
 _add("a23_stage_costs", "SELECT edit_type AS stage, count(*) AS n, CAST(CASE edit_type WHEN 'deletion' THEN 0.5 WHEN 'scale' THEN 0.0209 ELSE 0.0 END AS DOUBLE) AS unit, round(count(*) * CAST(CASE edit_type WHEN 'deletion' THEN 0.5 WHEN 'scale' THEN 0.0209 ELSE 0.0 END AS DOUBLE), 6) AS cost FROM {edits} e GROUP BY edit_type", lambda e: R.stage_costs(e.groupBy(F.col("edit_type").alias("stage")).agg(F.count("*").alias("n")), {"deletion": 0.5, "scale": 0.0209}), "edits")
 _add("a24_slimming", "SELECT CAST(sum(num) AS BIGINT) AS old, CAST(sum(CAST(floor(num * 3 / 7) AS BIGINT)) AS BIGINT) AS new, round(100 * (sum(num) - sum(CAST(floor(num * 3 / 7) AS BIGINT))) / sum(num), 2) AS percent FROM {objects} o", lambda o: R.slimming(o.select(F.col("num").alias("size"), F.lit(3).alias("kept"), F.lit(7).alias("views"))), "objects")
 _add("a25_totals", "SELECT CAST(sum(seq) AS BIGINT) AS seq, CAST(sum(supp) AS BIGINT) AS supp FROM {edits} e", lambda e: R.totals(e, "seq", "supp"), "edits")

@@ -247,3 +247,17 @@ def test_swap_candidates_by_kind_cross_labels(spark):
     got = sorted(map(tuple, queries.QUERIES["j12_swap_candidates_by_kind"](spark, "/root/testdata/sf0.001").collect()))
     assert got == _brute_candidates(rows, 3)
     assert any(parts[i - 1].label != parts[b - 1].label for i, b, _ in got)
+
+
+def test_voxel_queries_by_order_grow_with_the_table(spark):
+    from quarrykit.plans import more_queries, queries  # noqa: F401
+    from quarrykit.plans.frames import frame
+
+    sf = "/root/testdata/sf0.001"
+    orders = frame(spark, sf, "lineitem").where("l_returnflag <> 'R'").select("l_orderkey").distinct().count()
+    side = frame(spark, sf, "order_a")
+    assert side.select("obj_id").distinct().count() == orders > 200
+    spread = side.agg(*[F.count_distinct(c).alias(c) for c in "xyz"], F.min("x").alias("lo"), F.max("z").alias("hi")).first()
+    assert tuple(spread) == (64, 64, 64, 0, 63)
+    for name in ("q17_components", "j13_nearest_labels", "j14_voted_region", "a21_j17_gap", "a16_pixel_counts", "w06_best_views", "w07_best_view_of_set"):
+        assert f"{name}_by_order" in queries.QUERIES
