@@ -12,7 +12,7 @@ bytes R, G, B, A, row by row.
 Defined results: null bytes give nulls and no error. Bytes that are no
 lossless WebP, are cut short, or break the format give null pixels and say why
 in ``error``; no row fails the job. Extra chunks are skipped; trailing bytes are ignored.
-Images over ``MOST_PIXELS`` are refused with an error. Repeated rows repeat; other columns are not looked at.
+Images may have all the pixels that the format can state, 2^28. Repeated rows repeat; other columns are not looked at.
 
 The public tables hold no images. ``op5_webp`` makes one of each embedding,
 8 x 8 pixels, by the encoder in ``webp_write`` with transforms that change with vec_id, and decodes the
@@ -22,6 +22,7 @@ whole column; its SQL gives the pixels from the embeddings.
 from __future__ import annotations
 
 import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MOST_PIXELS = 1 << 26
+#: Pixels that are turned to bytes at once.
+STRIP = 1 << 20
+#: Bytes of pixels in a batch of several images.
+MOST_HELD = 1 << 26
 LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 #: (x, y) of the 120 short distances.
 NEAR = [(0, 1), (1, 0), (1, 1), (-1, 1), (0, 2), (2, 0), (1, 2), (-1, 2), (2, 1), (-2, 1), (2, 2), (-2, 2), (0, 3), (3, 0), (1, 3), (-1, 3), (3, 1), (-3, 1), (2, 3), (-2, 3), (3, 2), (-3, 2), (0, 4), (4, 0), (1, 4), (-1, 4), (4, 1), (-4, 1), (3, 3), (-3, 3), (2, 4), (-2, 4), (4, 2), (-4, 2), (0, 5), (3, 4), (-3, 4), (4, 3), (-4, 3), (5, 0), (1, 5), (-1, 5), (5, 1), (-5, 1), (2, 5), (-2, 5), (5, 2), (-5, 2), (4, 4), (-4, 4), (3, 5), (-3, 5), (5, 3), (-5, 3), (0, 6), (6, 0), (1, 6), (-1, 6), (6, 1), (-6, 1), (2, 6), (-2, 6), (6, 2), (-6, 2), (4, 5), (-4, 5), (5, 4), (-5, 4), (3, 6), (-3, 6), (6, 3), (-6, 3), (0, 7), (7, 0), (1, 7), (-1, 7), (5, 5), (-5, 5), (7, 1), (-7, 1), (4, 6), (-4, 6), (6, 4), (-6, 4), (2, 7), (-2, 7), (7, 2), (-7, 2), (3, 7), (-3, 7), (7, 3), (-7, 3), (5, 6), (-5, 6), (6, 5), (-6, 5), (8, 0), (4, 7), (-4, 7), (7, 4), (-7, 4), (8, 1), (8, 2), (6, 6), (-6, 6), (8, 3), (5, 7), (-5, 7), (7, 5), (-7, 5), (8, 4), (6, 7), (-6, 7), (7, 6), (-7, 6), (8, 5), (7, 7), (-7, 7), (8, 6), (8, 7)]
@@ -154,7 +158,7 @@ def _number(r: _Bits, s: int) -> int:
     return ((2 + (s & 1)) << extra) + r.read(extra) + 1
 
 
-def _image(r: _Bits, width: int, height: int, main: bool) -> list[int]:
+def _image(r: _Bits, width: int, height: int, main: bool) -> array:
     """An entropy-coded image; only the main one may have meta prefix codes."""
     cache_bits = r.read(4) if r.read(1) else 0
     if cache_bits > 11:
@@ -163,16 +167,19 @@ def _image(r: _Bits, width: int, height: int, main: bool) -> list[int]:
     if main and r.read(1):
         meta_bits = r.read(3) + 2
         across = (width + (1 << meta_bits) - 1) >> meta_bits
-        meta = [(p >> 8) & 0xFFFF for p in _image(r, across, (height + (1 << meta_bits) - 1) >> meta_bits, False)]
+        meta = array("H", ((p >> 8) & 0xFFFF for p in _image(r, across, (height + (1 << meta_bits) - 1) >> meta_bits, False)))
         groups = max(meta) + 1
     cache = [0] * (1 << cache_bits) if cache_bits else None
     shift = 32 - cache_bits
     sizes = (280 + (len(cache) if cache else 0), 256, 256, 256, 40)
     codes = [[_read_code(r, n) for n in sizes] for _ in range(groups)]
     total = width * height
-    out: list[int] = []
+    out = array("I")
     cached = 0  # pixels that are in the cache
     green, red, blue, alpha, dist = codes[0]
+    if meta is None and not (green.bits or red.bits or blue.bits or alpha.bits) and green.table[0][0] < 256:
+        # no pixel takes a bit
+        return array("I", [alpha.read(r) << 24 | red.read(r) << 16 | green.read(r) << 8 | blue.read(r)]) * total
     y, x = 0, 0
     while len(out) < total:
         if meta is not None:
@@ -195,8 +202,7 @@ def _image(r: _Bits, width: int, height: int, main: bool) -> list[int]:
             if d >= n:
                 out += out[len(out) - d : len(out) - d + n]
             else:
-                for _ in range(n):
-                    out.append(out[-d])
+                out += (out[-d:] * (n // d + 1))[:n]
         else:
             if cache is None:
                 raise BadImage("a cache symbol without a cache")
@@ -267,7 +273,7 @@ def predict(mode: int, left: int, top: int, corner: int, right: int) -> int:
     return 0xFF000000
 
 
-def _unpredict(p: list[int], width: int, height: int, bits: int, modes: list[int]) -> list[int]:
+def _unpredict(p: array, width: int, height: int, bits: int, modes: bytes) -> array:
     across = (width + (1 << bits) - 1) >> bits
     p[0] = _add(p[0], 0xFF000000)
     for x in range(1, width):
@@ -287,32 +293,45 @@ def _signed(v: np.ndarray) -> np.ndarray:
     return v.astype(np.uint8).view(np.int8).astype(np.int32)
 
 
-def _uncross(p: list[int], width: int, height: int, bits: int, table: list[int]) -> list[int]:
+def _strips(p: array, width: int):
+    """(first row, rows) of views of ``p`` with at most ``STRIP`` pixels, or one row."""
+    px, step = np.frombuffer(p, np.uint32).reshape(-1, width), max(1, STRIP // width)
+    for y in range(0, len(px), step):
+        yield y, px[y : y + step]
+
+
+def _uncross(p: array, width: int, height: int, bits: int, table: array) -> array:
     across = (width + (1 << bits) - 1) >> bits
-    px = np.array(p, np.uint32).reshape(height, width)
-    t = np.array(table, np.uint32).reshape(-1, across).repeat(1 << bits, axis=0)[:height].repeat(1 << bits, axis=1)[:, :width]
-    green = _signed(px >> 8 & 255)
-    red = (px >> 16 & 255).astype(np.int32) + ((_signed(t & 255) * green) >> 5) & 255
-    blue = (px & 255).astype(np.int32) + ((_signed(t >> 8 & 255) * green) >> 5) + ((_signed(t >> 16 & 255) * _signed(red)) >> 5) & 255
-    return (px & np.uint32(0xFF00FF00) | red.astype(np.uint32) << 16 | blue.astype(np.uint32)).ravel().tolist()
+    blocks = np.frombuffer(table, np.uint32).reshape(-1, across)
+    for y, px in _strips(p, width):
+        t = blocks[np.arange(y, y + len(px)) >> bits].repeat(1 << bits, axis=1)[:, :width]
+        green = _signed(px >> 8 & 255)
+        red = (px >> 16 & 255).astype(np.int32) + ((_signed(t & 255) * green) >> 5) & 255
+        blue = (px & 255).astype(np.int32) + ((_signed(t >> 8 & 255) * green) >> 5) + ((_signed(t >> 16 & 255) * _signed(red)) >> 5) & 255
+        px[:] = px & np.uint32(0xFF00FF00) | red.astype(np.uint32) << 16 | blue.astype(np.uint32)
+    return p
 
 
-def _ungreen(p: list[int]) -> list[int]:
-    px = np.array(p, np.uint32)
-    green = px >> 8 & 255
-    return (px & np.uint32(0xFF00FF00) | ((px >> 16) + green & 255) << 16 | px + green & 255).tolist()
+def _ungreen(p: array, width: int) -> array:
+    for _, px in _strips(p, width):
+        green = px >> 8 & 255
+        px[:] = px & np.uint32(0xFF00FF00) | ((px >> 16) + green & 255) << 16 | px + green & 255
+    return p
 
 
-def _unpalette(p: list[int], width: int, height: int, packed: int, table: list[int]) -> list[int]:
+def _unpalette(p: array, width: int, height: int, packed: int, table: array) -> array:
     """``packed``: log2 of the pixels in one."""
-    narrow = (width + (1 << packed) - 1) >> packed
-    index = (np.array(p, np.uint32) >> 8 & 255).reshape(height, narrow)
-    if packed:
-        bits = 8 >> packed
-        index = np.stack([index >> k * bits & (1 << bits) - 1 for k in range(1 << packed)], axis=2).reshape(height, -1)[:, :width]
+    narrow, bits = (width + (1 << packed) - 1) >> packed, 8 >> packed
     full = np.zeros(256, np.uint32)
     full[: len(table)] = table
-    return full[index].ravel().tolist()
+    out = array("I", [0]) * (width * height) if packed else p
+    wide = np.frombuffer(out, np.uint32).reshape(height, width)
+    for y, px in _strips(p, narrow):
+        index = px >> 8 & 255
+        if packed:
+            index = np.stack([index >> k * bits & (1 << bits) - 1 for k in range(1 << packed)], axis=2).reshape(len(px), -1)[:, :width]
+        wide[y : y + len(px)] = full[index]
+    return out
 
 
 def _lossless_chunk(data: bytes) -> bytes:
@@ -333,6 +352,12 @@ def _lossless_chunk(data: bytes) -> bytes:
 
 def decode(data: bytes) -> tuple[int, int, list[int]]:
     """(width, height, pixels) of a lossless WebP file."""
+    width, height, pixels = decode_compact(data)
+    return width, height, pixels.tolist()
+
+
+def decode_compact(data: bytes) -> tuple[int, int, array]:
+    """``decode`` with four bytes for a pixel."""
     r = _Bits(_lossless_chunk(data))
     if r.read(8) != 0x2F:
         raise BadImage("no lossless signature")
@@ -340,8 +365,6 @@ def decode(data: bytes) -> tuple[int, int, list[int]]:
     r.read(1)
     if r.read(3):
         raise BadImage("an unknown version")
-    if width * height > MOST_PIXELS:
-        raise BadImage("the image is too large")
     undo, seen, now = [], set(), width
     while r.read(1):
         kind = r.read(2)
@@ -353,7 +376,7 @@ def decode(data: bytes) -> tuple[int, int, list[int]]:
             size = 1 << bits
             table = _image(r, (now + size - 1) >> bits, (height + size - 1) >> bits, False)
             if kind == PREDICT:
-                table = [v >> 8 & 15 for v in table]
+                table = bytes(v >> 8 & 15 for v in table)
             undo.append((_unpredict if kind == PREDICT else _uncross, now, bits, table))
         elif kind == GREEN:
             undo.append((_ungreen, now, 0, None))
@@ -367,12 +390,15 @@ def decode(data: bytes) -> tuple[int, int, list[int]]:
             now = (now + (1 << packed) - 1) >> packed
     pixels = _image(r, now, height, True)
     for f, w, bits, table in reversed(undo):
-        pixels = f(pixels) if f is _ungreen else f(pixels, w, height, bits, table)
+        pixels = f(pixels, w) if f is _ungreen else f(pixels, w, height, bits, table)
     return width, height, pixels
 
 
-def to_rgba(pixels: list[int]) -> bytes:
-    px = np.array(pixels, np.uint32)
+def to_rgba(pixels) -> bytes:
+    return b"".join(_rgba(np.array(pixels[at : at + STRIP], np.uint32)) for at in range(0, len(pixels), STRIP))
+
+
+def _rgba(px: np.ndarray) -> bytes:
     return np.stack([px >> 16, px >> 8, px, px >> 24], axis=1).astype(np.uint8).tobytes()
 
 
@@ -380,18 +406,26 @@ def _decoded(batches):
     for b in batches:
         for at in range(0, b.num_rows, 256):
             part = b.slice(at, 256)
-            w, h, px, err = [], [], [], []
-            for data in part.column(1).to_pylist():
+            rows, held, start = [], 0, 0
+            for k, data in enumerate(part.column(1)):
                 got = (None, None, None, None)
-                if data is not None:
+                if (data := data.as_py()) is not None:
                     try:
-                        width, height, pixels = decode(data)
+                        width, height, pixels = decode_compact(data)
                         got = width, height, to_rgba(pixels), None
                     except BadImage as bad:
                         got = None, None, None, str(bad)
-                for column, v in zip((w, h, px, err), got):
-                    column.append(v)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(w, pa.int32()), pa.array(h, pa.int32()), pa.array(px, pa.binary()), pa.array(err, pa.string())], names=["id", "width", "height", "pixels", "error"])
+                if held and held + len(got[2] or b"") > MOST_HELD:
+                    yield _batch(part.column(0).slice(start, len(rows)), rows)
+                    rows, held, start = [], 0, k
+                rows.append(got)
+                held += len(got[2] or b"")
+            yield _batch(part.column(0).slice(start, len(rows)), rows)
+
+
+def _batch(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+    w, h, px, err = zip(*rows)
+    return pa.RecordBatch.from_arrays([ids, pa.array(w, pa.int32()), pa.array(h, pa.int32()), pa.array(px, pa.binary()), pa.array(err, pa.string())], names=["id", "width", "height", "pixels", "error"])
 
 
 def decode_media(media: DataFrame, id_col: str = "id", data_col: str = "data") -> DataFrame:

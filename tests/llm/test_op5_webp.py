@@ -92,3 +92,34 @@ def test_embeddings(spark):
     rows = [(i, [((i * 37 + k * 11) % 97) / 97 - 0.5 for k in range(64)]) for i in range(100)] + [(100, None)]
     made = op.decode_media(op.embedding_media(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))).collect()
     assert sum(r.error is not None for r in made) == 0 and sum(r.pixels is None for r in made) == 1
+
+
+def test_more_pixels_than_two_to_the_26():
+    p = [0xFF102030]
+    data = bytearray(encode(p, 1, 1))
+    at = data.index(b"VP8L") + 9  # after the signature: 14 bits of width - 1, 14 of height - 1
+    size = int.from_bytes(data[at : at + 4], "little") | 8199 | 8199 << 14
+    data[at : at + 4] = size.to_bytes(4, "little")
+    width, height, pixels = op.decode_compact(bytes(data))
+    assert (width, height, len(pixels)) == (8200, 8200, 8200 * 8200) and pixels[0] == pixels[-1] == p[0]
+    rgba = op.to_rgba(pixels)
+    assert len(rgba) == 4 * len(pixels) and rgba[:4] == rgba[-4:] == bytes([0x10, 0x20, 0x30, 0xFF])
+
+
+def test_strips_and_batches_do_not_change_results(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    cases = []
+    for w, h, colours in ((33, 17, None), (40, 9, 3), (21, 30, 200)):
+        p = image(rng, w, h, colours)
+        rest = [(op.PALETTE,)] if colours else [(op.GREEN,), (op.CROSS, 2, [rng.getrandbits(32) for _ in range(blocks(w, h, 2))])]
+        cases.append((encode(p, w, h, rest), w, h, p))
+    monkeypatch.setattr(op, "STRIP", 50)
+    monkeypatch.setattr(op, "MOST_HELD", 2000)
+    datas = [c[0] for c in cases] + [None, b"x"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(datas, pa.binary())], names=["id", "data"])
+    got = pa.Table.from_batches(op._decoded([batch])).to_pylist()
+    assert [r["id"] for r in got] == list(range(5)) and got[3]["error"] is None and got[4]["error"]
+    for r, (_, w, h, p) in zip(got, cases):
+        assert (r["width"], r["height"]) == (w, h) and r["pixels"] == bytes(v for x in p for v in (x >> 16 & 255, x >> 8 & 255, x & 255, x >> 24))
