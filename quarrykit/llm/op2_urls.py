@@ -65,8 +65,18 @@ def prefixes(url: str | None) -> list[tuple[str, int]] | None:
     return made + [(whole + " / " + " ".join(segments[:n]), len(labels) + n) for n in range(1, len(segments) + 1)]
 
 
-def entry_key(entry: str) -> str:
-    at = prefixes(entry)
+def join_keys(url: str | None) -> list[tuple[str, int]] | None:
+    """``prefixes`` in keys that differ wherever the ways do: no label of a split host has a dot, no segment a slash."""
+    at = steps(url)
+    if at is None:
+        return None
+    labels, segments = at
+    made = [(f"{n} " + ".".join(labels[:n]), n) for n in range(1, len(labels) + 1)]
+    return made + [(made[-1][0] + "/" + "/".join(segments[:n]), len(labels) + n) for n in range(1, len(segments) + 1)]
+
+
+def entry_key(entry: str, keys=prefixes) -> str:
+    at = keys(entry)
     if at is None:
         raise ValueError(f"no host in entry {entry!r}")
     return at[-1][0]
@@ -135,12 +145,12 @@ def filter_urls(pages: DataFrame, allow=ALLOW, block=BLOCK, url_col: str = "url"
 def _by_join(rows: DataFrame, allow, block) -> DataFrame:
     """The same by joining each distinct URL's prefixes with the entries."""
     spark = rows.sparkSession
-    listed = spark.createDataFrame([(entry_key(e), b, n, e) for b, es in ((False, allow), (True, block)) for n, e in enumerate(es)], "key string, blocks boolean, n int, entry string")
+    listed = spark.createDataFrame([(entry_key(e, join_keys), b, n, e) for b, es in ((False, allow), (True, block)) for n, e in enumerate(es)], "key string, blocks boolean, n int, entry string")
     last = W.partitionBy("key").orderBy(F.desc("blocks"), F.desc("n"))
     entries = listed.withColumn("r", F.row_number().over(last)).where("r = 1").select("key", "blocks", "entry")
 
     def run(urls: pa.Array) -> pa.Array:
-        made = [None if p is None else [{"key": k, "depth": d} for k, d in p] for p in map(prefixes, urls.to_pylist())]
+        made = [None if p is None else [{"key": k, "depth": d} for k, d in p] for p in map(join_keys, urls.to_pylist())]
         return pa.array(made, pa.list_(pa.struct([("key", pa.string()), ("depth", pa.int32())])))
 
     kind = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("depth", T.IntegerType())]))

@@ -43,3 +43,11 @@ def test_named_cases():
     assert t.match("https://notexample.net") == ("default", None, 0)
     with pytest.raises(ValueError):
         op.Trie(["/x"], [])
+
+
+def test_spaces_match_the_same_by_join(spark):
+    urls = ["http://a.example.com/fr 825", "http://a.example.com/fr/825", "http://a example.com/x", "http://[b.a/x", "http://a.[b/x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    allow, block = ["a.example.com/fr/825", "[b.a"], ["example.a.com"]
+    got = [sorted(map(tuple, op.filter_urls(pages, allow, block, most_shared=m).collect())) for m in (100, 0)]
+    assert got[0] == got[1] and [r[2] for r in got[0]] == ["default", "allow", "default", "allow", "default"]
