@@ -11,7 +11,8 @@ character, so no piece crosses the place before a mark or beside a line
 break, and a text's best path is the join of its segments' best paths. The
 same segments come again and again, so each worker keeps the ids of short
 ones it has met, up to a fixed number; that is a memory of exact results. New
-ones are solved in sorted order, each from where its beginning parts from the last.
+ones are solved side by side: one array operation moves all their automata on
+by a character, and each output link is one more relaxation of all of them.
 
 Scores. A unigram file holds log-probabilities, which are used as they are
 (``scores="file"``). A merge-based file holds minus the merge rank, which is
@@ -43,6 +44,8 @@ MARK = "▁"
 UNK_PENALTY = 10.0
 #: Segments that a worker remembers, and the longest of them in characters.
 REMEMBERED, LONGEST_REMEMBERED = 500_000, 48
+#: Words that are solved side by side.
+TOGETHER = 8_192
 MOST_EDGES = 300_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 
@@ -102,6 +105,14 @@ def zipf_scores(pieces: list[tuple[str, float, int]]) -> list[tuple[str, float,
     return [(p, round(-math.log(max(0.0, -s) + 2.0) * 1024) / 1024 if k == NORMAL else s, k) for p, s, k in pieces]
 
 
+#: Characters that the automaton has a complete table for; class 0 is every other one.
+_CLASSES = [chr(c) for c in (10, *range(32, 127), *range(161, 256))] + [MARK]
+_CLASS_OF = {ch: i for i, ch in enumerate(_CLASSES, 1)}
+_KIND = np.zeros(ord(MARK) + 2, np.uint8)
+for _ch, _k in _CLASS_OF.items():
+    _KIND[ord(_ch)] = _k
+
+
 class Automaton:
     """Aho-Corasick over the pieces: goto edges, failure links, and for each state its outputs, longest first."""
 
@@ -133,10 +144,71 @@ class Automaton:
                 # the output link: whatever ends at the failure state ends here too
                 self.out[nxt] = ((own[nxt],) if own[nxt] else ()) + self.out[self.fail[nxt]]
                 ready.append(nxt)
-        #: whether a piece of one character ends in a state
-        self.covers = [any(n == 1 for n, _, _ in o) for o in self.out]
+        self._arrays(own)
         self.added = 0
 
+    def _arrays(self, own: list) -> None:
+        """The same automaton as arrays: a complete table over ``_CLASSES``, goto edges of other characters by key, outputs and output links."""
+        n = len(self.goto)
+        self.fails = np.array(self.fail, np.int32)
+        self.table = np.zeros((n, len(_CLASSES) + 1), np.int32)
+        seen = {ch for g in self.goto for ch in g if ch not in _CLASS_OF}
+        self.code = {ch: i for i, ch in enumerate(sorted(seen))}
+        keys, to = [], []
+        level = [0]
+        while level:
+            at = np.array(level)
+            if level != [0]:
+                self.table[at] = self.table[self.fails[at]]
+            below = []
+            for s in level:
+                for ch, nxt in self.goto[s].items():
+                    k = _CLASS_OF.get(ch)
+                    if k is None:
+                        keys.append(s * len(self.code) + self.code[ch])
+                        to.append(nxt)
+                    else:
+                        self.table[s, k] = nxt
+                    below.append(nxt)
+            level = below
+        order = np.argsort(np.array(keys, np.int64), kind="stable")
+        self.keys, self.to = np.array(keys, np.int64)[order], np.array(to, np.int32)[order]
+        self.length, self.score, self.piece = np.zeros(n, np.int32), np.zeros(n), np.full(n, -1, np.int32)
+        for i, o in enumerate(own):
+            if o:
+                self.length[i], self.score[i], self.piece[i] = o
+        # the nearest state along failure links, itself included, where a piece ends
+        self.first, self.link = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        for i, o in enumerate(self.out):
+            if o:
+                at = i
+                while not own[at]:
+                    at = self.fail[at]
+                self.first[i] = at
+                if len(o) > 1:
+                    back = self.fail[at]
+                    while not own[back]:
+                        back = self.fail[back]
+                    self.link[at] = back
+        self.covers = np.array([bool(o) and o[-1][0] == 1 for o in self.out])
+
+    def moved(self, state: np.ndarray, kinds: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The next states of many automata."""
+        nxt = self.table[state, kinds]
+        rest = np.flatnonzero(kinds == 0)
+        if len(rest):
+            code = np.array([self.code.get(chr(c), -1) for c in chars[rest].tolist()])
+            at, open_ = state[rest].astype(np.int64), np.flatnonzero(code >= 0)
+            nxt[rest] = 0
+            while len(open_) and len(self.keys):
+                key = at[open_] * len(self.code) + code[open_]
+                k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                hit = self.keys[k] == key
+                nxt[rest[open_[hit]]] = self.to[k[hit]]
+                open_ = open_[~hit & (at[open_] > 0)]
+                at[open_] = self.fails[at[open_]]
+        return nxt
+
     def step(self, state: int, ch: str) -> int:
         """Along failure links to the next state. The way is kept as an edge, so a common one is walked once; their number is bounded."""
         at, nxt = state, self.goto[state].get(ch)
@@ -168,6 +240,7 @@ class Codec:
                 self.plain[i] = bytes([b])
             elif k in (NORMAL, USER):
                 self.plain[i] = p.replace(MARK, " ").encode()
+        self.plain_array = pa.array(self.plain, pa.binary())
         self.has_bytes = any(k == BYTE for _, _, k in pieces)
         self.unk_id = next(i for i, (_, _, k) in enumerate(pieces) if k == UNKNOWN)
         self.memory = _Memory(self)
@@ -209,6 +282,72 @@ class Codec:
         ids.reverse()
         return ids
 
+    def solve(self, words: list[str]) -> list[bytes]:
+        """The ids of the best path over each escaped word, as little-endian int32. All take their next character at once; the longest come first."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = None if (sizes[1:] <= sizes[:-1]).all() else np.argsort(-sizes, kind="stable")
+        if order is not None:
+            made = self.solve([words[i] for i in order])
+            out: list[bytes] = [b""] * len(words)
+            for i, m in zip(order.tolist(), made):
+                out[i] = m
+            return out
+        a, n, most = self.auto, len(words), int(sizes[0]) if len(words) else 0
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        kinds = _KIND[np.minimum(flat, len(_KIND) - 1)]
+        best, how, took = np.zeros((most + 1, n)), np.full((most + 1, n), -1, np.int32), np.ones((most + 1, n), np.int32)
+        state = np.zeros(n, np.int32)
+        row = np.arange(n)
+        for i in range(most):
+            m = int(np.searchsorted(-sizes, -i, "left"))  # words with a character at i
+            at = starts[:m] + i
+            state = a.moved(state[:m], kinds[at], flat[at])
+            top, which, size = np.full(m, -np.inf), np.full(m, -1, np.int32), np.ones(m, np.int32)
+            k = np.flatnonzero(a.first[state])
+            now = a.first[state[k]]
+            while len(k):
+                score = best[i + 1 - a.length[now], k] + a.score[now]
+                better = score > top[k]
+                kb, nb = k[better], now[better]
+                top[kb], which[kb], size[kb] = score[better], a.piece[nb], a.length[nb]
+                now = a.link[now]
+                more = now > 0
+                k, now = k[more], now[more]
+            bare = best[i, :m] + self.unk_score
+            alone = ~a.covers[state] & (bare > top)
+            top[alone], which[alone], size[alone] = bare[alone], -1, 1
+            best[i + 1, :m], how[i + 1, :m], took[i + 1, :m] = top, which, size
+        single = np.array([*(self.byte_ids[:128] if self.has_bytes else [self.unk_id] * 128), -1], np.int32)
+        # back along the best paths, all at once, the last piece first
+        pos, live, path, plain = sizes.copy(), row, [], np.ones(n, bool)
+        live = live[pos > 0]
+        while len(live):
+            p = pos[live]
+            ids = how[p, live]
+            bare = np.flatnonzero(ids < 0)
+            if len(bare):
+                char = flat[starts[live[bare]] + p[bare] - 1]
+                ids[bare] = single[np.minimum(char, 128)]
+                plain[live[bare[char >= 128]]] = False
+            path.append((live, ids))
+            pos[live] = p - took[p, live]
+            live = live[pos[live] > 0]
+        depth = np.zeros(n, np.int64)
+        for live, _ in path:
+            depth[live] += 1
+        ends = np.cumsum(depth)
+        table = np.empty(int(ends[-1]) if n else 0, "<i4")
+        for back, (live, ids) in enumerate(path, 1):
+            table[ends[live] - back] = ids
+        data = table.tobytes()
+        cuts = (4 * np.append(0, ends)).tolist()
+        out = [data[x:y] for x, y in zip(cuts, cuts[1:])]
+        for i in np.flatnonzero(~plain).tolist():  # an uncovered character is spelled in several bytes
+            got = self.viterbi(words[i])
+            out[i] = struct.pack(f"<{len(got)}i", *got)
+        return out
+
     def encode_many(self, texts: list[str | None]) -> list[bytes | None]:
         """The ids of each text as little-endian int32."""
         known, rows, unknown = self.memory.get, [], set()
@@ -257,53 +396,18 @@ class _Memory(dict):
         self.codec, self.old = codec, {}
 
     def learn(self, words: set[str]) -> None:
-        """Solve all unknown words in their order: each takes up the automaton's run of the word before where their beginnings agree."""
+        """Solve ``words``, none of which is known."""
         if len(self) + len(words) > REMEMBERED:
             self.old = dict(self)
             self.clear()
-        fresh = [w for w in words if w not in self]
-        kept = {w: ids for w in fresh if (ids := self.old.get(w)) is not None}
-        self.update(kept)
-        todo = sorted(w if w[:1] == "\n" else MARK + w for w in fresh if w not in kept and len(w) <= LONGEST_REMEMBERED)
-        c = self.codec
-        goto, out, covers, unk = c.auto.goto, c.auto.out, c.auto.covers, c.unk_score
-        best, back, states, before = [0.0], [(0, 0)], [0], ""
-        for s in todo:
-            i = 0
-            for a, b in zip(before, s):
-                if a != b:
-                    break
-                i += 1
-            del best[i + 1 :], back[i + 1 :], states[i + 1 :]
-            state = states[i]
-            for ch in s[i:]:
-                nxt = goto[state].get(ch)
-                if nxt is None:
-                    nxt = c.auto.step(state, ch)
-                state = nxt
-                i += 1
-                top, how = -math.inf, None
-                for piece in out[state]:
-                    score = best[i - piece[0]] + piece[1]
-                    if score > top:
-                        top, how = score, piece
-                if not covers[state] and best[i - 1] + unk > top:
-                    top, how = best[i - 1] + unk, None
-                best.append(top)
-                back.append(how)
-                states.append(state)
-            ids: list[int] = []
-            while i:
-                how = back[i]
-                if how is None:
-                    ids.extend(c.spelled(s[i - 1]))
-                    i -= 1
-                else:
-                    ids.append(how[2])
-                    i -= how[0]
-            ids.reverse()
-            self[s if s[:1] == "\n" else s[1:]] = struct.pack(f"<{len(ids)}i", *ids)
-            before = s
+        if self.old:
+            kept = {w: ids for w in words if (ids := self.old.get(w)) is not None}
+            self.update(kept)
+            words = words.difference(kept)
+        todo = sorted((w for w in words if len(w) <= LONGEST_REMEMBERED), key=len, reverse=True)
+        for lo in range(0, len(todo), TOGETHER):
+            part = todo[lo : lo + TOGETHER]
+            self.update(zip(part, self.codec.solve([w if w[:1] == "\n" else MARK + w for w in part])))
 
     def __missing__(self, part: str) -> bytes:
         c = self.codec
@@ -333,11 +437,24 @@ def encode_column(texts: pa.Array, c: Codec, check: bool = True) -> tuple[pa.Arr
     ends = np.cumsum([0] + [len(b) // 4 if b else 0 for b in made])
     flat = np.frombuffer(b"".join([b for b in made if b]), "<i4")
     ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat), mask=texts.is_null() if texts.null_count else None)
-    if not check:
-        return ids, pa.nulls(len(texts), pa.bool_())
-    flat = flat.tolist()
-    ok = [None if t is None else c.decode(flat[a:b]) == t for t, a, b in zip(rows, ends[:-1].tolist(), ends[1:].tolist())]
-    return ids, pa.array(ok, pa.bool_())
+    return ids, decodes_to(texts, rows, flat, ends, c) if check else pa.nulls(len(texts), pa.bool_())
+
+
+def decodes_to(texts: pa.Array, rows: list[str | None], flat: np.ndarray, ends: np.ndarray, c: Codec) -> pa.Array:
+    """Whether each row's ids decode to its text. The pieces of all rows are laid out at once and held against the texts' bytes."""
+    spelled = c.plain_array.take(pa.array(flat))
+    cuts = np.frombuffer(spelled.buffers()[1], np.int32)[spelled.offset : spelled.offset + len(flat) + 1].astype(np.int64) if len(flat) else np.zeros(1, np.int64)
+    data = np.frombuffer(spelled.buffers()[2], np.uint8) if len(flat) and spelled.buffers()[2] else np.zeros(0, np.uint8)
+    lo, hi = cuts[ends[:-1]], cuts[ends[1:]]
+    lo = lo + ((hi > lo) & (data[np.minimum(lo, max(0, len(data) - 1))] == 32) if len(data) else 0)  # the dummy space goes
+    ok = []
+    for t, a, b in zip(rows, lo.tolist(), hi.tolist()):
+        if t is None:
+            ok.append(None)
+            continue
+        got, raw = data[a:b].tobytes(), t.encode("utf-8", "replace")
+        ok.append(got == raw or got.decode("utf-8", "replace") == t)
+    return pa.array(ok, pa.bool_())
 
 
 def encode_documents(docs: DataFrame, model: str = MODEL, scores: str = "zipf", id_col: str = "doc_id", text_col: str = "text", check: bool = True) -> DataFrame:
