@@ -7,25 +7,50 @@ from pyspark.sql import functions as F
 
 from quarrykit.functions.domain import filled
 
-POSITION_WORDS = ("left", "right", "front", "back", "rear", "top", "bottom", "upper", "lower", "inner", "outer", "middle", "center", "side", "of", "the", "a", "an")
+POSITION_WORDS = tuple(
+    """
+    back big bottom first front inner large left little lower main outer rear right second small top upper
+    """.split()
+)
 PHRASE_BREAKS = ("with", "having", "featuring", "including", "and")
-ADJECTIVES = ("small", "large", "big", "tall", "short", "old", "new", "red", "blue", "green", "black", "white", "wooden", "metal", "modern")
-APPEARANCE_WORDS = ("red", "blue", "green", "black", "white", "wooden", "metal", "shiny", "matte", "striped")
-STRUCTURE_WORDS = ("tall", "short", "long", "wide", "narrow", "round", "square", "curved", "flat", "thick")
-UNDO = [("Remove\\s+", "Add "), ("Delete\\s+", "Add "), ("Take away\\s+", "Add "), ("Take off\\s+", "Put on "), ("Erase\\s+", "Draw "), ("Detach\\s+", "Attach "), ("Strip\\s+", "Restore "), ("Cut off\\s+", "Attach "), ("Eliminate\\s+", "Introduce ")]
-
-
-def normal_category(x: Column) -> Column:
+ADJECTIVES = tuple(
+    """
+    a an big black blue classic decorative green large little metal modern new old ornate plastic red round short simple small square stylish
+    tall the vintage white wooden
+    """.split()
+)
+#: Words of colour, finish and material; words of form and size.
+APPEARANCE_WORDS = tuple(
+    """
+    aged aluminum beige black blue brick bright bronze brown brushed burgundy ceramic checkered chrome concrete copper corroded cotton cream
+    crimson dark deep denim fabric faded feathered frosted fur glass glossy gold golden gray green grey grooved iridescent iron ivory knurled
+    leather light linen marble maroon matte metallic navy opaque orange oxidized pale patterned pink plain plastic polished purple red ribbed
+    ridged rough rubber rustic shiny silk silver smooth solid steel stone striped suede tan tarnished teal textured titanium translucent
+    transparent velvet vibrant weathered white wooden worn woven yellow
+    """.split()
+)
+STRUCTURE_WORDS = tuple(
+    """
+    aerodynamic angular bell-shaped blocky blunt boxy bulbous bulky circular compact concave conical convex curved cylindrical dome-shaped
+    elongated flared flat hexagonal large long massive narrow oblong octagonal oval pointed rectangular round rounded short slender slim small
+    spherical square streamlined stubby tall tapered teardrop thick thin tiny triangular wedge-shaped wide
+    """.split()
+)
+#: What a deletion says -> what undoes it.
+UNDO = {"Add": ("Remove", "Delete", "Take away", "Get rid of", "Eliminate", "Strip"), "Attach": ("Detach", "Cut off"), "Put on": ("Take off",)}
+
+
+def normal_category(x: Column, stop=POSITION_WORDS) -> Column:
     """Words of a label without positions, numbers and blanks, joined by underscores; the lower-case label if none is left."""
-    words = F.filter(F.split(F.lower(F.trim(x)), "[_\\-\\s]+"), lambda w: (w != "") & ~w.isin(*POSITION_WORDS) & ~w.rlike("^\\p{Nd}+$"))
+    words = F.filter(F.split(F.lower(F.trim(x)), "[_\\-\\s]+"), lambda w: (w != "") & ~w.isin(*stop) & ~w.rlike("^\\p{Nd}+$"))
     return F.coalesce(filled(F.array_join(words, "_")), F.lower(x))
 
 
-def object_type(description: Column) -> Column:
-    """The noun of a description: of what stands before the first phrase break the last word that is no adjective."""
-    head = F.element_at(F.split(F.lower(F.trim(description)), "\\s+(?:" + "|".join(PHRASE_BREAKS) + ")\\s+"), 1)
-    words = F.filter(F.transform(F.split(head, "\\s+"), lambda w: F.regexp_replace(w, "[^a-z]", "")), lambda w: w != "")
-    nouns = F.filter(words, lambda w: ~w.isin(*ADJECTIVES))
+def object_type(description: Column, adjectives=ADJECTIVES) -> Column:
+    """The noun of a description: of what stands before the first phrase break the last word that is no adjective, in letters alone; the last word as it is if all are."""
+    head = F.element_at(F.split(F.lower(description), "\\s+(?:" + "|".join(PHRASE_BREAKS) + ")\\s+"), 1)
+    words = F.filter(F.split(head, "\\s+"), lambda w: w != "")
+    nouns = F.filter(F.transform(words, lambda w: F.regexp_replace(w, "[^a-z]", "")), lambda w: (w != "") & ~w.isin(*adjectives))
     return F.coalesce(F.try_element_at(nouns, F.lit(-1)), F.try_element_at(words, F.lit(-1)), F.lit(""))
 
 
@@ -45,17 +70,19 @@ def fill_template(template: Column, **values: Column) -> Column:
 
 
 def reversed_prompt(prompt: Column) -> Column:
-    """A prompt that undoes a deletion; the first rule that fits decides."""
-    made = None
-    for pattern, put in UNDO:
-        made = (F if made is None else made).when(prompt.rlike(f"(?i)^{pattern}"), F.regexp_replace(prompt, f"(?i)^{pattern}", put))
-    return made.otherwise(F.concat(F.lit("Add back "), F.lower(F.substring(prompt, 1, 1)), F.substring(prompt, 2, 2**31 - 2)))
+    """A prompt that undoes a deletion; nothing for a blank one."""
+    asked, made = F.trim(prompt), F.when(F.coalesce(F.trim(prompt), F.lit("")) == "", F.lit(""))
+    for put, said in UNDO.items():
+        pattern = "(?i)^(?:" + "|".join(said) + ")\\s+"
+        made = made.when(asked.rlike(pattern), F.regexp_replace(asked, pattern, put + " "))
+    return made.otherwise(F.concat(F.lit("Add back "), F.lower(F.substring(asked, 1, 1)), F.substring(asked, 2, 2**31 - 2)))
 
 
 def without_words(text: Column, words) -> Column:
-    """The text without words of a set (compared without punctuation), with single spaces and none before commas and stops."""
-    kept = F.filter(F.split(text, "\\s+"), lambda w: ~F.lower(F.regexp_replace(w, "[^A-Za-z]", "")).isin(*words))
-    return F.trim(F.regexp_replace(F.array_join(kept, " "), " +([,.])", "$1"))
+    """The text without words of a set (compared without the punctuation around them), with single spaces and none before commas and stops."""
+    edge = "[.,;:!?()\\[\\]\"']+"
+    kept = F.filter(F.split(text, "\\s+"), lambda w: (w != "") & ~F.lower(F.regexp_replace(w, f"^{edge}|{edge}$", "")).isin(*words))
+    return F.trim(F.regexp_replace(F.array_join(kept, " "), " ([,.])", "$1"))
 
 
 def structure_of(text: Column) -> Column:

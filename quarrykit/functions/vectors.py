@@ -22,6 +22,17 @@ def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
 
 
+def rounded(x: Column, digits: int = 4) -> Column:
+    """A double of no great size rounded by its exact binary value, exact ties to even (``round`` goes by its shortest decimals, half up)."""
+    ten = float(10**digits)
+    m = F.floor(x * ten).cast("double")
+    # twice x as two halves whose products with a power of ten are exact
+    split = x * F.lit(134217729.0)
+    high = split - (split - x)
+    over = (high * (2 * ten) - (2 * m + 1)) + (x - high) * (2 * ten)
+    return (m + F.when((over > 0) | ((over == 0) & (m % 2 == 1)), 1.0).otherwise(0.0)) / ten
+
+
 def cosine(a: Column, b: Column) -> Column:
     """0 where a norm is 0."""
     n = norm(a) * norm(b)

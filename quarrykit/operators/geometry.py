@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarrykit.functions.domain import filled
-from quarrykit.functions.vectors import azimuth
+from quarrykit.functions.vectors import azimuth, elevation
 from quarrykit.sharedfs import cut
 
 
@@ -20,23 +20,33 @@ def circular_distance(a: Column, b: Column) -> Column:
     return F.least(d, 360 - d)
 
 
-def orthogonal_views(frames: DataFrame, targets=(0, 90, 180, 270), key: str = "obj_id") -> DataFrame:
-    """For each target azimuth the frame nearest on the circle; of equal ones the first view."""
-    wanted = frames.withColumn("target", F.explode(F.array(*[F.lit(float(t)) for t in targets])))
-    d = circular_distance(azimuth(F.col("cx"), F.col("cy")), F.col("target"))
-    return wanted.groupBy(key, "target").agg(F.min(F.struct(d.alias("d"), "view")).alias("m")).select(key, "target", F.col("m.view").alias("view"))
+def orthogonal_views(frames: DataFrame, targets=(0, 90, 180, -90), target_elevation: float = 25.0, key: str = "obj_id") -> DataFrame:
+    """For each target azimuth the view whose camera (cx, cy, cz) is nearest in azimuth and elevation together; of equal ones (to 1e-9 degrees) the first.
 
-
-def orbit(n: int, azimuths: int = 7, radius: float = 2.0) -> list[tuple[float, float, float]]:
-    """Camera places on a sphere: ``azimuths`` directions at n // azimuths elevations."""
-    rows = max(1, n // azimuths)
-    made = []
-    for e in range(rows):
-        up = math.radians(-30 + 90 * (e + 0.5) / rows)
-        for a in range(azimuths):
-            turn = 2 * math.pi * a / azimuths
-            made.append((radius * math.cos(up) * math.cos(turn), radius * math.cos(up) * math.sin(turn), radius * math.sin(up)))
-    return made
+    Where ``frames`` has a column ``has_image``, only views that have one count, unless the object has none at all.
+    Cameras at the origin are nowhere; an object that has no other gets its first view.
+    """
+    x, y, z = F.col("cx"), F.col("cy"), F.col("cz")
+    seen = F.coalesce(F.col("has_image"), F.lit(False)) if "has_image" in frames.columns else F.lit(True)
+    wanted = frames.withColumns({"__seen": seen, "target": F.explode(F.array(*[F.lit(float(t)) for t in targets]))})
+    da, de = circular_distance(azimuth(x, y), F.col("target")), elevation(x, y, z) - target_elevation
+    place = F.when(x * x + y * y + z * z >= 1e-12, F.struct(F.round(F.sqrt(da * da + de * de), 9).alias("d"), "view"))
+    with_image = lambda c: F.min(F.when(F.col("__seen"), c))
+    near = wanted.groupBy(key, "target").agg(F.max("__seen").alias("any"), with_image(place).alias("a"), with_image(F.col("view")).alias("b"), F.min(place).alias("c"), F.min("view").alias("d"))
+    view = F.when(F.col("any"), F.coalesce("a.view", "b")).otherwise(F.coalesce("c.view", "d"))
+    return near.select(key, "target", view.alias("view"))
+
+
+def orbit(views: DataFrame, n: int = 42, azimuths: int = 7, radius: float = 2.5, lowest: float = -20.0, highest: float = 80.0) -> DataFrame:
+    """Camera-to-world matrices, sixteen numbers by rows, for ``views`` (a column ``view`` from 0): ``azimuths`` directions at each of n // azimuths elevations from ``lowest`` to ``highest`` degrees, y up, looking at the origin."""
+    rows = n // azimuths
+    step = (highest - lowest) / (rows - 1) if rows > 1 else 0.0
+    placed = views.where(F.col("view") < rows * azimuths).withColumns({"elevation": lowest + step * F.floor(F.col("view") / azimuths), "azimuth": (F.col("view") % azimuths) * (360.0 / azimuths)})
+    e, a, zero = F.radians("elevation"), F.radians("azimuth"), F.lit(0.0)
+    se, ce, sa, ca = F.sin(e), F.cos(e), F.sin(a), F.cos(a)
+    # columns: right, up, back, place
+    rows_ = [[ca, -sa * se, ce * sa, radius * ce * sa], [zero, ce, se, radius * se], [-sa, -ca * se, ce * ca, radius * ce * ca], [zero, zero, zero, F.lit(1.0)]]
+    return placed.withColumn("c2w", F.array(*[x for row in rows_ for x in row]))
 
 
 def axes_turned(df: DataFrame, offset: float = 0.0, scale: float = 1.0) -> DataFrame:

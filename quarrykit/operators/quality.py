@@ -2,7 +2,8 @@
 
 A check is rows (name, value, passed, weight, reason) held as an array of structs in the edit's
 row, built of column expressions over per-edit numbers, so all checks of a table are one projection.
-Thresholds are a dict that becomes literals.
+Thresholds are a dict that becomes literals. Rules over the structure latent are left out of an edit
+whose number is null (no latent stored), with their weight; every other rule fails without its number.
 """
 
 from __future__ import annotations
@@ -10,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrykit.functions.vectors import rounded
+
 THRESHOLDS = {
-    "min_voxels": 100, "max_voxels": 40000, "max_feat_abs": 50.0, "min_feat_std": 0.01, "max_ss_abs": 100.0, "min_ss_std": 0.01, "grid": 64,
+    "min_voxels": 100, "max_voxels": 40000, "max_feat_abs": 50.0, "min_feat_std": 0.01, "max_ss_abs": 100.0, "min_ss_std": 0.001, "grid": 64,
     "deletion": {"voxel": (0.05, 0.95), "deleted": (0.02, 0.80), "iou": 0.15, "ss": (0.01, 0.90), "components": 3},
     "addition": {"voxel": (1.05, 20.0), "added": (0.02, 0.80), "iou": 0.15},
     "modification": {"voxel": (0.3, 3.0), "cosine": 0.3, "locality": (0.02, 0.70), "components": 5, "drift": 0.3, "feat": 5.0},
@@ -22,10 +25,14 @@ THRESHOLDS = {
 METRIC = "struct<name:string,value:double,passed:boolean,weight:double,reason:string>"
 
 
-def metric(name: str, value: Column, passed: Column, weight: float = 1.0, unless: str | None = None) -> Column:
+def metric(name: str, value: Column, passed: Column, weight: float | Column = 1.0, unless: str | None = None) -> Column:
     """A row of a check; without a value it fails."""
     ok = F.coalesce(passed, F.lit(False))
-    return F.struct(F.lit(name).alias("name"), value.cast("double").alias("value"), ok.alias("passed"), F.lit(float(weight)).alias("weight"), F.when(~ok, F.lit(unless or f"{name} out of bounds")).otherwise(F.lit("")).alias("reason")).cast(METRIC)
+    return F.struct(F.lit(name).alias("name"), value.cast("double").alias("value"), ok.alias("passed"), _number(weight).alias("weight"), F.when(~ok, F.lit(unless or f"{name} out of bounds")).otherwise(F.lit("")).alias("reason")).cast(METRIC)
+
+
+def _number(weight: float | Column) -> Column:
+    return weight.cast("double") if isinstance(weight, Column) else F.lit(float(weight))
 
 
 def within(name: str, value: Column, bounds: tuple[float, float], weight: float) -> Column:
@@ -52,27 +59,46 @@ def score_tier(score: Column, passed: Column, high: float = 0.8, medium: float =
     return F.when(~passed, "negative").when(score >= high, "high").when(score >= medium, "medium").when(score >= low, "low").otherwise("negative")
 
 
-Rule = tuple  # (name, value, passed, weight)
+Rule = tuple  # (name, value, passed, weight[, applies])
+
+
+def _applies(r: Rule) -> Column | None:
+    return r[4] if len(r) > 4 else None
 
 
 def _metrics(rules: list[Rule]) -> Column:
-    return F.array(*[metric(*r) for r in rules])
+    made = F.array(*[metric(*r[:4]) if _applies(r) is None else F.when(_applies(r), metric(*r[:4])) for r in rules])
+    return F.filter(made, lambda m: m.isNotNull()) if any(_applies(r) is not None for r in rules) else made
 
 
 def _bounded(name: str, value: Column, bounds: tuple[float, float], weight: float) -> Rule:
     return name, value, value.between(*bounds), weight
 
 
-def rules_one(t: dict = THRESHOLDS, ss: bool = True) -> list[Rule]:
+def _spread(name: str, most: Column, std: Column, max_abs: float, min_std: float) -> Rule:
+    """Finite, not too large (weight 3 where it is not), not constant (weight 2); the value is what decided."""
+    broken = F.isnan(most.cast("double")) | (F.abs(most.cast("double")) == F.lit(float("inf"))) | F.isnan(std.cast("double")) | most.isNull()
+    large = most > max_abs
+    value = F.when(broken, 0.0).when(large, most).when(std < min_std, std).otherwise(most)
+    return name, value, ~broken & ~large & (std >= min_std), F.when(broken | large, 3.0).otherwise(2.0)
+
+
+def rules_one(t: dict = THRESHOLDS, ss: bool = True, columns=()) -> list[Rule]:
+    """``columns``: those of the table, where it may also have ``batch_min`` and ``coord_columns``."""
     c = F.col
+    inside = (c("coord_min") >= 0) & (c("coord_max") < t["grid"])
+    if "batch_min" in columns:
+        inside = inside & (c("batch_min") >= 0)
+    if "coord_columns" in columns:
+        inside = inside & (c("coord_columns") == 4)
     made = [
         ("voxel_count", c("n_voxels"), c("n_voxels").between(t["min_voxels"], t["max_voxels"]), 2),
-        ("feat_range", c("feat_max"), (c("feat_max") <= t["max_feat_abs"]) & (c("feat_std") >= t["min_feat_std"]), 1),
-        ("coords_valid", c("coord_max"), (c("coord_min") >= 0) & (c("coord_max") < t["grid"]), 1),
-        ("coords_unique", c("n_unique"), c("n_unique") == c("n_voxels"), 1),
+        _spread("feat_range", c("feat_max"), c("feat_std"), t["max_feat_abs"], t["min_feat_std"]),
+        ("coords_valid", F.coalesce(inside, F.lit(False)).cast("int"), inside, 3),
+        ("coords_unique", c("n_unique") / F.greatest(c("n_voxels"), F.lit(1)), c("n_unique") == c("n_voxels"), 2),
     ]
     if ss:
-        made.insert(2, ("ss_range", c("ss_max"), (c("ss_max") <= t["max_ss_abs"]) & (c("ss_std") >= t["min_ss_std"]), 1))
+        made.insert(2, (*_spread("ss_range", c("ss_max"), c("ss_std"), t["max_ss_abs"], t["min_ss_std"]), c("ss_max").isNotNull()))
     return made
 
 
@@ -82,17 +108,17 @@ def rules_two(t: dict = THRESHOLDS) -> dict[str, list[Rule]]:
     d, a, m, s, mt, g = (t[k] for k in ("deletion", "addition", "modification", "scale", "material", "global"))
 
     def painted(k):
-        return [("voxel_ratio", c("voxel_ratio"), F.abs(c("voxel_ratio") - 1) <= k["count"], 2), ("ss_unchanged", c("ss_diff"), c("ss_diff") < k["ss"], 3), _bounded("feat_change", c("feat_change"), k["feat"], 1.5)]
+        return [("voxel_count_close", c("voxel_ratio"), F.abs(c("voxel_ratio") - 1) <= k["count"], 2), ("ss_match", c("ss_diff"), c("ss_diff") < k["ss"], 3, c("ss_diff").isNotNull()), _bounded("feat_change", c("feat_change"), k["feat"], 1.5)]
 
     return {
-        "deletion": [_bounded("voxel_ratio", c("voxel_ratio"), d["voxel"], 2), _bounded("delete_ratio", c("deleted"), d["deleted"], 2), ("bbox_iou", c("iou"), c("iou") >= d["iou"], 1.5), _bounded("ss_change", c("ss_l2"), d["ss"], 1), ("connected_components", c("components"), c("components") <= d["components"], 1.5), ("not_degenerate", c("min_extent"), c("min_extent") > 1, 2)],
+        "deletion": [_bounded("voxel_ratio", c("voxel_ratio"), d["voxel"], 2), _bounded("delete_ratio", c("deleted"), d["deleted"], 2), ("bbox_iou", c("iou"), c("iou") >= d["iou"], 1.5), (*_bounded("ss_change", c("ss_l2"), d["ss"], 1), c("ss_l2").isNotNull()), ("connected_components", c("components"), c("components") <= d["components"], 1.5), ("not_degenerate", c("min_extent"), c("min_extent") > 1, 2)],
         "addition": [_bounded("voxel_ratio", c("voxel_ratio"), a["voxel"], 2), _bounded("add_ratio", c("added"), a["added"], 2), ("bbox_iou", c("iou"), c("iou") >= a["iou"], 1.5)],
-        "modification": [_bounded("voxel_ratio", c("voxel_ratio"), m["voxel"], 1.5), ("ss_cosine", c("ss_cosine"), c("ss_cosine") >= m["cosine"], 2), _bounded("edit_locality", c("locality"), m["locality"], 2.5), ("connected_components", c("components"), c("components") <= m["components"], 1), ("center_drift", c("drift"), c("drift") < m["drift"], 1.5), ("feat_change", c("feat_change"), c("feat_change") < m["feat"], 1)],
-        "scale": [_bounded("voxel_ratio", c("voxel_ratio"), s["voxel"], 2), ("ss_cosine", c("ss_cosine"), c("ss_cosine") >= s["cosine"], 2.5), _bounded("edit_locality", c("locality"), s["locality"], 2), ("center_drift", c("drift"), c("drift") < s["drift"], 1.5), ("axis_ratio", c("axis_max"), (c("axis_min") >= s["axis"][0]) & (c("axis_max") <= s["axis"][1]), 1.5)],
+        "modification": [_bounded("voxel_ratio", c("voxel_ratio"), m["voxel"], 1.5), ("ss_cosine_sim", c("ss_cosine"), c("ss_cosine") >= m["cosine"], 2, c("ss_cosine").isNotNull()), _bounded("edit_locality", c("locality"), m["locality"], 2.5), ("connected_components", c("components"), c("components") <= m["components"], 1), ("center_drift", c("drift"), c("drift") < m["drift"], 1.5), ("feat_change", c("feat_change"), c("feat_change") < m["feat"], 1)],
+        "scale": [_bounded("voxel_ratio", c("voxel_ratio"), s["voxel"], 2), ("ss_cosine_sim", c("ss_cosine"), c("ss_cosine") >= s["cosine"], 2.5, c("ss_cosine").isNotNull()), _bounded("edit_locality", c("locality"), s["locality"], 2), ("center_drift", c("drift"), c("drift") < s["drift"], 1.5), ("bbox_axis_ratio", c("axis_max"), (c("axis_min") >= s["axis"][0]) & (c("axis_max") <= s["axis"][1]), 1.5)],
         "material": painted(mt),
         "global": painted(g),
         "global+": [*painted(g), ("change_coverage", c("coverage"), c("coverage") >= g["coverage"], 1.5)],
-        "identity": [("identity", F.lit(1.0), F.lit(True), 1)],
+        "identity": [("identity_valid", F.lit(1.0), F.lit(True), 1)],
     }
 
 
@@ -105,9 +131,9 @@ def _by_type(rules: dict[str, list[Rule]], f, otherwise: Column) -> Column:
     return made.otherwise(otherwise)
 
 
-def layer_one(t: dict = THRESHOLDS, ss: bool = True) -> Column:
-    """Array sanity, from n_voxels, feat_max, feat_std, ss_max, ss_std, coord_min, coord_max, n_unique."""
-    return _metrics(rules_one(t, ss))
+def layer_one(t: dict = THRESHOLDS, ss: bool = True, columns=()) -> Column:
+    """Array sanity, from n_voxels, feat_max, feat_std, ss_max, ss_std, coord_min, coord_max, n_unique (and batch_min, coord_columns if ``columns`` has them)."""
+    return _metrics(rules_one(t, ss, columns))
 
 
 def layer_two(t: dict = THRESHOLDS) -> Column:
@@ -124,30 +150,36 @@ def _passed(r: Rule) -> Column:
 
 def _score(rules: list[Rule]) -> Column:
     """As ``weighted_score``, in plain arithmetic."""
-    got = F.lit(0.0)
+    got = whole = F.lit(0.0)
     for r in rules:
-        got = got + F.when(_passed(r), F.lit(float(r[3]))).otherwise(F.lit(0.0))
-    return F.round(got / F.lit(float(sum(r[3] for r in rules))), 4)
+        weight = _number(r[3])
+        if (there := _applies(r)) is not None:
+            weight = F.when(there, weight).otherwise(F.lit(0.0))
+        got = got + F.when(_passed(r), weight).otherwise(F.lit(0.0))
+        whole = whole + weight
+    return F.coalesce(F.round(F.try_divide(got, whole), 4), F.lit(0.0))
 
 
 def _failure(rules: list[Rule]) -> Column:
     """The first rule that fails, empty if none does."""
     made = None
     for r in rules:
-        made = (F if made is None else made).when(~_passed(r), F.lit(r[0]))
+        there = _applies(r)
+        made = (F if made is None else made).when(~_passed(r) if there is None else there & ~_passed(r), F.lit(r[0]))
     return made.otherwise(F.lit(""))
 
 
 def verdicts(edits: DataFrame, t: dict = THRESHOLDS) -> DataFrame:
     """(..., score, tier, reason) by the order of the rules: identity, missing after side, array sanity, missing original, both layers."""
     # numbers and strings only, no arrays: each edit's rules are evaluated inside generated code
-    first, second = rules_one(t), rules_two(t)
+    first, second = rules_one(t, columns=edits.columns), rules_two(t)
     d = edits.withColumns({"s1": _score(first), "f1": _failure(first), "s2": _by_type(second, _score, F.lit(0.0)), "f2": _by_type(second, _failure, F.lit("unknown_type"))})
     one, two, ok1, ok2 = F.col("s1"), F.col("s2"), F.col("f1") == "", F.col("f2") == ""
-    both = (one + two) / 2
+    both = (one + two) / 2  # tiers are of the unrounded mean
+    clean = ok1 | ~F.col("has_original")  # an identity without an original has nothing that could be wrong
     kind, after, original = F.col("edit_type"), F.col("has_after"), F.col("has_original")
-    score = F.when(kind == "identity", F.when(ok1, 1.0).otherwise(0.5)).when(~after, 0.0).when(~ok1, one * 0.5).when(~original, 0.0).otherwise(both)
-    tier = F.when(kind == "identity", F.when(ok1, "high").otherwise("negative")).when(~after | ~ok1 | ~original, "rejected").otherwise(score_tier(both, ok1 & ok2))
+    score = F.when(kind == "identity", F.when(clean, 1.0).otherwise(0.5)).when(~after, 0.0).when(~ok1, one * 0.5).when(~original, 0.0).otherwise(rounded(both))
+    tier = F.when(kind == "identity", F.when(clean, "high").otherwise("negative")).when(~after | ~ok1 | ~original, "rejected").otherwise(score_tier(both, ok1 & ok2))
     reason = F.when(kind == "identity", F.lit("")).when(~after, "missing after").when(~ok1, F.col("f1")).when(~original, "missing original").otherwise(F.col("f2"))
     return d.select("*", score.alias("score"), tier.alias("tier"), reason.alias("reason")).drop("s1", "s2", "f1", "f2")
 

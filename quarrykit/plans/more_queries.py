@@ -56,10 +56,15 @@ def _first_labels(e: DataFrame) -> DataFrame:
 
 
 _add("p17_part_ids", "SELECT edit_id, CASE WHEN edit_type IN ('deletion', 'addition') OR (edit_type IN ('modification', 'scale') AND qty > 20) THEN CASE WHEN qty > 20 THEN '1,2' ELSE '' END ELSE '7' END AS ids FROM {edits} e", lambda e: e.select("edit_id", F.array_join(D.part_ids(F.col("edit_type"), F.when(F.col("qty") > 20, F.array(F.lit(1), F.lit(2))).otherwise(F.array().cast("array<int>")), F.lit(7)), ",").alias("ids")), "edits")
-_ADJ, _APP = "'" + "', '".join(X.ADJECTIVES) + "'", "'" + "', '".join(X.APPEARANCE_WORDS) + "'"
-_add("x02_object_types", f"SELECT DISTINCT kind, coalesce(list_filter(w, lambda x: x NOT IN ({_ADJ}))[-1], w[-1], '') AS t FROM (SELECT kind, list_filter(list_transform(string_split(lower(trim(kind)), ' '), lambda x: regexp_replace(x, '[^a-z]', '', 'g')), lambda x: x <> '') AS w FROM {{parts}} p) q", lambda p: p.select("kind", X.object_type(F.concat(F.col("kind"), F.lit(" with legs"))).alias("t")).distinct(), "parts")
+_ADJ = "classic|vintage|stylish|square|round|short|tall|decorative|ornate|simple|plastic|metal|wooden|little|big|large|small|white|black|green|blue|red|new|old|modern|the|an|a"
+#: The word lists once more, each in one pattern, so that the SQL does not take the library's.
+_APP = "yellow|woven|worn|wooden|white|weathered|vibrant|velvet|transparent|translucent|titanium|textured|teal|tarnished|tan|suede|striped|stone|steel|solid|smooth|silver|silk|shiny|rustic|rubber|rough|ridged|ribbed|red|purple|polished|plastic|plain|pink|patterned|pale|oxidized|orange|opaque|navy|metallic|matte|maroon|marble|linen|light|leather|knurled|ivory|iron|iridescent|grooved|grey|green|gray|golden|gold|glossy|glass|fur|frosted|feathered|faded|fabric|denim|deep|dark|crimson|cream|cotton|corroded|copper|concrete|chrome|checkered|ceramic|burgundy|brushed|brown|bronze|bright|brick|blue|black|beige|aluminum|aged"
+_STR = "wide|wedge-shaped|triangular|tiny|thin|thick|teardrop|tapered|tall|stubby|streamlined|square|spherical|small|slim|slender|short|rounded|round|rectangular|pointed|oval|octagonal|oblong|narrow|massive|long|large|hexagonal|flat|flared|elongated|dome-shaped|cylindrical|curved|convex|conical|concave|compact|circular|bulky|bulbous|boxy|blunt|blocky|bell-shaped|angular|aerodynamic"
+_add("x02_object_types", f"SELECT DISTINCT d, CASE WHEN len(nouns) > 0 THEN nouns[-1] WHEN len(w) > 0 THEN w[-1] ELSE '' END AS t FROM (SELECT d, w, list_filter(list_transform(w, lambda x: regexp_replace(x, '[^a-z]', '', 'g')), lambda x: x <> '' AND NOT regexp_full_match(x, '{_ADJ}')) AS nouns FROM (SELECT d, list_filter(regexp_split_to_array(regexp_replace(lower(d), '\\s+(with|having|featuring|including|and)\\s.*$', ''), '\\s+'), lambda x: x <> '') AS w FROM (SELECT concat(kind, CASE part_id % 3 WHEN 0 THEN ' with legs' WHEN 1 THEN ' Stylish, vintage and red' ELSE '' END) AS d FROM {{parts}} p UNION ALL SELECT concat('a little ', CAST(part_id AS STRING)) FROM {{parts}} p UNION ALL SELECT '') q) q) q", lambda p: p.select(F.explode(F.array(F.concat("kind", F.when(F.col("part_id") % 3 == 0, " with legs").when(F.col("part_id") % 3 == 1, " Stylish, vintage and red").otherwise("")), F.concat(F.lit("a little "), F.col("part_id").cast("string")), F.lit(""))).alias("d")).select("d", X.object_type(F.col("d")).alias("t")).distinct(), "parts")
 _add("x03_part_phrases", "SELECT obj_id, part_id, CASE WHEN qty > 30 THEN kind WHEN qty > 10 THEN label ELSE concat('part ', part_id) END AS p FROM {parts} p", lambda p: p.select("obj_id", "part_id", X.part_phrase(F.when(F.col("qty") > 30, F.col("kind")).otherwise(" "), F.when(F.col("qty") > 10, F.replace("label", F.lit(" "), F.lit("_"))).otherwise(""), F.col("part_id")).alias("p")), "parts")
-_add("x07_x08_channels", f"SELECT obj_id, part_id, trim(concat(array_to_string(list_filter(string_split(label, ' '), lambda x: lower(regexp_replace(x, '[^A-Za-z]', '', 'g')) NOT IN ({_APP})), ' '), ' box, stands')) AS s FROM {{parts}} p", lambda p: p.select("obj_id", "part_id", X.structure_of(F.concat("label", F.lit(" red box , shiny stands"))).alias("s")), "parts")
+_DESC = "concat(label, ' (Rustic), iridescent box , \"oxidized\" dome-shaped stub . bulky')"
+_chan = lambda pattern: f"trim(regexp_replace(array_to_string(list_filter(regexp_split_to_array(d, '\\s+'), lambda x: x <> '' AND NOT regexp_full_match(lower(trim(x, concat('.,;:!?()[]\"', chr(39)))), '{pattern}')), ' '), ' ([,.])', '\\1', 'g'))"
+_add("x07_x08_channels", f"SELECT obj_id, part_id, {_chan(_APP)} AS structure, {_chan(_STR)} AS appearance FROM (SELECT obj_id, part_id, {_DESC} AS d FROM {{parts}} p) q", lambda p: p.withColumn("d", F.concat("label", F.lit(' (Rustic), iridescent box , "oxidized" dome-shaped stub . bulky'))).select("obj_id", "part_id", X.structure_of(F.col("d")).alias("structure"), X.appearance_of(F.col("d")).alias("appearance")), "parts")
 _add("x09_x11_prompts", "SELECT edit_id, CASE edit_type WHEN 'modification' THEN concat('Change the ', flag, ' of this box: go') WHEN 'scale' THEN concat('Resize the ', flag, ' of this box: go') WHEN 'global' THEN 'Restyle this box: go' ELSE 'Edit this box: go' END AS p, CASE WHEN qty > 20 THEN concat('Compare before and after. Instruction: ', flag) ELSE 'Compare before and after. No instruction was given; judge the visible change.' END AS j FROM {edits} e", lambda e: e.select("edit_id", X.edit_prompt(F.col("edit_type"), F.lit("go"), F.col("flag"), F.lit("box")).alias("p"), X.judge_prompt(F.when(F.col("qty") > 20, F.col("flag")).otherwise(" ")).alias("j")), "edits")
 _add("x12_label_lists", "SELECT obj_id, array_to_string(list_transform(range(1, len(ls) + 1), lambda i: concat('p', i - 1, '=', ls[i])), ', ') AS l FROM (SELECT obj_id, list_sort(list(label)) AS ls FROM {parts} p GROUP BY obj_id) q", lambda p: p.groupBy("obj_id").agg(F.array_sort(F.collect_list("label")).alias("ls")).select("obj_id", X.label_list(F.col("ls")).alias("l")), "parts")
 _add("n07_n11_records", "SELECT obj_id, CAST(count(*) AS INT) AS parts, CAST(count(*) FILTER (WHERE NOT core) AS INT) AS part_edits, CAST(0 AS INT) AS group_edits, CAST(0 AS INT) AS global_edits FROM (SELECT obj_id, len(list_intersect(regexp_split_to_array(lower(label), '[_\\s-]+'), ['" + "', '".join(D.CORE_WORDS) + "'])) > 0 AS core FROM {parts} p) q GROUP BY obj_id", lambda p: L.nested_counts(L.by_rules(p.groupBy("obj_id").agg(F.array_sort(F.collect_list("label")).alias("labels")).withColumn("shard", F.lit("00")))), "parts")
@@ -70,3 +75,7 @@ _add("s22_dense_labels", "SELECT g.obj_id, CAST(g.face AS INT) AS face, coalesce
 _add("o12_kept_faces", "SELECT obj_id, part_id AS part, count(*) AS n FROM {parts} p WHERE (obj_id, part_id) NOT IN (SELECT obj_id, part_id FROM {parts} q WHERE qty > 25) GROUP BY ALL", lambda p: G.kept_faces(p.withColumnRenamed("part_id", "part"), p.where("qty > 25").withColumnRenamed("part_id", "part")).groupBy("obj_id", "part").agg(F.count("*").alias("n")), "parts")
 _add("o18_assembled", "SELECT obj_id, part_id AS part, CAST(coalesce(sum(cluster_size) OVER (PARTITION BY obj_id ORDER BY part_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM {parts} p WHERE qty > 15", lambda p: G.assembled(p.withColumnRenamed("part_id", "part").withColumn("n_vertices", F.col("cluster_size")), p.where("qty > 15").withColumnRenamed("part_id", "part")).select("obj_id", "part", "offset"), "parts")
 _add("o13_mask_kinds", "SELECT edit_id, CASE WHEN edit_type = 'global' OR (edit_type IN ('modification', 'identity') AND disc > 0.035) OR (edit_type = 'scale' AND disc > 0.06) THEN 'full' WHEN edit_type IN ('material', 'deletion') THEN 'part' ELSE 'region' END AS mask FROM {edits} e", lambda e: e.select("edit_id", VX.mask_kind(F.col("edit_type"), F.round(F.col("disc") * 10, 6), 0.6).alias("mask")), "edits")
+
+_EL, _AZ = "radians(-20 + 20 * (v // 7))", "radians((v % 7) * 360.0 / 7)"
+_M11 = {0: f"cos({_AZ})", 1: f"-sin({_AZ}) * sin({_EL})", 2: f"cos({_EL}) * sin({_AZ})", 3: f"2.5 * cos({_EL}) * sin({_AZ})", 4: "0", 5: f"cos({_EL})", 6: f"sin({_EL})", 7: f"2.5 * sin({_EL})", 8: f"-sin({_AZ})", 9: f"-cos({_AZ}) * sin({_EL})", 10: f"cos({_EL}) * cos({_AZ})", 11: f"2.5 * cos({_EL}) * cos({_AZ})", 12: "0", 13: "0", 14: "0", 15: "1"}
+_add("m11_orbit", "SELECT v AS view, i, round(CAST(CASE i " + " ".join(f"WHEN {i} THEN {x}" for i, x in _M11.items()) + " END AS DOUBLE), 9) + 0.0 AS x FROM (SELECT DISTINCT l_orderkey % 42 AS v FROM {lineitem}) q CROSS JOIN (SELECT unnest(range(0, 16)) AS i) r", lambda li: G.orbit(li.select((F.col("l_orderkey") % 42).alias("view")).distinct()).select("view", F.posexplode("c2w").alias("i", "x")).select("view", F.col("i").cast("long").alias("i"), (F.round("x", 9) + 0.0).alias("x")), "lineitem")

@@ -222,15 +222,17 @@ _add("o14_dilated", "WITH m AS (SELECT DISTINCT * FROM {side_a} a WHERE x < 3),
 _add("j14_voted_region", None, lambda a: VX.voted_region(a, a.where("x < 4")), "side_a")
 _add("m22_voxelised", "SELECT DISTINCT obj_id, " + ", ".join(f"greatest(0, least(63, CAST(floor(({c} / 12.0 - 0.5 + 0.5) * 64) AS INT))) AS {c}" for c in "xyz") + " FROM {side_a} a", lambda a: VX.voxelised(a.select("obj_id", *[(F.col(c) / 12.0 - 0.5).alias(c) for c in "xyz"])), "side_a")
 _add("a21_j17_gap", "WITH p AS (SELECT * FROM {side_a} a WHERE z < 3), b AS (SELECT * FROM {side_b} b WHERE z >= 3), d AS (SELECT p.obj_id, p.x, p.y, p.z, min(sqrt((p.x - b.x) * (p.x - b.x) + (p.y - b.y) * (p.y - b.y) + (p.z - b.z) * (p.z - b.z))) AS d FROM p JOIN b ON p.obj_id = b.obj_id GROUP BY ALL) SELECT obj_id, round(quantile_cont(d, 0.1), 6) AS gap FROM d GROUP BY obj_id", lambda a, b: G.gap_distance(a.where("z < 3"), b.where("z >= 3")).select("obj_id", F.round("gap", 6).alias("gap")), "side_a", "side_b")
-_add("j16_orthogonal_views", None, lambda e: G.orthogonal_views(e.select("obj_id", F.col("seq").alias("view"), (F.col("qty") - 25).alias("cx"), (F.col("disc") * 100 - 5).alias("cy"))), "edits")
+_CAM_SQL = "SELECT obj_id, pos AS view, CAST(qty - 25 AS DOUBLE) AS cx, CAST(disc * 100 - 5 AS DOUBLE) AS cy, CAST(supp % 30 AS DOUBLE) AS cz, supp % 3 > 0 AS has_image FROM {edits} e"
+_add("j16_orthogonal_views", f"WITH f AS ({_CAM_SQL}), a AS (SELECT *, bool_or(has_image) OVER (PARTITION BY obj_id) AS any_image FROM f), g AS (SELECT a.*, t.target, degrees(atan2(cy, cx)) AS az, degrees(asin(cz / sqrt(cx * cx + cy * cy + cz * cz))) AS el FROM a CROSS JOIN (VALUES (0.0), (90.0), (180.0), (-90.0)) t(target) WHERE has_image OR NOT any_image), d AS (SELECT *, round(sqrt((CASE WHEN abs(az - target) > 180 THEN 360 - abs(az - target) ELSE abs(az - target) END) ** 2 + (el - 25) ** 2), 9) AS dist FROM g) SELECT obj_id, CAST(target AS DOUBLE) AS target, view FROM (SELECT *, row_number() OVER (PARTITION BY obj_id, target ORDER BY dist, view) AS r FROM d) q WHERE r = 1", lambda e: G.orthogonal_views(e.select("obj_id", F.col("pos").alias("view"), (F.col("qty") - 25).cast("double").alias("cx"), (F.col("disc") * 100 - 5).cast("double").alias("cy"), (F.col("supp") % 30).cast("double").alias("cz"), (F.col("supp") % 3 > 0).alias("has_image"))), "edits")
 
 # --- text -----------------------------------------------------------------------------------------
 
-_STOP = "', '".join(X.POSITION_WORDS)
-_add("x01_categories", f"SELECT DISTINCT label, coalesce(nullif(array_to_string(list_filter(regexp_split_to_array(lower(trim(label)), '[_\\-\\s]+'), lambda w: w <> '' AND w NOT IN ('{_STOP}') AND NOT regexp_full_match(w, '\\pN+')), '_'), ''), lower(label)) AS category FROM {{parts}} p", lambda p: p.select("label", X.normal_category(F.col("label")).alias("category")).distinct(), "parts")
+_STOP = "little|big|large|small|main|second|first|outer|inner|lower|upper|bottom|top|back|rear|front|right|left"
+_add("x01_categories", f"SELECT DISTINCT label, coalesce(nullif(array_to_string(list_filter(regexp_split_to_array(lower(trim(label)), '[_\\-\\s]+'), lambda w: w <> '' AND NOT regexp_full_match(w, '{_STOP}|\\pN+')), '_'), ''), lower(label)) AS category FROM (SELECT label FROM {{parts}} p UNION ALL SELECT concat('Left ', part_id, '_', label, '-Main little SECOND') FROM {{parts}} p UNION ALL SELECT concat(' upper  ', part_id) FROM {{parts}} p) q", lambda p: p.select(F.explode(F.array("label", F.concat(F.lit("Left "), "part_id", F.lit("_"), "label", F.lit("-Main little SECOND")), F.concat(F.lit(" upper  "), "part_id"))).alias("label")).select("label", X.normal_category(F.col("label")).alias("category")).distinct(), "parts")
 _add("x04_x16_labels", "SELECT DISTINCT label, trim(replace(replace(label, ' ', '_'), '_', ' ')) AS human, replace(replace(kind, '&&', ' and '), '-', ' ') AS clean FROM {parts} p", lambda p: p.select("label", X.human_label(F.replace("label", F.lit(" "), F.lit("_"))).alias("human"), X.clean_category(F.col("kind")).alias("clean")).distinct(), "parts")
 _add("x05_templates", "SELECT obj_id, part_id, concat('Put the ', label, ' of ', kind, ' on ', substr(obj_id, 1, 8)) AS t FROM {parts} p", lambda p: p.select("obj_id", "part_id", X.fill_template(F.lit("Put the {part} of {obj} on {donor}"), part=F.col("label"), obj=F.col("kind"), donor=F.substring("obj_id", 1, 8)).alias("t")), "parts")
-_add("x06_reversed_prompts", "SELECT edit_id, CASE WHEN qty > 30 THEN concat('Add the ', flag) WHEN qty > 20 THEN concat('Attach ', flag) ELSE concat('Add back lose ', flag) END AS p FROM {edits} e", lambda e: e.select("edit_id", X.reversed_prompt(F.when(F.col("qty") > 30, F.concat(F.lit("remove  the "), "flag")).when(F.col("qty") > 20, F.concat(F.lit("Detach "), "flag")).otherwise(F.concat(F.lit("Lose "), "flag"))).alias("p")), "edits")
+_SAID = [("remove  ", "Add "), ("Delete ", "Add "), ("TAKE AWAY ", "Add "), ("Take off ", "Put on "), ("get rid of ", "Add "), ("Cut off ", "Attach "), ("Detach ", "Attach "), ("  Eliminate ", "Add "), ("Strip ", "Add "), ("Lose ", "Add back lose "), ("Erase ", "Add back erase ")]
+_add("x06_reversed_prompts", "SELECT edit_id, CASE pos % 12 " + " ".join(f"WHEN {i} THEN concat('{put}the ', flag)" for i, (_, put) in enumerate(_SAID)) + " ELSE '' END AS p FROM {edits} e", lambda e: e.select("edit_id", X.reversed_prompt(F.when(F.col("pos") % 12 == 11, F.lit("  ")).otherwise(F.concat(D.choose(F.col("pos") % 12, {i: said for i, (said, _) in enumerate(_SAID)}, ""), F.lit("the "), "flag"))).alias("p")), "edits")
 _add("x13_x14_captions", "SELECT conv_id, turn, coalesce(substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 80), '') AS c FROM {conversations}", lambda c: c.select("conv_id", "turn", F.substring(X.short_caption(F.array(F.lit(" "), F.col("text"))), 1, 80).alias("c")), "conversations")
 _add("x18_data_urls", "SELECT conv_id, turn, concat('data:image/png;base64,', to_base64(encode(text))) AS u FROM {conversations}", lambda c: c.select("conv_id", "turn", X.data_url(F.encode("text", "UTF-8")).alias("u")), "conversations")
 _add("n01_parsed", "SELECT event_id, CAST(CAST(props AS JSON) ->> '$.k' AS INT) AS k FROM {events}", lambda e: e.select("event_id", F.try_variant_get(__import__("quarrykit.operators.json_text", fromlist=["x"]).parsed(F.concat(F.lit("Sure:\n```json\n"), "props", F.lit("\n```"))), "$.k", "int").alias("k")), "events")
@@ -242,42 +244,48 @@ _add("n03_n04_judged", "SELECT event_id, event_type = 'error' AS rejected, event
 
 def _measured(e: DataFrame) -> DataFrame:
     q, d, t = F.col("qty"), F.col("disc"), F.col("tax")
+    known = lambda c: F.when(F.col("supp") % 19 > 0, c)  # noqa: E731 - some edits have no structure latent
     return e.select(
-        "edit_id", "edit_type", "pos", "shard", (q * 40).alias("n_voxels"), (q + 1).alias("feat_max"), (d + 0.005).alias("feat_std"), (q * 2).alias("ss_max"), (t + 0.005).alias("ss_std"), F.lit(0).alias("coord_min"), (q + 10).alias("coord_max"),
-        F.when(F.col("supp") % 9 == 0, q * 40 - 1).otherwise(q * 40).alias("n_unique"), (q / 25).alias("voxel_ratio"), (d * 5).alias("deleted"), (d * 6).alias("added"), (1 - d * 9).alias("iou"), (t * 10).alias("ss_l2"), (1 - t * 10).alias("ss_cosine"), (t / 50).alias("ss_diff"),
+        "edit_id", "edit_type", "pos", "shard", (q * 40).alias("n_voxels"), (q + 1).alias("feat_max"), (d + 0.005).alias("feat_std"), known((q * 2.1)).alias("ss_max"), known(t / 10 + 0.0005).alias("ss_std"), F.lit(0).alias("coord_min"), (q + 10).alias("coord_max"),
+        F.when(F.col("supp") % 9 == 0, q * 40 - 1).otherwise(q * 40).alias("n_unique"), (q / 25).alias("voxel_ratio"), (d * 5).alias("deleted"), (d * 6).alias("added"), (1 - d * 9).alias("iou"), known(t * 10).alias("ss_l2"), known(1 - t * 10).alias("ss_cosine"), known(t / 50).alias("ss_diff"),
         (1 + F.col("supp") % 5).alias("components"), (d * 4).alias("locality"), (t * 5).alias("drift"), (d * 20).alias("feat_change"), (0.6 + d * 3).alias("axis_min"), (1 + t * 10).alias("axis_max"), (F.col("supp") % 4).alias("min_extent"), (d * 7).alias("coverage"),
         (F.col("supp") % 2 == 0).alias("same_count"), (F.col("supp") % 11 > 0).alias("has_after"), (F.col("supp") % 13 > 0).alias("has_original"),
     )
 
 
+#: The rules as they are published: (type, rule, what passes, weight, whether it needs the structure latent), with every number written out.
+_RULES_SQL = [
+    ("deletion", "voxel_ratio", "qty / 25 BETWEEN 0.05 AND 0.95", "2", False), ("deletion", "delete_ratio", "disc * 5 BETWEEN 0.02 AND 0.80", "2", False), ("deletion", "bbox_iou", "1 - disc * 9 >= 0.15", "1.5", False),
+    ("deletion", "ss_change", "tax * 10 BETWEEN 0.01 AND 0.90", "1", True), ("deletion", "connected_components", "1 + supp % 5 <= 3", "1.5", False), ("deletion", "not_degenerate", "supp % 4 > 1", "2", False),
+    ("addition", "voxel_ratio", "qty / 25 BETWEEN 1.05 AND 20.0", "2", False), ("addition", "add_ratio", "disc * 6 BETWEEN 0.02 AND 0.80", "2", False), ("addition", "bbox_iou", "1 - disc * 9 >= 0.15", "1.5", False),
+    ("modification", "voxel_ratio", "qty / 25 BETWEEN 0.3 AND 3.0", "1.5", False), ("modification", "ss_cosine_sim", "1 - tax * 10 >= 0.3", "2", True), ("modification", "edit_locality", "disc * 4 BETWEEN 0.02 AND 0.70", "2.5", False),
+    ("modification", "connected_components", "1 + supp % 5 <= 5", "1", False), ("modification", "center_drift", "tax * 5 < 0.3", "1.5", False), ("modification", "feat_change", "disc * 20 < 5.0", "1", False),
+    ("scale", "voxel_ratio", "qty / 25 BETWEEN 0.5 AND 2.0", "2", False), ("scale", "ss_cosine_sim", "1 - tax * 10 >= 0.5", "2.5", True), ("scale", "edit_locality", "disc * 4 BETWEEN 0.01 AND 0.50", "2", False),
+    ("scale", "center_drift", "tax * 5 < 0.2", "1.5", False), ("scale", "bbox_axis_ratio", "0.6 + disc * 3 >= 0.7 AND 1 + tax * 10 <= 1.8", "1.5", False),
+    ("material", "voxel_count_close", "abs(qty / 25 - 1) <= 0.01", "2", False), ("material", "ss_match", "tax / 50 < 0.001", "3", True), ("material", "feat_change", "disc * 20 BETWEEN 0.01 AND 2.0", "1.5", False),
+    ("global", "voxel_count_close", "abs(qty / 25 - 1) <= 0.01", "2", False), ("global", "ss_match", "tax / 50 < 0.001", "3", True), ("global", "feat_change", "disc * 20 BETWEEN 0.02 AND 2.0", "1.5", False),
+    ("global", "change_coverage", "supp % 2 > 0 OR disc * 7 >= 0.3", "CASE WHEN supp % 2 = 0 THEN 1.5 ELSE 0 END", False), ("identity", "identity_valid", "TRUE", "1", False),
+]
+_SANITY_SQL = [
+    ("voxel_count", "qty * 40 BETWEEN 100 AND 40000", "2", False), ("feat_range", "qty + 1 <= 50 AND disc + 0.005 >= 0.01", "CASE WHEN qty + 1 > 50 THEN 3 ELSE 2 END", False),
+    ("ss_range", "qty * 2.1 <= 100 AND tax / 10 + 0.0005 >= 0.001", "CASE WHEN qty * 2.1 > 100 THEN 3 ELSE 2 END", True), ("coords_valid", "qty + 10 < 64", "3", False), ("coords_unique", "supp % 9 <> 0", "2", False),
+]
+
+
 def _check_sql() -> str:
-    t = Q.THRESHOLDS
-    d, a, m, s, mt, g = (t[k] for k in ("deletion", "addition", "modification", "scale", "material", "global"))
-    v = {"voxel_ratio": "qty / 25", "deleted": "disc * 5", "added": "disc * 6", "iou": "1 - disc * 9", "ss_l2": "tax * 10", "cosine": "1 - tax * 10", "ss_diff": "tax / 50", "components": "1 + supp % 5", "locality": "disc * 4", "drift": "tax * 5", "feat": "disc * 20", "lo": "0.6 + disc * 3", "hi": "1 + tax * 10", "extent": "supp % 4", "coverage": "disc * 7"}
-    b = lambda c, r: f"({v[c]} BETWEEN {r[0]} AND {r[1]})"
-    rules = {
-        "deletion": [("voxel_ratio", b("voxel_ratio", d["voxel"]), 2), ("delete_ratio", b("deleted", d["deleted"]), 2), ("bbox_iou", f"({v['iou']} >= {d['iou']})", 1.5), ("ss_change", b("ss_l2", d["ss"]), 1), ("connected_components", f"({v['components']} <= {d['components']})", 1.5), ("not_degenerate", f"({v['extent']} > 1)", 2)],
-        "addition": [("voxel_ratio", b("voxel_ratio", a["voxel"]), 2), ("add_ratio", b("added", a["added"]), 2), ("bbox_iou", f"({v['iou']} >= {a['iou']})", 1.5)],
-        "modification": [("voxel_ratio", b("voxel_ratio", m["voxel"]), 1.5), ("ss_cosine", f"({v['cosine']} >= {m['cosine']})", 2), ("edit_locality", b("locality", m["locality"]), 2.5), ("connected_components", f"({v['components']} <= {m['components']})", 1), ("center_drift", f"({v['drift']} < {m['drift']})", 1.5), ("feat_change", f"({v['feat']} < {m['feat']})", 1)],
-        "scale": [("voxel_ratio", b("voxel_ratio", s["voxel"]), 2), ("ss_cosine", f"({v['cosine']} >= {s['cosine']})", 2.5), ("edit_locality", b("locality", s["locality"]), 2), ("center_drift", f"({v['drift']} < {s['drift']})", 1.5), ("axis_ratio", f"({v['lo']} >= {s['axis'][0]} AND {v['hi']} <= {s['axis'][1]})", 1.5)],
-    }
-    for kind, k in (("material", mt), ("global", g)):
-        rules[kind] = [("voxel_ratio", f"(abs({v['voxel_ratio']} - 1) <= {k['count']})", 2), ("ss_unchanged", f"({v['ss_diff']} < {k['ss']})", 3), ("feat_change", b("feat", k["feat"]), 1.5)]
-    coverage = ("change_coverage", f"({v['coverage']} >= {g['coverage']})", 1.5)
-    one = [("voxel_count", f"(qty * 40 BETWEEN {t['min_voxels']} AND {t['max_voxels']})", 2), ("feat_range", f"(qty + 1 <= {t['max_feat_abs']} AND disc + 0.005 >= {t['min_feat_std']})", 1), ("ss_range", f"(qty * 2 <= {t['max_ss_abs']} AND tax + 0.005 >= {t['min_ss_std']})", 1), ("coords_valid", f"(qty + 10 < {t['grid']})", 1), ("coords_unique", "(supp % 9 <> 0)", 1)]
-    score = lambda rs: f"round(CAST(({' + '.join(f'CASE WHEN {c} THEN {w} ELSE 0 END' for _, c, w in rs)}) AS DOUBLE) / CAST({float(sum(w for *_, w in rs))} AS DOUBLE), 4)"
-    every = lambda rs: " AND ".join(c for _, c, _ in rs)
-    first = lambda rs: "CASE " + " ".join(f"WHEN NOT {c} THEN '{n}'" for n, c, _ in rs) + " ELSE '' END"
-    by = lambda f: "CASE " + " ".join([f"WHEN edit_type = 'global' AND supp % 2 = 0 THEN {f(rules['global'] + [coverage])}", *[f"WHEN edit_type = '{k}' THEN {f(rs)}" for k, rs in rules.items()]])
-    return f"""WITH m AS (SELECT edit_id, edit_type, supp % 11 > 0 AS has_after, supp % 13 > 0 AS has_original, {score(one)} AS s1, {every(one)} AS ok1, {first(one)} AS f1,
-      {by(score)} ELSE 1.0 END AS s2, {by(lambda rs: '(' + every(rs) + ')')} ELSE TRUE END AS ok2, {by(first)} ELSE '' END AS f2 FROM {{edits}} e)
-    SELECT edit_id, round(CAST(CASE WHEN edit_type = 'identity' THEN CASE WHEN ok1 THEN 1.0 ELSE 0.5 END WHEN NOT has_after THEN 0.0 WHEN NOT ok1 THEN s1 * 0.5 WHEN NOT has_original THEN 0.0 ELSE (s1 + s2) / 2 END AS DOUBLE), 6) AS score,
-      CASE WHEN edit_type = 'identity' THEN CASE WHEN ok1 THEN 'high' ELSE 'negative' END WHEN NOT has_after OR NOT ok1 OR NOT has_original THEN 'rejected' WHEN ok2 THEN 'high' ELSE 'negative' END AS tier,
+    """Rules as rows, so that the SQL is built another way than the projection: one row for each edit and rule, then sums."""
+    of = lambda rows, kind: " UNION ALL ".join(f"SELECT edit_id, {i} AS i, '{n}' AS name, ({c}) AS ok, CAST({w} AS DOUBLE) AS w FROM e WHERE {kind(k)}{' AND supp % 19 > 0' if ss else ''}" for i, (k, n, c, w, ss) in enumerate(rows))
+    one, two = of([("", *r) for r in _SANITY_SQL], lambda k: "TRUE"), of(_RULES_SQL, lambda k: f"edit_type = '{k}'")
+    sums = "SELECT edit_id, round(sum(CASE WHEN ok THEN w ELSE 0 END) / sum(w), 4) AS s, bool_and(ok) AS ok, coalesce(arg_min(name, i) FILTER (WHERE NOT ok), '') AS f FROM ({}) q GROUP BY edit_id"
+    return f"""WITH e AS (SELECT * FROM {{edits}} x), m AS (SELECT e.edit_id, edit_type, supp % 11 > 0 AS has_after, supp % 13 > 0 AS has_original, a.s AS s1, a.ok AS ok1, a.f AS f1, b.s AS s2, b.ok AS ok2, b.f AS f2
+      FROM e JOIN ({sums.format(one)}) a ON a.edit_id = e.edit_id JOIN ({sums.format(two)}) b ON b.edit_id = e.edit_id)
+    SELECT edit_id, round(CAST(CASE WHEN edit_type = 'identity' THEN CASE WHEN ok1 OR NOT has_original THEN 1.0 ELSE 0.5 END WHEN NOT has_after THEN 0.0 WHEN NOT ok1 THEN s1 * 0.5 WHEN NOT has_original THEN 0.0 ELSE CAST(format('{{:.4f}}', (s1 + s2) / 2) AS DOUBLE) END AS DOUBLE), 6) AS score,
+      CASE WHEN edit_type = 'identity' THEN CASE WHEN ok1 OR NOT has_original THEN 'high' ELSE 'negative' END WHEN NOT has_after OR NOT ok1 OR NOT has_original THEN 'rejected' WHEN NOT ok2 THEN 'negative' WHEN (s1 + s2) / 2 >= 0.8 THEN 'high' WHEN (s1 + s2) / 2 >= 0.6 THEN 'medium' WHEN (s1 + s2) / 2 >= 0.4 THEN 'low' ELSE 'negative' END AS tier,
       CASE WHEN edit_type = 'identity' THEN '' WHEN NOT has_after THEN 'missing after' WHEN NOT ok1 THEN f1 WHEN NOT has_original THEN 'missing original' ELSE f2 END AS reason FROM m"""
 
 
 _add("q01_q16_verdicts", _check_sql(), lambda e: Q.verdicts(_measured(e)).select("edit_id", F.round("score", 6).alias("score"), "tier", "reason"), "edits")
-_add("a09_metric_pass_rates", "SELECT name, count(*) AS n, round(avg(CAST(ok AS INT)), 4) AS pass_rate FROM (SELECT 'voxel_count' AS name, qty * 40 BETWEEN 100 AND 40000 AS ok FROM {edits} e UNION ALL SELECT 'feat_range', qty + 1 <= 50 AND disc + 0.005 >= 0.01 FROM {edits} e UNION ALL SELECT 'ss_range', qty * 2 <= 100 AND tax + 0.005 >= 0.01 FROM {edits} e UNION ALL SELECT 'coords_valid', qty + 10 < 64 FROM {edits} e UNION ALL SELECT 'coords_unique', supp % 9 <> 0 FROM {edits} e) q GROUP BY name", lambda e: Q.metric_pass_rates(_measured(e).select(Q.layer_one().alias("metrics"))), "edits")
+_add("a09_metric_pass_rates", "SELECT name, count(*) AS n, round(avg(CAST(ok AS INT)), 4) AS pass_rate FROM (SELECT 'voxel_count' AS name, qty * 40 BETWEEN 100 AND 40000 AS ok FROM {edits} e UNION ALL SELECT 'feat_range', qty + 1 <= 50 AND disc + 0.005 >= 0.01 FROM {edits} e UNION ALL SELECT 'ss_range', qty * 2.1 <= 100 AND tax / 10 + 0.0005 >= 0.001 FROM {edits} e WHERE supp % 19 > 0 UNION ALL SELECT 'coords_valid', qty + 10 < 64 FROM {edits} e UNION ALL SELECT 'coords_unique', supp % 9 <> 0 FROM {edits} e) q GROUP BY name", lambda e: Q.metric_pass_rates(_measured(e).select(Q.layer_one().alias("metrics"))), "edits")
 _FLAGS = lambda: ((F.col("supp") % 10 > 0), (F.col("supp") % 7 > 0), (F.col("supp") % 5 > 0), (1 + F.col("part") % 5), (F.col("part") % 3 > 0), (F.col("supp") % 17 == 0))
 _add("q40_m08_judge", "SELECT edit_id, CASE WHEN supp % 17 = 0 THEN 'rejected' WHEN supp % 10 = 0 OR supp % 7 = 0 THEN 'negative' WHEN supp % 5 > 0 AND part % 3 > 0 AND 1 + part % 5 >= 4 THEN 'high' WHEN supp % 5 > 0 AND part % 3 > 0 AND 1 + part % 5 >= 3 THEN 'medium' WHEN 1 + part % 5 >= 2 THEN 'low' ELSE 'negative' END AS tier, round(0.3 * CAST(supp % 10 > 0 AS INT) + 0.2 * CAST(supp % 7 > 0 AS INT) + 0.2 * CAST(supp % 5 > 0 AS INT) + 0.2 * (part % 5) / 4 + 0.1 * CAST(part % 3 > 0 AS INT), 4) AS score FROM {edits} e", lambda e: e.select("edit_id", V.judge_tier(*_FLAGS()).alias("tier"), V.judge_score(*_FLAGS()[:5]).alias("score")), "edits")
 _add("q41_finalised", "SELECT e.edit_id, CASE WHEN edit_type = 'identity' THEN 'high' ELSE coalesce(s.tier, 'rejected') END AS tier, CASE WHEN edit_type = 'identity' THEN 1.0 ELSE coalesce(s.score, 0.0) END AS score FROM {edits} e LEFT JOIN {scores} s ON s.edit_id = e.edit_id", Q.finalised, "edits", "scores")

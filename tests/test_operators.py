@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import math
 import random
 
 import numpy as np
@@ -63,7 +64,11 @@ def test_ids_and_labels(spark):
     assert one(spark, X.object_type(F.lit("A small red wooden chair with arms"))) == "chair"
     assert one(spark, X.normal_category(F.lit(" Left_rear-wheel 2 "))) == "wheel"
     assert one(spark, X.normal_category(F.lit("Left 2"))) == "left 2"
-    assert one(spark, X.reversed_prompt(F.lit("REMOVE the hat"))) == "Add the hat"
+    assert one(spark, X.object_type(F.lit("a little 42"))) == "42" and one(spark, X.object_type(F.lit("The Old"))) == "old" and one(spark, X.object_type(F.lit(None).cast("string"))) == ""
+    for said, want in (("REMOVE the hat", "Add the hat"), ("  get rid of  it", "Add it"), ("Take off hats", "Put on hats"), ("strip paint", "Add paint"), ("Eliminate a", "Add a"), ("Cut off b", "Attach b"), ("Erase it", "Add back erase it"), (" ", ""), (None, "")):
+        assert one(spark, X.reversed_prompt(F.lit(said).cast("string"))) == want
+    assert one(spark, X.structure_of(F.lit("A Chrome, teal (oxidized) box-like round . knob"))) == "A box-like round. knob"
+    assert one(spark, X.appearance_of(F.lit("A dome-shaped oblong, teal 'slim' knob"))) == "A teal knob"
     assert one(spark, X.without_words(F.lit("A red, shiny box , tall ."), X.APPEARANCE_WORDS)) == "A box, tall."
     assert one(spark, X.wrapped(F.lit("one two  three four"), 9)) == "one two\nthree\nfour"
     assert one(spark, X.label_list(F.array(F.lit("a"), F.lit("b")))) == "p0=a, p1=b"
@@ -177,13 +182,28 @@ def test_geometry(spark):
     assert [(r.x, r.y, r.z) for r in G.normalised(v).orderBy("x").collect()] == [(-0.5, -1.0, -0.25), (0.5, 1.0, 0.25)]
     frames = spark.createDataFrame([("a", 0, [1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0, -10.0, 0.0, 0.0, 0.0, 1.0], 20.0)], "obj_id string, view int, w2c array<double>, focal double")
     assert sorted((r.px, r.py) for r in G.projected(v, frames, 32, 32).collect()) == [(16, 16), (20, 7)]
-    cams = spark.createDataFrame([("a", i, float(x), float(y)) for i, (x, y) in enumerate([(1, 0), (0, 1), (-1, 0), (0, -1), (1, 0)])], "obj_id string, view int, cx double, cy double")
-    assert [r["view"] for r in G.orthogonal_views(cams).orderBy("target").collect()] == [0, 1, 2, 3]
+    cams = [("a", i, float(x), float(y), float(z)) for i, (x, y, z) in enumerate([(1, 0, 0), (0, 1, 0), (-1, 0, 0.4), (0, -1, 0), (1, 0, 0), (0, 0, 0), (1, 0, 0.46)])] + [("z", 3, 0.0, 0.0, 0.0), ("z", 8, 0.0, 0.0, 0.0)]
+    df = spark.createDataFrame(cams, "obj_id string, view int, cx double, cy double, cz double")
+    got = {(r.obj_id, r.target): r["view"] for r in G.orthogonal_views(df).collect()}
+    assert [got["a", t] for t in (0.0, 90.0, 180.0, -90.0)] == [6, 1, 2, 3] and got["z", 0.0] == 3
+    seen = df.withColumn("has_image", (F.col("obj_id") == "a") & F.col("view").isin(0, 1, 4))
+    got = {(r.obj_id, r.target): r["view"] for r in G.orthogonal_views(seen).collect()}
+    assert [got["a", t] for t in (0.0, 90.0, 180.0, -90.0)] == [0, 1, 1, 0] and got["z", 90.0] == 3
     faces = spark.createDataFrame([("a", 0, 1, 2, 0), ("a", 5, 6, 7, 1), ("a", 6, 7, 9, 1)], "obj_id string, a int, b int, c int, part int")
     assert sorted((r.part, r.a, r.b, r.c) for r in G.split_faces(faces).collect()) == [(0, 0, 1, 2), (1, 0, 1, 2), (1, 1, 2, 3)]
     d = spark.createDataFrame([("a", i, float(i)) for i in range(40)], "obj_id string, v int, d double")
     assert G.contact_points(d, 2.5).count() == 4 and G.contact_points(d, 20.0).count() == 21
-    assert len(G.orbit(14)) == 14
+    poses = {r["view"]: r.c2w for r in G.orbit(spark.range(42).select(F.col("id").alias("view"))).collect()}
+    assert len(poses) == 42
+    for v, (lift, turn) in ((0, (-20, 0)), (9, (0, 720 / 7)), (41, (80, 2160 / 7))):
+        e, a = math.radians(lift), math.radians(turn)
+        at = np.array([2.5 * math.cos(e) * math.sin(a), 2.5 * math.sin(e), 2.5 * math.cos(e) * math.cos(a)])
+        m = np.array(poses[v]).reshape(4, 4)
+        back = at / np.linalg.norm(at)
+        right = np.cross(-back, [0, 1, 0])
+        right /= np.linalg.norm(right)
+        assert np.allclose(m[:3, 3], at) and np.allclose(m[:3, 2], back) and np.allclose(m[:3, 0], right) and np.allclose(m[:3, 1], np.cross(right, -back)) and list(m[3]) == [0, 0, 0, 1]
+    assert G.orbit(spark.range(42).select(F.col("id").alias("view")), 14).count() == 14
     votes = spark.createDataFrame([(1, 5), (1, 3), (1, 3), (1, 5), (2, 9)], "i int, l int")
     assert {r.i: r.l for r in G.majority_labels(votes, "i", "l").collect()} == {1: 3, 2: 9}
 
@@ -261,3 +281,36 @@ def test_voxel_queries_by_order_grow_with_the_table(spark):
     assert tuple(spread) == (64, 64, 64, 0, 63)
     for name in ("q17_components", "j13_nearest_labels", "j14_voted_region", "a21_j17_gap", "a16_pixel_counts", "w06_best_views", "w07_best_view_of_set"):
         assert f"{name}_by_order" in queries.QUERIES
+
+
+def test_rule_weights(spark):
+    """Weights and skipped rules, worked by hand."""
+    cols = "edit_id string, edit_type string, n_voxels long, feat_max double, feat_std double, ss_max double, ss_std double, coord_min int, coord_max int, n_unique long, voxel_ratio double, deleted double, added double, iou double, ss_l2 double, ss_cosine double, ss_diff double, components int, locality double, drift double, feat_change double, axis_min double, axis_max double, min_extent double, coverage double, same_count boolean, has_after boolean, has_original boolean"
+    ok = dict(n_voxels=500, feat_max=9.0, feat_std=0.5, ss_max=9.0, ss_std=0.002, coord_min=0, coord_max=63, n_unique=500, voxel_ratio=0.5, deleted=0.5, added=0.5, iou=0.5, ss_l2=0.5, ss_cosine=0.9, ss_diff=0.0, components=1, locality=0.1, drift=0.1, feat_change=0.5, axis_min=0.9, axis_max=1.1, min_extent=9.0, coverage=0.5, same_count=True, has_after=True, has_original=True)
+    names = [c.split()[0] for c in cols.split(", ")]
+    cases = {
+        "good": ("deletion", {}), "large": ("deletion", {"feat_max": 60.0}), "dead": ("deletion", {"feat_std": 0.001}), "nan": ("deletion", {"feat_max": float("nan")}), "ss": ("deletion", {"ss_std": 0.0005}), "cells": ("deletion", {"coord_max": 64}),
+        "no_ss": ("modification", {"ss_max": None, "ss_std": None, "ss_cosine": None, "locality": 0.9}), "no_ss_dead": ("modification", {"ss_max": None, "ss_std": None, "feat_std": 0.0}),
+        "same": ("identity", {"feat_std": 0.0}), "same_alone": ("identity", {"feat_std": 0.0, "has_original": False}), "glob": ("global", {"voxel_ratio": 1.0, "coverage": 0.1}), "mat": ("material", {"voxel_ratio": 1.0, "ss_diff": None, "feat_change": 5.0}),
+    }
+    df = spark.createDataFrame([tuple({**ok, **more, "edit_id": i, "edit_type": t}[n] for n in names) for i, (t, more) in cases.items()], cols)
+    got = {r.edit_id: (r.score, r.tier, r.reason) for r in Q.verdicts(df).collect()}
+    assert got == {
+        "good": (1.0, "high", ""), "large": (round(9 / 12, 4) / 2, "rejected", "feat_range"), "dead": (round(9 / 11, 4) / 2, "rejected", "feat_range"), "nan": (round(9 / 12, 4) / 2, "rejected", "feat_range"), "ss": (round(9 / 11, 4) / 2, "rejected", "ss_range"), "cells": (round(8 / 11, 4) / 2, "rejected", "coords_valid"),
+        "no_ss": (round((1 + round(5 / 7.5, 4)) / 2, 4), "negative", "edit_locality"), "no_ss_dead": (round(7 / 9, 4) / 2, "rejected", "feat_range"),
+        "same": (0.5, "negative", ""), "same_alone": (1.0, "high", ""), "glob": (round((1 + round(6.5 / 8, 4)) / 2, 4), "negative", "change_coverage"), "mat": (round((1 + round(2 / 3.5, 4)) / 2, 4), "negative", "feat_change"),
+    }
+    one_ = {r.edit_id: [(m.name, m.value, m.weight) for m in r.m] for r in df.select("edit_id", Q.layer_one().alias("m")).collect()}
+    assert one_["good"] == [("voxel_count", 500.0, 2.0), ("feat_range", 9.0, 2.0), ("ss_range", 9.0, 2.0), ("coords_valid", 1.0, 3.0), ("coords_unique", 1.0, 2.0)]
+    assert one_["dead"][1] == ("feat_range", 0.001, 2.0) and one_["large"][1] == ("feat_range", 60.0, 3.0) and one_["nan"][1] == ("feat_range", 0.0, 3.0) and len(one_["no_ss"]) == 4
+    two = {r.edit_id: [m.name for m in r.m] for r in df.select("edit_id", Q.layer_two().alias("m")).collect()}
+    assert two["no_ss"] == ["voxel_ratio", "edit_locality", "connected_components", "center_drift", "feat_change"] and two["mat"] == ["voxel_count_close", "feat_change"] and two["same"] == ["identity_valid"]
+
+
+def test_rounding_is_of_the_binary_value(spark):
+    from quarrykit.functions.vectors import rounded
+
+    rng = random.Random(4)
+    xs = [0.0, 1.0, 0.90625, 0.03125, 0.5, 0.00005, 0.92105] + [k / 20000 for k in range(1, 20000, 7)] + [(1.0 + round(rng.random(), 4)) / 2 for _ in range(4000)] + [rng.random() for _ in range(500)]
+    got = [r.y for r in spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").orderBy("i").select(rounded(F.col("x")).alias("y")).collect()]
+    assert got == [round(x, 4) for x in xs]
