@@ -83,9 +83,12 @@ def write_tokens(docs: DataFrame, path: str, model: str = MODEL, stripe_bytes: i
                 part = b.slice(at, 512)
                 ids, ok = encode_column(part.column(1), c)
                 at_ = place.of(part.column(0), ids, met)
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pc.list_value_length(ids), ok, pa.array(at_.astype(np.int32))], names=["doc_id", "ids", "n_tokens", "round_trip", "place"])
+                yield pa.RecordBatch.from_arrays([part.column(0), ids.cast(pa.list_(arrow_kind)), pc.list_value_length(ids), ok, pa.array(at_.astype(np.int32))], names=["doc_id", "ids", "n_tokens", "round_trip", "place"])
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.IntegerType()), T.StructField("round_trip", T.BooleanType()), T.StructField("place", T.IntegerType())])
+    # ids of a vocabulary of at most 2**15 pieces move in two bytes each
+    narrow = len(shared.value[0]) <= 1 << 15
+    kind, arrow_kind = (T.ShortType(), pa.int16()) if narrow else (T.IntegerType(), pa.int32())
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(kind)), T.StructField("n_tokens", T.IntegerType()), T.StructField("round_trip", T.BooleanType()), T.StructField("place", T.IntegerType())])
     encoded = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
     options = {
         "orc.stripe.size": stripe_bytes,
@@ -95,7 +98,7 @@ def write_tokens(docs: DataFrame, path: str, model: str = MODEL, stripe_bytes: i
         "orc.bloom.filter.fpp": FALSE_POSITIVES,
         "compression": "zstd",
     }
-    encoded.repartitionById(files, "place").sortWithinPartitions("doc_id").drop("place").write.options(**options).orc(path)
+    encoded.repartitionById(files, "place").sortWithinPartitions("doc_id").withColumn("ids", F.col("ids").cast("array<int>")).drop("place").write.options(**options).orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str, ids: list | None = None, between: tuple | None = None) -> DataFrame:
