@@ -18,13 +18,12 @@ probabilities. A text is rejected where P(grade > 0) is at least one half.
 Fitting reads at most ``SAMPLE`` labelled rows, those with the least digest of
 their doc_id, so it is the same for any layout; that is the only bounded
 part. Their hashed words come to the driver, not their texts. The fitted
-weights, at most ``MAX_WEIGHTS`` of them, go out with the tasks; every text is
+weights, all that the penalty leaves (features of the sample, so bounded with it), go out with the tasks; every text is
 scored whole.
 
 Defined results: a null or empty text has no features and the severity of an
 empty text, and is not rejected. Where labels lack one of the two classes
-nothing is rejected and severity is the share of toxic labels. Repeated labels
-of one document count as often as they come; null labels are left out.
+nothing is rejected and severity is the share of toxic labels. Texts that are equal in words and label count once; null labels are left out.
 Repeated rows repeat; other columns are not looked at.
 """
 
@@ -42,7 +41,7 @@ from pyspark.sql import functions as F
 from quarrykit.llm.sampling import least_digests
 
 SAMPLE, BITS, GRADES = 12_000, 22, 4
-MIN_TOXIC, LIFT, MAX_WEIGHTS = 3, 20.0, 20_000
+MIN_TOXIC, LIFT = 3, 20.0
 MIN_TEXTS, SCREEN, L1, STEPS = 3, 15.0, 1e-4, 400
 _WORD = re.compile(r"\w+")
 
@@ -77,10 +76,10 @@ def _hashed(batches):
 
 
 class Model:
-    """Weights by word bucket, and the thresholds."""
+    """Weights by word bucket, and the thresholds; without ``rejects`` no text is rejected."""
 
-    def __init__(self, weights: dict[int, float], thresholds: list[float]):
-        self.weights, self.thresholds = weights, thresholds
+    def __init__(self, weights: dict[int, float], thresholds: list[float], rejects: bool = True):
+        self.weights, self.thresholds, self.rejects = weights, thresholds, rejects
 
     def score(self, text: str | None) -> float:
         return sum(self.weights[b] * log1p(n) for b, n in counts(text).items() if b in self.weights)
@@ -107,7 +106,7 @@ def fit(toxic: np.ndarray, rows: np.ndarray, cols: np.ndarray, times: np.ndarray
     y = grade(toxic, rows, cols, times)
     if n == 0 or y.max() == 0 or y.min() > 0:
         share = float(toxic.mean()) if n else 0.0
-        return Model({}, [30.0 if share == 0 else float(np.log(1 / share - 1)) if share < 1 else -30.0, 60.0, 90.0])
+        return Model({}, [30.0 if share == 0 else float(np.log(1 / share - 1)) if share < 1 else -30.0, 60.0, 90.0], rejects=False)
     n1, n0 = float((y > 0).sum()), float((y == 0).sum())
     has1 = np.bincount(cols[y[rows] > 0], minlength=1 << BITS)
     has0 = np.bincount(cols[y[rows] == 0], minlength=1 << BITS)
@@ -149,8 +148,6 @@ def fit(toxic: np.ndarray, rows: np.ndarray, cols: np.ndarray, times: np.ndarray
         w_mom, t_mom = new + (speed - 1) / faster * (new - w), np.sort(new_t + (speed - 1) / faster * (new_t - t))
         w, t, speed = new, new_t, faster
     held = np.flatnonzero(w)
-    if len(held) > MAX_WEIGHTS:
-        held = held[np.argsort(-np.abs(w[held]), kind="stable")[:MAX_WEIGHTS]]
     return Model({int(used[i]): float(w[i]) for i in held}, [float(v) for v in t])
 
 
@@ -206,7 +203,7 @@ def scorer(model: Model):
                     z[i] = sum(model.weights[b] * log1p(k) for b, k in n.items())
         above = _sigmoid(z[:, None] - np.array(model.thresholds))
         severity = above.sum(axis=1)
-        return pa.StructArray.from_arrays([pa.array(severity), pa.array((above >= 0.5).sum(axis=1).astype(np.int32)), pa.array(above[:, 0] >= 0.5)], names=["severity", "grade", "toxic"])
+        return pa.StructArray.from_arrays([pa.array(severity), pa.array((above >= 0.5).sum(axis=1).astype(np.int32)), pa.array((above[:, 0] >= 0.5) & model.rejects)], names=["severity", "grade", "toxic"])
 
     return F.arrow_udf(run, "severity double, grade int, toxic boolean").asNondeterministic()
 

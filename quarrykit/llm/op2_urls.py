@@ -6,8 +6,8 @@ a host entry covers its subdomains too, one with a path covers what lies under
 that path on exactly the named host. The entry with the most labels and segments on the
 URL's way decides; one that is in both lists blocks.
 
-The trie goes to every executor while its entries number at most
-``MOST_SHARED``. Beyond that the same answer comes from a join of each URL's
+The trie goes to every executor while it has at most ``MOST_NODES`` nodes, of about
+250 bytes each with their text. Beyond that the same answer comes from a join of each URL's
 own prefixes with the table of entries, which has no bound.
 
 Reading a URL: the scheme is optional, the host is lower-cased, user, port and
@@ -32,7 +32,8 @@ from pyspark.sql import types as T
 
 ALLOW = ["blog.tionsh.example.net", "m.ththth.example.net/en", "blog.tionsh.example.net/fr/825", "www.ththhe.example.com/en/687", "thther.example.org/en", "www.cheap-pills.example.com/en/10"]
 BLOCK = ["example.net", "cheap-pills.example.com", "www.cheap-pills.example.com", "blog.tionsh.example.net/fr", "www.ththhe.example.com/en", "thther.example.org", "ththre.example.com/fr", "therti.example.org", "m.theror.example.com", "ththed.example.org/de", "blog.tiontion.example.com/en"]
-MOST_SHARED = 2_000_000
+#: About 100 MB in a worker.
+MOST_NODES = 400_000
 
 _SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://")
 _NUMERIC = re.compile(r"[0-9.]+")
@@ -55,18 +56,7 @@ def steps(url: str | None) -> tuple[list[str], list[str]] | None:
 
 
 def prefixes(url: str | None) -> list[tuple[str, int]] | None:
-    """The keys of all entries that would cover the URL, with their depths."""
-    at = steps(url)
-    if at is None:
-        return None
-    labels, segments = at
-    made = [(" ".join(labels[:n]), n) for n in range(1, len(labels) + 1)]
-    whole = " ".join(labels)
-    return made + [(whole + " / " + " ".join(segments[:n]), len(labels) + n) for n in range(1, len(segments) + 1)]
-
-
-def join_keys(url: str | None) -> list[tuple[str, int]] | None:
-    """``prefixes`` in keys that differ wherever the ways do: no label of a split host has a dot, no segment a slash."""
+    """The keys of all entries that would cover the URL, with their depths. Keys differ wherever the ways do: no label of a split host has a dot, no segment a slash."""
     at = steps(url)
     if at is None:
         return None
@@ -75,8 +65,8 @@ def join_keys(url: str | None) -> list[tuple[str, int]] | None:
     return made + [(made[-1][0] + "/" + "/".join(segments[:n]), len(labels) + n) for n in range(1, len(segments) + 1)]
 
 
-def entry_key(entry: str, keys=prefixes) -> str:
-    at = keys(entry)
+def entry_key(entry: str) -> str:
+    at = prefixes(entry)
     if at is None:
         raise ValueError(f"no host in entry {entry!r}")
     return at[-1][0]
@@ -124,13 +114,24 @@ class Trie:
         return ("default", None, 0) if best is None else ("block" if best[0] else "allow", best[1], depth)
 
 
+def nodes(allow, block, enough: float) -> int:
+    """Nodes that a trie of the entries has at most; counted no further than ``enough``."""
+    n = 1
+    for entry in (*allow, *block):
+        at = steps(entry)
+        n += 2 + sum(map(len, at)) if at else 0
+        if n > enough:
+            break
+    return n
+
+
 _RESULT = "verdict string, entry string, depth int"
 
 
-def filter_urls(pages: DataFrame, allow=ALLOW, block=BLOCK, url_col: str = "url", id_col: str = "page_id", most_shared: int = MOST_SHARED) -> DataFrame:
+def filter_urls(pages: DataFrame, allow=ALLOW, block=BLOCK, url_col: str = "url", id_col: str = "page_id", most_nodes: int = MOST_NODES) -> DataFrame:
     """(page_id, url, verdict, entry, depth) for every row."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
-    if len(allow) + len(block) > most_shared:
+    if nodes(allow, block, most_nodes) > most_nodes:
         return _by_join(rows, allow, block)
     shared = pages.sparkSession.sparkContext.broadcast(Trie(allow, block))
 
@@ -145,12 +146,12 @@ def filter_urls(pages: DataFrame, allow=ALLOW, block=BLOCK, url_col: str = "url"
 def _by_join(rows: DataFrame, allow, block) -> DataFrame:
     """The same by joining each distinct URL's prefixes with the entries."""
     spark = rows.sparkSession
-    listed = spark.createDataFrame([(entry_key(e, join_keys), b, n, e) for b, es in ((False, allow), (True, block)) for n, e in enumerate(es)], "key string, blocks boolean, n int, entry string")
+    listed = spark.createDataFrame([(entry_key(e), b, n, e) for b, es in ((False, allow), (True, block)) for n, e in enumerate(es)], "key string, blocks boolean, n int, entry string")
     last = W.partitionBy("key").orderBy(F.desc("blocks"), F.desc("n"))
     entries = listed.withColumn("r", F.row_number().over(last)).where("r = 1").select("key", "blocks", "entry")
 
     def run(urls: pa.Array) -> pa.Array:
-        made = [None if p is None else [{"key": k, "depth": d} for k, d in p] for p in map(join_keys, urls.to_pylist())]
+        made = [None if p is None else [{"key": k, "depth": d} for k, d in p] for p in map(prefixes, urls.to_pylist())]
         return pa.array(made, pa.list_(pa.struct([("key", pa.string()), ("depth", pa.int32())])))
 
     kind = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("depth", T.IntegerType())]))
@@ -170,21 +171,22 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _values() -> str:
-    rows = [(entry_key(e), b, e) for b, es in ((0, ALLOW), (1, BLOCK)) for e in es]
-    return ", ".join(f"('{k}', {b}, '{e}')" for k, b, e in rows)
+    return ", ".join(f"('{e}', {b})" for b, es in ((0, ALLOW), (1, BLOCK)) for e in es)
 
 
 _SQL = f"""
-WITH entries AS (SELECT key, max(blocks) AS blocks, arg_max(entry, blocks) AS entry FROM (VALUES {_values()}) v(key, blocks, entry) GROUP BY key),
+WITH entries AS (SELECT key, max(blocks) AS blocks, arg_max(entry, blocks) AS entry FROM (
+    SELECT entry, blocks, array_to_string(list_reverse(string_split(string_split(entry, '/')[1], '.')), '.') || array_to_string(list_transform(string_split(entry, '/')[2:], lambda x: '/' || x), '') AS key
+    FROM (VALUES {_values()}) v(entry, blocks)) q GROUP BY key),
 cut AS (SELECT DISTINCT url, regexp_extract(regexp_replace(trim(url, ' \t\r\n'), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '^[^?#]*') AS rest FROM pages),
 split AS (SELECT url, lower(rtrim(regexp_replace(regexp_extract(rest, '^(?:[^/]*@)?([^/]*)', 1), ':[0-9]*$', ''), '.')) AS host,
   list_filter(string_split(regexp_extract(rest, '^[^/]*(.*)$', 1), '/'), lambda x: x <> '') AS segments FROM cut),
 labelled AS (SELECT url, segments, CASE WHEN host IS NULL OR host = '' THEN NULL WHEN starts_with(host, '[') OR regexp_full_match(host, '[0-9.]+') THEN [host]
   ELSE list_reverse(list_filter(string_split(host, '.'), lambda x: x <> '')) END AS labels FROM split),
 deep AS (
-  SELECT url, n AS depth, array_to_string(labels[1:n], ' ') AS key FROM (SELECT url, labels, unnest(range(1, len(labels) + 1)) AS n FROM labelled)
+  SELECT url, n AS depth, array_to_string(labels[1:n], '.') AS key FROM (SELECT url, labels, unnest(range(1, len(labels) + 1)) AS n FROM labelled)
   UNION ALL
-  SELECT url, len(labels) + n AS depth, array_to_string(labels, ' ') || ' / ' || array_to_string(segments[1:n], ' ') AS key
+  SELECT url, len(labels) + n AS depth, array_to_string(labels, '.') || '/' || array_to_string(segments[1:n], '/') AS key
   FROM (SELECT url, labels, segments, unnest(range(1, len(segments) + 1)) AS n FROM labelled)
 ),
 best AS (SELECT url, max(depth) AS depth, arg_max(entry, depth) AS entry, arg_max(blocks, depth) AS blocks FROM deep JOIN entries USING (key) GROUP BY url)

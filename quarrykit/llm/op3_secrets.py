@@ -46,8 +46,9 @@ B, I, O = 0, 1, 2
 MARK = "<secret>"
 REMEMBERED = 400_000
 _EDGES = re.compile(r"""^[\s"'`(\[{<|]*(.*?)["'`)\]}>.,;:!?#$%&*|]*$""", re.S)
-_KEYED = re.compile(r"""^["']?([A-Za-z_][\w.-]{1,40})["']?(?:=|:)(?!//)["']?(.+)$""", re.S)
+_KEYED = re.compile(r"""^["']?([A-Za-z_][\w.-]+)["']?(?:=|:)(?!//)["']?(.+)$""", re.S)
 _TOKEN = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
+_WORDS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 _LENGTHS = (0, 4, 8, 12, 16, 20, 32, 40, 64)
 
 
@@ -197,16 +198,19 @@ def _lookalike(rng: random.Random) -> list[tuple[str, int]]:
 
 def sequences(texts: list[str], n: int, rng: random.Random):
     """(tokens, tags, text features) of made sequences; each window comes from one of ``texts``."""
-    pool = [(t.split(), t) for t in texts if t and t.strip()]
-    pool = [(w, text_features(w)) for w, _ in pool] or [(["the", "text"], (0, 0, 0))]
+    pool = [w for t in texts if (w := _WORDS.findall(t or ""))]
+    pool = [(w, text_features(w)) for w in pool] or [(["the", "text"], (0, 0, 0))]
     for _ in range(n):
         words, about = rng.choice(pool)
         at = rng.randrange(max(1, len(words) - LENGTH))
         row = [(w, O) for w in words[at : at + LENGTH] if not (len(w) >= 16 and any(c.isdigit() for c in w) and any(c.isalpha() for c in w))][: LENGTH - 12]
+        if rng.random() < 0.15:  # text of broken marks
+            row = [(w + rng.choice(_JUNK), y) for w, y in row]
         for make, p in ((_secret, 0.6), (_lookalike, 0.6), (_lookalike, 0.3)):
             if rng.random() < p:
                 k = rng.randint(0, len(row))
-                row[k:k] = make(rng)
+                # a secret may stand right beside what only looks like one
+                row[k:k] = make(rng) + (_lookalike(rng) if make is _secret and rng.random() < 0.25 else [])
         row = row[:LENGTH]
         if row:
             yield [w for w, _ in row], [y for _, y in row], about

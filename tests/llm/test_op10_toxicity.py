@@ -64,4 +64,8 @@ def test_training_where_labels_are_thin(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None), (2, "c")], "doc_id long, text string")
     for rows in ([], [(1, 0)], [(1, 1), (2, 1)], [(1, None), (None, 1), (9, 1)]):
         model = op.train(docs, spark.createDataFrame(rows, "doc_id long, toxic int"))
-        assert model.weights == {} and len(op.score_documents(docs, model).collect()) == 3
+        out = op.score_documents(docs, model).collect()
+        assert model.weights == {} and len(out) == 3 and not any(r.toxic for r in out)
+        share = {(): 0, ((1, 0),): 0, ((1, 1), (2, 1)): 1, ((1, None), (None, 1), (9, 1)): 0}[tuple(rows)]
+        assert all(abs(r.severity - share) < 1e-6 for r in out)
+        assert op.drop_toxic(docs, model).count() == 3

@@ -49,6 +49,26 @@ def test_shares_follow_weights(spark):
     assert abs(tokens["b"] - 2000) < 20 and abs(tokens["a"] - 1000) < 20
 
 
+def test_ties_go_by_source_then_digest(spark):
+    """Equal lengths and weights: every finish time comes once for each source."""
+    rows = [(i, "w w", s) for i in range(30) for s in ("b", "a", None)] + [(100 + i, "", s) for i in range(9) for s in ("a", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = op.mixed_units(docs, {"a": 1.0, "b": 1.0}, 1.0, 61, 5).collect()
+    want = brute(rows, {"a": 1.0, "b": 1.0}, 1.0, 61)
+    assert len({u[3] for u in want}) < len(want)
+    key = lambda r: (r[4], r[3], r[0] or "", -1 if r[1] is None else r[1])
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    kept = sorted((r.doc_id, r.source or "") for r in op.mix(docs, weights={"a": 1.0, "b": 1.0}, budget=61).collect())
+    assert kept == sorted((u[1], u[0] or "") for u in want)
+
+
+def test_string_ids_and_seeds(spark):
+    docs = spark.createDataFrame([(f"d{i}", "w " * (i % 4), "ab"[i % 2], "s") for i in range(200)] + [(None, "w", "a", "s")], "doc_id string, text string, source string, digest string")
+    kept = {seed: {r.doc_id for r in op.mix(docs, seed=seed, budget=100).collect()} for seed in ("", "x")}
+    assert kept[""] != kept["x"] and all(0 < len(k) < 150 for k in kept.values())
+    assert kept[""] == {r.doc_id for r in op.mixed_units(docs, budget=100).collect()}
+
+
 def test_rows_come_back_whole(spark):
     docs = spark.createDataFrame([(1, "a b", "s", 3), (1, "a b", "s", 4), (2, None, None, 5), (None, "c", "t", 6)], "doc_id long, text string, source string, tokens int")
     out = op.mix(docs, budget=10**6)

@@ -71,9 +71,27 @@ def test_secrets(stages, spark):
 
     sample = [t for _, t in sorted(((hashlib.md5(str(i).encode()).hexdigest(), i), t) for i, t in before.items())[: op.SAMPLE]]
     field = op.fit(op.sequences(sample, op.SEQUENCES, random.Random(3)))
-    s = op.Scanner(field)
-    ids = sorted(before)
-    assert [after[i] for i in ids] == [op.redact_text(before[i], h) for i, h in zip(ids, s.spans([before[i] for i in ids]))]
+    import re
+
+    import numpy as np
+    from test_op3_secrets import tag_spans
+
+    for i, text in before.items():
+        # plain Viterbi over the whole text, by the field's own emissions of every token
+        words = list(re.finditer(r"[^ \t\n\r\x0b\x0c]+", text or ""))
+        spans = []
+        if words:
+            y, _ = op.viterbi(field.emissions([w.group() for w in words]), field.pairs, field.first, np.zeros(3))
+            for a, b in tag_spans(y):
+                lo, hi = words[a].start(), words[b - 1].end()
+                if b == a + 1 and (v := op.parts(text[lo:hi])[1]):
+                    lo += text[lo:hi].rindex(v)
+                    hi = lo + len(v)
+                spans.append((lo, hi))
+        want, at = "", 0
+        for lo, hi in spans:
+            want, at = want + text[at:lo] + op.MARK, hi
+        assert after[i] == want + text[at:]
 
 
 def test_mixing(stages):

@@ -1,15 +1,14 @@
 import hashlib
 
+import pytest
+
 from quarrykit.llm.sampling import least_digests
 
 
-def test_least_digests(spark):
-    ids = [i % 900 for i in range(1000)] + [None]
+@pytest.mark.parametrize("ids", [[i % 900 for i in range(1000)] + [None], [7] * 2000, [None] * 1500 + list(range(500)), [7] * 1500 + list(range(1500)), []])
+def test_least_digests(spark, ids):
     df = spark.createDataFrame([(i, k) for k, i in enumerate(ids)], "i long, k long")
-    rank = lambda i: (i is not None, hashlib.md5(str(i).encode()).hexdigest() if i is not None else "")
+    rank = lambda row: (hashlib.md5(("" if row[0] is None else str(row[0])).encode()).hexdigest(), row[0] is not None, row[0] or 0, row[1])
     for n in (0, 5, 40, 5000):
-        got = [r.i for r in least_digests(df, "i", n, "k").collect()]
-        want = sorted(ids, key=rank)[:n]
-        if 16 * n < len(ids):  # a null has no digest, so no place under the bound
-            want = sorted((i for i in ids if i is not None), key=rank)[:n]
-        assert sorted(map(str, got)) == sorted(map(str, want))
+        got = [tuple(r) for r in least_digests(df, "i", n, "k").collect()]
+        assert got == sorted(((i, k) for k, i in enumerate(ids)), key=rank)[:n]
