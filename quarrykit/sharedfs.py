@@ -34,10 +34,24 @@ def new_path(spark: SparkSession, tag: str) -> str:
 
 
 def cut(df: DataFrame, tag: str, fmt: str = "parquet") -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table."""
+    """Write ``df`` to the shared folder and return the written table, which goes when it is dropped or the application ends."""
     path = new_path(df.sparkSession, tag)
     df.write.format(fmt).save(path)
-    return df.sparkSession.read.schema(df.schema).format(fmt).load(path)
+    _delete_on_exit(df.sparkSession, path)
+    made = df.sparkSession.read.schema(df.schema).format(fmt).load(path)
+    made._written_at = path
+    return made
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of ``cut`` that nothing reads any more."""
+    for t in tables:
+        drop_path(t.sparkSession, t._written_at)
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
