@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrykit.sharedfs import cut
+from quarrykit.sharedfs import cut, drop
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,5 +38,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if tuple(mark) == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         seen = tuple(mark)
-        now = cut(_small_star(_large_star(now)), "edges")
+        last, now = now, cut(_small_star(_large_star(now)), "edges")
+        drop(last)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -86,6 +86,45 @@ def test_a_hot_bucket_with_two_kinds(spark):
     assert set(got.values()) == {0} and len(got) == 150 and set(roots) == {0}
 
 
+def family(n, copies):
+    """Texts with a passage in common and an index of about 0.53, and near copies of some."""
+    core = [f"c{i}" for i in range(100)]
+    rows = [(k, " ".join(core + [f"u{k}x{i}" for i in range(42)])) for k in range(n)]
+    return rows + [(n + k, rows[k * 7][1].replace(f"u{k * 7}x40", "other")) for k in range(copies)]
+
+
+def test_large_buckets_give_what_small_ones_give(spark):
+    rows = family(400, 20)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs, roots = brute_groups(rows, op.THRESHOLD)
+    of = {r[0]: rows[g][0] for r, g in zip(rows, roots)}
+    assert len(set(roots)) == 400 and len(pairs) == 20
+    for few in (2, 10**6):
+        got = {r.doc_id: r.group_id for r in op.near_duplicates(docs, few=few).collect()}
+        assert len(got) == 40 and all(of[d] == of[g] for d, g in got.items())
+
+
+def test_a_bucket_of_many_that_do_not_match(spark):
+    """No pairs are listed within it: 20,000 texts that share bands and have an index below the threshold."""
+    import time
+
+    rows = family(20000, 50)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    began = time.time()
+    got = {r.doc_id: r.group_id for r in op.near_duplicates(docs).collect()}
+    assert time.time() - began < 150
+    assert got == {d: g for k in range(50) for d, g in ((k * 7, k * 7), (20000 + k, k * 7))}
+
+
+def test_string_ids_and_words_of_newer_scripts(spark):
+    rows = [("b", "same words here"), ("a", "same words here"), (None, "same words here"), ("c", "\U00011f04\U00011f05 \U00011f06"), ("d", "\U00011f04\U00011f05 \U00011f06"), ("e", "!!"), ("f", "!!")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    assert sorted((r.doc_id or "-", r.group_id, r.keep) for r in op.near_duplicates(docs).collect() if r.group_id == "a") == [("-", "a", False), ("a", "a", True), ("b", "a", False)]
+    grouped = {r.doc_id for r in op.near_duplicates(docs).collect() if r.keep is False}
+    left = sorted(r.doc_id for r in op.drop_near_duplicates(docs).collect())
+    assert left == sorted({i for i, _ in rows} - grouped) and {"e", "f"} <= set(left)
+
+
 @pytest.mark.parametrize("n", [1, 2, 33])
 def test_components_of_a_path(spark, n):
     edges = spark.createDataFrame([(i + 1, i) for i in range(n)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
