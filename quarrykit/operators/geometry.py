@@ -120,10 +120,12 @@ def assembled(parts: DataFrame, wanted: DataFrame, key: str = "obj_id") -> DataF
 
 def split_faces(faces: DataFrame, key: str = "obj_id") -> DataFrame:
     """Faces (a, b, c, part) with their vertices numbered anew from 0 within each part."""
-    face = faces.withColumn("face", F.monotonically_increasing_id())
-    long = face.select(key, "part", "face", F.posexplode(F.array("a", "b", "c")).alias("corner", "v"))
+    # equal faces are numbered once and counted, so that no face needs an id of its own
+    face = faces.groupBy(key, "part", F.struct("a", "b", "c").alias("face")).agg(F.count("*").cast("int").alias("times"))
+    long = face.select(key, "part", "face", "times", F.posexplode(F.array("face.a", "face.b", "face.c")).alias("corner", "v"))
     anew = long.withColumn("i", F.dense_rank().over(W.partitionBy(key, "part").orderBy("v")) - 1)
-    return anew.groupBy(key, "part", "face").agg(*[F.max(F.when(F.col("corner") == k, F.col("i"))).alias(c) for k, c in enumerate("abc")]).drop("face")
+    made = anew.groupBy(key, "part", "face", "times").agg(*[F.max(F.when(F.col("corner") == k, F.col("i"))).alias(c) for k, c in enumerate("abc")])
+    return made.select(key, "part", "a", "b", "c", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("__n")).drop("__n")
 
 
 def gap_distance(part: DataFrame, body: DataFrame, key: str = "obj_id") -> DataFrame:

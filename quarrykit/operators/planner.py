@@ -1,21 +1,20 @@
 """From label records to numbered edits.
 
-One exploded frame for each branch, with the place it would be emitted at as a sort key
-(branch, i, j, k); numbers are ranks of that key for each object and prefix, and additions find their
-deletion by the same place. Random draws are digests of object, part and template, so a plan does
+Each record's specs are one array, in the order in which they are emitted, made in the record's own row and exploded once;
+numbers are ranks of that place for each object and prefix, and additions find their
+deletion by it. Random draws are digests of object, part and template, so a plan does
 not depend on layout or process.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarrykit.functions import domain as D
 from quarrykit.functions.text import fill_template, part_phrase
 from quarrykit.operators.selection import digest_rank
-from quarrykit.sharedfs import cut
 
 SCALE = ["Make the {part} larger", "Make the {part} smaller", "Stretch the {part} upwards", "Widen the {part}"]
 MATERIAL = ["Turn the {part} into wood", "Turn the {part} into brushed steel", "Give the {part} a marble surface", "Make the {part} of clear glass"]
@@ -28,72 +27,101 @@ def _drawn(templates: list[str], *key):
     return F.array_min(options)["t"]
 
 
-def _row(kind, branch: int, i, j, k, **more):
-    empty = {"remove_part_ids": F.array().cast("array<int>"), "keep_part_ids": F.array().cast("array<int>"), "old_part_id": F.lit(-1), "old_label": F.lit(""), "edit_prompt": F.lit(""), "after_desc": F.lit(""), "mod_type": F.lit("")}
-    made = {"edit_type": F.lit(kind) if isinstance(kind, str) else kind, "branch": F.lit(branch), "i": i, "j": j, "k": k} | empty | more
-    return [v.alias(n) for n, v in made.items()]
+_SPEC = "edit_type string, branch int, i int, j int, k int, del_j int, remove_part_ids array<int>, keep_part_ids array<int>, old_part_id int, old_label string, edit_prompt string, after_desc string, mod_type string"
+_FIELDS = [f.split()[0] for f in _SPEC.split(", ")]
+
+
+def _spec(kind, branch: int, i, j, k: int | Column, **more) -> Column:
+    none = F.array().cast("array<int>")
+    made = {"edit_type": F.lit(kind) if isinstance(kind, str) else kind, "branch": F.lit(branch), "i": i, "j": j, "k": F.lit(k) if isinstance(k, int) else k, "del_j": F.lit(None).cast("int"), "remove_part_ids": none, "keep_part_ids": none, "old_part_id": F.lit(-1), "old_label": F.lit(""), "edit_prompt": F.lit(""), "after_desc": F.lit(""), "mod_type": F.lit("")} | more
+    return F.struct(*[made[f].alias(f) for f in _FIELDS]).cast("struct<" + ", ".join(f.replace(" ", ": ", 1) for f in _SPEC.split(", ")) + ">")
+
+
+def _group_specs() -> Column:
+    """Edits of each group; a group of all parts emits none, and an addition needs a deletion before it in its group."""
+
+    def of_group(g, i):
+        keep = F.filter("all_ids", lambda x: ~F.array_contains(g["part_ids"], x))
+
+        def of_edit(e, j):
+            before = F.array_max(F.filter(F.transform(g["edits"], lambda x, n: F.when(x["type"] == "deletion", n)), lambda n: n < j))
+            changed = F.coalesce(D.filled(e["after_desc"]), D.filled(e["after_part_desc"]), F.when(e["type"] == "scale", F.col("object_desc")), F.lit(""))
+            made = _spec(e["type"], 0, i, j, 0, del_j=before, remove_part_ids=g["part_ids"], keep_part_ids=keep, old_part_id=F.coalesce(F.get(g["part_ids"], F.lit(0)), F.lit(-1)), old_label=F.coalesce(g["group_name"], F.lit("")), edit_prompt=F.coalesce(e["prompt"], F.lit("")), after_desc=changed, mod_type=F.coalesce(e["mod_type"], F.lit("")))
+            return F.when(e["type"].isin("deletion", "modification", "material", "scale") | ((e["type"] == "addition") & before.isNotNull()), made)
+
+        return F.when(F.size(keep) > 0, F.filter(F.transform(g["edits"], of_edit), lambda x: x.isNotNull()))
+
+    return F.flatten(F.filter(F.transform("group_edits", of_group), lambda x: x.isNotNull()))
+
+
+def _part_specs() -> Column:
+    """Edits of each part outside all groups: deletion, addition, then swaps, materials and scales each in their order."""
+
+    def of_edit(kind: str, k: int, i, one):
+        def made(e, j):
+            asked = (e["type"] == kind) & (F.length(e["prompt"]) > 0)
+            if kind == "modification":
+                asked = asked & (e["mod_type"] == "swap")
+            return F.when(asked, _spec(kind, 1, i, j, k, **one, edit_prompt=e["prompt"], after_desc=F.coalesce(e["after_desc"], F.lit("")), mod_type=F.coalesce(e["mod_type"], F.lit(""))))
+
+        return made
+
+    def of_part(p, i):
+        one = _one(p)
+        phrase = part_phrase(p["desc"], p["label"], p["part_id"])
+
+        def asked(kind: str, prefix: str):
+            hit = F.get(F.filter(p["edits"], lambda e: (e["type"] == kind) & (F.length(e["prompt"]) > 0)), F.lit(0))
+            return F.coalesce(hit["prompt"], F.concat(F.lit(prefix), phrase))
+
+        free = ~(F.coalesce(p["core"], F.lit(False)) | F.coalesce(D.is_core(p["label"]), F.lit(False)))
+        both = F.array(_spec("deletion", 1, i, F.lit(0), 0, **one, edit_prompt=asked("deletion", "Remove the "), after_desc=F.coalesce(p["desc_without"], F.lit(""))), _spec("addition", 1, i, F.lit(0), 1, del_j=F.lit(0), **one, edit_prompt=asked("addition", "Add the "), after_desc=F.col("object_desc")))
+        made = [F.when(free, both).otherwise(F.slice(both, 1, 0))]
+        for k, kind in ((2, "modification"), (3, "material"), (4, "scale")):
+            made.append(F.filter(F.coalesce(F.transform(p["edits"], of_edit(kind, k, i, one)), F.slice(both, 1, 0)), lambda x: x.isNotNull()))
+        return F.when(~F.coalesce(F.array_contains("grouped", p["part_id"]), F.lit(False)), F.concat(*made))
+
+    return F.flatten(F.filter(F.transform("parts", of_part), lambda x: x.isNotNull()))
+
+
+def _one(p) -> dict[str, Column]:
+    return {"remove_part_ids": F.array(p["part_id"]), "keep_part_ids": F.filter("all_ids", lambda x: x != p["part_id"]), "old_part_id": p["part_id"], "old_label": F.coalesce(p["label"], F.lit(""))}
+
+
+def _whole_specs(most: int) -> Column:
+    """Whole-object edits: the first few, then without empty prompts."""
+    spec = lambda e, i: F.when((i < most) & (F.length(e["prompt"]) > 0), _spec("global", 2, i, F.lit(0), 0, edit_prompt=e["prompt"], after_desc=F.coalesce(e["after_desc"], F.lit(""))))
+    return F.filter(F.transform("global_edits", spec), lambda x: x.isNotNull())
+
+
+def _lacking_specs(kind: str, branch: int, templates: list[str]) -> Column:
+    """A made edit for each part that was given none of this type."""
+
+    def of_part(p, i):
+        prompt = fill_template(_drawn(templates, F.col("obj_id"), F.lit(kind), p["part_id"]), part=part_phrase(p["desc"], p["label"], p["part_id"]))
+        return F.when(~F.exists(p["edits"], lambda e: (e["type"] == kind) & (F.length(e["prompt"]) > 0)), _spec(kind, branch, i, F.lit(0), 0, **_one(p), edit_prompt=prompt))
+
+    return F.filter(F.transform("parts", of_part), lambda x: x.isNotNull())
 
 
 def plan(records: DataFrame, least_parts: int = 2, most_global: int = 3) -> DataFrame:
-    """Specs of all records with at least ``least_parts`` parts: edit_id, type, parts, prompt, source deletion."""
+    """Specs of all records with at least ``least_parts`` parts: edit_id, type, parts, prompt, source deletion.
+
+    A record makes all its specs in its own row; records, not specs, are shuffled, once, by object.
+    """
     zero = F.lit(0)
-    r = records.where(F.size("parts") >= least_parts).withColumn("all_ids", F.transform("parts", lambda p: p["part_id"])).withColumn("view", F.coalesce(F.get("orthogonal_views", zero), zero))
-    # eight branches read it: written once, by object, so that they neither recompute nor differ
-    r = cut(r, "records").withColumn("grouped", F.array_distinct(F.flatten(F.transform("group_edits", lambda g: g["part_ids"]))))
-    base = ["obj_id", "shard", "object_desc", "view"]
-    # groups: a group of all parts emits nothing, yet its parts count as grouped
-    g = r.select(*base, "all_ids", F.posexplode("group_edits").alias("i", "g")).withColumn("keep", F.filter("all_ids", lambda x: ~F.array_contains("g.part_ids", x))).where(F.size("keep") > 0)
-    e = g.select(*base, "i", "g", "keep", F.posexplode("g.edits").alias("j", "e"))
-    kind = F.col("e.type")
-    ids = F.col("g.part_ids")
-    changed = F.coalesce(D.filled(F.col("e.after_desc")), D.filled(F.col("e.after_part_desc")), F.when(kind == "scale", F.col("object_desc")), F.lit(""))
-    groups = e.where(kind.isin("deletion", "addition", "modification", "material", "scale")).select(
-        *base,
-        *_row(kind, 0, F.col("i"), F.col("j"), zero, remove_part_ids=ids, keep_part_ids=F.col("keep"), old_part_id=F.coalesce(F.get(ids, zero), F.lit(-1)), old_label=F.coalesce(F.col("g.group_name"), F.lit("")), edit_prompt=F.coalesce("e.prompt", F.lit("")), after_desc=changed, mod_type=F.coalesce("e.mod_type", F.lit(""))),
-    )
-    # an addition needs a deletion before it in its group
-    last = F.max(F.when(F.col("edit_type") == "deletion", F.col("j"))).over(W.partitionBy("obj_id", "i").orderBy("j").rowsBetween(W.unboundedPreceding, -1))
-    groups = groups.withColumn("del_j", last).where((F.col("edit_type") != "addition") | F.col("del_j").isNotNull())
-    # parts outside all groups
-    p = r.select(*base, "all_ids", "grouped", F.posexplode("parts").alias("i", "p"))
-    own = p.where(~F.coalesce(F.array_contains("grouped", F.col("p.part_id")), F.lit(False)))
-    one = {"remove_part_ids": F.array("p.part_id"), "keep_part_ids": F.filter("all_ids", lambda x: x != F.col("p.part_id")), "old_part_id": F.col("p.part_id"), "old_label": F.coalesce("p.label", F.lit(""))}
-    phrase = part_phrase(F.col("p.desc"), F.col("p.label"), F.col("p.part_id"))
-    free = own.where(~(F.coalesce("p.core", F.lit(False)) | F.coalesce(D.is_core(F.col("p.label")), F.lit(False))))
-
-    def asked(kind: str, prefix: str):
-        hit = F.get(F.filter("p.edits", lambda e: (e["type"] == kind) & (F.length(e["prompt"]) > 0)), zero)
-        return F.coalesce(hit["prompt"], F.concat(F.lit(prefix), phrase))
-
-    dels = free.select(*base, *_row("deletion", 1, F.col("i"), zero, zero, **one, edit_prompt=asked("deletion", "Remove the "), after_desc=F.coalesce("p.desc_without", F.lit("")))).withColumn("del_j", F.lit(None).cast("int"))
-    adds = free.select(*base, *_row("addition", 1, F.col("i"), zero, F.lit(1), **one, edit_prompt=asked("addition", "Add the "), after_desc=F.col("object_desc"))).withColumn("del_j", zero)
-    pe = own.select(*base, "i", "p", "all_ids", F.posexplode("p.edits").alias("j", "e")).where(F.length("e.prompt") > 0)
-    rank = F.when(F.col("e.type") == "modification", 2).when(F.col("e.type") == "material", 3).otherwise(4)
-    more = pe.where(((F.col("e.type") == "modification") & (F.col("e.mod_type") == "swap")) | F.col("e.type").isin("material", "scale"))
-    mods = more.select(*base, *_row(F.col("e.type"), 1, F.col("i"), F.col("j"), rank, **one, edit_prompt=F.col("e.prompt"), after_desc=F.coalesce("e.after_desc", F.lit("")), mod_type=F.coalesce("e.mod_type", F.lit("")))).withColumn("del_j", F.lit(None).cast("int"))
-    # whole-object edits: the first few, then without empty prompts
-    whole = r.select(*base, F.posexplode("global_edits").alias("i", "e")).where((F.col("i") < most_global) & (F.length("e.prompt") > 0))
-    whole = whole.select(*base, *_row("global", 2, F.col("i"), zero, zero, edit_prompt=F.col("e.prompt"), after_desc=F.coalesce("e.after_desc", F.lit("")))).withColumn("del_j", F.lit(None).cast("int"))
-    out = [groups, dels, adds, mods, whole]
-    for branch, kind, templates in ((3, "scale", SCALE), (4, "material", MATERIAL)):
-        lacking = p.where(~F.exists("p.edits", lambda e: (e["type"] == kind) & (F.length(e["prompt"]) > 0)))
-        prompt = fill_template(_drawn(templates, F.col("obj_id"), F.lit(kind), F.col("p.part_id")), part=phrase)
-        out.append(lacking.select(*base, *_row(kind, branch, F.col("i"), zero, zero, **one, edit_prompt=prompt)).withColumn("del_j", F.lit(None).cast("int")))
+    r = records.where(F.size("parts") >= least_parts).withColumns({"all_ids": F.transform("parts", lambda p: p["part_id"]), "view": F.coalesce(F.get("orthogonal_views", zero), zero)})
+    r = r.withColumn("grouped", F.array_distinct(F.flatten(F.transform("group_edits", lambda g: g["part_ids"])))).repartition("obj_id")
     same = fill_template(_drawn(IDENTITY, F.col("obj_id"), F.lit("identity")), obj=F.coalesce(D.filled(F.col("object_desc")), F.lit("object")))
-    out.append(r.select(*base, *_row("identity", 5, zero, zero, zero, edit_prompt=same, after_desc=F.col("object_desc"))).withColumn("del_j", F.lit(None).cast("int")))
-    every = out[0]
-    for d in out[1:]:
-        every = every.unionByName(d)
-    # one shuffle by object serves both windows
-    every = every.repartition("obj_id")
-    # in a part's turn: deletion, addition, then swaps, materials and scales each in their order
-    place = ["branch", "i", F.when(F.col("branch") == 0, F.col("j")).otherwise(F.col("k")), "j"]
-    every = every.withColumn("prefix", D.choose(F.col("edit_type"), D.PREFIX))
-    seq = F.row_number().over(W.partitionBy("obj_id", "prefix").orderBy(*place)) - 1
-    named = every.withColumn("edit_id", F.format_string("%s_%s_%03d", "prefix", "obj_id", seq))
-    # the deletion an addition came of stands in the same object, branch and group or part, at del_j
-    at = F.max(F.when(F.col("edit_type") == "deletion", F.struct(F.col("j"), F.col("edit_id")))).over(W.partitionBy("obj_id", "branch", "i").orderBy(*place[2:]).rowsBetween(W.unboundedPreceding, -1))
-    linked = named.withColumn("source_del_id", F.when(F.col("edit_type") == "addition", at["edit_id"]).otherwise(F.lit("")))
+    every = [_group_specs(), _part_specs(), _whole_specs(most_global), _lacking_specs("scale", 3, SCALE), _lacking_specs("material", 4, MATERIAL), F.array(_spec("identity", 5, zero, zero, 0, edit_prompt=same, after_desc=F.col("object_desc")))]
+    none = F.array().cast("array<struct<" + ", ".join(f.replace(" ", ": ", 1) for f in _SPEC.split(", ")) + ">>")
+    specs = r.select("obj_id", "shard", "object_desc", "view", F.posexplode(F.concat(*[F.coalesce(e, none) for e in every])).alias("place", "s")).select("obj_id", "shard", "object_desc", "view", "place", "s.*")
+    specs = specs.withColumn("prefix", D.choose(F.col("edit_type"), D.PREFIX))
+    seq = F.row_number().over(W.partitionBy("obj_id", "prefix").orderBy("place")) - 1
+    named = specs.withColumn("edit_id", F.format_string("%s_%s_%03d", "prefix", "obj_id", seq))
+    # the deletion an addition came of is the last before it in the same branch and group or part
+    at = F.last(F.when(F.col("edit_type") == "deletion", F.col("edit_id")), ignorenulls=True).over(W.partitionBy("obj_id", "branch", "i").orderBy("place").rowsBetween(W.unboundedPreceding, -1))
+    linked = named.withColumn("source_del_id", F.when(F.col("edit_type") == "addition", at).otherwise(F.lit("")))
     return linked.select("edit_id", "edit_type", "obj_id", "shard", "object_desc", "remove_part_ids", "keep_part_ids", "old_part_id", "old_label", "source_del_id", "edit_prompt", "after_desc", "mod_type", F.col("view").alias("best_view"))
 
 

@@ -114,6 +114,31 @@ def take_range_part(df: DataFrame, order: list, index: int, k: int) -> DataFrame
     return range_part(df, order, k, "__part").where(F.col("__part") == index).drop("__part")
 
 
+def round_robin(pending: DataFrame, n: int, pos: str = "pos", name: str = "worker") -> DataFrame:
+    """What is pending, dealt to ``n`` workers in its order."""
+    return modulo_part(pending, [pos], n, name)
+
+
+def best_first(rows: DataFrame, score: str = "score", pos: str = "pos") -> DataFrame:
+    """Highest score first, equal ones as they came."""
+    return rows.orderBy(F.desc_nulls_last(score), pos)
+
+
+def in_process_order(edits: DataFrame, pos: str = "pos") -> DataFrame:
+    """The edits of each object by type: deletions first, additions last, unknown types after all; each type as it came."""
+    return edits.orderBy("obj_id", F.coalesce(D.choose(F.col("edit_type"), D.PROCESS_ORDER), F.lit(len(D.PROCESS_ORDER))), pos)
+
+
+def largest_groups(df: DataFrame, key: str = "obj_id", pos: str = "pos") -> DataFrame:
+    """(key, n, first_pos), the largest group first, of equal ones that seen first."""
+    return df.groupBy(key).agg(F.count("*").alias("n"), F.min(pos).alias("first_pos")).orderBy(F.desc("n"), "first_pos")
+
+
+def members_to_drop(archives: DataFrame, keep: Column, names: str = "names") -> DataFrame:
+    """``dropped`` and ``kept``: members of an archive that are not, and that are, wanted."""
+    return archives.withColumns({"dropped": F.array_sort(F.array_except(names, keep)), "kept": F.array_sort(F.array_intersect(names, keep))})
+
+
 def numbered(df: DataFrame, order: list, name: str = "__n") -> DataFrame:
     """Rows numbered from 0 along the order, without one task for all of them: rows are counted by
     range partition first, then numbered inside each from where it starts."""
