@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarrykit.functions import domain as D
 from quarrykit.operators.keyed_logs import last_wins
+from quarrykit.operators.selection import numbered
 
 
 def flat_pairs(files: DataFrame) -> DataFrame:
@@ -96,13 +97,18 @@ def reencoded(deletions: DataFrame, passed: DataFrame, meshes: DataFrame) -> Dat
 
 
 def collated(cells: DataFrame, batch: int, key: str = "edit_id") -> DataFrame:
-    """Sparse tensors of a batch as one: (batch, place, item, ...cells) with each item's first row as ``start``; items in order of the key."""
-    items = cells.groupBy(key).agg(F.count("*").alias("n")).withColumn("i", F.row_number().over(W.orderBy(key)) - 1)
+    """The layout of batches: (key, batch, item, n, start), items in order of the key, ``start`` being an item's first row in its batch. Items are numbered over range partitions."""
+    items = numbered(cells.groupBy(key).agg(F.count("*").alias("n")), [key], "i")
     items = items.withColumn("batch", F.floor(F.col("i") / batch).cast("int")).withColumn("item", (F.col("i") % batch).cast("int"))
     before = F.sum("n").over(W.partitionBy("batch").orderBy("item").rowsBetween(W.unboundedPreceding, -1))
     return items.select(key, "batch", "item", "n", F.coalesce(before, F.lit(0)).cast("long").alias("start"))
 
 
+def batched_cells(cells: DataFrame, batch: int, key: str = "edit_id") -> DataFrame:
+    """The cells with their batch, and the item's number in it as first coordinate."""
+    return cells.join(collated(cells, batch, key).select(key, "batch", "item"), key)
+
+
 def merged_back(scores: DataFrame, entries: DataFrame) -> DataFrame:
     """Score rows with their manifest entry, the last one of each edit; without an entry a row drops."""
     return scores.join(last_wins(entries, "edit_id").drop("first_pos", "pos"), "edit_id")

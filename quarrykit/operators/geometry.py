@@ -6,12 +6,15 @@ import math
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarrykit.functions.domain import filled
 from quarrykit.functions.vectors import azimuth, elevation
+from quarrykit.operators.meshes import nearest_distances
 from quarrykit.sharedfs import cut
 
 
@@ -65,14 +68,21 @@ def normalised(vertices: DataFrame, key: str = "obj_id") -> DataFrame:
 
 
 def projected(vertices: DataFrame, frames: DataFrame, width: int, height: int, key: str = "obj_id") -> DataFrame:
-    """Pixels of vertices in each frame of their object. ``w2c`` is the frame's inverse pose, sixteen numbers by rows; pixels are rounded to even. Points behind or outside are dropped."""
+    """Pixels of vertices in each frame of their object. ``w2c`` is the frame's inverse pose, sixteen numbers by rows. Points behind or outside the image are
+    dropped; pixels are rounded to even, and those that round to the far edge are the last ones."""
     both = vertices.join(frames, key)
     m = lambda i: F.element_at("w2c", i + 1)
     cam = [m(4 * r) * F.col("x") + m(4 * r + 1) * F.col("y") + m(4 * r + 2) * F.col("z") + m(4 * r + 3) for r in range(3)]
     placed = both.withColumns({"u": cam[0], "v": cam[1], "depth": -cam[2]}).where("depth > 0")
-    px = F.bround(F.col("focal") * F.col("u") / F.col("depth") + width / 2, 0).cast("int")
-    py = F.bround(height / 2 - F.col("focal") * F.col("v") / F.col("depth"), 0).cast("int")
-    return placed.withColumns({"px": px, "py": py}).where((F.col("px") >= 0) & (F.col("px") < width) & (F.col("py") >= 0) & (F.col("py") < height)).drop("u", "v")
+    at = placed.withColumns({"u": F.col("focal") * F.col("u") / F.col("depth") + width / 2, "v": height / 2 - F.col("focal") * F.col("v") / F.col("depth")})
+    inside = at.where((F.col("u") >= 0) & (F.col("u") < width) & (F.col("v") >= 0) & (F.col("v") < height))
+    return inside.withColumns({"px": F.least(F.bround("u", 0).cast("int"), F.lit(width - 1)), "py": F.least(F.bround("v", 0).cast("int"), F.lit(height - 1))}).drop("u", "v")
+
+
+def visible(points: DataFrame, pixels: DataFrame, key: str = "obj_id", least: float = 0.5) -> DataFrame:
+    """Projected points whose pixel (px, py, r, g, b, alpha from 0 to 1) is more opaque than ``least``, with its colour."""
+    seen = pixels.where(F.col("alpha") > least).select(key, "view", "px", "py", "r", "g", "b")
+    return points.join(seen, [key, "view", "px", "py"])
 
 
 def vertex_colours(samples: DataFrame, vertices: DataFrame, key: str = "vertex") -> DataFrame:
@@ -129,11 +139,19 @@ def split_faces(faces: DataFrame, key: str = "obj_id") -> DataFrame:
 
 
 def gap_distance(part: DataFrame, body: DataFrame, key: str = "obj_id") -> DataFrame:
-    """Tenth percentile of the distances from a part's vertices to the nearest of the body."""
-    p, b = part.select(key, *[F.col(c).alias(f"p{c}") for c in "xyz"]), body.select(key, *[F.col(c).alias(f"b{c}") for c in "xyz"])
-    d = F.sqrt(sum(((F.col(f"p{c}") - F.col(f"b{c}")) * (F.col(f"p{c}") - F.col(f"b{c}")) for c in "xyz"), F.lit(0.0)))
-    near = p.join(b, key).groupBy(key, "px", "py", "pz").agg(F.min(d).alias("d"))
-    return near.groupBy(key).agg(F.percentile("d", F.lit(0.1)).alias("gap"))
+    """Tenth percentile of the distances from a part's distinct vertices to the nearest of the body; objects that lack one of the two are left out.
+
+    The two meshes of an object meet in one task, where a search along the body's longest axis stops at what cannot be nearer."""
+    kind = part.schema[key].dataType.simpleString()
+    side = lambda df, s: df.select(F.col(key).alias(s), *[F.col(c).cast("double").alias(f"{s}{c}") for c in "xyz"]).distinct()
+
+    def run(p: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(p) or not len(b):
+            return pd.DataFrame({key: pd.Series(dtype=object), "gap": pd.Series(dtype=float)})
+        d = nearest_distances(p.iloc[:, 1:].to_numpy(), b.iloc[:, 1:].to_numpy())
+        return pd.DataFrame({key: [p["p"].iloc[0]], "gap": [float(np.percentile(d, 10))]})
+
+    return side(part, "p").groupBy("p").cogroup(side(body, "b").groupBy("b")).applyInPandas(run, f"{key} {kind}, gap double")
 
 
 def contact_points(distances: DataFrame, threshold: float, key: str = "obj_id", least: int = 10) -> DataFrame:

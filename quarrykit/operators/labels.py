@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrykit.functions import domain as D
@@ -117,3 +117,17 @@ def compared(a: DataFrame, b: DataFrame, key: str = "obj_id") -> DataFrame:
     """Two models' counts side by side."""
     names = [c for c in a.columns if c != key]
     return a.select(key, *[F.col(c).alias(f"a_{c}") for c in names]).join(b.select(key, *[F.col(c).alias(f"b_{c}") for c in names]), key, "full")
+
+
+def summarised(records: DataFrame) -> DataFrame:
+    """What a record holds, in one row: counts, its description and its labels."""
+    return nested_counts(records).join(records.select("obj_id", "object_desc", F.transform("parts", lambda p: p["label"]).alias("labels"), F.filter(F.transform("parts", lambda p: F.when(p["core"], p["label"])), lambda x: x.isNotNull()).alias("core_labels")), "obj_id")
+
+
+def save_catalog(records: DataFrame, path: str) -> None:
+    records.write.mode("overwrite").parquet(path)
+
+
+def load_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """The records as they were saved, group edits and views included."""
+    return spark.read.parquet(path)

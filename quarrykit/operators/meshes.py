@@ -12,8 +12,12 @@ import zlib
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quarrykit.operators.quality import all_passed, first_failure, mesh_metrics, weighted_score
+from quarrykit.operators.voxels import least_labels
+
 XYZ = ["x", "y", "z"]
 
 
@@ -65,7 +69,9 @@ def pair_numbers(vertices: DataFrame, faces: DataFrame, key: str = "obj_id") ->
 
     extent = lambda s: [c(f"{s}_{x}_hi") - c(f"{s}_{x}_lo") for x in XYZ]
     volume = {s: F.coalesce(product(extent(s)), F.lit(0.0)) for s in "ab"}
-    inter = F.coalesce(product([F.greatest(F.least(c(f"a_{x}_hi"), c(f"b_{x}_hi")) - F.greatest(c(f"a_{x}_lo"), c(f"b_{x}_lo")), F.lit(0.0)) for x in XYZ]), F.lit(0.0))
+    # least and greatest pass over nulls, so a side that is not there is asked for first
+    shared = product([F.greatest(F.least(c(f"a_{x}_hi"), c(f"b_{x}_hi")) - F.greatest(c(f"a_{x}_lo"), c(f"b_{x}_lo")), F.lit(0.0)) for x in XYZ])
+    inter = F.when(c("a_n_vertices").isNotNull() & c("b_n_vertices").isNotNull(), shared).otherwise(F.lit(0.0))
     length = lambda cs: F.sqrt(cs[0] * cs[0] + cs[1] * cs[1] + cs[2] * cs[2])
     drift = length([(c(f"a_{x}_lo") + c(f"a_{x}_hi") - c(f"b_{x}_lo") - c(f"b_{x}_hi")) / 2 for x in XYZ]) / F.greatest(length(extent("b")), F.lit(1e-8))
     zero = lambda n: F.coalesce(c(n), F.lit(0))
@@ -83,20 +89,6 @@ def pair_numbers(vertices: DataFrame, faces: DataFrame, key: str = "obj_id") ->
     return wide.select(key, *[v.alias(n) for n, v in numbers.items()]).join(edit_ratios(vertices, key), key)
 
 
-def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least member of each of ``n`` nodes' component."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        nxt = root.copy()
-        np.minimum.at(nxt, root[a], low)
-        np.minimum.at(nxt, root[b], low)
-        nxt = nxt[nxt]
-        if (nxt == root).all():
-            return root
-        root = nxt
-
-
 def _edges(faces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(edge of each face side, how many sides each edge has, face of each side)."""
     sides = np.sort(np.concatenate([faces[:, [0, 1]], faces[:, [1, 2]], faces[:, [2, 0]]]), axis=1)
@@ -112,7 +104,7 @@ def mesh_components(faces: np.ndarray, closed: bool = True) -> int:
     order = np.argsort(edge, kind="stable")
     first = np.flatnonzero(np.append(True, np.diff(edge[order]) != 0))
     pairs = first[count[edge[order][first]] == 2]
-    label = _labels(len(faces), face[order[pairs]], face[order[pairs + 1]])
+    label = least_labels(len(faces), face[order[pairs]], face[order[pairs + 1]])
     if not closed:
         return len(np.unique(label))
     open_ = np.zeros(len(faces), bool)
@@ -211,6 +203,17 @@ def fit_numbers(part: DataFrame, body: DataFrame, samples: int = 1000, key: str
     return both.mapInPandas(run, f"{key} {kind}, penetration double, gap double")
 
 
+def mesh_rows(vertices: DataFrame, faces: DataFrame, key: str = "obj_id") -> DataFrame:
+    """(key, vertices, faces) as arrays, one row for each mesh: vertices by their numbers, faces with the places of theirs. Faces of unknown vertices go."""
+    placed = vertices.select(key, "v", *XYZ, (F.row_number().over(W.partitionBy(key).orderBy("v")) - 1).alias("i"))
+    alike = faces.groupBy(key, F.struct("a", "b", "c").alias("f")).agg(F.count("*").cast("int").alias("times"))
+    corners = alike.select(key, "f", "times", F.posexplode(F.array("f.a", "f.b", "f.c")).alias("k", "v")).join(placed.select(key, "v", "i"), [key, "v"])
+    made = corners.groupBy(key, "f", "times").agg(F.array_sort(F.collect_list(F.struct("k", "i"))).alias("c")).where(F.size("c") == 3)
+    rows = made.select(key, F.explode(F.array_repeat(F.transform("c", lambda x: x["i"]), F.col("times"))).alias("f")).groupBy(key).agg(F.array_sort(F.collect_list("f")).alias("faces"))
+    points = placed.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", F.array(*[F.col(c).cast("double") for c in XYZ]).alias("p")))), lambda x: x["p"]).alias("vertices"))
+    return points.join(rows, key, "left").withColumn("faces", F.coalesce("faces", F.array().cast("array<array<int>>")))
+
+
 def scale_ratio(new: DataFrame, old: DataFrame, key: str = "obj_id") -> DataFrame:
     """(key, scale_ratio): the longer of the longest sides of two sets of vertices over the shorter; 999 where one has none."""
     side = lambda df, n: mesh_boxes(df, key).select(key, F.greatest(*[F.col(f"{c}_hi") - F.col(f"{c}_lo") for c in XYZ]).alias(n))
@@ -218,6 +221,13 @@ def scale_ratio(new: DataFrame, old: DataFrame, key: str = "obj_id") -> DataFram
     return both.select(key, F.when((F.col("n") > 0) & (F.col("o") > 0), F.greatest("n", "o") / F.least("n", "o")).otherwise(F.lit(999.0)).alias("scale_ratio"))
 
 
+def mesh_verdicts(vertices: DataFrame, faces: DataFrame, key: str = "obj_id") -> DataFrame:
+    """(key, score, passed, reason): every check of a pair of meshes, with the first that fails. A mesh after without closed components has none."""
+    closed = component_counts(faces.where("side = 'after'"), True, key)
+    m = pair_numbers(vertices, faces, key).join(closed, key, "left").withColumn("components", F.coalesce("components", F.lit(0))).withColumn("m", mesh_metrics())
+    return m.select(key, weighted_score(F.col("m")).alias("score"), all_passed(F.col("m")).alias("passed"), F.coalesce(first_failure(F.col("m")), F.lit("")).alias("reason"))
+
+
 # --- assembly -------------------------------------------------------------------------------
 
 
@@ -249,10 +259,11 @@ def moved_to(vertices: DataFrame, target: DataFrame, key: str = "obj_id", limit:
 
 
 def swapped(vertices: DataFrame, faces: DataFrame, old: DataFrame, new_vertices: DataFrame, new_faces: DataFrame, key: str = "obj_id") -> tuple[DataFrame, DataFrame]:
-    """A swap: the faces of the ``old`` parts go, and a new part, fitted into their box, comes after the vertices that were there."""
+    """A swap: the faces of the ``old`` parts go, and a new part, fitted into their box, comes after the vertices that were there. Where no old part is, no new one comes."""
     corners = faces.join(old.select(key, "part").distinct(), [key, "part"], "left_semi").select(key, F.explode(F.array("a", "b", "c")).alias("v")).distinct()
     place = vertices.join(corners, [key, "v"], "left_semi")
-    v, f = _shifted(moved_to(new_vertices, place, key), new_faces, vertices, key)
+    fitted = moved_to(new_vertices, place, key)
+    v, f = _shifted(fitted, new_faces.join(fitted.select(key).distinct(), key, "left_semi"), vertices, key)
     names, sides = [key, "v", *XYZ], [key, "part", "a", "b", "c"]
     return vertices.select(*names).unionByName(v.select(*names)), without_parts(faces, old, key).select(*sides).unionByName(f.select(*sides))
 
@@ -263,6 +274,6 @@ def grafted(vertices: DataFrame, faces: DataFrame, new_vertices: DataFrame, new_
     top = mesh_boxes(vertices, key).select(key, F.col("z_hi").alias("__top"))
     foot = mesh_boxes(part, key).select(key, F.col("z_lo").alias("__foot"))
     part = part.join(top.join(foot, key), key).withColumn("z", F.col("z") + F.col("__top") - F.col("__foot")).drop("__top", "__foot")
-    v, f = _shifted(part, new_faces, vertices, key)
+    v, f = _shifted(part, new_faces.join(part.select(key).distinct(), key, "left_semi"), vertices, key)
     names, sides = [key, "v", *XYZ], [key, "part", "a", "b", "c"]
     return vertices.select(*names).unionByName(v.select(*names)), faces.select(*sides).unionByName(f.select(*sides))

@@ -16,9 +16,9 @@ from quarrykit.functions import domain as D
 from quarrykit.functions.text import fill_template, part_phrase
 from quarrykit.operators.selection import digest_rank
 
-SCALE = ["Make the {part} larger", "Make the {part} smaller", "Stretch the {part} upwards", "Widen the {part}"]
-MATERIAL = ["Turn the {part} into wood", "Turn the {part} into brushed steel", "Give the {part} a marble surface", "Make the {part} of clear glass"]
-IDENTITY = ["Leave the {obj} as it is", "Change nothing about the {obj}", "Keep the {obj} unchanged"]
+SCALE = ["Make the {part} larger", "Make the {part} smaller", "Stretch the {part} upwards", "Widen the {part}", "Double the height of the {part}", "Halve the {part} in size", "Make the {part} thinner", "Flatten the {part}"]
+MATERIAL = ["Turn the {part} into wood", "Turn the {part} into brushed steel", "Give the {part} a marble surface", "Make the {part} of clear glass", "Cover the {part} with leather", "Cast the {part} in bronze", "Give the {part} a coat of matte paint", "Make the {part} of woven rattan"]
+IDENTITY = ["Leave the {obj} as it is", "Change nothing about the {obj}", "Keep the {obj} unchanged", "Return the {obj} without an edit", "Do not alter the {obj}", "Let the {obj} stay the same", "Make no edit to the {obj}", "Hand back the {obj} untouched"]
 
 
 def _drawn(templates: list[str], *key):

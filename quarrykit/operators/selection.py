@@ -86,10 +86,15 @@ def sampled_templates(objects: DataFrame, templates: list[str], k: int, seed: st
     return drawn.where(F.col("draw") <= k).withColumn("template", F.element_at(F.array(*map(F.lit, templates)), F.col("i") + 1)).drop("i")
 
 
-def grouped_shuffle(edits: DataFrame, seed: int, epoch: int) -> DataFrame:
+def shuffle_order(seed: int, epoch: int) -> list[Column]:
     """Objects in a shuffled order and the edits of each together, shuffled too; another order each epoch."""
     token = str(seed + epoch)
-    return edits.orderBy(digest_rank(token, F.col("shard"), F.col("obj_id")), "shard", "obj_id", digest_rank(token, F.col("edit_id")), "edit_id")
+    return [digest_rank(token, F.col("shard"), F.col("obj_id")), F.col("shard"), F.col("obj_id"), digest_rank(token, F.col("edit_id")), F.col("edit_id")]
+
+
+def grouped_shuffle(edits: DataFrame, seed: int, epoch: int) -> DataFrame:
+    """The edits in ``shuffle_order``."""
+    return edits.orderBy(*shuffle_order(seed, epoch))
 
 
 def even_views(n: int, k: int) -> list[int]:
@@ -129,6 +134,12 @@ def in_process_order(edits: DataFrame, pos: str = "pos") -> DataFrame:
     return edits.orderBy("obj_id", F.coalesce(D.choose(F.col("edit_type"), D.PROCESS_ORDER), F.lit(len(D.PROCESS_ORDER))), pos)
 
 
+def phases(edits: DataFrame) -> list[tuple[str, DataFrame]]:
+    """The types in the order in which a stream handles them: each made type, then additions, which take a deletion's arrays, then identities, which take any edit's."""
+    order = [t for t in sorted(D.PROCESS_ORDER, key=D.PROCESS_ORDER.get) if t not in ("addition", "identity")]
+    return [(t, edits.where(F.col("edit_type") == t)) for t in [*order, "addition", "identity"]]
+
+
 def largest_groups(df: DataFrame, key: str = "obj_id", pos: str = "pos") -> DataFrame:
     """(key, n, first_pos), the largest group first, of equal ones that seen first."""
     return df.groupBy(key).agg(F.count("*").alias("n"), F.min(pos).alias("first_pos")).orderBy(F.desc("n"), "first_pos")
@@ -157,22 +168,45 @@ def chunks_with_additions(edits: DataFrame, size: int = 20) -> DataFrame:
     return chunked.select("obj_id", "edit_id", "chunk").unionByName(added.select("obj_id", "edit_id", "chunk"))
 
 
-def pack_groups(sizes: list[tuple[str, int]], buckets: int) -> dict[str, int]:
-    """Largest group first to the bucket with the least load, the lowest on a tie. On the driver, over
-    one number for each object: for up to some millions of objects."""
-    import heapq
-
-    loads = [(0, b) for b in range(buckets)]
-    placed = {}
-    for key, n in sorted(sizes, key=lambda s: -s[1]):  # stable: the first seen goes first
-        load, b = heapq.heappop(loads)
-        placed[key] = b
-        heapq.heappush(loads, (load + n, b))
-    return placed
+def packing_turns(sizes: list[tuple[int, int]], buckets: int) -> list[tuple[int, list[tuple[int, list[int]]]]]:
+    """Largest first to the bucket with the least load, the lowest on a tie, for ``sizes`` (size, how many): for each size the runs (first, buckets that take turns from there on).
+
+    A bucket's turns of one size end at loads that lie that size apart, so those of all buckets interleave: it joins once the others reach
+    its level, and within a level they go by what their loads exceed it."""
+    loads, made = [0] * buckets, []
+    for n, many in sorted(sizes, reverse=True):
+        level = [load // n for load in loads]
+        steps, first, runs, got = sorted(set(level)), 0, [], [0] * buckets
+        for at, after in zip(steps, [*steps[1:], None]):
+            turn = sorted((b for b in range(buckets) if level[b] <= at), key=lambda b: (loads[b] % n, b))
+            take = many - first if after is None else min((after - at) * len(turn), many - first)
+            runs.append((first, turn))
+            for i, b in enumerate(turn):
+                got[b] += take // len(turn) + (i < take % len(turn))
+            first += take
+            if first == many:
+                break
+        loads = [load + n * g for load, g in zip(loads, got)]
+        made.append((n, runs))
+    return made
 
 
 def packed(edits: DataFrame, buckets: int, key: str = "obj_id", pos: str = "pos") -> DataFrame:
-    """(key, n, bucket) by ``pack_groups``, kept together by object."""
-    sizes = edits.groupBy(key).agg(F.count("*").alias("n"), F.min(pos).alias("p")).orderBy("p").collect()
-    placed = pack_groups([(r[key], r["n"]) for r in sizes], buckets)
-    return edits.sparkSession.createDataFrame([(r[key], r["n"], placed[r[key]]) for r in sizes], f"{key} {edits.schema[key].dataType.simpleString()}, n bigint, bucket int")
+    """(key, n, bucket): objects kept together, the largest first (of equal ones that seen first) to the bucket with the least load.
+
+    The driver sees how many objects there are of each size, at most the root of twice the rows; objects are numbered in that order over range partitions and read their
+    bucket off their number."""
+    from quarrykit.sharedfs import cut
+
+    groups = cut(edits.groupBy(key).agg(F.count("*").alias("n"), F.min(pos).alias("p")), "groups")
+    sizes = [(r["n"], r["k"]) for r in groups.groupBy("n").agg(F.count("*").alias("k")).collect()]
+    first, rows = 0, []
+    many = dict(sizes)
+    for n, runs in packing_turns(sizes, buckets):
+        rows.append((n, first, runs))
+        first += many[n]
+    turns = edits.sparkSession.createDataFrame(rows, "n bigint, first bigint, runs array<struct<start: bigint, turn: array<int>>>")
+    at = F.col("__n") - F.col("first")
+    run = F.element_at(F.filter("runs", lambda r: r["start"] <= at), -1)
+    bucket = F.get(run["turn"], ((at - run["start"]) % F.size(run["turn"])).cast("int"))
+    return numbered(groups, [F.desc("n"), F.col("p"), F.col(key)]).join(turns, "n").select(key, "n", bucket.alias("bucket"))

@@ -6,6 +6,8 @@ Set work is joins and aggregates on (object, x, y, z). Work that needs an object
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -77,30 +79,34 @@ def dilated(mask: DataFrame, occupied: DataFrame, radius: int, key: str = "obj_i
     return now.join(cells, [key, *XYZ], "left_semi")
 
 
+def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least member of the component of each of ``n`` nodes, joined by edges (a, b): labels spread over edges and to what they point at."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        to = root.copy()
+        np.minimum.at(to, root[a], low)
+        np.minimum.at(to, root[b], low)
+        to = to[to]
+        if (to == root).all():
+            return root
+        root = to
+
+
 def _component_count(pdf: pd.DataFrame, key: str) -> pd.DataFrame:
     grid = np.clip(pdf[XYZ].to_numpy(np.int64), 0, 63)
     codes = np.unique(grid @ np.array([4096, 64, 1]))
-    root = np.arange(len(codes))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    n = len(codes)
+    n, ends = len(codes), []
     for step, edge in ((1, 64), (64, 4096), (4096, 262144)):
         to = np.searchsorted(codes, codes + step)
         joined = (to < n) & (codes[np.minimum(to, n - 1)] == codes + step) & ((codes % edge) // step != 63)
-        for i in np.flatnonzero(joined):
-            a, b = find(i), find(to[i])
-            if a != b:
-                root[a] = b
-    return pd.DataFrame({key: [pdf[key].iloc[0]], "components": [sum(find(i) == i for i in range(n))]})
+        ends.append((np.flatnonzero(joined), to[joined]))
+    root = least_labels(n, *(np.concatenate(e) for e in zip(*ends)))
+    return pd.DataFrame({key: [pdf[key].iloc[0]], "components": [len(np.unique(root))]})
 
 
 def components(v: DataFrame, key: str = "obj_id") -> DataFrame:
-    """Six-connected components of each object's cells, clipped to the 64^3 grid, by union-find."""
+    """Six-connected components of each object's cells, clipped to the 64^3 grid."""
     kind = v.schema[key].dataType.simpleString()
     return v.select(key, *XYZ).groupBy(key).applyInPandas(lambda pdf: _component_count(pdf, key), f"{key} {kind}, components int")
 
@@ -128,13 +134,15 @@ def _apart(df: DataFrame, key: str, *more: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"r_{c}") for c in (key, *XYZ, *more)])
 
 
-def _nearest(points: np.ndarray, known: np.ndarray, k: int) -> np.ndarray:
-    """Row numbers of the k nearest ``known`` (sorted by x, y, z) of each point; of equal distances the first."""
-    out = []
-    for lo in range(0, len(points), 256):
-        d = ((points[lo : lo + 256, None, :] - known[None]) ** 2).sum(axis=2)
-        out.append(np.argsort(d, axis=1, kind="stable")[:, :k])
-    return np.concatenate(out) if out else np.empty((0, k), int)
+def _nearest(points: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Row number of the nearest ``known`` (sorted by x, y, z) of each point; of equal distances the first. In blocks of some million distances."""
+    out, block = [np.empty(0, np.int64)], max(1, (1 << 22) // len(known))
+    for lo in range(0, len(points), block):
+        d = 0.0
+        for c in range(3):
+            d = d + (points[lo : lo + block, c, None] - known[None, :, c]) ** 2
+        out.append(d.argmin(axis=1))
+    return np.concatenate(out)
 
 
 def nearest_labels(unknown: DataFrame, known: DataFrame, key: str = "obj_id") -> DataFrame:
@@ -147,34 +155,67 @@ def nearest_labels(unknown: DataFrame, known: DataFrame, key: str = "obj_id") ->
         if len(right) == 0 or len(left) == 0:
             return made.assign(label=pd.Series([None] * len(made), dtype=object))
         right = right.sort_values([*XYZ, "label"])
-        return made.assign(label=right["label"].to_numpy()[_nearest(left[XYZ].to_numpy(float), right[XYZ].to_numpy(float), 1)[:, 0]])
+        return made.assign(label=right["label"].to_numpy()[_nearest(left[XYZ].to_numpy(float), right[XYZ].to_numpy(float))])
 
     types = ", ".join(f"{c} {unknown.schema[c].dataType.simpleString()}" for c in XYZ)
     return unknown.select(key, *XYZ).groupBy(key).cogroup(_apart(known, key, "label").groupBy(f"r_{key}")).applyInPandas(run, f"{key} {kind}, {types}, label string")
 
 
+@lru_cache(1)
+def _outwards(grid: int) -> np.ndarray:
+    """Numbers of the steps from a cell to all others of the grid, the shortest first, equal ones by x, y and z."""
+    by = np.arange(2 * grid - 1) - (grid - 1)
+    return np.argsort((by[:, None, None] ** 2 + by[None, :, None] ** 2 + by[None, None, :] ** 2).ravel(), kind="stable")
+
+
+def _votes(near: np.ndarray, cells: np.ndarray, flags: np.ndarray, k: int, grid: int) -> np.ndarray:
+    """How many of the k nearest ``cells`` (of equal distances the least) of each ``near`` cell are flagged. Places around a cell are looked up
+    from the nearest outwards, for all cells side by side, so the cost is that of the balls which hold k cells."""
+    side, order = 2 * grid - 1, _outwards(grid)
+    kinds = np.zeros((grid,) * 3, np.int8)
+    kinds[tuple(cells.T)] = 1 + flags.astype(np.int8)
+    left, won = np.full(len(near), k), np.zeros(len(near), np.int64)
+    live, at, width = np.arange(len(near)), 0, 64
+    while len(live):
+        step = np.stack(np.unravel_index(order[at : at + width], (side,) * 3), axis=1) - (grid - 1)
+        going = []
+        for part in np.array_split(live, -(-len(live) * len(step) // (1 << 22))):
+            to = near[part, None, :] + step[None]
+            there = ((to >= 0) & (to < grid)).all(axis=2)
+            kind = np.where(there, kinds[tuple(np.clip(to, 0, grid - 1).transpose(2, 0, 1))], 0)
+            met = np.cumsum(kind > 0, axis=1)
+            won[part] += ((kind == 2) & (met <= left[part, None])).sum(axis=1)
+            left[part] -= np.minimum(met[:, -1], left[part])
+            going.append(part[left[part] > 0])
+        live, at, width = np.concatenate(going), at + width, min(2 * width, 4096)
+    return won
+
+
+def _voted(occ: np.ndarray, box: np.ndarray, pad: int, k: int, grid: int) -> np.ndarray:
+    cells = np.unique(occ, axis=0)
+    code = lambda c: (c[:, 0] * grid + c[:, 1]) * grid + c[:, 2]
+    flags = np.isin(code(cells), code(box))
+    lo, hi = np.maximum(box.min(axis=0) - pad, 0), np.minimum(box.max(axis=0) + pad, grid - 1)
+    near = np.stack(np.meshgrid(*[np.arange(a, b + 1) for a, b in zip(lo, hi)], indexing="ij"), axis=-1).reshape(-1, 3)
+    near = near[~np.isin(code(near), code(cells))]
+    if len(cells) <= k:  # all vote on each cell
+        return near if 2 * flags.sum() > len(cells) else near[:0]
+    return near[2 * _votes(near, cells, flags, k, grid) > k]
+
+
 def voted_region(occupied: DataFrame, edited: DataFrame, key: str = "obj_id", pad: int = 3, k: int = 100, grid: int = 64) -> DataFrame:
-    """Empty cells near the edited ones (their box and ``pad``) join where over half of the k nearest occupied cells are edited."""
+    """Empty cells near the edited ones (their box and ``pad``) join where over half of the k nearest occupied cells are edited; of equal distances
+    the least cells count. Cells are on the grid; others raise."""
     kind = occupied.schema[key].dataType.simpleString()
 
     def run(occ: pd.DataFrame, ed: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({key: pd.Series(dtype=object), **{c: pd.Series(dtype=np.int32) for c in XYZ}})
-        if len(ed) == 0 or len(occ) == 0:
-            return empty
-        ed = ed.rename(columns=lambda c: c.removeprefix("r_"))
-        cells = np.unique(occ[XYZ].to_numpy(np.int64), axis=0)
-        chosen = {tuple(r) for r in ed[XYZ].to_numpy(np.int64)}
-        box = ed[XYZ].to_numpy(np.int64)
-        lo, hi = np.maximum(box.min(axis=0) - pad, 0), np.minimum(box.max(axis=0) + pad, grid - 1)
-        near = np.stack(np.meshgrid(*[np.arange(a, b + 1) for a, b in zip(lo, hi)], indexing="ij"), axis=-1).reshape(-1, 3)
-        held = {tuple(r) for r in cells}
-        near = np.array([r for r in near if tuple(r) not in held], np.int64).reshape(-1, 3)
-        if not len(near):
-            return empty
-        flags = np.array([tuple(r) in chosen for r in cells])
-        at = _nearest(near.astype(float), cells.astype(float), min(k, len(cells)))
-        won = near[flags[at].mean(axis=1) > 0.5]
-        return pd.DataFrame({key: [occ[key].iloc[0]] * len(won), "x": won[:, 0], "y": won[:, 1], "z": won[:, 2]}) if len(won) else empty
+        won = np.empty((0, 3), np.int32)
+        if len(ed) and len(occ):
+            cells, box = occ[XYZ].to_numpy(np.int64), ed.rename(columns=lambda c: c.removeprefix("r_"))[XYZ].to_numpy(np.int64)
+            if min(cells.min(), box.min()) < 0 or max(cells.max(), box.max()) >= grid:
+                raise ValueError(f"cells outside the grid of {grid}")
+            won = _voted(cells, box, pad, k, grid).astype(np.int32)
+        return pd.DataFrame({key: [occ[key].iloc[0]] * len(won) if len(won) else pd.Series(dtype=object), "x": won[:, 0], "y": won[:, 1], "z": won[:, 2]})
 
     return occupied.select(key, *XYZ).groupBy(key).cogroup(_apart(edited, key).groupBy(f"r_{key}")).applyInPandas(run, f"{key} {kind}, x int, y int, z int")
 

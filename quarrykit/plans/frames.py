@@ -35,6 +35,10 @@ FRAMES = {
     # the sides again with an order as object and cells all over the grid, so that both grow with the table
     "order_a": "SELECT CAST(l_orderkey AS STRING) AS obj_id, CAST((l_partkey * 31 + l_linenumber) % 64 AS BIGINT) AS x, CAST((l_suppkey * 29 + l_partkey) % 64 AS BIGINT) AS y, CAST((l_orderkey * 13 + l_linenumber * 7) % 64 AS BIGINT) AS z FROM {lineitem} WHERE l_returnflag <> 'R'",
     "order_b": "SELECT CAST(l_orderkey AS STRING) AS obj_id, CAST((l_partkey * 31 + l_linenumber) % 64 AS BIGINT) AS x, CAST((l_suppkey * 29 + l_partkey) % 64 AS BIGINT) AS y, CAST((l_orderkey * 13 + l_linenumber * 7) % 64 AS BIGINT) AS z FROM {lineitem} WHERE l_returnflag <> 'A'",
+    # a tetrahedron for each line of an order; the mesh after lacks some lines, has others moved, and some without their last face
+    "corners": "SELECT l.*, k, s, (n - 1) * 4 + k AS v, part % 97 + CASE WHEN k = 1 THEN 1 + disc * 10 ELSE 0 END AS x, supp % 89 + CASE WHEN k = 2 THEN 1 + disc * 10 ELSE 0 END AS y, qty + CASE WHEN k = 3 THEN 1 + disc * 10 ELSE 0 END AS z FROM {lines} l CROSS JOIN (VALUES (0, 'before'), (1, 'before'), (2, 'before'), (3, 'before'), (0, 'after'), (1, 'after'), (2, 'after'), (3, 'after')) AS c(k, s) WHERE s = 'before' OR flag <> 'R'",
+    "mesh_v": "SELECT CAST(o AS STRING) AS obj_id, s AS side, CAST(v AS INT) AS v, CAST(x + CASE WHEN s = 'after' AND qty > 40 THEN 0.5 ELSE 0 END AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(z AS DOUBLE) AS z, CAST(part % 256 AS INT) AS r, CAST(supp % 256 AS INT) AS g, CAST(qty * 5 AS INT) AS b FROM {corners} q",
+    "mesh_f": "SELECT CAST(o AS STRING) AS obj_id, s AS side, CAST(n * 4 - 4 + i AS INT) AS a, CAST(n * 4 - 4 + j AS INT) AS b, CAST(n * 4 - 4 + m AS INT) AS c FROM {corners} q JOIN (VALUES (0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3)) AS t(i, j, m) ON k = i + j + m - 3 WHERE s = 'before' OR tax <= 0.05 OR k < 3",
     "vectors": "SELECT a.vec_id AS id, a.embedding AS a, b.embedding AS b FROM {embeddings} a JOIN {embeddings} b ON b.vec_id = a.vec_id + 1",
 }
 

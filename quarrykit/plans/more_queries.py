@@ -28,6 +28,7 @@ _add("o09_pending", "SELECT e.edit_id FROM {edits} e WHERE e.edit_id NOT IN (SEL
 _add("s23_packed_status", "SELECT obj_id, CASE WHEN views = 0 THEN 'no_views' WHEN parts < 2 THEN 'too_few_parts' ELSE 'ok' END AS status, views, parts FROM (SELECT obj_id, CAST(sum(part_id) % 3 AS INT) AS views, CAST(count(*) AS INT) AS parts FROM {parts} p GROUP BY obj_id) q", lambda p: S.packed_status(p.groupBy("obj_id").agg((F.sum("part_id") % 3).cast("int").alias("views"), F.count("*").cast("int").alias("parts"))), "parts")
 _add("o17_reencoded", "SELECT CASE WHEN f.before_path IS NULL THEN 'no_ply' ELSE 'encoded' END AS status, count(*) AS n FROM {edits} e JOIN {scores} s ON s.edit_id = e.edit_id JOIN {files} f ON f.edit_id = e.edit_id WHERE edit_type = 'deletion' AND tier = 'high' GROUP BY 1", lambda e, s, f: S.reencoded(e.where("edit_type = 'deletion'"), s.where("tier = 'high'"), f.where("before_path is not null")), "edits", "scores", "files")
 _add("u09_collated", "SELECT obj_id, CAST(floor(i / 8) AS INT) AS batch, CAST(i % 8 AS INT) AS item, n, CAST(coalesce(sum(n) OVER (PARTITION BY floor(i / 8) ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM (SELECT obj_id, count(*) AS n, row_number() OVER (ORDER BY obj_id) - 1 AS i FROM {side_a} a GROUP BY obj_id) q", lambda a: S.collated(a, 8, "obj_id"), "side_a")
+_add("u09_batched_cells", "SELECT obj_id, x, y, z, CAST(floor(i / 8) AS INT) AS batch, CAST(i % 8 AS INT) AS item FROM (SELECT *, dense_rank() OVER (ORDER BY obj_id) - 1 AS i FROM {side_a} a) q", lambda a: S.batched_cells(a, 8, "obj_id"), "side_a")
 _add("j18_merged_back", "SELECT s.edit_id, s.tier, g.status FROM (SELECT edit_id, arg_max(status, pos) AS status FROM {log} l GROUP BY edit_id) g JOIN (SELECT obj_id AS edit_id, status AS tier FROM {objects} o) s ON s.edit_id = g.edit_id", lambda o, g: S.merged_back(o.select(F.col("obj_id").alias("edit_id"), F.col("status").alias("tier")), g.select("edit_id", "status", "pos")), "objects", "log")
 _add("a20_coverage", "SELECT obj_id, avg(CASE WHEN qty > 25 THEN 1.0 ELSE 0.0 END) AS coverage FROM {edits} e GROUP BY obj_id", lambda e: VX.coverage(e.select("obj_id", F.col("qty").alias("l2")), 25.0), "edits")
 _add("a26_listing_progress", "SELECT count(DISTINCT obj_id) AS folders, count(*) FILTER (WHERE flag = 'A') AS after_files, count(*) FILTER (WHERE flag = 'N') AS edited_images, count(*) AS files FROM {edits} e", lambda e: R.listing_progress(e.select(F.concat(F.lit("r/"), "obj_id", F.lit("/"), F.when(F.col("flag") == "A", "after.npz").when(F.col("flag") == "N", F.concat("edit_id", F.lit("_edited.png"))).otherwise("x.bin")).alias("path"))), "edits")
@@ -36,7 +37,7 @@ _add("m10_m12_cameras", "SELECT edit_id, round(degrees(atan2(supp - 50, qty - 25
 _add("m12_axes_turned", "SELECT edit_id, (qty + 0.5) * 2 AS x, (0.5 - disc) * 2 AS y, CAST((supp + 0.5) * 2 AS DOUBLE) AS z FROM {edits} e", lambda e: G.axes_turned(e.select("edit_id", F.col("qty").alias("x"), F.col("supp").alias("y"), F.col("disc").alias("z")), 0.5, 2.0), "edits")
 _add("m15_pixel_ids", "SELECT edit_id, part % 256 + 256 * (supp % 256) AS id FROM {edits} e", lambda e: e.select("edit_id", V.pixel_id(F.col("part") % 256, F.col("supp") % 256).alias("id")), "edits")
 _add("m16_standardised", "SELECT id, round(list_sum(list_transform(range(1, 65), lambda i: (CAST(a[i] AS DOUBLE) - 0.1) / 0.5)), 6) AS total FROM {vectors} v", lambda v: v.select("id", F.round(V.total(V.standardised(V.doubles(F.col("a")), F.array_repeat(F.lit(0.1), 64), F.array_repeat(F.lit(0.5), 64))), 6).alias("total")), "vectors")
-_add("m04_feature_change", "SELECT id, round(abs(sqrt(list_dot_product(CAST(b[1:32] AS DOUBLE[]), CAST(b[1:32] AS DOUBLE[]))) - sqrt(list_dot_product(CAST(a AS DOUBLE[]), CAST(a AS DOUBLE[])))) / sqrt(list_dot_product(CAST(a AS DOUBLE[]), CAST(a AS DOUBLE[]))), 6) AS change FROM {vectors} v", lambda v: v.select("id", F.round(V.feature_change(V.doubles(F.col("a")), F.slice(V.doubles(F.col("b")), 1, 32)), 6).alias("change")), "vectors")
+_add("m04_feature_change", "SELECT id, round(sqrt(list_sum(list_transform(range(1, 65), lambda i: (CAST(b[i] AS DOUBLE) - a[i]) * (CAST(b[i] AS DOUBLE) - a[i])))) / sqrt(list_dot_product(CAST(a AS DOUBLE[]), CAST(a AS DOUBLE[]))), 6) AS change FROM {vectors} v", lambda v: v.select("id", F.round(V.feature_change(V.doubles(F.col("a")), V.doubles(F.col("b"))), 6).alias("change")), "vectors")
 _add("m20_m21_scales", "SELECT edit_id, round(least(qty / 2, supp / 3.0, price / 4), 6) AS fit, round(greatest(qty / 2, supp / 3.0, price / 4), 6) AS ratio, round(least(1.0, 0.4 * greatest(2, 3, 4) / greatest(qty, supp, price)), 9) AS graft FROM {edits} e", lambda e: _scales(e), "edits")
 
 
@@ -69,6 +70,7 @@ _add("x09_x11_prompts", "SELECT edit_id, CASE edit_type WHEN 'modification' THEN
 _add("x12_label_lists", "SELECT obj_id, array_to_string(list_transform(range(1, len(ls) + 1), lambda i: concat('p', i - 1, '=', ls[i])), ', ') AS l FROM (SELECT obj_id, list_sort(list(label)) AS ls FROM {parts} p GROUP BY obj_id) q", lambda p: p.groupBy("obj_id").agg(F.array_sort(F.collect_list("label")).alias("ls")).select("obj_id", X.label_list(F.col("ls")).alias("l")), "parts")
 _add("n07_n11_records", "SELECT obj_id, CAST(count(*) AS INT) AS parts, CAST(count(*) FILTER (WHERE NOT core) AS INT) AS part_edits, CAST(0 AS INT) AS group_edits, CAST(0 AS INT) AS global_edits FROM (SELECT obj_id, len(list_intersect(regexp_split_to_array(lower(label), '[_\\s-]+'), ['" + "', '".join(D.CORE_WORDS) + "'])) > 0 AS core FROM {parts} p) q GROUP BY obj_id", lambda p: L.nested_counts(L.by_rules(p.groupBy("obj_id").agg(F.array_sort(F.collect_list("label")).alias("labels")).withColumn("shard", F.lit("00")))), "parts")
 _add("n09_catalog", "SELECT p.obj_id, p.label, coalesce(s.size, 0) AS cluster_size FROM (SELECT obj_id, label, CAST(row_number() OVER (PARTITION BY obj_id ORDER BY label) - 1 AS INT) AS i FROM {parts} p) p LEFT JOIN (SELECT obj_id, CAST(part_id AS INT) AS part_id, max(cluster_size) AS size FROM {parts} p GROUP BY ALL) s ON s.obj_id = p.obj_id AND s.part_id = p.i", lambda p: L.catalog(L.by_rules(p.groupBy("obj_id").agg(F.array_sort(F.collect_list("label")).alias("labels")).withColumn("shard", F.lit("00"))), sizes=p.groupBy("obj_id", "part_id").agg(F.max("cluster_size").alias("cluster_size"))).select("obj_id", "label", "cluster_size"), "parts")
+_add("j20_j21_catalog_lookup", "SELECT p.obj_id, p.i AS part_id, p.label, o.priority, coalesce(s.size, 0) AS cluster_size FROM (SELECT obj_id, label, CAST(row_number() OVER (PARTITION BY obj_id ORDER BY label) - 1 AS INT) AS i FROM {parts} p) p JOIN (SELECT * FROM {objects} x WHERE status <> 'O') o ON o.obj_id = p.obj_id LEFT JOIN (SELECT obj_id, CAST(part_id AS INT) AS part_id, max(cluster_size) AS size FROM {parts} p WHERE cluster_size > 10 GROUP BY ALL) s ON s.obj_id = p.obj_id AND s.part_id = p.i", lambda p, o: L.catalog(L.by_rules(p.groupBy("obj_id").agg(F.array_sort(F.collect_list("label")).alias("labels")).withColumn("shard", F.lit("00"))), o.where("status <> 'O'").select("obj_id", "priority"), p.where("cluster_size > 10").groupBy("obj_id", "part_id").agg(F.max("cluster_size").alias("cluster_size"))).select("obj_id", "part_id", "label", "priority", "cluster_size"), "parts", "objects")
 _add("p21_validated", "WITH a AS (SELECT obj_id, part_id, label FROM {parts} p WHERE qty > 20) SELECT p.obj_id, p.part_id, coalesce(a.label, concat('part_', p.part_id)) AS label FROM {parts} p LEFT JOIN a ON a.obj_id = p.obj_id AND a.part_id = p.part_id", lambda p: L.validated(p.where("qty > 20").select("obj_id", "part_id", "label", F.array(F.lit("scale")).alias("types"), F.col("part_id").alias("pos")), p).select("obj_id", "part_id", "label"), "parts")
 _add("w05_pending_identities", "SELECT count(*) AS n FROM {edits} e WHERE edit_type <> 'identity' AND qty > 20", lambda e: _done(e).where("status = 'success'").agg(F.count("*").alias("n")), "edits")
 _add("s22_dense_labels", "SELECT g.obj_id, CAST(g.face AS INT) AS face, coalesce(f.label, 0) AS label FROM (SELECT obj_id, unnest(range(0, m + 1)) AS face FROM (SELECT obj_id, max(part_id) AS m FROM {parts} p GROUP BY obj_id) q) g LEFT JOIN (SELECT obj_id, part_id AS face, max(cluster_size) AS label FROM {parts} p GROUP BY ALL) f ON f.obj_id = g.obj_id AND f.face = g.face", lambda p: __import__("quarrykit.sources.arrays", fromlist=["x"]).dense_labels(p.groupBy("obj_id", F.col("part_id").alias("face")).agg(F.max("cluster_size").alias("label"))), "parts")

@@ -78,7 +78,6 @@ _add(
     lambda e: K.worker_outputs(e.where("qty > 10"), e.where("qty < 40").select("edit_id").unionByName(e.where("qty between 20 and 22").select("edit_id")), "edit_id"), "edits",
 )
 _add("k08_overlapping_dispatch", "SELECT o AS k, count(DISTINCT supp % 4) AS buckets FROM {lines} l GROUP BY o HAVING count(DISTINCT supp % 4) > 1", lambda d: K.overlapping_dispatch(d.select(F.col("o").alias("k"), (F.col("supp") % 4).alias("b")), "k", "b"), "lines")
-_add("k13_keep_list", "SELECT obj_id, array_to_string(list_filter(ids, lambda x: x % 2 = 1), ',') AS keep FROM (SELECT obj_id, list_sort(list(part_id)) AS ids FROM {parts} p GROUP BY obj_id) q", lambda p: p.groupBy("obj_id").agg(F.array_sort(F.collect_list("part_id")).alias("ids")).select("obj_id", F.array_join(F.filter("ids", lambda x: x % 2 == 1), ",").alias("keep")), "parts")
 _add("k14_right_wins", "SELECT edit_id, tier FROM {scores} s WHERE edit_id NOT IN (SELECT edit_id FROM {listed} l) UNION ALL SELECT edit_id, 'listed' FROM {listed} l", lambda s, li: K.union_right_wins(s.select("edit_id", "tier"), li.withColumn("tier", F.lit("listed")), "edit_id"), "scores", "listed")
 _add("j01_resume_success", "SELECT DISTINCT e.obj_id FROM {objects} e WHERE NOT EXISTS (SELECT 1 FROM {log} l WHERE l.edit_id = e.obj_id AND l.status = 'success')", lambda o, g: K.not_succeeded(o.select(F.col("obj_id").alias("edit_id")), g, "edit_id").select(F.col("edit_id").alias("obj_id")).distinct(), "objects", "log")
 _add("j01_succeeded_last", "SELECT edit_id FROM {log} l GROUP BY edit_id HAVING arg_max(status, pos) = 'success'", lambda g: K.succeeded_last(g, "edit_id"), "log")
@@ -124,7 +123,6 @@ _add("j10_promoted_additions", "SELECT a.edit_id, a.source_del_id, CASE WHEN f.b
 _add("j11_paired_by_suffix", "SELECT d.edit_id AS del_id, a.edit_id AS add_id, concat('add_', substr(d.edit_id, 5)) AS reverse_id FROM {edits} d LEFT JOIN {edits} a ON a.edit_type = 'addition' AND substr(a.edit_id, 5) = substr(d.edit_id, 5) WHERE d.edit_type = 'deletion'", P.paired_by_suffix, "edits")
 _add("j11b_paired_by_parts", "SELECT d.edit_id AS del_id, min(a.edit_id) AS add_id FROM {edits} d LEFT JOIN {edits} a ON a.edit_type = 'addition' AND a.obj_id = d.obj_id AND a.supp % 3 = d.supp % 3 WHERE d.edit_type = 'deletion' GROUP BY d.edit_id", lambda e: P.paired_by_parts(e.withColumn("part_ids", F.array((F.col("supp") % 3).cast("int"), (F.col("supp") % 3).cast("int")))), "edits")
 _add("j19_prompts", "SELECT e.edit_id, coalesce(CASE WHEN g.reason <> '' THEN g.reason END, CASE WHEN e.qty > 25 THEN concat('Make it ', e.flag) END, CASE WHEN s.qty > 25 THEN concat('Add back make it ', s.flag) END, '') AS prompt FROM {edits} e LEFT JOIN {edits} s ON s.edit_id = e.source_del_id LEFT JOIN (SELECT edit_id, arg_max(reason, pos) AS reason FROM {log} l WHERE status = 'success' GROUP BY edit_id) g ON g.edit_id = e.edit_id", lambda e, g: P.resolved_prompts(e.select("edit_id", "source_del_id"), g.withColumn("prompt", F.col("reason")), e.select("edit_id", F.when(F.col("qty") > 25, F.concat(F.lit("Make it "), "flag")).otherwise("").alias("prompt"))), "edits", "log")
-_add("j20_j21_catalog_lookup", "SELECT p.obj_id, p.part_id, o.priority, coalesce(CASE WHEN p.cluster_size > 10 THEN p.cluster_size END, 0) AS cluster_size FROM {parts} p JOIN {objects} o ON o.obj_id = p.obj_id", lambda p, o: p.join(o.select("obj_id", "priority"), "obj_id").join(p.where("cluster_size > 10").select("obj_id", "part_id", F.col("cluster_size").alias("s")), ["obj_id", "part_id"], "left").select("obj_id", "part_id", "priority", F.coalesce("s", F.lit(0)).alias("cluster_size")), "parts", "objects")
 _W05 = "SELECT obj_id, min_by(edit_id, pos) AS source_id FROM {edits} r WHERE qty > 20 AND edit_type <> 'identity' GROUP BY obj_id"
 _done = lambda e: e.where("edit_type <> 'identity'").withColumn("status", F.when(F.col("qty") > 20, "success").otherwise("failed"))
 _add("w05_first_success", _W05.replace("source_id", "edit_id"), lambda e: P.first_success(_done(e)), "edits")
@@ -134,19 +132,22 @@ _add("o07_both_directions", "SELECT e.obj_id, e.edit_id, 'deletion' AS edit_type
 _add("s31_packed_entries", "SELECT e.obj_id, e.edit_id, e.edit_type, CAST(row_number() OVER (PARTITION BY e.obj_id, e.edit_type ORDER BY e.pos) - 1 AS INT) AS seq, b.original_path, CASE WHEN e.edit_type NOT IN ('addition', 'identity') THEN f.after_path END AS file_path FROM {edits} e JOIN {files} f ON f.edit_id = e.edit_id LEFT JOIN (SELECT x.obj_id, min_by(y.before_path, x.pos) AS original_path FROM {edits} x JOIN {files} y ON x.edit_id = y.edit_id WHERE y.before_path IS NOT NULL GROUP BY x.obj_id) b ON b.obj_id = e.obj_id", lambda e, f: P.packed_object_entries(e, f), "edits", "files")
 _add("s32_manifest", "SELECT shard, obj_id, CAST(row_number() OVER (PARTITION BY obj_id ORDER BY pos) - 1 AS INT) AS edit_idx, edit_id, edit_type FROM {edits} e", lambda e: P.manifest(e.groupBy("shard", "obj_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "edit_id", "edit_type"))), lambda s: F.struct(s["edit_id"].alias("edit_id"), s["edit_type"].alias("edit_type"))).alias("edits"))), "edits")
 _add("s40_first_existing", "SELECT edit_id, coalesce(before_path, after_path) AS path FROM {files} f WHERE coalesce(before_path, after_path) IS NOT NULL", lambda f: P.first_existing(f.select("edit_id", F.col("before_path").alias("path"), F.lit(0).alias("rank")).unionByName(f.select("edit_id", F.col("after_path").alias("path"), F.lit(1).alias("rank"))).where("path is not null"), "edit_id"), "files")
-_CAT = "(SELECT CAST(row_number() OVER (ORDER BY obj_id, part_id) AS INT) AS idx, obj_id, concat(kind, '|', brand, '|', label) AS category, CASE WHEN qty > 10 THEN flag END AS object_type, cluster_size, qty AS aspect FROM (SELECT p.*, CASE WHEN p.qty > 25 THEN 'a' ELSE 'b' END AS flag FROM {parts} p) q)"
 
 
-def _candidates(p: DataFrame, *category: str) -> DataFrame:
+def _candidates(p: DataFrame) -> DataFrame:
     cat = S.numbered(p, ["obj_id", "part_id"], "idx").select(
-        (F.col("idx") + 1).cast("int").alias("idx"), "obj_id", F.concat_ws("|", *category).alias("category"), F.when(F.col("qty") > 10, F.when(F.col("qty") > 25, "a").otherwise("b")).alias("object_type"), "cluster_size", F.col("qty").alias("aspect")
+        (F.col("idx") + 1).cast("int").alias("idx"), "obj_id", F.col("kind").alias("category"), F.when(F.col("qty") > 10, F.when(F.col("qty") > 25, "a").otherwise("b")).alias("object_type"), "cluster_size", F.col("qty").alias("aspect")
     )
     return G.swap_candidates(cat, 3).select("idx", "candidate", F.col("rank").cast("int").alias("rank"))
 
 
-_add("j12_swap_candidates", f"WITH c AS {_CAT} SELECT * FROM (SELECT a.idx, b.idx AS candidate, CAST(row_number() OVER (PARTITION BY a.idx ORDER BY b.idx) AS INT) AS rank FROM c a JOIN c b ON a.category = b.category AND a.obj_id <> b.obj_id AND coalesce(a.object_type = b.object_type, TRUE) AND (a.cluster_size <= 0 OR b.cluster_size <= 0 OR greatest(a.cluster_size, b.cluster_size) <= 5 * least(a.cluster_size, b.cluster_size)) AND (a.aspect <= 0 OR b.aspect <= 0 OR greatest(a.aspect, b.aspect) <= 2 * least(a.aspect, b.aspect))) q WHERE rank <= 3", lambda p: _candidates(p, "kind", "brand", "label"), "parts")
-# the operator's own category; all pairs of a kind are too many for SQL, the tests compare with brute force
-_add("j12_swap_candidates_by_kind", None, lambda p: _candidates(p, "kind"), "parts")
+_add(
+    "j12_swap_candidates",
+    """WITH c AS (SELECT CAST(row_number() OVER (ORDER BY obj_id, part_id) AS INT) AS idx, obj_id, kind, CASE WHEN qty > 25 THEN 'a' WHEN qty > 10 THEN 'b' END AS t, cluster_size AS s, qty AS r FROM {parts} p),
+    m AS (SELECT a.idx, min(b.idx, 3) AS best FROM c a JOIN c b ON a.kind = b.kind WHERE a.obj_id <> b.obj_id AND coalesce(a.t = b.t, TRUE) AND (a.s <= 0 OR b.s <= 0 OR greatest(a.s, b.s) <= 5 * least(a.s, b.s)) AND (a.r <= 0 OR b.r <= 0 OR greatest(a.r, b.r) <= 2 * least(a.r, b.r)) GROUP BY a.idx)
+    SELECT idx, unnest(best) AS candidate, CAST(unnest(range(1, len(best) + 1)) AS INT) AS rank FROM m""",
+    _candidates, "parts",
+)
 
 # --- aggregates ------------------------------------------------------------------------------
 
@@ -155,13 +156,13 @@ _add("a01_a02_summary", "SELECT shard, tier, edit_type, count(*) AS n, CAST(grou
 _add("a02_clean_counts", f"SELECT shard, count(*) AS n, count(*) FILTER (WHERE tier IN ('high', 'medium')) AS passed, count(*) FILTER (WHERE {_rank('tier')} <= 2) AS clean FROM {{edits}} e JOIN {{scores}} s USING (edit_id) GROUP BY shard", lambda e, s: Q.clean_counts(_scored(e, s), "low", "shard"), "edits", "scores")
 _add("a03_stage_counts", "SELECT count(*) AS rows, count(DISTINCT k) AS ids, count(*) - count(DISTINCT k) AS duplicates FROM {rows} r", lambda r: R.stage_counts(r, "k"), "rows")
 _add("a03_counts_by", "SELECT coalesce(CASE WHEN tax < 0.05 THEN flag END, 'unknown') AS value, count(*) AS n FROM {edits} e GROUP BY 1", lambda e: R.counts_by(e, F.when(F.col("tax") < 0.05, F.col("flag"))), "edits")
-_add("a04_failure_reasons", "SELECT substr(reason, 1, 3) AS reason, count(*) AS n, min(pos) AS first_pos FROM {log} l WHERE status <> 'success' GROUP BY 1", lambda g: R.failure_reasons(g, 3), "log")
+_add("a04_failure_reasons", "SELECT substr(reason, 1, 120) AS reason, count(*) AS n, min(pos) AS first_pos FROM {log} l WHERE status <> 'success' GROUP BY 1", lambda g: R.failure_reasons(g), "log")
 _add("a06_category_summary", "SELECT kind AS category, count(*) AS parts, count(DISTINCT obj_id) AS objects FROM {parts} p GROUP BY kind ORDER BY parts DESC, category LIMIT 20", lambda p: R.category_summary(p.withColumn("category", F.col("kind"))), "parts")
 _add("a07_type_counts", "SELECT obj_id, " + ", ".join(f"count(*) FILTER (WHERE edit_type = '{t}') AS \"{t}\"" for t in D.EDIT_TYPES) + " FROM {edits} e GROUP BY obj_id", lambda e: R.type_counts(e, D.EDIT_TYPES), "edits")
 _add("a08_quality_report", "SELECT count(*) AS total, count(*) FILTER (WHERE qty > 20) AS passed, count(*) FILTER (WHERE NOT qty > 20) AS failed, round(count(*) FILTER (WHERE qty > 20) / greatest(count(*), 1), 4) AS pass_rate, round(avg(disc), 4) AS mean_score, round(median(disc), 4) AS median_score FROM {edits} e", lambda e: Q.quality_report(e.select((F.col("qty") > 20).alias("passed"), F.col("disc").alias("score"))), "edits")
 _add("a10_tier_distribution", "SELECT tier, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 1) AS percent FROM {scores} s GROUP BY tier", Q.tier_distribution, "scores")
 _add("a11_match_report", "SELECT priority AS category, count(*) AS n, count(l.edit_id) AS matched, count(*) - count(l.edit_id) AS unmatched FROM {objects} o LEFT JOIN (SELECT DISTINCT edit_id FROM {log} g) l ON l.edit_id = o.obj_id GROUP BY priority", lambda o, g: R.match_report(o.withColumn("category", F.col("priority")), g.select(F.col("edit_id").alias("obj_id")), "obj_id"), "objects", "log")
-_add("a12_training_meta", "SELECT count(DISTINCT obj_id) AS objects, count(*) AS edits FROM {edits} e", lambda e: P.training_meta(e).select("objects", "edits"), "edits")
+_add("a12_training_meta", "SELECT objects, edits, edit_type, n FROM (SELECT count(DISTINCT obj_id) AS objects, count(*) AS edits FROM {edits} e) w CROSS JOIN (SELECT edit_type, count(*) AS n FROM {edits} e GROUP BY edit_type) k", lambda e: P.training_meta(e).select("objects", "edits", F.explode("by_type").alias("t")).select("objects", "edits", "t.edit_type", "t.n"), "edits")
 _add("a14_passed_per_object", "SELECT e.obj_id, count(*) AS n, count(*) FILTER (WHERE tier IN ('high', 'medium')) AS passed, count(*) FILTER (WHERE tier = 'high') AS clean FROM {edits} e JOIN {scores} s USING (edit_id) GROUP BY e.obj_id", lambda e, s: Q.clean_counts(e.select("edit_id", "obj_id").join(s, "edit_id"), "high", "obj_id"), "edits", "scores")
 _add("a15_majority_labels", "SELECT obj_id, arg_min(cluster_size, CAST(-n AS BIGINT) * 1000 + cluster_size) AS cluster_size FROM (SELECT obj_id, cluster_size, count(*) AS n FROM {parts} p GROUP BY ALL) q GROUP BY obj_id", lambda p: G.majority_labels(p, "obj_id", "cluster_size"), "parts")
 _PIX = "(SELECT CAST(l_orderkey % 300 AS STRING) AS obj_id, CAST(l_partkey % 5 AS INT) AS \"view\", CAST(l_suppkey % 4 AS INT) - 1 AS part FROM {lineitem})"
@@ -184,11 +185,18 @@ _add("t01_limit", "SELECT edit_id FROM {edits} e WHERE edit_type = 'scale' ORDER
 _add("t02_top_counts", "SELECT part AS value, count(*) AS n, min(pos) AS first_pos FROM {edits} e GROUP BY part ORDER BY n DESC, first_pos LIMIT 20", lambda e: S.top_counts(e, F.col("part")), "edits")
 _add("t05_first_k", "SELECT edit_id FROM (SELECT edit_id, row_number() OVER (PARTITION BY edit_type ORDER BY pos) AS r FROM {edits} e) q WHERE r <= 7", lambda e: S.first_k(e, 7, ["edit_type"], ["pos"]).select("edit_id"), "edits")
 _add("t07_sampled_templates", "SELECT obj_id, t AS template, CAST(draw AS INT) AS draw FROM (SELECT obj_id, ['red', 'green', 'blue', 'grey'][i + 1] AS t, row_number() OVER (PARTITION BY obj_id ORDER BY md5(concat_ws('|', 's', obj_id, CAST(i AS STRING)))) AS draw FROM (SELECT obj_id, unnest(range(0, 4)) AS i FROM {objects} o) q) q WHERE draw <= 2", lambda o: S.sampled_templates(o.select("obj_id"), ["red", "green", "blue", "grey"], 2, "s", "obj_id").select("obj_id", "template", F.col("draw").cast("int").alias("draw")), "objects")
-_add("t09_grouped_shuffle", "SELECT edit_id, md5(concat_ws('|', '8', shard, obj_id)) AS o FROM {edits} e", lambda e: S.grouped_shuffle(e, 7, 1).select("edit_id", S.digest_rank("8", F.col("shard"), F.col("obj_id")).alias("o")), "edits")
+_add("t09_grouped_shuffle", "SELECT edit_id, row_number() OVER (ORDER BY md5(concat_ws('|', '8', shard, obj_id)), shard, obj_id, md5(concat_ws('|', '8', edit_id)), edit_id) - 1 AS place FROM {edits} e", lambda e: S.numbered(e, S.shuffle_order(7, 1), "place").select("edit_id", "place"), "edits")
 _add("w08_modulo_parts", "SELECT obj_id, CAST((row_number() OVER (ORDER BY num) - 1) % 6 AS INT) AS part FROM {objects} o", lambda o: S.modulo_part(o.select("obj_id", "num"), ["num"], 6).select("obj_id", "part"), "objects")
 _add("w10_range_parts", "SELECT obj_id, CAST(floor((row_number() OVER (ORDER BY num) - 1) / ceil((SELECT count(*) FROM {objects} o) / 7)) AS INT) AS part FROM {objects} o", lambda o: S.range_part(o.select("obj_id", "num"), ["num"], 7).select("obj_id", "part"), "objects")
 _add("w11_chunks", "WITH d AS (SELECT shard AS obj_id, edit_id, CAST(floor((row_number() OVER (PARTITION BY shard ORDER BY pos) - 1) / 20) AS INT) AS chunk FROM {edits} e WHERE edit_type = 'deletion') SELECT * FROM d UNION ALL SELECT a.shard, a.edit_id, d.chunk FROM {edits} a JOIN d ON d.edit_id = a.source_del_id WHERE a.edit_type = 'addition'", lambda e: S.chunks_with_additions(e.withColumn("obj_id", F.col("shard"))), "edits")
-_add("o01_packed", None, lambda e: S.packed(e.select("obj_id", "pos"), 8), "edits")
+_add(
+    "o01_packed",
+    """WITH RECURSIVE g AS MATERIALIZED (SELECT obj_id, n, row_number() OVER (ORDER BY n DESC, p, obj_id) AS i FROM (SELECT obj_id, count(*) AS n, min(pos) AS p FROM {edits} e GROUP BY obj_id) q),
+    s AS (SELECT 0 AS i, CAST(NULL AS VARCHAR) AS obj_id, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS bucket, [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0] AS loads
+      UNION ALL SELECT g.i, g.obj_id, g.n, list_position(s.loads, list_min(s.loads)) - 1, list_transform(s.loads, lambda x, k: x + CASE WHEN k = list_position(s.loads, list_min(s.loads)) THEN g.n ELSE 0 END) FROM s JOIN g ON g.i = s.i + 1)
+    SELECT obj_id, n, CAST(bucket AS INT) AS bucket FROM s WHERE i > 0""",
+    lambda e: S.packed(e.select("obj_id", "pos"), 8), "edits",
+)
 
 # --- arrays and voxels ------------------------------------------------------------------------
 
@@ -196,7 +204,7 @@ _A, _B = "CAST(a AS DOUBLE[])", "CAST(b AS DOUBLE[])"
 _va, _vb = (lambda: V.doubles(F.col("a"))), (lambda: V.doubles(F.col("b")))
 _add("m02_m05_latents", f"SELECT id, round(list_dot_product({_A}, {_B}) / (sqrt(list_dot_product({_A}, {_A})) * sqrt(list_dot_product({_B}, {_B}))), 6) AS cosine, round(list_distance({_A}, {_B}) / sqrt(list_dot_product({_A}, {_A})), 6) AS l2, round(list_max([abs(x - y) for x, y in zip_(a, b)]), 6) AS diff FROM {{vectors}} v".replace("list_max([abs(x - y) for x, y in zip_(a, b)])", f"list_max(list_transform(range(1, 65), lambda i: abs(({_A})[i] - ({_B})[i])))"), lambda v: v.select("id", F.round(V.cosine(_va(), _vb()), 6).alias("cosine"), F.round(V.relative_l2(_va(), _vb()), 6).alias("l2"), F.round(V.max_difference(_va(), _vb()), 6).alias("diff")), "vectors")
 _add("a19_array_stats", f"SELECT id, round(list_avg({_A}), 6) AS mean, round(list_stddev_pop({_A}), 6) AS std, round(list_max(list_transform({_A}, lambda x: abs(x))), 6) AS top FROM {{vectors}} v", lambda v: v.select("id", F.round(V.mean(_va()), 6).alias("mean"), F.round(V.deviation(_va()), 6).alias("std"), F.round(V.max_abs(_va()), 6).alias("top")), "vectors")
-_add("m19_blend", f"SELECT id, round(list_sum(list_transform(range(1, 65), lambda i: ({_A})[i] + 0.25 * (({_B})[i] - ({_A})[i]))), 6) AS total FROM {{vectors}} v", lambda v: v.select("id", F.round(V.total(V.blend(_va(), _vb(), 0.25)), 6).alias("total")), "vectors")
+_add("m19_blend", f"SELECT id, i, round(({_A})[i + 1] + 0.25 * (({_B})[i + 1] - ({_A})[i + 1]), 6) AS x FROM (SELECT *, unnest(range(0, 64)) AS i FROM {{vectors}} v) q", lambda v: v.select("id", F.posexplode(V.blend(_va(), _vb(), 0.25)).alias("i", "x")).select("id", F.col("i").cast("long").alias("i"), F.round("x", 6).alias("x")), "vectors")
 _SIZES = "(SELECT coalesce(a.obj_id, b.obj_id) AS obj_id, count(*) FILTER (WHERE b.obj_id IS NULL) AS only_a, count(*) FILTER (WHERE a.obj_id IS NULL) AS only_b, count(*) FILTER (WHERE a.obj_id = b.obj_id) AS common FROM (SELECT DISTINCT * FROM {side_a} q) a FULL JOIN (SELECT DISTINCT * FROM {side_b} q) b USING (obj_id, x, y, z) GROUP BY 1)".replace("USING (obj_id, x, y, z)", "ON a.obj_id = b.obj_id AND a.x = b.x AND a.y = b.y AND a.z = b.z")
 _add("k10_k11_locality", f"SELECT *, CASE WHEN only_a + only_b + common = 0 THEN 0.0 ELSE (only_a + only_b) / (only_a + only_b + common) END AS locality FROM {_SIZES} s", lambda a, b: VX.locality(VX.set_sizes(a, b)), "side_a", "side_b")
 _add("k12_vertex_difference", f"SELECT obj_id, (only_a + only_b) / (greatest(only_a, only_b) + common) AS difference FROM {_SIZES} s", lambda a, b: VX.vertex_difference(a.select("obj_id", *[F.col(c).cast("double").alias(c) for c in "xyz"]), b.select("obj_id", *[F.col(c).cast("double").alias(c) for c in "xyz"])), "side_a", "side_b")
@@ -216,10 +224,24 @@ def _iou(a: DataFrame, b: DataFrame) -> DataFrame:
 
 _add("m01_box_iou", f"SELECT obj_id, round(i / (v + w - i), 9) AS iou FROM (SELECT a.obj_id, CAST({_INTER} AS DOUBLE) AS i, {_VOL('a')} AS v, {_VOL('b')} AS w FROM {_BOXES % 'side_a'} a JOIN {_BOXES % 'side_b'} b ON a.obj_id = b.obj_id) q", _iou, "side_a", "side_b")
 _add("a22_unique_cells", "SELECT obj_id, count(*) AS n, count(DISTINCT (x, y, z)) AS n_unique FROM {side_a} a GROUP BY obj_id", VX.unique_cells, "side_a")
-_add("q17_components", None, VX.components, "side_a")
+_add(
+    "q17_components",
+    """WITH RECURSIVE c AS (SELECT DISTINCT obj_id, least(greatest(x, 0), 63) * 4096 + least(greatest(y, 0), 63) * 64 + least(greatest(z, 0), 63) AS i FROM {side_a} a), s(d) AS (VALUES (1), (64), (4096)),
+    e AS (SELECT a.obj_id, a.i, b.i AS j FROM c a CROSS JOIN s JOIN c b ON b.obj_id = a.obj_id AND b.i = a.i + s.d WHERE (a.i // s.d) % 64 <> 63), n AS MATERIALIZED (SELECT obj_id, i, j FROM e UNION ALL SELECT obj_id, j, i FROM e),
+    l(obj_id, i, label) USING KEY (obj_id, i) AS (SELECT obj_id, i, i FROM c UNION (SELECT n.obj_id, n.i, min(l.label) FROM l JOIN n ON n.obj_id = l.obj_id AND n.j = l.i JOIN recurring.l r ON r.obj_id = n.obj_id AND r.i = n.i GROUP BY n.obj_id, n.i, r.label HAVING min(l.label) < r.label))
+    SELECT obj_id, CAST(count(DISTINCT label) AS INT) AS components FROM l GROUP BY obj_id""",
+    VX.components, "side_a",
+)
 _add("j13_nearest_labels", "SELECT u.obj_id, u.x, u.y, u.z, arg_min(k.label, ((u.x - k.x) * (u.x - k.x) + (u.y - k.y) * (u.y - k.y) + (u.z - k.z) * (u.z - k.z)) * 1000000 + k.x * 10000 + k.y * 100 + k.z) AS label FROM (SELECT DISTINCT * FROM {side_a} a WHERE x < 2) u JOIN (SELECT DISTINCT obj_id, x, y, z, CASE WHEN y > 5 THEN 'up' ELSE 'down' END AS label FROM {side_b} b WHERE x >= 2) k ON k.obj_id = u.obj_id GROUP BY ALL", lambda a, b: VX.nearest_labels(a.where("x < 2").distinct(), b.where("x >= 2").distinct().withColumn("label", F.when(F.col("y") > 5, "up").otherwise("down"))).where("label is not null"), "side_a", "side_b")
 _add("o14_dilated", "WITH m AS (SELECT DISTINCT * FROM {side_a} a WHERE x < 3), d AS (SELECT DISTINCT m.obj_id, m.x + s.dx AS x, m.y + s.dy AS y, m.z + s.dz AS z FROM m CROSS JOIN (VALUES (0,0,0),(1,0,0),(-1,0,0),(0,1,0),(0,-1,0),(0,0,1),(0,0,-1)) s(dx, dy, dz)) SELECT d.obj_id, d.x, d.y, d.z FROM d SEMI JOIN {side_b} b USING (obj_id, x, y, z)", lambda a, b: VX.dilated(a.where("x < 3"), b, 1), "side_a", "side_b")
-_add("j14_voted_region", None, lambda a: VX.voted_region(a, a.where("x < 4")), "side_a")
+_add(
+    "j14_voted_region",
+    """WITH o AS (SELECT DISTINCT obj_id, x, y, z FROM {side_a} a), b AS (SELECT obj_id, greatest(min(x) - 3, 0) AS x0, least(max(x) + 3, 63) AS x1, greatest(min(y) - 3, 0) AS y0, least(max(y) + 3, 63) AS y1, greatest(min(z) - 3, 0) AS z0, least(max(z) + 3, 63) AS z1 FROM o WHERE x < 4 GROUP BY obj_id),
+    g AS (SELECT obj_id, x, y, unnest(range(z0, z1 + 1)) AS z FROM (SELECT obj_id, x, unnest(range(y0, y1 + 1)) AS y, z0, z1 FROM (SELECT obj_id, unnest(range(x0, x1 + 1)) AS x, y0, y1, z0, z1 FROM b) q) q), e AS (SELECT g.* FROM g ANTI JOIN o ON o.obj_id = g.obj_id AND o.x = g.x AND o.y = g.y AND o.z = g.z),
+    v AS (SELECT e.obj_id, e.x, e.y, e.z, arg_min(o.x < 4, ((e.x - o.x) * (e.x - o.x) + (e.y - o.y) * (e.y - o.y) + (e.z - o.z) * (e.z - o.z)) * 1000000 + o.x * 10000 + o.y * 100 + o.z, 100) AS near FROM e JOIN o ON o.obj_id = e.obj_id GROUP BY ALL)
+    SELECT obj_id, CAST(x AS INT) AS x, CAST(y AS INT) AS y, CAST(z AS INT) AS z FROM v WHERE 2 * len(list_filter(near, lambda f: f)) > len(near)""",
+    lambda a: VX.voted_region(a, a.where("x < 4")), "side_a",
+)
 _add("m22_voxelised", "SELECT DISTINCT obj_id, " + ", ".join(f"greatest(0, least(63, CAST(floor(({c} / 12.0 - 0.5 + 0.5) * 64) AS INT))) AS {c}" for c in "xyz") + " FROM {side_a} a", lambda a: VX.voxelised(a.select("obj_id", *[(F.col(c) / 12.0 - 0.5).alias(c) for c in "xyz"])), "side_a")
 _add("a21_j17_gap", "WITH p AS (SELECT * FROM {side_a} a WHERE z < 3), b AS (SELECT * FROM {side_b} b WHERE z >= 3), d AS (SELECT p.obj_id, p.x, p.y, p.z, min(sqrt((p.x - b.x) * (p.x - b.x) + (p.y - b.y) * (p.y - b.y) + (p.z - b.z) * (p.z - b.z))) AS d FROM p JOIN b ON p.obj_id = b.obj_id GROUP BY ALL) SELECT obj_id, round(quantile_cont(d, 0.1), 6) AS gap FROM d GROUP BY obj_id", lambda a, b: G.gap_distance(a.where("z < 3"), b.where("z >= 3")).select("obj_id", F.round("gap", 6).alias("gap")), "side_a", "side_b")
 _CAM_SQL = "SELECT obj_id, pos AS view, CAST(qty - 25 AS DOUBLE) AS cx, CAST(disc * 100 - 5 AS DOUBLE) AS cy, CAST(supp % 30 AS DOUBLE) AS cz, supp % 3 > 0 AS has_image FROM {edits} e"
@@ -316,3 +338,41 @@ def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["planner_specs"] = planned
+_DRAWN = lambda kind, options: " UNION ALL ".join(f"SELECT '{kind}' AS kind, '{i}' AS k, '{t}' AS t" for i, t in enumerate(options))
+ORACLE["planner_specs"] = sql_of(
+    """WITH t AS ("""
+    + " UNION ALL ".join(
+        [
+            _DRAWN("scale", ["Make the {part} larger", "Make the {part} smaller", "Stretch the {part} upwards", "Widen the {part}", "Double the height of the {part}", "Halve the {part} in size", "Make the {part} thinner", "Flatten the {part}"]),
+            _DRAWN("material", ["Turn the {part} into wood", "Turn the {part} into brushed steel", "Give the {part} a marble surface", "Make the {part} of clear glass", "Cover the {part} with leather", "Cast the {part} in bronze", "Give the {part} a coat of matte paint", "Make the {part} of woven rattan"]),
+            _DRAWN("identity", ["Leave the {obj} as it is", "Change nothing about the {obj}", "Keep the {obj} unchanged", "Return the {obj} without an edit", "Do not alter the {obj}", "Let the {obj} stay the same", "Make no edit to the {obj}", "Hand back the {obj} untouched"]),
+        ]
+    ).replace("{", "<").replace("}", ">")
+    + """), p AS (SELECT obj_id, label, trim(replace(label, '_', ' ')) AS name, CAST(row_number() OVER (PARTITION BY obj_id ORDER BY part_id, label) - 1 AS INT) AS i, count(*) OVER (PARTITION BY obj_id) AS parts FROM {parts} x),
+    q AS (SELECT *, len(list_intersect(regexp_split_to_array(lower(label), '[_\\s-]+'), ['body', 'torso', 'base', 'frame', 'main', 'head', 'wall', 'floor', 'chassis', 'hull', 'trunk'])) > 0 AS core FROM p WHERE parts >= 2),
+    d AS (SELECT *, lpad(CAST(row_number() OVER (PARTITION BY obj_id ORDER BY i) - 1 AS VARCHAR), 3, '0') AS k FROM q WHERE NOT core),
+    o AS (SELECT obj_id, concat('An object with ', string_agg(name, ', ' ORDER BY i)) AS whole FROM q GROUP BY obj_id),
+    m AS (SELECT obj_id, kind, i, arg_min(replace(t, '<part>', name), md5(concat_ws('|', t.k, obj_id, kind, CAST(i AS VARCHAR)))) AS said FROM q CROSS JOIN t WHERE kind <> 'identity' GROUP BY obj_id, kind, i, name)
+    SELECT concat('del_', obj_id, '_', k) AS edit_id, 'deletion' AS edit_type, obj_id, i AS old_part_id, '' AS source_del_id, concat('Remove the ', name) AS edit_prompt FROM d
+    UNION ALL SELECT concat('add_', obj_id, '_', k), 'addition', obj_id, i, concat('del_', obj_id, '_', k), concat('Add the ', name) FROM d
+    UNION ALL SELECT concat(CASE kind WHEN 'scale' THEN 'scl' ELSE 'mat' END, '_', obj_id, '_', lpad(CAST(row_number() OVER (PARTITION BY obj_id, kind ORDER BY i) - 1 AS VARCHAR), 3, '0')), kind, obj_id, i, '', said FROM m
+    UNION ALL SELECT concat('idt_', obj_id, '_000'), 'identity', obj_id, -1, '', arg_min(replace(t, '<obj>', whole), md5(concat_ws('|', t.k, obj_id, kind))) FROM o CROSS JOIN t WHERE kind = 'identity' GROUP BY obj_id, whole"""
+)
+
+
+def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that stay in the deletions of the planner."""
+    from quarrykit.operators import labels as L
+    from quarrykit.operators.planner import plan
+
+    parts = frame(spark, sf_dir, "parts")
+    objects = parts.groupBy("obj_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("part_id", "label"))), lambda p: p["label"]).alias("labels")).withColumn("shard", F.lit("00"))
+    return plan(L.by_rules(objects)).where("edit_type = 'deletion'").select("obj_id", "old_part_id", F.array_join("keep_part_ids", ",").alias("keep"))
+
+
+QUERIES["k13_keep_list"] = _kept
+ORACLE["k13_keep_list"] = sql_of(
+    """WITH q AS (SELECT obj_id, label, CAST(row_number() OVER (PARTITION BY obj_id ORDER BY part_id, label) - 1 AS INT) AS i FROM {parts} x)
+    SELECT a.obj_id, a.i AS old_part_id, string_agg(CAST(b.i AS VARCHAR), ',' ORDER BY b.i) AS keep FROM q a JOIN q b ON b.obj_id = a.obj_id AND b.i <> a.i
+    WHERE len(list_intersect(regexp_split_to_array(lower(a.label), '[_\\s-]+'), ['body', 'torso', 'base', 'frame', 'main', 'head', 'wall', 'floor', 'chassis', 'hull', 'trunk'])) = 0 GROUP BY a.obj_id, a.i"""
+)

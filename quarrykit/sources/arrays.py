@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrykit.sources.files import put
+
 PAIR = "path string, status string, reason string, n int, coords array<array<int>>, feats array<array<float>>, ss array<float>"
 
 
@@ -67,18 +69,15 @@ def write_pairs(df: DataFrame, folder: str) -> DataFrame:
     """Write each row's arrays as ``<name>.npz`` under a folder that all executors share; (name, status) rows come back when it runs."""
 
     def run(batches):
-        import os
-        import uuid
-
         for b in batches:
             out = []
             for name, coords, feats, ss in zip(b["name"], b["coords"], b["feats"], b["ss"]):
-                arrays = {"slat_coords": np.array([list(c) for c in coords], np.int32), "slat_feats": np.array([list(f) for f in feats], np.float32)}
+                arrays = {"slat_coords": np.stack(coords).astype(np.int32) if len(coords) else np.empty((0, 4), np.int32), "slat_feats": np.stack(feats).astype(np.float32) if len(feats) else np.empty((0, 0), np.float32)}
                 if ss is not None:
                     arrays["ss"] = np.array(ss, np.float32)
-                part = os.path.join(folder, f".{uuid.uuid4().hex}.npz")
-                np.savez_compressed(part, **arrays)
-                os.replace(part, os.path.join(folder, f"{name}.npz"))  # a task that runs twice writes the same file
+                data = io.BytesIO()
+                np.savez_compressed(data, **arrays)
+                put(folder, f"{name}.npz", data.getvalue())
                 out.append((name, "ok"))
             yield pd.DataFrame(out, columns=["name", "status"])
 
@@ -128,7 +127,7 @@ def dense_labels(faces: DataFrame, key: str = "obj_id") -> DataFrame:
 
 
 def image_by_view(images: DataFrame, key: str = "obj_id") -> DataFrame:
-    """(key, view, data): the png of a view, else its webp; of the thumbnail rule the view 'NNN' first."""
+    """(key, view, data): the png of a view, else its webp."""
     view = F.regexp_extract("name", "^(\\d+)\\.(png|webp)$", 1)
     kind = F.regexp_extract("name", "^(\\d+)\\.(png|webp)$", 2)
     rows = images.withColumns({"view": view, "kind": kind}).where("view <> ''")

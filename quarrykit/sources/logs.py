@@ -6,8 +6,6 @@ Line numbers come from the reader's order within each file; files are ranked by
 
 from __future__ import annotations
 
-import glob
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,25 +13,27 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarrykit.operators.keyed_logs import position
+from quarrykit.sources.files import escaped, path_there, paths_like
 
 
 def worker_files(folder: str, tag: str, stem: str = "edit_results") -> list[str]:
     """Result files of workers: ``_gpu*``, then ``_w*``, then ``_nongpu``, each by name, each once."""
     found: list[str] = []
     for pattern in (f"{stem}_{tag}_gpu*.jsonl", f"{stem}_{tag}_w*.jsonl", f"{stem}_{tag}_nongpu.jsonl"):
-        found += [p for p in sorted(glob.glob(os.path.join(folder, pattern))) if p not in found]
+        found += [p for p in paths_like(SparkSession.active(), f"{folder}/{pattern}") if p not in found]
     return found
 
 
 def read_log(spark: SparkSession, paths: list[str], schema: str, strict: bool = False) -> DataFrame:
     """Rows of JSON-lines files with ``pos``, ``file``, ``line`` and ``bad`` (a line that is no object). Missing files are empty; blank lines count for numbering only. Strict: a bad line raises."""
-    there = [p for p in paths if os.path.exists(p)]
+    there = [full for full in (path_there(spark, p) for p in paths) if full]
     if not there:
         return spark.createDataFrame([], f"{schema}, file string, line long, pos long, bad boolean")
-    ranks = spark.createDataFrame([(i, os.path.basename(p)) for i, p in enumerate(there)], "file_rank int, file string")
-    lines = spark.read.text(there).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"))
-    numbered = lines.withColumn("line", F.row_number().over(W.partitionBy("file").orderBy("block", "i")).cast("long"))
-    rows = numbered.where(F.trim("value") != "").join(F.broadcast(ranks), "file")
+    alike = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    ranks = spark.createDataFrame([(i, escaped(spark, p)) for i, p in enumerate(there)], "file_rank int, path string").withColumn("path", alike("path"))
+    lines = spark.read.text(there).select("value", alike(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("i"))
+    numbered = lines.withColumn("line", F.row_number().over(W.partitionBy("path").orderBy("block", "i")).cast("long"))
+    rows = numbered.where(F.trim("value") != "").join(F.broadcast(ranks), "path")
     if strict:
         rows = rows.withColumn("r", F.from_json("value", schema, {"mode": "FAILFAST"})).withColumn("bad", F.lit(False))
     else:
@@ -75,9 +75,9 @@ def read_category_labels(spark: SparkSession, path: str) -> DataFrame:
 
 def read_object_json(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame | None:
     """``shard_*/<object>/<name>`` with shard and object from the path; None where there is no such file."""
-    if not glob.glob(os.path.join(root, "shard_*", "*", name)):
+    if not paths_like(spark, f"{root}/shard_*/*/{name}"):
         return None
-    df = spark.read.schema(schema).json(os.path.join(root, "shard_*", "*", name), multiLine=True).withColumn("__f", F.col("_metadata.file_path"))
+    df = spark.read.schema(schema).json(f"{root}/shard_*/*/{name}", multiLine=True).withColumn("__f", F.col("_metadata.file_path"))
     place = "shard_([^/]*)/([^/]*)/[^/]*$"
     return df.withColumns({"shard": F.regexp_extract("__f", place, 1), "obj_id": F.regexp_extract("__f", place, 2)}).drop("__f")
 

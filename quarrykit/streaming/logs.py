@@ -6,12 +6,14 @@ an upsert by key, and a batch that runs twice changes nothing.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrykit.sharedfs import drop_path
+from quarrykit.sources.files import paths_like
 
 
 def stream_log(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 1) -> DataFrame:
@@ -24,34 +26,50 @@ def append(stream: DataFrame, out: str, checkpoint: str):
 
 
 class LatestTable:
-    """The row of greatest ``pos`` for each key. Each batch writes a new version beside the last, named by its
-    number; a batch that is run again finds its version or writes it anew."""
+    """The row of greatest ``pos`` for each key, in ``buckets`` by the key's hash. Each batch writes anew the buckets that it touches, beside the last ones and
+    under its number; a bucket is read where it was written last. A batch that is run again finds its version or writes it anew."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: str, key: str, pos: str = "pos", buckets: int = 0):
+    def __init__(self, spark: SparkSession, root: str, schema: str, key: str, pos: str = "pos", buckets: int = 64):
         self.spark, self.root, self.schema, self.key, self.pos, self.buckets = spark, root, schema, key, pos, buckets
 
+    def _folders(self, pattern: str) -> list[tuple[int, ...]]:
+        """The numbers in the names of what a pattern below the root finds, in order."""
+        return sorted(tuple(int(n) for n in re.findall(r"/(?:v|bucket)=(\d+)", p)[-pattern.count("=") :]) for p in paths_like(self.spark, f"{self.root}/{pattern}"))
+
     def _versions(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(at):
-            return []
-        done = [p.getPath() for p in fs.listStatus(at)]
-        return sorted(int(p.getName()[2:]) for p in done if p.getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+        return [v for (v,) in self._folders("v=*/_SUCCESS")]
+
+    def _latest(self) -> dict[int, int]:
+        """Of each bucket the version that holds it."""
+        done = set(self._versions())
+        return {b: v for v, b in self._folders("v=*/bucket=*") if v in done}
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def _of(self, where: dict[int, int]) -> DataFrame:
+        if not where:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/v={v}/bucket={b}" for b, v in sorted(where.items())])
 
     def read(self) -> DataFrame:
-        have = self._versions()
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/v={have[-1]}") if have else self.spark.createDataFrame([], self.schema)
+        return self._of(self._latest())
 
     def upsert(self, batch: DataFrame, number: int) -> None:
         have = self._versions()
         if have and have[-1] >= number:
             return
-        both = self.read().unionByName(batch.select(*self.read().columns)).where(F.length(F.col(self.key)) > 0)
-        row = F.struct(*[F.col(c) for c in both.columns])
-        both.groupBy(self.key).agg(F.max_by(row, self.pos).alias("r")).select("r.*").write.mode("overwrite").parquet(f"{self.root}/v={number}")
-        for old in have[:-1]:
-            drop_path(self.spark, f"{self.root}/v={old}")
+        latest, columns = self._latest(), self.spark.createDataFrame([], self.schema).columns
+        new = batch.select(*columns).where(F.length(F.col(self.key).cast("string")) > 0)
+        touched = {r.b for r in new.select(self._bucket().alias("b")).distinct().collect()}
+        both = self._of({b: v for b, v in latest.items() if b in touched}).unionByName(new)
+        row = F.struct(*[F.col(c) for c in columns])
+        rows = both.groupBy(self.key).agg(F.max_by(row, self.pos).alias("r")).select("r.*").withColumn("bucket", self._bucket())
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/v={number}")
+        for v, b in self._folders("v=*/bucket=*"):
+            # the version before this one stays: a reader may be at it
+            if b in touched and v < latest.get(b, -1):
+                drop_path(self.spark, f"{self.root}/v={v}/bucket={b}")
 
 
 def keep_latest(stream: DataFrame, table: LatestTable, checkpoint: str):

@@ -103,6 +103,21 @@ def test_masks_and_regions(spark):
     occ = spark.createDataFrame([("a", x, 0, 0) for x in range(0, 8, 2)], "obj_id string, x int, y int, z int")
     near = {(r.x, r.y, r.z) for r in VX.voted_region(occ, occ.where("x >= 4"), pad=1, k=1).collect()}
     assert (5, 0, 0) in near and (4, 1, 0) in near and (3, 0, 0) not in near
+    rng = np.random.default_rng(2)
+    cells = np.unique(rng.integers(20, 32, (900, 3)), axis=0)
+    edited = cells[cells[:, 0] < 25]
+    many = spark.createDataFrame([("a", *map(int, c)) for c in cells], occ.schema)
+    got = {(r.x, r.y, r.z) for r in VX.voted_region(many, many.where("x < 25")).collect()}
+    held, want = {tuple(map(int, c)) for c in cells}, set()
+    for c in itertools.product(*[range(int(a) - 3, int(b) + 4) for a, b in zip(edited.min(axis=0), edited.max(axis=0))]):
+        nearest = np.argsort(((cells - np.array(c)) ** 2).sum(axis=1), kind="stable")[:100]
+        if c not in held and (cells[nearest, 0] < 25).sum() > 50:
+            want.add(c)
+    assert got == want and want
+    points, body = rng.random((60, 3)), rng.random((500, 3))
+    frame = lambda ps: spark.createDataFrame([("a", *map(float, p)) for p in ps] + [("b", 0.0, 0.0, 0.0)] * (len(ps) > 60), "obj_id string, x double, y double, z double")
+    gap = {r.obj_id: r.gap for r in G.gap_distance(frame(points), frame(body)).collect()}
+    assert gap == {"a": pytest.approx(np.percentile(np.linalg.norm(points[:, None] - body[None], axis=2).min(axis=1), 10))}
     grown = VX.dilated(occ.where("x = 0"), occ.unionByName(spark.createDataFrame([("a", 1, 0, 0)], occ.schema)), 2)
     assert sorted(r.x for r in grown.collect()) == [0, 1, 2]
 
@@ -113,7 +128,16 @@ def test_partitions_and_packing(spark):
     assert [r.p for r in S.modulo_part(ids, ["id"], 3, "p").orderBy("id").collect()] == [i % 3 for i in range(10)]
     with pytest.raises(ValueError):
         S.take_range_part(ids, ["id"], 4, 4)
-    assert S.pack_groups([("a", 5), ("b", 3), ("c", 3), ("d", 2)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
+    draw = random.Random(3)
+    for many in ([5, 3, 3, 2], [draw.choice([1, 1, 2, 3, 7, 50]) for _ in range(400)], [1] * 9, []):
+        rows = [(f"{i:04d}", i * 1000 + k) for i, n in enumerate(many) for k in range(n)]
+        draw.shuffle(rows)
+        got = {r.obj_id: (r.n, r.bucket) for r in S.packed(spark.createDataFrame(rows, "obj_id string, pos long"), 3).collect()}
+        loads, want = [0] * 3, {}
+        for i, n in sorted(enumerate(many), key=lambda x: -x[1]):
+            b = min(range(3), key=lambda b: (loads[b], b))
+            want[f"{i:04d}"], loads[b] = (n, b), loads[b] + n
+        assert got == want
     edits = spark.createDataFrame([(o, f"{o}{i}", "00") for o in "abc" for i in range(4)], "obj_id string, edit_id string, shard string")
     order = [r.obj_id for r in S.grouped_shuffle(edits, 1, 2).collect()]
     assert sum(x != y for x, y in zip(order, order[1:])) == 2
@@ -182,6 +206,11 @@ def test_geometry(spark):
     assert [(r.x, r.y, r.z) for r in G.normalised(v).orderBy("x").collect()] == [(-0.5, -1.0, -0.25), (0.5, 1.0, 0.25)]
     frames = spark.createDataFrame([("a", 0, [1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0, -10.0, 0.0, 0.0, 0.0, 1.0], 20.0)], "obj_id string, view int, w2c array<double>, focal double")
     assert sorted((r.px, r.py) for r in G.projected(v, frames, 32, 32).collect()) == [(16, 16), (20, 7)]
+    edge = spark.createDataFrame([("a", 7.8, -7.8, 0.0), ("a", 8.0, 0.0, 0.0), ("a", -8.0, 0.0, 0.0), ("a", -8.1, 0.0, 0.0), ("a", 0.0, 0.0, 10.0)], v.schema)
+    at = G.projected(edge, frames, 32, 32)
+    assert sorted((r.px, r.py) for r in at.collect()) == [(0, 16), (31, 31)]
+    pixels = spark.createDataFrame([("a", 0, 0, 16, 1, 2, 3, 0.5), ("a", 0, 31, 31, 4, 5, 6, 0.6)], "obj_id string, view int, px int, py int, r int, g int, b int, alpha double")
+    assert [(r.px, r.g) for r in G.visible(at, pixels).collect()] == [(31, 5)]
     cams = [("a", i, float(x), float(y), float(z)) for i, (x, y, z) in enumerate([(1, 0, 0), (0, 1, 0), (-1, 0, 0.4), (0, -1, 0), (1, 0, 0), (0, 0, 0), (1, 0, 0.46)])] + [("z", 3, 0.0, 0.0, 0.0), ("z", 8, 0.0, 0.0, 0.0)]
     df = spark.createDataFrame(cams, "obj_id string, view int, cx double, cy double, cz double")
     got = {(r.obj_id, r.target): r["view"] for r in G.orthogonal_views(df).collect()}
@@ -258,13 +287,13 @@ def test_swap_candidates_are_those_of_all_pairs(spark, heads):
     assert sorted(map(tuple, G.swap_candidates(df, 3, heads=heads).collect())) == _brute_candidates(rows, 3)
 
 
-def test_swap_candidates_by_kind_cross_labels(spark):
+def test_swap_candidates_cross_labels(spark):
     from quarrykit.plans import queries
     from quarrykit.plans.frames import frame
 
     parts = sorted(frame(spark, "/root/testdata/sf0.001", "parts").collect(), key=lambda r: (r.obj_id, r.part_id))
     rows = [(i, r.obj_id, r.kind, None if r.qty <= 10 else "a" if r.qty > 25 else "b", r.cluster_size, r.qty) for i, r in enumerate(parts, 1)]
-    got = sorted(map(tuple, queries.QUERIES["j12_swap_candidates_by_kind"](spark, "/root/testdata/sf0.001").collect()))
+    got = sorted(map(tuple, queries.QUERIES["j12_swap_candidates"](spark, "/root/testdata/sf0.001").collect()))
     assert got == _brute_candidates(rows, 3)
     assert any(parts[i - 1].label != parts[b - 1].label for i, b, _ in got)
 
@@ -314,3 +343,110 @@ def test_rounding_is_of_the_binary_value(spark):
     xs = [0.0, 1.0, 0.90625, 0.03125, 0.5, 0.00005, 0.92105] + [k / 20000 for k in range(1, 20000, 7)] + [(1.0 + round(rng.random(), 4)) / 2 for _ in range(4000)] + [rng.random() for _ in range(500)]
     got = [r.y for r in spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").orderBy("i").select(rounded(F.col("x")).alias("y")).collect()]
     assert got == [round(x, 4) for x in xs]
+
+
+def test_small_orders_and_catalogues(spark, tmp_path):
+    e = spark.createDataFrame([("o", "addition", 0), ("o", "scale", 1), ("o", "deletion", 2), ("o", "identity", 3), ("o", "odd", 4), ("o", "deletion", 5)], "obj_id string, edit_type string, pos int")
+    assert [r.pos for r in S.in_process_order(e).collect()] == [2, 5, 1, 3, 0, 4]
+    assert [(t, sorted(r.pos for r in d.collect())) for t, d in S.phases(e) if d.count()] == [("deletion", [2, 5]), ("scale", [1]), ("addition", [0]), ("identity", [3])]
+    scored = spark.createDataFrame([("a", 0.5, 0), ("b", 0.9, 1), ("c", 0.5, 2), ("d", None, 3)], "k string, score double, pos int")
+    assert [r.k for r in S.best_first(scored).collect()] == ["b", "a", "c", "d"]
+    assert [r.worker for r in S.round_robin(scored, 3).orderBy("pos").collect()] == [0, 1, 2, 0]
+    groups = S.largest_groups(e.withColumn("obj_id", F.col("edit_type"))).collect()
+    assert [(r.obj_id, r.n) for r in groups][:2] == [("deletion", 2), ("addition", 1)]
+    a = spark.createDataFrame([(["b", "a", "c"],)], "names array<string>")
+    got = S.members_to_drop(a, F.array(F.lit("c"), F.lit("z"))).first()
+    assert got.dropped == ["a", "b"] and got.kept == ["c"]
+    r = record(spark, [(0, "seat", [("scale",)]), (1, "main body", [])], [([0, 1], [("deletion",)])], ["w"])
+    L.save_catalog(r, str(tmp_path / "c"))
+    assert L.load_catalog(spark, str(tmp_path / "c")).collect() == r.collect()
+    got = L.summarised(r).first()
+    assert (got.parts, got.part_edits, got.group_edits, got.global_edits, got.labels) == (2, 1, 1, 1, ["seat", "main body"])
+
+
+def test_feature_change_of_unequal_lengths(spark):
+    from quarrykit.functions import vectors as V
+
+    arr = lambda *xs: F.array(*[F.lit(float(x)) for x in xs])
+    assert one(spark, V.feature_change(arr(3, 4), arr(6, 8, 0))) == 1.0 and one(spark, V.feature_change(arr(3, 4), arr(3, 5))) == 0.2
+    assert one(spark, V.feature_change(arr(0, 0), arr(1, 1))) == math.inf and one(spark, V.feature_change(arr(0), arr(1, 1))) == math.inf
+
+
+def _cube(x, y, z, d):
+    """Vertices and outward faces of a box."""
+    vs = [(x + d * (i & 1), y + d * (i >> 1 & 1), z + d * (i >> 2)) for i in range(8)]
+    fs = [(0, 2, 1), (1, 2, 3), (4, 5, 6), (5, 7, 6), (0, 1, 4), (1, 5, 4), (2, 6, 3), (3, 6, 7), (0, 4, 2), (2, 4, 6), (1, 3, 5), (3, 7, 5)]
+    return [tuple(map(float, v)) for v in vs], fs
+
+
+def _meshes(spark, rows):
+    """(obj_id, side, part of the cube list) -> vertices, faces."""
+    v = [(o, s, i, *p, 10 * i, 20, 30) for o, s, vs, _ in rows for i, p in enumerate(vs)]
+    f = [(o, s, *t) for o, s, _, fs in rows for t in fs]
+    return spark.createDataFrame(v, "obj_id string, side string, v int, x double, y double, z double, r int, g int, b int"), spark.createDataFrame(f, "obj_id string, side string, a int, b int, c int")
+
+
+def test_mesh_numbers_of_boxes(spark):
+    from quarrykit.operators import meshes as M
+
+    small, large = _cube(0, 0, 0, 1), _cube(0, 0, 0, 2)
+    two = (small[0] + _cube(5, 0, 0, 1)[0], small[1] + [tuple(i + 8 for i in t) for t in small[1]])
+    v, f = _meshes(spark, [("a", "before", *small), ("a", "after", *large), ("b", "before", *two), ("b", "after", *small), ("c", "before", *small)])
+    got = {r.obj_id: r for r in M.pair_numbers(v, f).collect()}
+    a, b, c = got["a"], got["b"], got["c"]
+    assert (a.volume_ratio, a.area_ratio, a.part_proportion, a.min_vertices, a.min_extent) == (8.0, 4.0, 0.0, 8, 1.0)
+    assert a.edit_ratio == 14 / 8 and a.iou == pytest.approx(1 / 8) and a.drift == pytest.approx(math.sqrt(3) / 2 / math.sqrt(3))
+    assert b.volume_ratio == pytest.approx(1 / 6) and b.area_ratio == 0.5 and b.part_proportion == 0.5 and b.edit_ratio == 0.5 and b.iou == pytest.approx(1 / 6)
+    assert a.min_colour_std == pytest.approx(np.std([[10 * i, 20, 30] for i in range(8)]))
+    assert (c.volume_ratio, c.area_ratio, c.part_proportion, c.min_vertices, c.iou, c.edit_ratio, c.drift, c.min_colour_std) == (0.0, 0.0, 1.0, 0, 0.0, 1.0, 0.0, 0.0)
+    parts = lambda closed, keep: {r.obj_id: r.components for r in M.component_counts(f.where("side = 'before'").where(keep), closed).collect()}
+    assert parts(True, "true") == {"a": 1, "b": 2, "c": 1} and parts(True, "a > 1") == {"a": 0, "b": 1, "c": 0} and parts(False, "true")["b"] == 2
+    ok = {r.obj_id: (r.score, r.passed, r.reason) for r in M.mesh_verdicts(v, f).collect()}
+    # a: volume 8 > 5, edit 1.75, part 0, 8 vertices, drift 0.5 fail; b: 8 vertices, drift 2.5 / sqrt(38) > 0.3
+    assert ok["a"] == (round((12.5 - 1.5 - 2 - 1.5 - 2 - 1) / 12.5, 4), False, "volume_ratio") and ok["b"] == (round((12.5 - 2 - 1) / 12.5, 4), False, "has_geometry")
+    assert ok["c"][1:] == (False, "volume_ratio")
+    empty = v.where("false"), f.where("false")
+    assert M.mesh_verdicts(*empty).count() == 0 and M.component_counts(empty[1]).count() == 0
+
+
+def test_a_part_in_a_body(spark):
+    from quarrykit.operators import meshes as M
+
+    body = _cube(0, 0, 0, 10)
+    cases = {"in": _cube(4, 4, 4, 1), "out": _cube(20, 0, 0, 1), "half": _cube(9, 4, 4, 2)}
+    rows = lambda of: M.mesh_rows(*_meshes(spark, [(k, "s", *of(k)) for k in cases]))
+    part, whole = rows(lambda k: cases[k]), rows(lambda k: body)
+    got = {r.obj_id: (r.penetration, r.gap) for r in M.fit_numbers(part, whole).collect()}
+    assert got == {r.obj_id: (r.penetration, r.gap) for r in M.fit_numbers(part.repartition(3), whole).collect()}
+    assert got["in"][0] == 1.0 and got["out"][0] == 0.0 and abs(got["half"][0] - 0.5) < 0.06
+    assert 1.0 <= got["out"][1] <= 1.1 and got["in"][1] > 0.5
+    open_ = M.mesh_rows(*_meshes(spark, [("in", "s", body[0], body[1][1:])]))
+    assert M.fit_numbers(part, open_).first().penetration == 0.0
+    rng = np.random.default_rng(5)
+    points, known = rng.random((200, 3)), rng.random((300, 3))
+    assert np.allclose(M.nearest_distances(points, known), np.linalg.norm(points[:, None] - known[None], axis=2).min(axis=1))
+    scale = {r.obj_id: r.scale_ratio for r in M.scale_ratio(_meshes(spark, [("a", "s", *_cube(0, 0, 0, 4)), ("b", "s", *body)])[0], _meshes(spark, [("a", "s", *_cube(9, 0, 0, 8))])[0]).collect()}
+    assert scale == {"a": 2.0, "b": 999.0}
+
+
+def test_assembly_of_meshes(spark):
+    from quarrykit.operators import meshes as M
+
+    body, hat, new = _cube(0, 0, 0, 2), _cube(0, 0, 2, 1), _cube(5, 5, 5, 10)
+    vs, fs = body[0] + hat[0], [(*t, 0) for t in body[1]] + [(*(i + 8 for i in t), 1) for t in hat[1]]
+    v = spark.createDataFrame([("o", i, *p) for i, p in enumerate(vs)] + [("q", 0, 0.0, 0.0, 0.0)], "obj_id string, v int, x double, y double, z double")
+    f = spark.createDataFrame([("o", *t) for t in fs], "obj_id string, a int, b int, c int, part int")
+    nv = spark.createDataFrame([(o, i, *p) for o in "oq" for i, p in enumerate(new[0])], "obj_id string, v int, x double, y double, z double")
+    nf = spark.createDataFrame([(o, *t, 7) for o in "oq" for t in new[1]], "obj_id string, a int, b int, c int, part int")
+    old = spark.createDataFrame([("o", 1)], "obj_id string, part int")
+    assert {r.part for r in M.without_parts(f, old).collect()} == {0}
+    made, faces = M.swapped(v, f, old, nv, nf)
+    got = {r.v: (r.x, r.y, r.z) for r in made.where("obj_id = 'o'").collect()}
+    assert len(got) == 24 and all(got[16 + i] == pytest.approx(hat[0][i], abs=1e-6) for i in range(8))
+    rows = faces.collect()
+    assert {r.part for r in rows} == {0, 7} and {r.a for r in rows if r.part == 7} <= set(range(16, 24)) and len(rows) == 24 and made.where("obj_id = 'q'").count() == 1
+    made, faces = M.grafted(v.where("obj_id = 'o'"), f, nv, nf)
+    got = {r.v: (r.x, r.y, r.z) for r in made.where("obj_id = 'o' and v >= 16").collect()}
+    # at most 0.4 of the longest side (3): 1.2 wide, centred on x and y, its foot at the top (3)
+    assert min(p[2] for p in got.values()) == pytest.approx(3.0) and max(p[2] for p in got.values()) == pytest.approx(4.2) and sum(p[0] for p in got.values()) / 8 == pytest.approx(1.0)
+    assert faces.where("obj_id = 'o'").count() == 36

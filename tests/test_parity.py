@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from quarrykit.plans import more_queries, queries as Q  # noqa: F401
+from quarrykit.plans import mesh_queries, more_queries, queries as Q  # noqa: F401
 from quarrykit.plans.frames import TABLES
 
 SF = "/root/testdata/sf0.001"
