@@ -17,7 +17,8 @@ Over a corpus:
    reach (30 before, 50 from it on), to the partition of its bucket.
 4. There, buckets are refined to depth ``LEAST`` for the 31 starts from which a
    window can reach the anchor; starts in one bucket at that depth whose texts
-   differ are repeats.
+   differ are repeats. A bucket of more than ``LARGE`` anchors fits no task: it is split
+   at once into the buckets of its starts at that depth, whose least and greatest text are aggregated before they move.
 5. Repeated windows are merged into spans, text by text.
 
 Rows with one text are one unit; where a text has several rows, all of it
@@ -31,6 +32,8 @@ null doc_id is carried. Other columns are not looked at.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +48,7 @@ BEFORE = LEAST - Q  # words before an anchor that its windows can reach
 WIDTH = BEFORE + LEAST
 FIRST = 7  # words of the initial buckets within a partition
 BATCH = 20_000  # contexts that are refined together, when their buckets are complete
+LARGE = 20_000  # anchors of a bucket that one task refines
 
 
 def anchors(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,25 +80,26 @@ def _find(batches):
 
 
 def _around(batches):
-    """Anchors with their words: (bucket, key, pos, before, words), ``before`` of them ahead of the anchor."""
+    """Anchors with their words: (bucket, key, pos, before, words, large), ``before`` of them ahead of the anchor."""
     for b in batches:
         for lo in range(0, b.num_rows, 128):
             part = b.slice(lo, 128)
-            rows, pos, bucket, before, words = [], [], [], [], []
+            rows, pos, bucket, before, words, large = [], [], [], [], [], []
             for i, (t, found) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist())):
                 ids = hash_words(t.split()).astype(np.uint32)
-                for hit in {(f["pos"], f["bucket"]) for f in found}:
+                for hit in {(f["pos"], f["bucket"], f["large"]) for f in found}:
                     p = hit[0]
                     s = max(0, p - BEFORE)
                     rows.append(i)
                     pos.append(p)
                     bucket.append(hit[1])
+                    large.append(hit[2])
                     before.append(p - s)
                     words.append(ids[s : p + LEAST].tobytes())
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket, pa.int64()), part.column(0).take(pa.array(rows)), pa.array(pos, pa.int32()), pa.array(before, pa.int32()), pa.array(words, pa.binary())],
-                    names=["bucket", "key", "pos", "before", "words"],
+                    [pa.array(bucket, pa.int64()), part.column(0).take(pa.array(rows)), pa.array(pos, pa.int32()), pa.array(before, pa.int32()), pa.array(words, pa.binary()), pa.array(large, pa.bool_())],
+                    names=["bucket", "key", "pos", "before", "words", "large"],
                 )
 
 
@@ -136,15 +141,39 @@ def refine(words: np.ndarray, group: np.ndarray, depth: int, starts: int) -> np.
     return ptr[:, :starts]
 
 
-def repeats(bucket: np.ndarray, key: np.ndarray, before: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(has a repeat, first start, last start) for each anchor, as columns 0..BEFORE, the anchor at BEFORE."""
-    n = len(bucket)
-    table = np.empty((n, WIDTH), np.uint32)
-    valid = np.zeros((n, WIDTH), bool)
+def _table(before: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(words around each anchor, which of those places are in the text), the anchor at column BEFORE."""
+    table = np.zeros((len(words), WIDTH), np.uint32)
+    valid = np.zeros((len(words), WIDTH), bool)
     for i, (b, w) in enumerate(zip(before, words)):
         a = np.frombuffer(w, np.uint32)
         table[i, BEFORE - b : BEFORE - b + len(a)] = a
         valid[i, BEFORE - b : BEFORE - b + len(a)] = True
+    return table, valid
+
+
+def _starts(batches):
+    """(key, start, c, d) of every window that can reach an anchor, (c, d) being the identifier of its words."""
+    for b in batches:
+        for lo in range(0, b.num_rows, 2_000):
+            part = b.slice(lo, 2_000)
+            table, valid = _table(part.column(3).to_numpy(), part.column(4).to_pylist())
+            codes = []
+            for mult in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93):
+                h = np.zeros((len(table), BEFORE + 1), np.uint64)
+                with np.errstate(over="ignore"):
+                    for k in range(LEAST):
+                        h = (h + table[:, k : k + BEFORE + 1].astype(np.uint64) + np.uint64(1)) * np.uint64(mult)
+                        h ^= h >> np.uint64(31)
+                codes.append(h)
+            i, j = np.nonzero(valid[:, : BEFORE + 1] & valid[:, LEAST - 1 : LEAST + BEFORE])
+            at = part.column(2).to_numpy()[i] - BEFORE + j
+            yield pa.RecordBatch.from_arrays([part.column(1).take(pa.array(i)), pa.array(at.astype(np.int32)), *[pa.array(h[i, j].view(np.int64)) for h in codes]], names=["key", "start", "c", "d"])
+
+
+def repeats(bucket: np.ndarray, key: np.ndarray, before: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(has a repeat, first start, last start) for each anchor, as columns 0..BEFORE, the anchor at BEFORE."""
+    table, valid = _table(before, words)
     # places outside the text: no two agree
     table[~valid] = np.arange(int((~valid).sum()), dtype=np.uint32)
     ids = refine(table, bucket, LEAST, BEFORE + 1)
@@ -198,21 +227,27 @@ def _spans(t: pa.Table):
                 yield made
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", large: int = LARGE) -> DataFrame:
     """(doc_id, start_word, end_word) of each row's spans, words counted from 0, the end excluded: every window of ``LEAST`` words inside the union of
     spans that stands in at least two rows is in one; touching windows are one span."""
     text = F.col(text_col).cast("string")
     base = docs.select(F.unhex(F.md5(text)).alias("key"), F.col(id_col).alias("doc_id"), text.alias("text")).where("text is not null")
-    found = base.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(_find, "key binary, pos int, bucket bigint").distinct()
-    same = W.partitionBy("bucket")
-    shared = cut(found.withColumns({"lo": F.min("key").over(same), "hi": F.max("key").over(same)}).where("lo <> hi").select("key", "pos", "bucket"), "anchors")
-    by_text = shared.groupBy("key").agg(F.collect_list(F.struct("pos", "bucket")).alias("found"))
+    found = cut(base.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(_find, "key binary, pos int, bucket bigint").distinct(), "anchors")
+    # aggregated before they move and joined back, so that no task sees a whole bucket
+    buckets = cut(found.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("bucket", (F.col("n") > large).alias("large")), "buckets")
+    by_text = cut(found.join(buckets, "bucket").groupBy("key").agg(F.collect_list(F.struct("pos", "bucket", "large")).alias("found")), "found")
     texts = base.select("key", "text").join(by_text.select("key"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).join(by_text, "key")
-    around = texts.select("key", F.col("text").cast("binary").alias("text"), "found").mapInArrow(_around, "bucket bigint, key binary, pos int, before int, words binary")
-    windows = around.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_refined, "key binary, start int, end int")
+    around = texts.select("key", F.col("text").cast("binary").alias("text"), "found").mapInArrow(_around, "bucket bigint, key binary, pos int, before int, words binary, large boolean")
+    spans = []
+    if not buckets.where("large").isEmpty():
+        around = cut(around, "around")
+        starts = cut(around.where("large").mapInArrow(_starts, "key binary, start int, c bigint, d bigint").distinct(), "starts")
+        shared = starts.groupBy("c", "d").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("c", "d")
+        spans.append(starts.join(shared, ["c", "d"], "left_semi").select("key", "start", (F.col("start") + LEAST).alias("end")))
+    spans.append(around.where("not large").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_refined, "key binary, start int, end int"))
     rows = base.select("key", "doc_id", F.regexp_count("text", F.lit("[^ \t\n\r\f\x0b]+")).alias("n"))
     copied = rows.groupBy("key").agg(F.count("*").alias("copies"), F.first("n").alias("n")).where((F.col("copies") > 1) & (F.col("n") >= LEAST)).select("key", F.lit(0).alias("start"), F.col("n").cast("int").alias("end"))
-    spans = windows.unionByName(copied)
+    spans = reduce(DataFrame.unionByName, spans, copied)
     along = W.partitionBy("key").orderBy("start", "end")
     before = F.max("end").over(along.rowsBetween(W.unboundedPreceding, -1))
     islands = spans.withColumn("new", (before.isNull() | (F.col("start") > before)).cast("int")).withColumn("island", F.sum("new").over(along.rowsBetween(W.unboundedPreceding, 0)))

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarrykit.llm import op7_suffixes as op
 
@@ -60,7 +61,7 @@ def test_against_all_windows(spark, monkeypatch, seed, batch):
         found = pa.Table.from_batches(list(op._find(iter(tables)))).to_pylist()
         by = defaultdict(list)
         for f in found:
-            by[f["key"]].append({"pos": f["pos"], "bucket": f["bucket"]})
+            by[f["key"]].append({"pos": f["pos"], "bucket": f["bucket"], "large": False})
         around = [b for i, t in rows for b in op._around(iter([pa.RecordBatch.from_pylist([{"key": str(i).encode(), "text": (t or "").encode(), "found": by[str(i).encode()]}])]))]
         t = pa.Table.from_batches(around).sort_by("bucket")
         want = None
@@ -74,6 +75,22 @@ def test_against_all_windows(spark, monkeypatch, seed, batch):
     assert got == brute(rows)
 
 
+def test_large_buckets_are_split(spark):
+    rows = corpus(3)
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")
+    for large in (0, 3):
+        assert sorted(((r.doc_id, r.start_word, r.end_word) for r in op.repeated_spans(docs, large=large).collect()), key=str) == brute(rows)
+
+
+def test_a_passage_of_very_many_texts(spark):
+    """One passage in surroundings that all differ: its buckets hold every text."""
+    n, passage = 30_000, " ".join(f"p{i}" for i in range(60))
+    words = lambda m: F.array_join(F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.concat(F.lit(m), F.hex(F.xxhash64("id", i)))), " ")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat_ws(" ", words("a"), F.lit(passage), words("b")).alias("text"))
+    got = op.repeated_spans(docs)
+    assert [tuple(r) for r in got.groupBy("start_word", "end_word").agg(F.count_distinct("doc_id").alias("n"), F.count("*").alias("m")).collect()] == [(40, 100, n, n)]
+
+
 def test_refinement_names_equal_prefixes():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 2, (60, op.WIDTH)).astype(np.uint32)
