@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrykit.llm.sampling import least_digests
+from quarrykit.llm.words import trim, trimmed
 
 SAMPLE, BITS, GRADES = 12_000, 22, 4
 MIN_TOXIC, LIFT = 3, 20.0
@@ -156,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     known = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = least_digests(known, "__id", sample, "toxic")
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
-    got = texts.join(chosen, "__id").select("toxic", "text").mapInArrow(_hashed, "toxic int, words array<int>, times array<int>").toArrow().combine_chunks()
+    got = texts.join(chosen, "__id").select("toxic", "text").mapInArrow(trimmed(_hashed), "toxic int, words array<int>, times array<int>").toArrow().combine_chunks()
     words, times = (got.column(k).combine_chunks() if isinstance(got.column(k), pa.ChunkedArray) else got.column(k) for k in ("words", "times"))
     n = np.diff(words.offsets.to_numpy())
     flat_words, flat_times, toxic = words.flatten().to_numpy(), times.flatten().to_numpy(), got.column("toxic").to_numpy()
@@ -189,10 +190,11 @@ def scorer(model: Model):
 
     def run(texts: pa.Array) -> pa.Array:
         if not made:
+            trim()
             made.append(_Weights(model.weights))
         weights = made[0]
         z = np.zeros(len(texts))
-        for i, t in enumerate(texts.to_pylist()):
+        for i, t in enumerate(t for at in range(0, len(texts), 256) for t in texts.slice(at, 256).to_pylist()):
             if t:
                 found = [bs for bs in map(weights.__getitem__, _WORD.findall(t.lower())) if bs]
                 if found:

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrykit.llm.sampling import least_digests
+from quarrykit.llm.words import trim, trimmed
 
 SAMPLE, SEQUENCES, LENGTH, STEPS, RIDGE = 300, 3000, 28, 160, 2e-4
 B, I, O = 0, 1, 2
@@ -492,7 +493,7 @@ def scan(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
                     yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(k)), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(lead, pa.float64())], names=["doc_id", "start", "end", "lead"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lead", T.DoubleType())])
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(trimmed(run), schema)
 
 
 def redact_text(text: str, spans) -> str:
@@ -510,6 +511,7 @@ def redact(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
 
     def run(texts: pa.Array) -> pa.Array:
         if not made:
+            trim()
             made.append(Scanner(shared.value))
         out = []
         for at in range(0, len(texts), 256):

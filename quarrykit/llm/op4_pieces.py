@@ -39,6 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarrykit.llm.words import trimmed
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNK_PENALTY = 10.0
@@ -476,10 +478,9 @@ def encode_documents(docs: DataFrame, model: str = MODEL, scores: str = "zipf",
                 n = pc.list_value_length(ids)
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, n, ok], names=["doc_id", "ids", "n_tokens", "round_trip"])
 
-
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.IntegerType()), T.StructField("round_trip", T.BooleanType())])
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(trimmed(run), schema)
 
 
 def decode_documents(encoded: DataFrame, model: str = MODEL, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarrykit.llm.graph import components
-from quarrykit.llm.words import fold_words, grams, hash_words, mix, text_shingles
+from quarrykit.llm.words import fold_words, grams, hash_words, mix, text_shingles, trimmed
 from quarrykit.sharedfs import cut, drop
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 3, 32, 5, 0.6
@@ -168,12 +168,12 @@ def rare_pairs(members: DataFrame, sets: DataFrame, bands: DataFrame, threshold:
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text", few: int = FEW) -> DataFrame:
     """(key, root) for each distinct text that has a word: texts with one root are near copies."""
     base = _keyed(docs, id_col, text_col).where("text is not null").select("key", "text")
-    signed = base.mapInArrow(_banded(bands, rows), "key binary, bands array<bigint>")
+    signed = base.mapInArrow(trimmed(_banded(bands, rows)), "key binary, bands array<bigint>")
     nodes = cut(signed.groupBy("key").agg(F.first("bands").alias("bands")).select(F.monotonically_increasing_id().alias("node"), "key", "bands"), "nodes")
     shared = cut(_with_ends(nodes.select(F.explode("bands").alias("h"), "node"), "h", "node").select("h", "node", F.col("lo").alias("least")), "buckets")
     wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "key")
     texts = base.join(wanted, "key").groupBy("key", "node").agg(F.first("text").alias("text")).select("node", "text")
-    sets = cut(texts.mapInArrow(_sets, "node long, shingles array<bigint>"), "sets")
+    sets = cut(texts.mapInArrow(trimmed(_sets), "node long, shingles array<bigint>"), "sets")
     # each node against the least of its buckets
     tried = cut(shared.where("node <> least").groupBy("node").agg(F.min("least").alias("b")).select(F.col("node").alias("a"), "b"), "tried")
     held = cut(verified(tried, sets, threshold), "held")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarrykit.llm.words import grams, hash_words
+from quarrykit.llm.words import grams, hash_words, trimmed
 from quarrykit.sharedfs import cut
 
 LEAST, Q = 50, 20
@@ -232,19 +232,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans that stands in at least two rows is in one; touching windows are one span."""
     text = F.col(text_col).cast("string")
     base = docs.select(F.unhex(F.md5(text)).alias("key"), F.col(id_col).alias("doc_id"), text.alias("text")).where("text is not null")
-    found = cut(base.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(_find, "key binary, pos int, bucket bigint").distinct(), "anchors")
+    found = cut(base.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(trimmed(_find), "key binary, pos int, bucket bigint").distinct(), "anchors")
     # aggregated before they move and joined back, so that no task sees a whole bucket
     buckets = cut(found.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("bucket", (F.col("n") > large).alias("large")), "buckets")
     by_text = cut(found.join(buckets, "bucket").groupBy("key").agg(F.collect_list(F.struct("pos", "bucket", "large")).alias("found")), "found")
     texts = base.select("key", "text").join(by_text.select("key"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).join(by_text, "key")
-    around = texts.select("key", F.col("text").cast("binary").alias("text"), "found").mapInArrow(_around, "bucket bigint, key binary, pos int, before int, words binary, large boolean")
+    around = texts.select("key", F.col("text").cast("binary").alias("text"), "found").mapInArrow(trimmed(_around), "bucket bigint, key binary, pos int, before int, words binary, large boolean")
     spans = []
     if not buckets.where("large").isEmpty():
         around = cut(around, "around")
-        starts = cut(around.where("large").mapInArrow(_starts, "key binary, start int, c bigint, d bigint").distinct(), "starts")
+        starts = cut(around.where("large").mapInArrow(trimmed(_starts), "key binary, start int, c bigint, d bigint").distinct(), "starts")
         shared = starts.groupBy("c", "d").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("c", "d")
         spans.append(starts.join(shared, ["c", "d"], "left_semi").select("key", "start", (F.col("start") + LEAST).alias("end")))
-    spans.append(around.where("not large").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_refined, "key binary, start int, end int"))
+    spans.append(around.where("not large").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(_refined), "key binary, start int, end int"))
     rows = base.select("key", "doc_id", F.regexp_count("text", F.lit("[^ \t\n\r\f\x0b]+")).alias("n"))
     copied = rows.groupBy("key").agg(F.count("*").alias("copies"), F.first("n").alias("n")).where((F.col("copies") > 1) & (F.col("n") >= LEAST)).select("key", F.lit(0).alias("start"), F.col("n").cast("int").alias("end"))
     spans = reduce(DataFrame.unionByName, spans, copied)

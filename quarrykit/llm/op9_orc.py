@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrykit.llm.op4_pieces import MODEL, codec, encode_column, read_model, zipf_scores
+from quarrykit.llm.words import trimmed
 from quarrykit.sharedfs import new_path
 
 STRIPE_BYTES, STRIDE, FALSE_POSITIVES = 16 << 20, 2_000, 0.01
@@ -89,7 +90,7 @@ def write_tokens(docs: DataFrame, path: str, model: str = MODEL, stripe_bytes: i
     narrow = len(shared.value[0]) <= 1 << 15
     kind, arrow_kind = (T.ShortType(), pa.int16()) if narrow else (T.IntegerType(), pa.int32())
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(kind)), T.StructField("n_tokens", T.IntegerType()), T.StructField("round_trip", T.BooleanType()), T.StructField("place", T.IntegerType())])
-    encoded = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    encoded = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(trimmed(run), schema)
     options = {
         "orc.stripe.size": stripe_bytes,
         "orc.row.index.stride": stride,
