@@ -84,10 +84,14 @@ def _fields(data: bytes):
 
 
 def read_model(path: str) -> list[tuple[str, float, int]]:
-    """(piece, score, kind) by id, from a SentencePiece model file."""
+    """(piece, score, kind) by id, from a SentencePiece model file.
+
+    Files whose texts are changed before they are encoded (a character map, rules, blanks taken out, no blank put before), and those with
+    user-defined pieces, which go before all scores, are refused: their ids would be others.
+    """
     with open(path, "rb") as f:
         data = f.read()
-    found = []
+    found, way = [], {}
     for number, value in _fields(data):
         if number == 1:
             piece, score, kind = "", 0.0, NORMAL
@@ -99,6 +103,12 @@ def read_model(path: str) -> list[tuple[str, float, int]]:
                 elif k == 3:
                     kind = v
             found.append((piece, score, kind))
+        elif number == 3:
+            way = dict(_fields(value))
+    if way.get(2) or way.get(6) or not way.get(3, 1) or way.get(4, 1) or not way.get(5, 1):
+        raise ValueError(f"{path}: a normaliser that is not supported")
+    if any(kind == USER for _, _, kind in found):
+        raise ValueError(f"{path}: user-defined pieces are not supported")
     return found
 
 

@@ -74,6 +74,30 @@ def test_same_ids_as_the_public_library_with_these_scores(zipf):
         assert c.encode(t) == lib.encode(t), t
 
 
+def test_models_of_another_normaliser_are_refused(tmp_path):
+    pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    with open(op.MODEL, "rb") as f:
+        data = f.read()
+
+    def changed(change):
+        m = pb.ModelProto()
+        m.ParseFromString(data)
+        change(m)
+        (tmp_path / "m").write_bytes(m.SerializeToString())
+        return op.read_model(str(tmp_path / "m"))
+
+    assert changed(lambda m: None) == op.read_model(op.MODEL)
+    for change in (
+        lambda m: setattr(m.normalizer_spec, "precompiled_charsmap", b"x"),
+        lambda m: setattr(m.normalizer_spec, "remove_extra_whitespaces", True),
+        lambda m: setattr(m.normalizer_spec, "add_dummy_prefix", False),
+        lambda m: m.ClearField("normalizer_spec"),
+        lambda m: setattr(m.pieces[300], "type", op.USER),
+    ):
+        with pytest.raises(ValueError, match="not supported"):
+            changed(change)
+
+
 def test_whole_table(spark):
     rows = [(i, t, "x") for i, t in enumerate(ODD)] + [(1, "", "x"), (None, "null id", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
