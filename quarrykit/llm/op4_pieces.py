@@ -9,8 +9,9 @@ is spelled in byte pieces.
 No piece of such a vocabulary has a word mark after its first other
 character, so no piece crosses the place before a mark or beside a line
 break, and a text's best path is the join of its segments' best paths. The
-same segments come again and again, so each worker keeps the ids of short
-ones it has met, up to a fixed number; that is a memory of exact results. New
+distinct words of some hundred texts are looked up once. Words come again and
+again, so each worker keeps the ids of short ones it has met twice, up to a fixed number;
+that is a memory of exact results. New
 ones are solved side by side: one array operation moves all their automata on
 by a character, and each output link is one more relaxation of all of them.
 
@@ -31,6 +32,8 @@ from __future__ import annotations
 import math
 import re
 import struct
+from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNK_PENALTY = 10.0
 #: Segments that a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST_REMEMBERED = 500_000, 48
+REMEMBERED, LONGEST_REMEMBERED, MET = 500_000, 48, 1 << 22
 #: Words that are solved side by side.
 TOGETHER = 8_192
 MOST_EDGES = 300_000
@@ -360,30 +363,36 @@ class Codec:
             out[i] = struct.pack(f"<{len(got)}i", *got)
         return out
 
-    def encode_many(self, texts: list[str | None]) -> list[bytes | None]:
-        """The ids of each text as little-endian int32."""
-        known, rows, unknown = self.memory.get, [], set()
-        for text in texts:
-            parts = text.replace("\n", " \n").split(" ") if text else None
-            # runs of spaces, or a space at an end: segments hold a run and what follows it
-            if parts and ("" in parts or MARK in text):
-                parts = None
-            ids = list(map(known, parts)) if parts else []
+    def encode_many(self, texts: list[str | None], column: pa.Array | None = None) -> list[bytes | None]:
+        """The ids of each text as little-endian int32. ``column`` holds the same texts."""
+        column = pa.array(texts, pa.string()) if column is None else column
+        spaced = pc.replace_substring(column, "\n", " \n")
+        # runs of spaces, or a space at an end: segments hold a run and what follows it
+        odd = [pc.match_substring(spaced, "  "), pc.starts_with(spaced, " "), pc.ends_with(spaced, " "), pc.match_substring(spaced, MARK), pc.equal(pc.binary_length(spaced), 0)]
+        plain = pc.fill_null(pc.invert(reduce(pc.or_, odd)), False)
+        made: list[bytes | None] = [None] * len(texts)
+        simple = np.asarray(plain)
+        if simple.any():
+            parts = pc.split_pattern(spaced.filter(plain), " ")
+            # each word of these texts once
+            coded = parts.flatten().dictionary_encode()
+            # as one text, which is split faster than its parts are made one by one
+            one = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+            words = pc.binary_join(one, " ")[0].as_py().split(" ")
+            ids = list(map(self.memory.get, words))
             gaps = [k for k, v in enumerate(ids) if v is None]
-            unknown.update([parts[k] for k in gaps])
-            rows.append((text, parts, ids, gaps))
-        self.memory.learn(unknown)
-        of, made = self.memory.__getitem__, []
-        for text, parts, ids, gaps in rows:
-            if parts:
-                for k in gaps:
-                    ids[k] = of(parts[k])
-                # before a line break the dummy prefix stands alone
-                made.append((self.memory.of(MARK) if parts[0][:1] == "\n" else b"") + b"".join(ids))
-            elif text:
-                made.append(b"".join([self.memory.of(p) for p in _SEGMENT.findall(MARK + text.replace(" ", MARK))]))
-            else:
-                made.append(None if text is None else b"")
+            new = self.memory.learn({words[k] for k in gaps}).get
+            for k in gaps:
+                ids[k] = new(words[k]) or self.memory[words[k]]
+            ends = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))) // 4
+            got = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))).take(coded.indices)
+            cuts = (4 * got.offsets.to_numpy()[parts.offsets.to_numpy()].astype(np.int64)).tolist()
+            data = got.values.to_numpy().tobytes()
+            for i, x, y in zip(np.flatnonzero(simple).tolist(), cuts, cuts[1:]):
+                made[i] = data[x:y]
+        for i in np.flatnonzero(~simple).tolist():
+            if texts[i] is not None:
+                made[i] = b"".join([self.memory.of(p) for p in _SEGMENT.findall(MARK + texts[i].replace(" ", MARK))]) if texts[i] else b""
         return made
 
     def encode_bytes(self, text: str) -> bytes:
@@ -401,25 +410,41 @@ _SEGMENT = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
 
 class _Memory(dict):
-    """Segment -> its ids, of two generations. A key is a word without its mark, or a line break and the word after it."""
+    """Segment -> its ids, of two generations. A key is a word without its mark, or a line break and the word after it. Words come in when they
+    are met a second time, as most of the rare ones never come again; ``met`` has a place for each hash of those met once."""
 
     def __init__(self, codec: Codec):
         super().__init__()
         self.codec, self.old = codec, {}
+        self.met, self.places = bytearray(MET), 0
 
-    def learn(self, words: set[str]) -> None:
-        """Solve ``words``, none of which is known."""
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of ``words``, none of which is known, but for the longest."""
         if len(self) + len(words) > REMEMBERED:
             self.old = dict(self)
             self.clear()
+        made = {}
         if self.old:
-            kept = {w: ids for w in words if (ids := self.old.get(w)) is not None}
-            self.update(kept)
-            words = words.difference(kept)
-        todo = sorted((w for w in words if len(w) <= LONGEST_REMEMBERED), key=len, reverse=True)
+            made = {w: ids for w in words if (ids := self.old.get(w)) is not None}
+            self.update(made)
+            words = words.difference(made)
+        if self.places > MET // 2:
+            self.met, self.places = bytearray(MET), 0
+        met = self.met
+        todo = sorted(words, key=len, reverse=True)
+        del todo[: bisect_left(todo, -LONGEST_REMEMBERED, key=lambda w: -len(w))]  # longer ones
         for lo in range(0, len(todo), TOGETHER):
             part = todo[lo : lo + TOGETHER]
-            self.update(zip(part, self.codec.solve([w if w[:1] == "\n" else MARK + w for w in part])))
+            solved = self.codec.solve([w if w[:1] == "\n" else MARK + w for w in part])
+            made.update(zip(part, solved))
+            for w, ids in zip(part, solved):
+                place = hash(w) % MET
+                if met[place]:
+                    self[w] = ids
+                else:
+                    met[place] = 1
+                    self.places += 1
+        return made
 
     def __missing__(self, part: str) -> bytes:
         c = self.codec
@@ -445,7 +470,7 @@ def codec(pieces_key, make) -> Codec:
 def encode_column(texts: pa.Array, c: Codec, check: bool = True) -> tuple[pa.Array, pa.Array]:
     """(ids, whether decoding them gives the text again) for a column of texts; without ``check`` the second is null."""
     rows = texts.to_pylist()
-    made = c.encode_many(rows)
+    made = c.encode_many(rows, texts)
     ends = np.cumsum([0] + [len(b) // 4 if b else 0 for b in made])
     flat = np.frombuffer(b"".join([b for b in made if b]), "<i4")
     ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat), mask=texts.is_null() if texts.null_count else None)
