@@ -191,16 +191,32 @@ def _votes(near: np.ndarray, cells: np.ndarray, flags: np.ndarray, k: int, grid:
     return won
 
 
+def _votes_of_few(near: np.ndarray, cells: np.ndarray, flags: np.ndarray, k: int) -> np.ndarray:
+    """The same by all distances, in blocks of some million: cheaper where an object has few cells, which lie far apart."""
+    n, won, block = len(cells), [np.empty(0, np.int64)], max(1, (1 << 21) // len(cells))
+    for lo in range(0, len(near), block):
+        rank = np.zeros((len(near[lo : lo + block]), n), np.int64)
+        for c in range(3):
+            rank += (near[lo : lo + block, c, None] - cells[None, :, c]) ** 2
+        rank = rank * n + np.arange(n)
+        last = np.partition(rank, k - 1, axis=1)[:, k - 1 : k]
+        won.append(((rank <= last) & flags).sum(axis=1))
+    return np.concatenate(won)
+
+
 def _voted(occ: np.ndarray, box: np.ndarray, pad: int, k: int, grid: int) -> np.ndarray:
     cells = np.unique(occ, axis=0)
     code = lambda c: (c[:, 0] * grid + c[:, 1]) * grid + c[:, 2]
     flags = np.isin(code(cells), code(box))
+    if len(cells) <= k and 2 * flags.sum() <= len(cells):  # all vote on each cell
+        return cells[:0]
     lo, hi = np.maximum(box.min(axis=0) - pad, 0), np.minimum(box.max(axis=0) + pad, grid - 1)
     near = np.stack(np.meshgrid(*[np.arange(a, b + 1) for a, b in zip(lo, hi)], indexing="ij"), axis=-1).reshape(-1, 3)
     near = near[~np.isin(code(near), code(cells))]
-    if len(cells) <= k:  # all vote on each cell
-        return near if 2 * flags.sum() > len(cells) else near[:0]
-    return near[2 * _votes(near, cells, flags, k, grid) > k]
+    if len(cells) <= k:
+        return near
+    votes = _votes_of_few(near, cells, flags, k) if len(cells) <= 4096 else _votes(near, cells, flags, k, grid)
+    return near[2 * votes > k]
 
 
 def voted_region(occupied: DataFrame, edited: DataFrame, key: str = "obj_id", pad: int = 3, k: int = 100, grid: int = 64) -> DataFrame:

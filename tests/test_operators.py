@@ -114,6 +114,9 @@ def test_masks_and_regions(spark):
         if c not in held and (cells[nearest, 0] < 25).sum() > 50:
             want.add(c)
     assert got == want and want
+    near = rng.integers(18, 34, (300, 3))
+    for k in (1, 7, 100):
+        assert (VX._votes(near, cells, cells[:, 0] < 25, k, 64) == VX._votes_of_few(near, cells, cells[:, 0] < 25, k)).all()
     points, body = rng.random((60, 3)), rng.random((500, 3))
     frame = lambda ps: spark.createDataFrame([("a", *map(float, p)) for p in ps] + [("b", 0.0, 0.0, 0.0)] * (len(ps) > 60), "obj_id string, x double, y double, z double")
     gap = {r.obj_id: r.gap for r in G.gap_distance(frame(points), frame(body)).collect()}
