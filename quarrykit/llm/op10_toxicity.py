@@ -30,6 +30,7 @@ Repeated rows repeat; other columns are not looked at.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from math import log1p
 from zlib import crc32
 
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrykit.llm.sampling import least_digests
-from quarrykit.llm.words import trim, trimmed
+from quarrykit.llm.words import trimmed
 
 SAMPLE, BITS, GRADES = 12_000, 22, 4
 MIN_TOXIC, LIFT = 3, 20.0
@@ -186,26 +187,26 @@ class _Weights(dict):
 
 def scorer(model: Model):
     """Column of texts -> struct of severity, grade and reject."""
-    made: list[_Weights] = []
-
-    def run(texts: pa.Array) -> pa.Array:
-        if not made:
-            trim()
-            made.append(_Weights(model.weights))
-        weights = made[0]
-        z = np.zeros(len(texts))
-        for i, t in enumerate(t for at in range(0, len(texts), 256) for t in texts.slice(at, 256).to_pylist()):
-            if t:
-                found = [bs for bs in map(weights.__getitem__, _WORD.findall(t.lower())) if bs]
-                if found:
-                    n: dict[int, int] = {}
-                    for bs in found:
-                        for b in bs:
-                            n[b] = n.get(b, 0) + 1
-                    z[i] = sum(model.weights[b] * log1p(k) for b, k in n.items())
-        above = _sigmoid(z[:, None] - np.array(model.thresholds))
-        severity = above.sum(axis=1)
-        return pa.StructArray.from_arrays([pa.array(severity), pa.array((above >= 0.5).sum(axis=1).astype(np.int32)), pa.array((above[:, 0] >= 0.5) & model.rejects)], names=["severity", "grade", "toxic"])
+
+    def scored(batches):
+        weights = _Weights(model.weights)
+        for texts in batches:
+            z = np.zeros(len(texts))
+            for i, t in enumerate(t for at in range(0, len(texts), 256) for t in texts.slice(at, 256).to_pylist()):
+                if t:
+                    found = [bs for bs in map(weights.__getitem__, _WORD.findall(t.lower())) if bs]
+                    if found:
+                        n: dict[int, int] = {}
+                        for bs in found:
+                            for b in bs:
+                                n[b] = n.get(b, 0) + 1
+                        z[i] = sum(model.weights[b] * log1p(k) for b, k in n.items())
+            above = _sigmoid(z[:, None] - np.array(model.thresholds))
+            severity = above.sum(axis=1)
+            yield pa.StructArray.from_arrays([pa.array(severity), pa.array((above >= 0.5).sum(axis=1).astype(np.int32)), pa.array((above[:, 0] >= 0.5) & model.rejects)], names=["severity", "grade", "toxic"])
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from trimmed(scored)(batches)
 
     return F.arrow_udf(run, "severity double, grade int, toxic boolean").asNondeterministic()
 

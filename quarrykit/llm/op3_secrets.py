@@ -32,6 +32,7 @@ import math
 import random
 import re
 import string
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrykit.llm.sampling import least_digests
-from quarrykit.llm.words import trim, trimmed
+from quarrykit.llm.words import trimmed
 
 SAMPLE, SEQUENCES, LENGTH, STEPS, RIDGE = 300, 3000, 28, 160, 2e-4
 B, I, O = 0, 1, 2
@@ -507,17 +508,18 @@ def redact_text(text: str, spans) -> str:
 def redact(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     """``docs`` with each secret replaced; all rows and columns stay, in order. A column ``n_chars``, if there is one, is counted again."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    made: list[Scanner] = []
-
-    def run(texts: pa.Array) -> pa.Array:
-        if not made:
-            trim()
-            made.append(Scanner(shared.value))
-        out = []
-        for at in range(0, len(texts), 256):
-            part = texts.slice(at, 256).to_pylist()
-            out += [redact_text(t, s) if s else t for t, s in zip(part, made[0].spans(part))]
-        return pa.array(out, pa.string())
+
+    def redacted(batches):
+        scanner = Scanner(shared.value)
+        for texts in batches:
+            out = []
+            for at in range(0, len(texts), 256):
+                part = texts.slice(at, 256).to_pylist()
+                out += [redact_text(t, s) if s else t for t, s in zip(part, scanner.spans(part))]
+            yield pa.array(out, pa.string())
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from trimmed(redacted)(batches)
 
     clean = docs.withColumn(text_col, F.arrow_udf(run, "string").asNondeterministic()(F.col(text_col).cast("string")))
     if "n_chars" in docs.columns:

@@ -10,7 +10,7 @@ No piece of such a vocabulary has a word mark after its first other
 character, so no piece crosses the place before a mark or beside a line
 break, and a text's best path is the join of its segments' best paths. The
 distinct words of some hundred texts are looked up once. Words come again and
-again, so each worker keeps the ids of short ones it has met twice, up to a fixed number;
+again, so each worker keeps the ids of short ones, up to a fixed number, in two Arrow arrays;
 that is a memory of exact results. New
 ones are solved side by side: one array operation moves all their automata on
 by a character, and each output link is one more relaxation of all of them.
@@ -32,7 +32,7 @@ from __future__ import annotations
 import math
 import re
 import struct
-from bisect import bisect_left
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -42,13 +42,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrykit.llm.words import trimmed
+from quarrykit.llm.words import kept, trimmed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNK_PENALTY = 10.0
-#: Segments that a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST_REMEMBERED, MET = 500_000, 48, 1 << 22
+#: Words of each generation that a worker remembers, and the longest of them in characters.
+REMEMBERED, LONGEST_REMEMBERED = 150_000, 48
+#: Texts, and bytes of them, that are encoded at once; one longer text alone.
+TEXTS, TEXT_BYTES = 1_024, 4 << 20
 #: Words that are solved side by side.
 TOGETHER = 8_192
 MOST_EDGES = 300_000
@@ -297,18 +299,28 @@ class Codec:
         ids.reverse()
         return ids
 
-    def solve(self, words: list[str]) -> list[bytes]:
-        """The ids of the best path over each escaped word, as little-endian int32. All take their next character at once; the longest come first."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
+    def solved(self, words: pa.Array) -> pa.ListArray:
+        """The ids of the best path over each word, which comes without its mark."""
+        marked = pc.if_else(pc.starts_with(words, "\n"), words, pc.binary_join_element_wise(MARK, words, ""))
+        sizes = pc.utf8_length(words).to_numpy()
+        order = np.argsort(-sizes, kind="stable")
+        long = int((sizes > LONGEST_REMEMBERED).sum())  # side by side they would take much memory
+        made = [pa.array([self.viterbi(w) for w in marked.take(pa.array(order[:long])).to_pylist()], _IDS)]
+        made += [self.solve(marked.take(pa.array(order[at : at + TOGETHER]))) for at in range(long, len(order), TOGETHER)]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return pa.concat_arrays(made).take(pa.array(back))
+
+    def solve(self, words: pa.Array) -> pa.ListArray:
+        """The ids of the best path over each escaped word; all take their next character at once. The longest come first."""
+        sizes = pc.utf8_length(words).to_numpy().astype(np.int64)
         order = None if (sizes[1:] <= sizes[:-1]).all() else np.argsort(-sizes, kind="stable")
-        if order is not None:
-            made = self.solve([words[i] for i in order])
-            out: list[bytes] = [b""] * len(words)
-            for i, m in zip(order.tolist(), made):
-                out[i] = m
-            return out
+        if order is not None:  # a line break has no mark before it
+            back = np.empty(len(order), np.int64)
+            back[order] = np.arange(len(order))
+            return self.solve(words.take(pa.array(order))).take(pa.array(back))
         a, n, most = self.auto, len(words), int(sizes[0]) if len(words) else 0
-        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        flat = np.frombuffer(_joined(words).encode("utf-32-le"), np.uint32)
         starts = np.cumsum(sizes) - sizes
         kinds = _KIND[np.minimum(flat, len(_KIND) - 1)]
         best, how, took = np.zeros((most + 1, n)), np.full((most + 1, n), -1, np.int32), np.ones((most + 1, n), np.int32)
@@ -355,12 +367,11 @@ class Codec:
         table = np.empty(int(ends[-1]) if n else 0, "<i4")
         for back, (live, ids) in enumerate(path, 1):
             table[ends[live] - back] = ids
-        data = table.tobytes()
-        cuts = (4 * np.append(0, ends)).tolist()
-        out = [data[x:y] for x, y in zip(cuts, cuts[1:])]
-        for i in np.flatnonzero(~plain).tolist():  # an uncovered character is spelled in several bytes
-            got = self.viterbi(words[i])
-            out[i] = struct.pack(f"<{len(got)}i", *got)
+        out = _lists(table, ends)
+        odd = np.flatnonzero(~plain)
+        if len(odd):  # an uncovered character is spelled in several bytes
+            row[odd] = n + np.arange(len(odd))
+            out = pa.concat_arrays([out, pa.array([self.viterbi(w) for w in words.take(pa.array(odd)).to_pylist()], _IDS)]).take(pa.array(row))
         return out
 
     def encode_many(self, texts: list[str | None], column: pa.Array | None = None) -> list[bytes | None]:
@@ -376,16 +387,8 @@ class Codec:
             parts = pc.split_pattern(spaced.filter(plain), " ")
             # each word of these texts once
             coded = parts.flatten().dictionary_encode()
-            # as one text, which is split faster than its parts are made one by one
-            one = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
-            words = pc.binary_join(one, " ")[0].as_py().split(" ")
-            ids = list(map(self.memory.get, words))
-            gaps = [k for k, v in enumerate(ids) if v is None]
-            new = self.memory.learn({words[k] for k in gaps}).get
-            for k in gaps:
-                ids[k] = new(words[k]) or self.memory[words[k]]
-            ends = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))) // 4
-            got = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))).take(coded.indices)
+            source, at = self.memory.look_up(coded.dictionary)
+            got = source.take(pa.array(at[coded.indices.to_numpy()]))
             cuts = (4 * got.offsets.to_numpy()[parts.offsets.to_numpy()].astype(np.int64)).tolist()
             data = got.values.to_numpy().tobytes()
             for i, x, y in zip(np.flatnonzero(simple).tolist(), cuts, cuts[1:]):
@@ -409,62 +412,79 @@ class Codec:
 _SEGMENT = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
 
-class _Memory(dict):
-    """Segment -> its ids, of two generations. A key is a word without its mark, or a line break and the word after it. Words come in when they
-    are met a second time, as most of the rare ones never come again; ``met`` has a place for each hash of those met once."""
+_IDS = pa.list_(pa.int32())
 
-    def __init__(self, codec: Codec):
-        super().__init__()
-        self.codec, self.old = codec, {}
-        self.met, self.places = bytearray(MET), 0
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of ``words``, none of which is known, but for the longest."""
-        if len(self) + len(words) > REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-        made = {}
-        if self.old:
-            made = {w: ids for w in words if (ids := self.old.get(w)) is not None}
-            self.update(made)
-            words = words.difference(made)
-        if self.places > MET // 2:
-            self.met, self.places = bytearray(MET), 0
-        met = self.met
-        todo = sorted(words, key=len, reverse=True)
-        del todo[: bisect_left(todo, -LONGEST_REMEMBERED, key=lambda w: -len(w))]  # longer ones
-        for lo in range(0, len(todo), TOGETHER):
-            part = todo[lo : lo + TOGETHER]
-            solved = self.codec.solve([w if w[:1] == "\n" else MARK + w for w in part])
-            made.update(zip(part, solved))
-            for w, ids in zip(part, solved):
-                place = hash(w) % MET
-                if met[place]:
-                    self[w] = ids
-                else:
-                    met[place] = 1
-                    self.places += 1
-        return made
+def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat.astype(np.int32, copy=False)))
 
-    def __missing__(self, part: str) -> bytes:
-        c = self.codec
-        ids = c.viterbi(part if part[:1] == "\n" else MARK + part)
-        return struct.pack(f"<{len(ids)}i", *ids)
+
+def _joined(words: pa.Array) -> str:
+    """All words as one text."""
+    return "" if not len(words) else pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "")[0].as_py()
+
+
+class _Memory:
+    """Words and their ids, side by side in Arrow arrays: ``old`` ones, which were used in the generation before, and then those of this one.
+    A word comes without its mark, or is a line break and the word after it. When a generation is full, the most used words of both are the next one's old ones."""
+
+    def __init__(self, codec: Codec):
+        self.codec = codec
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.ids, self.uses = pa.array([], pa.string()), pa.array([], _IDS), np.zeros(0, np.float32)
+        self.old = self.words
+
+    def __len__(self) -> int:
+        """Words of this generation."""
+        return len(self.words) - len(self.old)
+
+    def look_up(self, words: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """Lists of ids, and for each of ``words``, which are distinct, which list is its own."""
+        found = pc.index_in(words, value_set=self.words)
+        at = pc.fill_null(found, -1).to_numpy().astype(np.int32)
+        gaps = np.flatnonzero(at < 0)
+        self.uses[at[at >= 0]] += 1
+        if not len(gaps):
+            return self.ids, at
+        new = words.take(pa.array(gaps))
+        ids = self.codec.solved(new)
+        source = pa.concat_arrays([self.ids, ids])
+        at[gaps] = len(self.ids) + np.arange(len(gaps))
+        self.learn(new, ids)
+        return source, at
+
+    def learn(self, words: pa.Array, ids: pa.ListArray) -> None:
+        short = pc.less_equal(pc.utf8_length(words), LONGEST_REMEMBERED)
+        words, ids = words.filter(short).slice(0, REMEMBERED), ids.filter(short).slice(0, REMEMBERED)
+        if len(self) + len(words) > REMEMBERED:
+            keep = np.flatnonzero(self.uses)
+            if len(keep) > REMEMBERED:
+                keep = np.sort(keep[np.argpartition(-self.uses[keep], REMEMBERED)[:REMEMBERED]])
+            self.words, self.ids, self.uses = self.words.take(pa.array(keep)), self.ids.take(pa.array(keep)), self.uses[keep] / 2
+            self.old = self.words
+        self.words, self.ids, self.uses = pa.concat_arrays([self.words, words]), pa.concat_arrays([self.ids, ids]), np.append(self.uses, np.zeros(len(words), np.float32))
 
     def of(self, segment: str) -> bytes:
         ids = self.codec.viterbi(segment)
         return struct.pack(f"<{len(ids)}i", *ids)
 
 
-_CODECS: dict = {}
+def codec(pieces_key, make) -> Codec:
+    """One codec for each worker process and vocabulary; it goes when the worker runs another operator."""
+    return kept(pieces_key, lambda: Codec(make()))
 
 
-def codec(pieces_key, make) -> Codec:
-    """One codec for each worker process and vocabulary."""
-    if pieces_key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[pieces_key] = Codec(make())
-    return _CODECS[pieces_key]
+def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, rows) of the parts of a column that are encoded at once."""
+    done = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)))
+    at = 0
+    while at < len(texts):
+        end = int(np.searchsorted(done, done[at] + TEXT_BYTES, "right")) - 1
+        end = max(at + 1, min(at + TEXTS, end))
+        yield at, end - at
+        at = end
 
 
 def encode_column(texts: pa.Array, c: Codec, check: bool = True) -> tuple[pa.Array, pa.Array]:
@@ -507,15 +527,15 @@ def encode_documents(docs: DataFrame, model: str = MODEL, scores: str = "zipf",
     def run(batches):
         c = codec(key, lambda: shared.value)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at, rows in slices(b.column(1)):
+                part = b.slice(at, rows)
                 ids, ok = encode_column(part.column(1), c, check)
                 n = pc.list_value_length(ids)
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, n, ok], names=["doc_id", "ids", "n_tokens", "round_trip"])
 
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.IntegerType()), T.StructField("round_trip", T.BooleanType())])
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(trimmed(run), schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(trimmed(run, key), schema)
 
 
 def decode_documents(encoded: DataFrame, model: str = MODEL, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:

@@ -15,8 +15,22 @@ _WORD = re.compile(r"\w+")
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def trim() -> None:
-    """Give freed memory back to the system: a worker that is used again else holds the most that any task before took."""
+#: What a worker keeps from one task to the next.
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What ``make`` made when this worker first asked for ``key``. A worker keeps one thing, the last."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def trim(keep=None) -> None:
+    """Drop what is kept under other keys and give freed memory back to the system: a worker that is used again else holds the most that any task before took."""
+    for key in [k for k in _KEPT if k != keep]:
+        del _KEPT[key]
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -25,13 +39,13 @@ def trim() -> None:
         pass
 
 
-def trimmed(run: Callable) -> Callable:
-    """A function of Arrow batches that leaves no freed memory behind it."""
+def trimmed(run: Callable, keep=None) -> Callable:
+    """A function of Arrow batches that leaves no freed memory behind it, and of what is ``kept`` at most that key."""
 
     def inner(batches):
-        trim()
+        trim(keep)
         yield from run(batches)
-        trim()
+        trim(keep)
 
     return inner
 

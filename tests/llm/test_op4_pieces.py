@@ -1,9 +1,15 @@
+import gc
 import math
 import random
+import tracemalloc
+import weakref
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from quarrykit.llm import op4_pieces as op
+from quarrykit.llm.words import trimmed
 
 ODD = [None, "", " ", "\n", "a  b", " a", "a ", "\n\nx", "a \n b", "漢字 é x", "x" * 5000, "\t\ttab  \n\n  y", "emoji 😀 ok", "the the the"]
 
@@ -122,3 +128,47 @@ def test_memory_is_bounded_and_changes_nothing(zipf, monkeypatch):
     assert len(c.memory) <= 3 and len(c.memory.old) <= 3
     texts = [f"w{i} xé漢 w{i}a\nw{i} " + "z" * 60 for i in range(30)] + [None, ""]
     assert [None if b is None else list(memoryview(b).cast("i")) for b in c.encode_many(texts)] == [None if t is None else c.encode(t) for t in texts]
+
+
+def test_remembered_words_are_small():
+    c = op.Codec(op.zipf_scores(op.read_model(op.MODEL)))
+    texts = pa.array([" ".join(f"w{i}q{j}" for j in range(100)) for i in range(300)])
+    op.encode_column(texts.slice(0, 1), c)
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    for _ in range(3):
+        for at in range(0, len(texts), 50):
+            op.encode_column(texts.slice(at, 50), c)
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held / 30_000 < 100  # bytes a word; dictionaries of texts and bytes took 139
+
+
+def test_other_operators_leave_no_codec():
+    def make():
+        return weakref.ref(op.codec("k", lambda: op.zipf_scores(op.read_model(op.MODEL))))
+
+    held = make()
+    list(trimmed(iter)([]))
+    assert held() is None
+    held = make()
+    list(trimmed(iter, "k")([]))
+    assert held() is not None
+
+
+def test_a_word_is_solved_once(monkeypatch):
+    c, solved = op.Codec(op.zipf_scores(op.read_model(op.MODEL))), []
+    solve = c.solve
+    monkeypatch.setattr(c, "solve", lambda words: solved.append(len(words)) or solve(words))
+    texts = pa.array([f"gqx{i} zvw{i}" for i in range(200)])
+    first, again = (op.encode_column(texts, c)[0] for _ in range(2))
+    assert first.equals(again) and sum(solved) == 400
+
+
+def test_slices_hold_few_rows_and_bytes():
+    texts = pa.array(["a" * 10] * 3000 + [None, "", "b" * (op.TEXT_BYTES + 1)] + ["c" * (op.TEXT_BYTES // 3)] * 7)
+    got = list(op.slices(texts))
+    assert [a for a, _ in got] == [0, *np.cumsum([n for _, n in got])[:-1]] and sum(n for _, n in got) == len(texts)
+    assert all(n == 1 or n <= op.TEXTS and sum(len(t or "") for t in texts.slice(a, n).to_pylist()) <= op.TEXT_BYTES for a, n in got)
+    assert list(op.slices(texts.slice(0, 0))) == []
