@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarrykit.llm.op4_pieces import MODEL, codec, encode_column, read_model, zipf_scores
+from quarrykit.llm.op4_pieces import MODEL, codec, encode_column, read_model, slices, zipf_scores
 from quarrykit.llm.words import trimmed
 from quarrykit.sharedfs import new_path
 
@@ -75,13 +75,14 @@ def write_tokens(docs: DataFrame, path: str, model: str = MODEL, stripe_bytes: i
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = places(docs, id_col, files)
     shared = spark.sparkContext.broadcast((zipf_scores(read_model(model)), place))
+    key = (model, "zipf")
 
     def run(batches):
         pieces, place = shared.value
-        c, met = codec((model, "zipf"), lambda: pieces), {}
+        c, met = codec(key, lambda: pieces), {}
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at, rows in slices(b.column(1)):
+                part = b.slice(at, rows)
                 ids, ok = encode_column(part.column(1), c)
                 at_ = place.of(part.column(0), ids, met)
                 yield pa.RecordBatch.from_arrays([part.column(0), ids.cast(pa.list_(arrow_kind)), pc.list_value_length(ids), ok, pa.array(at_.astype(np.int32))], names=["doc_id", "ids", "n_tokens", "round_trip", "place"])
@@ -90,7 +91,7 @@ def write_tokens(docs: DataFrame, path: str, model: str = MODEL, stripe_bytes: i
     narrow = len(shared.value[0]) <= 1 << 15
     kind, arrow_kind = (T.ShortType(), pa.int16()) if narrow else (T.IntegerType(), pa.int32())
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(kind)), T.StructField("n_tokens", T.IntegerType()), T.StructField("round_trip", T.BooleanType()), T.StructField("place", T.IntegerType())])
-    encoded = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(trimmed(run), schema)
+    encoded = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(trimmed(run, key), schema)
     options = {
         "orc.stripe.size": stripe_bytes,
         "orc.row.index.stride": stride,
