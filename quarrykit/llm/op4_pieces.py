@@ -48,9 +48,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNK_PENALTY = 10.0
 #: Words of each generation that a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST_REMEMBERED = 150_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 100_000, 48
 #: Texts, and bytes of them, that are encoded at once; one longer text alone.
-TEXTS, TEXT_BYTES = 1_024, 4 << 20
+TEXTS, TEXT_BYTES = 512, 2 << 20
 #: Words that are solved side by side.
 TOGETHER = 8_192
 MOST_EDGES = 300_000
@@ -168,7 +168,7 @@ class Automaton:
         """The same automaton as arrays: a complete table over ``_CLASSES``, goto edges of other characters by key, outputs and output links."""
         n = len(self.goto)
         self.fails = np.array(self.fail, np.int32)
-        self.table = np.zeros((n, len(_CLASSES) + 1), np.int32)
+        self.table = np.zeros((n, len(_CLASSES) + 1), np.uint16 if n <= 1 << 16 else np.int32)
         seen = {ch for g in self.goto for ch in g if ch not in _CLASS_OF}
         self.code = {ch: i for i, ch in enumerate(sorted(seen))}
         keys, to = [], []
@@ -211,7 +211,7 @@ class Automaton:
 
     def moved(self, state: np.ndarray, kinds: np.ndarray, chars: np.ndarray) -> np.ndarray:
         """The next states of many automata."""
-        nxt = self.table[state, kinds]
+        nxt = self.table[state, kinds].astype(np.int32)
         rest = np.flatnonzero(kinds == 0)
         if len(rest):
             code = np.array([self.code.get(chr(c), -1) for c in chars[rest].tolist()])
