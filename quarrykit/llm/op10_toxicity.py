@@ -29,6 +29,7 @@ Repeated rows repeat; other columns are not looked at.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from math import log1p
@@ -40,10 +41,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrykit.llm.sampling import least_digests
-from quarrykit.llm.words import trimmed
+from quarrykit.llm.words import trim, trimmed
 
 SAMPLE, BITS, GRADES = 12_000, 22, 4
 MIN_TOXIC, LIFT = 3, 20.0
+#: Triples that are counted at once.
+SLICE = 1 << 19
 MIN_TEXTS, SCREEN, L1, STEPS = 3, 15.0, 1e-4, 400
 _WORD = re.compile(r"\w+")
 
@@ -91,32 +94,49 @@ def _sigmoid(z):
     return 0.5 * (1.0 + np.tanh(0.5 * z))
 
 
+def _tally(rows: np.ndarray, cols: np.ndarray, of: np.ndarray, width: int) -> np.ndarray:
+    """For each bucket the triples whose row is ``of`` the class; in slices, as bincount copies what it counts into wider numbers."""
+    made = np.zeros(width)
+    for at in range(0, len(cols), SLICE):
+        made += np.bincount(cols[at : at + SLICE][of[rows[at : at + SLICE]]], minlength=width)
+    return made
+
+
+def _compact(cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that occur, and ``cols`` as places among them."""
+    seen = np.zeros(1 << BITS, bool)
+    seen[cols] = True
+    place = np.cumsum(seen, dtype=np.int32) - np.int32(1)
+    return np.flatnonzero(seen), place[cols]
+
+
 def grade(toxic: np.ndarray, rows: np.ndarray, cols: np.ndarray, times: np.ndarray) -> np.ndarray:
     """Grades of sample texts given as (row, bucket, count) triples."""
-    n, width = len(toxic), 1 << BITS
-    tox = np.bincount(cols[toxic[rows] == 1], minlength=width).astype(float)
-    clean = np.bincount(cols[toxic[rows] == 0], minlength=width).astype(float)
+    n, width = len(toxic), int(cols.max(initial=0)) + 1
+    tox, clean = _tally(rows, cols, toxic == 1, width), _tally(rows, cols, toxic == 0, width)
     nt, nc = max(1, int(toxic.sum())), max(1, int((toxic == 0).sum()))
     marked = (tox >= MIN_TOXIC) & (tox / nt >= LIFT * (clean + 0.5) / nc)
-    hits = np.bincount(rows, times * marked[cols], minlength=n)
+    at = marked[cols]
+    hits = np.bincount(rows[at], times[at], minlength=n)
     return np.where(toxic == 0, 0, np.where(hits <= 3, 1, np.where(hits <= 8, 2, 3)))
 
 
 def fit(toxic: np.ndarray, rows: np.ndarray, cols: np.ndarray, times: np.ndarray) -> Model:
     """Accelerated proximal gradient on the mean negative log-likelihood."""
     n = len(toxic)
+    met, cols = _compact(cols)
     y = grade(toxic, rows, cols, times)
     if n == 0 or y.max() == 0 or y.min() > 0:
         share = float(toxic.mean()) if n else 0.0
         return Model({}, [30.0 if share == 0 else float(np.log(1 / share - 1)) if share < 1 else -30.0, 60.0, 90.0], rejects=False)
     n1, n0 = float((y > 0).sum()), float((y == 0).sum())
-    has1 = np.bincount(cols[y[rows] > 0], minlength=1 << BITS)
-    has0 = np.bincount(cols[y[rows] == 0], minlength=1 << BITS)
+    has1, has0 = _tally(rows, cols, y > 0, len(met)), _tally(rows, cols, y == 0, len(met))
     both = has1 + has0
     chi = (has1 * (n0 - has0) - has0 * (n1 - has1)) ** 2 * n / np.maximum(1.0, both * (n - both) * n1 * n0)
     keep = ((both >= MIN_TEXTS) & (chi >= SCREEN))[cols]
-    rows, times = rows[keep], times[keep]
+    rows, times = rows[keep].astype(np.int64), times[keep]
     used, cols = np.unique(cols[keep], return_inverse=True)
+    used = met[used]
     x, d = np.log1p(times.astype(float)), len(used)
     w, t = np.zeros(d), np.array([1.0, 2.0, 3.0])
     w_mom, t_mom, speed, step = w.copy(), t.copy(), 1.0, 64.0
@@ -158,15 +178,28 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     known = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = least_digests(known, "__id", sample, "toxic")
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
-    got = texts.join(chosen, "__id").select("toxic", "text").mapInArrow(trimmed(_hashed), "toxic int, words array<int>, times array<int>").toArrow().combine_chunks()
-    words, times = (got.column(k).combine_chunks() if isinstance(got.column(k), pa.ChunkedArray) else got.column(k) for k in ("words", "times"))
-    n = np.diff(words.offsets.to_numpy())
-    flat_words, flat_times, toxic = words.flatten().to_numpy(), times.flatten().to_numpy(), got.column("toxic").to_numpy()
-    ends = np.append(0, np.cumsum(n))
-    first = {(toxic[i], flat_words[ends[i] : ends[i + 1]].tobytes(), flat_times[ends[i] : ends[i + 1]].tobytes()): i for i in range(len(n))}
-    once = np.sort(np.fromiter(first.values(), np.int64, len(first)))
-    inside = np.isin(np.repeat(np.arange(len(n)), n), once)
-    return fit(toxic[once], np.repeat(np.arange(len(once)), n[once]), flat_words[inside].astype(np.int64), flat_times[inside])
+    made = texts.join(chosen, "__id").select("toxic", "text").mapInArrow(trimmed(_hashed), "toxic int, words array<int>, times array<int>").toArrow()
+    toxic, n, words, times = _once(made)
+    del made
+    model = fit(toxic, np.repeat(np.arange(len(n), dtype=np.int32), n), words, times)
+    del words, times
+    trim()
+    return model
+
+
+def _once(made: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Classes, lengths, and all words and counts of the rows of ``made``, of equal ones the last; read in place, one batch after another."""
+    last: dict[tuple[int, bytes], int] = {}
+    rows: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for b in made.to_batches():
+        lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (b.column(1), b.column(2))]
+        for i, t in enumerate(b.column(0).to_pylist()):
+            own, counted = (values[ends[i] : ends[i + 1]] for ends, values in lists)
+            last[t, hashlib.md5(own.tobytes() + counted.tobytes(), usedforsecurity=False).digest()] = len(rows)
+            rows.append((t, own, counted))
+    once = [rows[i] for i in sorted(last.values())]
+    none = [np.zeros(0, np.int32)]
+    return np.array([t for t, _, _ in once], np.int32), np.array([len(w) for _, w, _ in once], np.int64), np.concatenate(none + [w for _, w, _ in once]), np.concatenate(none + [k for _, _, k in once])
 
 
 class _Weights(dict):

@@ -69,3 +69,32 @@ def test_training_where_labels_are_thin(spark):
         share = {(): 0, ((1, 0),): 0, ((1, 1), (2, 1)): 1, ((1, None), (None, 1), (9, 1)): 0}[tuple(rows)]
         assert all(abs(r.severity - share) < 1e-6 for r in out)
         assert op.drop_toxic(docs, model).count() == 3
+
+
+def test_memory_of_training():
+    """Fitting takes room for the triples and the buckets that occur, not for all buckets."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    n, each = 3000, 200
+    toxic = (np.arange(n) % 10 == 0).astype(np.int32)
+    rows = np.repeat(np.arange(n, dtype=np.int32), each)
+    cols = rng.integers(0, 50_000, n * each).astype(np.int32) * 80
+    cols[::each] = np.where(toxic == 1, 1 << 21, 80)
+    tracemalloc.start()
+    model = op.fit(toxic, rows, cols, np.ones(n * each, np.int32))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert model.weights[1 << 21] > 0 and peak < 60
+
+
+def test_equal_texts_count_once():
+    import pyarrow as pa
+
+    rows = [(0, [5, 6], [1, 2]), (1, [5, 6], [1, 2]), (0, [5, 6], [2, 1]), (0, [], []), (0, [5, 6], [1, 2]), (0, [], []), (1, [7], [1])]
+    made = pa.table({"toxic": pa.array([t for t, _, _ in rows], pa.int32()), "words": pa.array([w for _, w, _ in rows], pa.list_(pa.int32())), "times": pa.array([k for _, _, k in rows], pa.list_(pa.int32()))})
+    for table in (made, pa.concat_tables([made.slice(0, 3), made.slice(3)])):
+        toxic, n, words, times = op._once(table)
+        assert toxic.tolist() == [1, 0, 0, 0, 1] and n.tolist() == [2, 2, 2, 0, 1]
+        assert words.tolist() == [5, 6, 5, 6, 5, 6, 7] and times.tolist() == [1, 2, 2, 1, 1, 2, 1]
+    assert [len(x) for x in op._once(made.slice(0, 0))] == [0, 0, 0, 0]
