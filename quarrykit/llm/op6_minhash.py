@@ -9,8 +9,8 @@ signature is a running minimum over rows of one table.
 1. Rows with the same text are one node (the text's 128-bit digest). Each task signs a text it
    meets again only once, for as long as it remembers it, and signatures are merged by digest.
 2. Signatures are cut into bands; nodes that agree on a band share a bucket.
-3. Each node is held against the least node of its buckets by the exact
-   Jaccard index of the shingle sets. Those that pass form components.
+3. Each node is held against one node of its buckets by the exact Jaccard index of the shingle sets: the one that meets
+   most others in its own buckets, so the middle of a cluster and not one at its edge, which few would match. Those that pass form components.
 4. In buckets that still hold more than one component every pair across
    components that can pass is verified too: all pairs in a bucket of at most ``FEW`` nodes; in larger
    ones those that share a rare shingle. (Of two sets with Jaccard index t or more, some shingle stands both among the first
@@ -149,6 +149,15 @@ def _with_ends(rows: DataFrame, key: str, value: str) -> DataFrame:
     return rows.join(ends, key)
 
 
+def towards_middles(shared: DataFrame) -> DataFrame:
+    """(a, b), a > b: each node of ``shared`` (h, node, n) with the one of its buckets that meets most others; ties go to the least node."""
+    met = shared.groupBy("node").agg((-F.sum("n")).alias("met"))
+    ranked = shared.join(met, "node").select("h", F.struct("met", "node").alias("rank"))
+    best = ranked.groupBy("h").agg(F.min("rank").alias("best"))
+    to = ranked.join(best, "h").groupBy("rank.node").agg(F.min("best").alias("best")).select("node", F.col("best.node").alias("to")).where("node <> to")
+    return to.select(F.greatest("node", "to").alias("a"), F.least("node", "to").alias("b"))
+
+
 def rare_pairs(members: DataFrame, sets: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
     """(a, b) of ``members`` (node, root) of different roots that share a band and may have that Jaccard index: they share a shingle of their rare ends."""
     own = sets.join(members, "node").withColumn("size", F.size("shingles"))
@@ -170,12 +179,12 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAND
     base = _keyed(docs, id_col, text_col).where("text is not null").select("key", "text")
     signed = base.mapInArrow(trimmed(_banded(bands, rows)), "key binary, bands array<bigint>")
     nodes = cut(signed.groupBy("key").agg(F.first("bands").alias("bands")).select(F.monotonically_increasing_id().alias("node"), "key", "bands"), "nodes")
-    shared = cut(_with_ends(nodes.select(F.explode("bands").alias("h"), "node"), "h", "node").select("h", "node", F.col("lo").alias("least")), "buckets")
+    shared = cut(_with_ends(nodes.select(F.explode("bands").alias("h"), "node"), "h", "node").select("h", "node", "n"), "buckets")
     wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "key")
     texts = base.join(wanted, "key").groupBy("key", "node").agg(F.first("text").alias("text")).select("node", "text")
     sets = cut(texts.mapInArrow(trimmed(_sets), "node long, shingles array<bigint>"), "sets")
-    # each node against the least of its buckets
-    tried = cut(shared.where("node <> least").groupBy("node").agg(F.min("least").alias("b")).select(F.col("node").alias("a"), "b"), "tried")
+    # each node against the middle of its buckets
+    tried = cut(towards_middles(shared), "tried")
     held = cut(verified(tried, sets, threshold), "held")
     part = components(held)
     # what the buckets still hold across components

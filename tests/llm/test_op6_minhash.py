@@ -116,6 +116,43 @@ def test_a_bucket_of_many_that_do_not_match(spark):
     assert got == {d: g for k in range(50) for d, g in ((k * 7, k * 7), (20000 + k, k * 7))}
 
 
+def test_a_cluster_with_a_middle_is_joined_by_it(spark, monkeypatch):
+    """Near copies of one text that are no near copies of each other: whatever the nodes' order, most are held against that text, and few pairs are left to verify."""
+    rng = np.random.default_rng(7)
+    rows = [(0, " ".join(f"m{i}" for i in range(60)))]
+    for k in range(1, 151):
+        w = rows[0][1].split()
+        for j in rng.choice(15, 4, replace=False):
+            w[4 * j] = f"edit{k}x{j}"
+        rows.append((k, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    verified, counted = op.verified, []
+
+    def counting(pairs, sets, threshold):
+        found = verified(pairs, sets, threshold)
+        counted.append((pairs.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(op, "verified", counting)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in (2, 3):
+        counted.clear()
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            groups = [r.root for r in op.near_groups(docs).collect()]
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        assert len(groups) == 151 and max(groups.count(g) for g in groups) >= 0.95 * 151
+        assert counted[0][1] >= 0.9 * 150 and counted[1][0] <= 4 * 150
+
+
+def test_towards_middles(spark):
+    """Node 7 meets most others; 9 meets 0 alone, as 0 meets fewer than 7 does but more than 9; ties go to the least."""
+    buckets = {1: [7, 3, 4, 5], 2: [7, 0], 3: [0, 9], 4: [21, 20]}
+    shared = spark.createDataFrame([(h, n, len(ns)) for h, ns in buckets.items() for n in ns], "h long, node long, n long")
+    assert sorted(tuple(r) for r in op.towards_middles(shared).collect()) == [(7, 0), (7, 3), (7, 4), (7, 5), (9, 0), (21, 20)]
+
+
 def test_string_ids_and_words_of_newer_scripts(spark):
     rows = [("b", "same words here"), ("a", "same words here"), (None, "same words here"), ("c", "\U00011f04\U00011f05 \U00011f06"), ("d", "\U00011f04\U00011f05 \U00011f06"), ("e", "!!"), ("f", "!!")]
     docs = spark.createDataFrame(rows, "doc_id string, text string")
