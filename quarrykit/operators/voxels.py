@@ -10,9 +10,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarrykit.operators.batched import Lists, blocks, by_batches, packed, ranges, rows_of
+
 XYZ = ["x", "y", "z"]
 
 
@@ -145,20 +148,67 @@ def _nearest(points: np.ndarray, known: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+#: Pairs of one object up to which objects are worked on side by side, and pairs of such a block.
+_FEW, _BLOCK = 1 << 14, 1 << 20
+
+
+def few_pairs(points: Lists, known: Lists):
+    """Blocks of objects with few pairs: (place of a point, place of a known one) of all pairs, and where each point's pairs begin.
+
+    Objects that lack one of the two have no pairs. Then come the objects with many, as (None, row)."""
+    cost = points.size * known.size
+    few = np.flatnonzero((cost > 0) & (cost <= _FEW))
+    for s in blocks(cost[few], _BLOCK):
+        at = few[s]
+        left = ranges(points.first[at], points.size[at])
+        each = np.repeat(known.size[at], points.size[at])
+        yield (left, np.repeat(left, each), ranges(np.repeat(known.first[at], points.size[at]), each), np.concatenate([[0], np.cumsum(each)[:-1]])), None
+    for row in np.flatnonzero(cost > _FEW):
+        yield None, row
+
+
+def span(lists: Lists, row: int) -> slice:
+    return slice(int(lists.first[row]), int(lists.first[row] + lists.size[row]))
+
+
+def _ranks(texts: pa.Array) -> np.ndarray:
+    """Places of texts in their order, nulls last."""
+    coded = texts.dictionary_encode()
+    place = np.empty(len(coded.dictionary) + 1, np.int64)
+    place[np.argsort(np.array(coded.dictionary.to_pylist(), dtype=object), kind="stable")] = np.arange(len(coded.dictionary))
+    place[-1] = len(coded.dictionary)
+    return place[coded.indices.fill_null(len(coded.dictionary)).to_numpy(zero_copy_only=False)]
+
+
 def nearest_labels(unknown: DataFrame, known: DataFrame, key: str = "obj_id") -> DataFrame:
     """(key, x, y, z, label) of each unlabelled cell, from the nearest labelled one of the object; ties go to the least (x, y, z)."""
     kind = unknown.schema[key].dataType.simpleString()
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        made = left[[key, *XYZ]].copy()
-        right = right.rename(columns=lambda c: c.removeprefix("r_"))
-        if len(right) == 0 or len(left) == 0:
-            return made.assign(label=pd.Series([None] * len(made), dtype=object))
-        right = right.sort_values([*XYZ, "label"])
-        return made.assign(label=right["label"].to_numpy()[_nearest(left[XYZ].to_numpy(float), right[XYZ].to_numpy(float))])
+    right = [f"k{c}" for c in XYZ]
+
+    def run(b: pa.RecordBatch):
+        u, k = Lists(b, *XYZ), Lists(b, *right, "label")
+        cells, there = np.stack([v.to_numpy(zero_copy_only=False) for v in u.values], axis=1).astype(float), np.stack([v.to_numpy(zero_copy_only=False) for v in k.values[:3]], axis=1).astype(float)
+        label = k.values[3].field("label")
+        # equal cells by label, absent ones last, as their order decides between them
+        order = np.lexsort((_ranks(label), *there.T[::-1], k.row))
+        there, label = there[order], label.take(pa.array(order))
+        won = np.full(len(cells), -1, np.int64)
+        for pairs, row in few_pairs(u, k):
+            if pairs is None:
+                at = span(k, row)
+                won[span(u, row)] = at.start + _nearest(cells[span(u, row)], there[at])
+            else:
+                left, i, j, begin = pairs
+                d = ((cells[i] - there[j]) ** 2).sum(axis=1)
+                least = np.repeat(np.minimum.reduceat(d, begin), np.diff(np.append(begin, len(d))))
+                won[left] = np.minimum.reduceat(np.where(d == least, j, len(there)), begin)
+        found = label.take(pa.array(np.where(won < 0, 0, won), mask=won < 0))
+        yield rows_of(b, key, u.row, **dict(zip(XYZ, u.values)), label=found)
 
     types = ", ".join(f"{c} {unknown.schema[c].dataType.simpleString()}" for c in XYZ)
-    return unknown.select(key, *XYZ).groupBy(key).cogroup(_apart(known, key, "label").groupBy(f"r_{key}")).applyInPandas(run, f"{key} {kind}, {types}, label string")
+    # a label may be absent, and a list holds no nulls: each stands in a struct
+    both = packed(key, u=(unknown, {c: F.col(c) for c in XYZ}), k=(known, {**{f"k{c}": F.col(c) for c in XYZ}, "label": F.struct(F.col("label").cast("string").alias("label"))}))
+    return by_batches(both, run, f"{key} {kind}, {types}, label string")
 
 
 @lru_cache(1)
