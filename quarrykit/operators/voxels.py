@@ -132,11 +132,6 @@ def components_by_labels(v: DataFrame, key: str = "obj_id") -> DataFrame:
         now = cut(now.select(key, *XYZ).join(least, [key, *XYZ]), "labels")
 
 
-def _apart(df: DataFrame, key: str, *more: str) -> DataFrame:
-    """Key and columns under new attributes, so that two sides of a cogroup may come of one frame."""
-    return df.select(*[F.col(c).alias(f"r_{c}") for c in (key, *XYZ, *more)])
-
-
 def _nearest(points: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Row number of the nearest ``known`` (sorted by x, y, z) of each point; of equal distances the first. In blocks of some million distances."""
     out, block = [np.empty(0, np.int64)], max(1, (1 << 22) // len(known))
@@ -269,21 +264,56 @@ def _voted(occ: np.ndarray, box: np.ndarray, pad: int, k: int, grid: int) -> np.
     return near[2 * votes > k]
 
 
+def _voted_by_all(cells: np.ndarray, occ: Lists, box: np.ndarray, ed: Lists, rows: np.ndarray, pad: int, grid: int):
+    """(row, cell) of ``rows`` with so few cells that all of them vote on each empty one: their whole region or none of it. In blocks of some 100,000 cells."""
+    code = lambda row, c: ((row * grid + c[:, 0]) * grid + c[:, 1]) * grid + c[:, 2]
+    here = np.zeros(len(occ.size), bool)
+    here[rows] = True  # cells of other objects may lie outside the grid
+    held = np.unique(code(occ.row, cells)[here[occ.row]])
+    flags = np.isin(held, np.unique(code(ed.row, box)[here[ed.row]]))
+    cube = grid**3
+    n, edited = np.bincount(held // cube, minlength=len(occ.size)), np.bincount(held[flags] // cube, minlength=len(occ.size))
+    rows = rows[2 * edited[rows] > n[rows]]
+    if not len(rows):
+        return
+    lo, hi = (f.reduceat(box, ed.first[ed.size > 0], axis=0) for f in (np.minimum, np.maximum))
+    place = np.cumsum(ed.size > 0) - 1
+    lo, hi = np.maximum(lo[place[rows]] - pad, 0), np.minimum(hi[place[rows]] + pad, grid - 1)
+    side = hi - lo + 1
+    for s in blocks(side.prod(axis=1), 1 << 17):
+        size = side[s].prod(axis=1)
+        which, at = np.repeat(np.arange(len(size)), size), ranges(np.zeros(len(size), np.int64), size)
+        step = np.repeat(side[s, 2], size)
+        plane = np.repeat(side[s, 1] * side[s, 2], size)
+        near = lo[s][which] + np.stack([at // plane, at % plane // step, at % step], axis=1)
+        row = rows[s][which]
+        codes = code(row, near)
+        to = np.minimum(np.searchsorted(held, codes), len(held) - 1)
+        empty = held[to] != codes
+        yield row[empty], near[empty]
+
+
 def voted_region(occupied: DataFrame, edited: DataFrame, key: str = "obj_id", pad: int = 3, k: int = 100, grid: int = 64) -> DataFrame:
     """Empty cells near the edited ones (their box and ``pad``) join where over half of the k nearest occupied cells are edited; of equal distances
     the least cells count. Cells are on the grid; others raise."""
     kind = occupied.schema[key].dataType.simpleString()
+    right = [f"e{c}" for c in XYZ]
 
-    def run(occ: pd.DataFrame, ed: pd.DataFrame) -> pd.DataFrame:
-        won = np.empty((0, 3), np.int32)
-        if len(ed) and len(occ):
-            cells, box = occ[XYZ].to_numpy(np.int64), ed.rename(columns=lambda c: c.removeprefix("r_"))[XYZ].to_numpy(np.int64)
-            if min(cells.min(), box.min()) < 0 or max(cells.max(), box.max()) >= grid:
-                raise ValueError(f"cells outside the grid of {grid}")
-            won = _voted(cells, box, pad, k, grid).astype(np.int32)
-        return pd.DataFrame({key: [occ[key].iloc[0]] * len(won) if len(won) else pd.Series(dtype=object), "x": won[:, 0], "y": won[:, 1], "z": won[:, 2]})
-
-    return occupied.select(key, *XYZ).groupBy(key).cogroup(_apart(edited, key).groupBy(f"r_{key}")).applyInPandas(run, f"{key} {kind}, x int, y int, z int")
+    def run(b: pa.RecordBatch):
+        occ, ed = Lists(b, *XYZ), Lists(b, *right)
+        cells, box = np.stack(occ.numpy(np.int64), axis=1), np.stack(ed.numpy(np.int64), axis=1)
+        both = np.flatnonzero((occ.size > 0) & (ed.size > 0))
+        if len(both) and any((c[np.isin(l.row, both)] < 0).any() or (c[np.isin(l.row, both)] >= grid).any() for l, c in ((occ, cells), (ed, box))):
+            raise ValueError(f"cells outside the grid of {grid}")
+        few = occ.size[both] <= k
+        for at, near in _voted_by_all(cells, occ, box, ed, both[few], pad, grid):
+            yield rows_of(b, key, at, **{c: pa.array(near[:, i].astype(np.int32)) for i, c in enumerate(XYZ)})
+        for row in both[~few]:
+            won = _voted(cells[span(occ, row)], box[span(ed, row)], pad, k, grid).astype(np.int32)
+            yield rows_of(b, key, np.full(len(won), row), **{c: pa.array(won[:, i]) for i, c in enumerate(XYZ)})
+
+    both = packed(key, o=(occupied, {c: F.col(c) for c in XYZ}), e=(edited, {f"e{c}": F.col(c) for c in XYZ}))
+    return by_batches(both, run, f"{key} {kind}, x int, y int, z int")
 
 
 def mask_kind(edit_type, share, scale_threshold: float | None = None):

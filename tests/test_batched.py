@@ -31,3 +31,21 @@ def test_nearest_labels_of_many_objects(spark):
             best = min(b[k], key=lambda o: (((o - c) ** 2).sum(), *o)) if len(b[k]) else None
             want.append((k, *map(int, c), None if best is None else name(best)))
     assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+
+
+def test_voted_regions_of_many_objects(spark):
+    made, df = cells(spark, np.random.default_rng(3), [1, 2, 3, 5, 8, 9, 12] * 8 + [60], 10)
+    outside = spark.createDataFrame([("far", 70, -1, 3)], df.schema)  # nothing of it is edited, so its place does not matter
+    got = VX.voted_region(df.unionByName(outside), df.where("x < 4"), pad=1, k=8, grid=12)
+    assert not grouped(got)
+    want = set()
+    for k, cs in made.items():
+        box, distinct = cs[cs[:, 0] < 4], np.unique(cs, axis=0)
+        if len(box):
+            lo, hi = np.maximum(box.min(axis=0) - 1, 0), np.minimum(box.max(axis=0) + 1, 11)
+            for c in np.stack(np.meshgrid(*[np.arange(p, q + 1) for p, q in zip(lo, hi)], indexing="ij"), -1).reshape(-1, 3):
+                if not (distinct == c).all(axis=1).any():
+                    near = sorted(distinct.tolist(), key=lambda o: (((o - c) ** 2).sum(), *o))[:8]
+                    if 2 * sum(o[0] < 4 for o in near) > len(near):
+                        want.add((k, *map(int, c)))
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 500
