@@ -7,14 +7,16 @@ from functools import reduce
 from operator import and_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarrykit.functions.domain import filled
 from quarrykit.functions.vectors import azimuth, elevation
+from quarrykit.operators.batched import Lists, by_batches, packed, rows_of
 from quarrykit.operators.meshes import nearest_distances
+from quarrykit.operators.voxels import few_pairs, span
 from quarrykit.sharedfs import cut
 
 
@@ -138,20 +140,43 @@ def split_faces(faces: DataFrame, key: str = "obj_id") -> DataFrame:
     return made.select(key, "part", "a", "b", "c", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("__n")).drop("__n")
 
 
+def lower_tenth(d: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Tenth percentile of each run of ``n`` sorted numbers from ``start``, between two of them in proportion, as numpy's."""
+    at = (n - 1) * 0.1
+    low = np.floor(at).astype(np.int64)
+    a, b, t = d[start + low], d[start + np.minimum(low + 1, n - 1)], at - low
+    return np.where(t >= 0.5, b - (b - a) * (1 - t), a + (b - a) * t)
+
+
 def gap_distance(part: DataFrame, body: DataFrame, key: str = "obj_id") -> DataFrame:
     """Tenth percentile of the distances from a part's distinct vertices to the nearest of the body; objects that lack one of the two are left out.
 
     The two meshes of an object meet in one task, where a search along the body's longest axis stops at what cannot be nearer."""
     kind = part.schema[key].dataType.simpleString()
-    side = lambda df, s: df.select(F.col(key).alias(s), *[F.col(c).cast("double").alias(f"{s}{c}") for c in "xyz"]).distinct()
-
-    def run(p: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(p) or not len(b):
-            return pd.DataFrame({key: pd.Series(dtype=object), "gap": pd.Series(dtype=float)})
-        d = nearest_distances(p.iloc[:, 1:].to_numpy(), b.iloc[:, 1:].to_numpy())
-        return pd.DataFrame({key: [p["p"].iloc[0]], "gap": [float(np.percentile(d, 10))]})
-
-    return side(part, "p").groupBy("p").cogroup(side(body, "b").groupBy("b")).applyInPandas(run, f"{key} {kind}, gap double")
+    side = lambda s: {f"{s}{c}": F.col(c).cast("double") for c in "xyz"}
+
+    def run(b: pa.RecordBatch):
+        p, k = Lists(b, "px", "py", "pz"), Lists(b, "bx", "by", "bz")
+        points, known = np.stack(p.numpy(float), axis=1), np.stack(k.numpy(float), axis=1)
+        order = np.lexsort((*points.T[::-1], p.row))
+        points, row = points[order], p.row[order]
+        first = np.append(True, (points[1:] != points[:-1]).any(axis=1) | (row[1:] != row[:-1]))[: len(points)]  # distinct vertices, those of an object in its place
+        d = np.zeros(len(points))
+        for pairs, at in few_pairs(p, k):
+            if pairs is None:
+                d[span(p, at)] = nearest_distances(points[span(p, at)], known[span(k, at)])
+            else:
+                left, i, j, begin = pairs
+                d[left] = np.sqrt(np.minimum.reduceat(((points[i] - known[j]) ** 2).sum(axis=1), begin))
+        has = (p.size > 0) & (k.size > 0)
+        keep = first & has[row]
+        d, row = d[keep], row[keep]
+        d, n = d[np.lexsort((d, row))], np.bincount(row, minlength=b.num_rows)
+        at = np.flatnonzero(n)
+        start = (np.cumsum(n) - n)[at]
+        yield rows_of(b, key, at, gap=pa.array(lower_tenth(d, start, n[at])))
+
+    return by_batches(packed(key, p=(part, side("p")), b=(body, side("b"))), run, f"{key} {kind}, gap double")
 
 
 def contact_points(distances: DataFrame, threshold: float, key: str = "obj_id", least: int = 10) -> DataFrame:

@@ -49,3 +49,13 @@ def test_voted_regions_of_many_objects(spark):
                     if 2 * sum(o[0] < 4 for o in near) > len(near):
                         want.add((k, *map(int, c)))
     assert {tuple(r) for r in got.collect()} == want and len(want) > 500
+
+
+def test_gaps_of_many_objects(spark):
+    rng = np.random.default_rng(4)
+    a, part = cells(spark, rng, [*range(1, 30)] * 3 + [400], 9)
+    b, body = cells(spark, rng, [*range(1, 30)] * 2 + [0] * 29 + [300], 9)
+    got = G.gap_distance(part, body)
+    assert not grouped(got)
+    want = {k: float(np.percentile(np.sqrt(((np.unique(p, axis=0)[:, None] - b[k][None]) ** 2).sum(axis=2)).min(axis=1), 10)) for k, p in a.items() if len(b[k])}
+    assert {r.obj_id: r.gap for r in got.collect()} == want
