@@ -9,7 +9,6 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -96,22 +95,28 @@ def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = to
 
 
-def _component_count(pdf: pd.DataFrame, key: str) -> pd.DataFrame:
-    grid = np.clip(pdf[XYZ].to_numpy(np.int64), 0, 63)
-    codes = np.unique(grid @ np.array([4096, 64, 1]))
-    n, ends = len(codes), []
+def _component_counts(row: np.ndarray, grid: np.ndarray, n: int) -> np.ndarray:
+    """Components of the cells of each of ``n`` objects; ``row`` is the object of each cell."""
+    codes = np.unique(row * 262144 + np.clip(grid, 0, 63) @ np.array([4096, 64, 1]))
+    m, ends = len(codes), []
     for step, edge in ((1, 64), (64, 4096), (4096, 262144)):
         to = np.searchsorted(codes, codes + step)
-        joined = (to < n) & (codes[np.minimum(to, n - 1)] == codes + step) & ((codes % edge) // step != 63)
+        joined = (to < m) & (codes[np.minimum(to, m - 1)] == codes + step) & ((codes % edge) // step != 63)
         ends.append((np.flatnonzero(joined), to[joined]))
-    root = least_labels(n, *(np.concatenate(e) for e in zip(*ends)))
-    return pd.DataFrame({key: [pdf[key].iloc[0]], "components": [len(np.unique(root))]})
+    root = least_labels(m, *(np.concatenate(e) for e in zip(*ends)))
+    return np.bincount(codes[root == np.arange(m)] // 262144, minlength=n)
 
 
 def components(v: DataFrame, key: str = "obj_id") -> DataFrame:
     """Six-connected components of each object's cells, clipped to the 64^3 grid."""
     kind = v.schema[key].dataType.simpleString()
-    return v.select(key, *XYZ).groupBy(key).applyInPandas(lambda pdf: _component_count(pdf, key), f"{key} {kind}, components int")
+
+    def run(b: pa.RecordBatch):
+        cells = Lists(b, *XYZ)
+        n = _component_counts(cells.row, np.stack(cells.numpy(np.int64), axis=1), b.num_rows)
+        yield rows_of(b, key, np.arange(b.num_rows), components=pa.array(n.astype(np.int32)))
+
+    return by_batches(packed(key, cells=(v, {c: F.col(c) for c in XYZ})), run, f"{key} {kind}, components int")
 
 
 def components_by_labels(v: DataFrame, key: str = "obj_id") -> DataFrame:

@@ -17,6 +17,14 @@ def grouped(df) -> bool:
     return "InPandas" in df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_components_of_many_objects(spark):
+    made, df = cells(spark, np.random.default_rng(1), [*range(1, 40)] * 5 + [3000], 12)
+    got = VX.components(df)
+    assert not grouped(got)
+    want = {r.obj_id: r.components for r in VX.components_by_labels(df).collect()}
+    assert {r.obj_id: r.components for r in got.collect()} == want and len(want) == len(made)
+
+
 def test_nearest_labels_of_many_objects(spark):
     rng = np.random.default_rng(2)
     a, unknown = cells(spark, rng, [*range(1, 30)] * 3 + [400], 9)
