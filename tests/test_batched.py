@@ -67,3 +67,43 @@ def test_gaps_of_many_objects(spark):
     assert not grouped(got)
     want = {k: float(np.percentile(np.sqrt(((np.unique(p, axis=0)[:, None] - b[k][None]) ** 2).sum(axis=2)).min(axis=1), 10)) for k, p in a.items() if len(b[k])}
     assert {r.obj_id: r.gap for r in got.collect()} == want
+
+
+def tetrahedra(spark, rng, n, most=9):
+    """``n`` meshes of up to ``most`` tetrahedra on a coarse grid, some without their last face, before and after."""
+    v, f = [], []
+    for i in range(n):
+        for side in ("before", "after"):
+            for t in range(int(rng.integers(0 if side == "after" else 1, most))):
+                at = rng.integers(0, 3, 3)
+                corners = [at, at + [1, 0, 0], at + [0, 1, 0], at + [0, 0, 1]]
+                v += [(f"o{i}", side, 4 * t + k, *map(float, c), int(rng.integers(256)), 7, t) for k, c in enumerate(corners)]
+                f += [(f"o{i}", side, *(4 * t + k for k in face)) for face in [(0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3)][: int(rng.integers(3, 5))]]
+    return spark.createDataFrame(v, "obj_id string, side string, v int, x double, y double, z double, r int, g int, b int"), spark.createDataFrame(f, "obj_id string, side string, a int, b int, c int")
+
+
+def test_numbers_of_meshes_move_them_once(spark):
+    v, f = tetrahedra(spark, np.random.default_rng(7), 40)
+    got = M.pair_numbers(v, f)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    rows = {r.obj_id: r for r in got.collect()}
+    sides = lambda df: {k: [r for r in df.collect() if (r.obj_id, r.side) == k] for k in {(r.obj_id, r.side) for r in df.select("obj_id", "side").distinct().collect()}}
+    vs, fs = sides(v), sides(f)
+    for k, r in rows.items():
+        area, cells, std = {}, {}, {}
+        for s in ("before", "after"):
+            at = {p.v: np.array([p.x, p.y, p.z]) for p in vs.get((k, s), [])}
+            area[s] = sum(np.linalg.norm(np.cross(at[q.b] - at[q.a], at[q.c] - at[q.a])) / 2 for q in fs.get((k, s), []))
+            cells[s] = {tuple(p) for p in at.values()}
+            std[s] = float(np.std([[p.r, p.g, p.b] for p in vs.get((k, s), [])])) if at else 0
+        assert abs(r.area_ratio - area["after"] / area["before"]) < 1e-9 and abs(r.min_colour_std - min(std.values())) < 1e-6
+        assert abs(r.edit_ratio - len(cells["before"] ^ cells["after"]) / max(map(len, cells.values()))) < 1e-12
+        assert r.min_vertices == min(len(vs.get((k, s), [])) for s in ("before", "after"))
+
+
+def test_rounding_in_batches_is_that_of_columns(spark):
+    x = [0.00005, 0.00015, 1.00005, -0.00005, 2.5, 1e300, float("nan"), 0.1 + 0.2, 12345.67885, -7.00025, 1.1 * 3, float("inf"), 5e15 + 0.5]
+    from pyspark.sql import functions as F
+
+    want = [r.y for r in spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, x double").orderBy("i").select((F.bround("x", 4) + F.lit(0.0)).alias("y")).collect()]
+    assert list(map(str, M._rounded(np.array(x), 4).tolist())) == list(map(str, want))
