@@ -107,3 +107,12 @@ def test_rounding_in_batches_is_that_of_columns(spark):
 
     want = [r.y for r in spark.createDataFrame([(i, v) for i, v in enumerate(x)], "i int, x double").orderBy("i").select((F.bround("x", 4) + F.lit(0.0)).alias("y")).collect()]
     assert list(map(str, M._rounded(np.array(x), 4).tolist())) == list(map(str, want))
+
+
+def test_open_components_of_many_meshes(spark):
+    _, f = tetrahedra(spark, np.random.default_rng(5), 60)
+    after = f.where("side = 'after'")
+    got = M.component_counts(after, closed=False)
+    assert not grouped(got)
+    want = {r.obj_id: r.n for r in after.selectExpr("obj_id", "a div 4 as t").distinct().groupBy("obj_id").count().withColumnRenamed("count", "n").collect()}
+    assert {r.obj_id: r.components for r in got.collect()} == want
