@@ -116,3 +116,16 @@ def test_open_components_of_many_meshes(spark):
     assert not grouped(got)
     want = {r.obj_id: r.n for r in after.selectExpr("obj_id", "a div 4 as t").distinct().groupBy("obj_id").count().withColumnRenamed("count", "n").collect()}
     assert {r.obj_id: r.components for r in got.collect()} == want
+
+
+def test_closed_components_of_many_meshes(spark):
+    _, f = tetrahedra(spark, np.random.default_rng(6), 60)
+    got = M.component_counts(f)
+    assert not grouped(got)
+    n = f.selectExpr("obj_id", "side", "a div 4 as t").groupBy("obj_id", "side", "t").count().collect()
+    doubled = {}
+    for r in n:
+        doubled.setdefault((r.obj_id, r.t), []).append(r["count"])
+    # of both sides together only a tetrahedron that stands on one side is closed: on two its edges have more faces
+    want = {k: sum(counts == [4] for (o, _), counts in doubled.items() if o == k) for k in {o for o, _ in doubled}}
+    assert {r.obj_id: r.components for r in got.collect()} == want
