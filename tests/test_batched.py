@@ -129,3 +129,11 @@ def test_closed_components_of_many_meshes(spark):
     # of both sides together only a tetrahedron that stands on one side is closed: on two its edges have more faces
     want = {k: sum(counts == [4] for (o, _), counts in doubled.items() if o == k) for k in {o for o, _ in doubled}}
     assert {r.obj_id: r.components for r in got.collect()} == want
+
+
+def test_verdicts_of_meshes_move_them_once(spark):
+    v, f = tetrahedra(spark, np.random.default_rng(8), 40)
+    got = M.mesh_verdicts(v, f)
+    assert not grouped(got) and got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    n = {r.obj_id: r.components for r in M.component_counts(f.where("side = 'after'")).collect()}
+    assert {r.obj_id: r.components for r in M.pair_numbers(v, f, components=True).collect()} == {r.obj_id: n.get(r.obj_id, 0) for r in v.select("obj_id").distinct().collect()}
