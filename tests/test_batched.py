@@ -137,3 +137,38 @@ def test_verdicts_of_meshes_move_them_once(spark):
     assert not grouped(got) and got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     n = {r.obj_id: r.components for r in M.component_counts(f.where("side = 'after'")).collect()}
     assert {r.obj_id: r.components for r in M.pair_numbers(v, f, components=True).collect()} == {r.obj_id: n.get(r.obj_id, 0) for r in v.select("obj_id").distinct().collect()}
+
+
+def test_points_inside_by_the_angle_of_each_face(spark):
+    rng = np.random.default_rng(9)
+
+    def plainly(points, tri):
+        total = np.zeros(len(points))
+        a, b, c = (tri[None, :, k] - points[:, None] for k in range(3))
+        la, lb, lc = (np.linalg.norm(x, axis=2) for x in (a, b, c))
+        top = (a * np.cross(b, c)).sum(axis=2)
+        total = 2 * np.arctan2(top, la * lb * lc + (a * b).sum(axis=2) * lc + (b * c).sum(axis=2) * la + (c * a).sum(axis=2) * lb).sum(axis=1)
+        return np.abs(total) > 2 * np.pi
+
+    faces, far = np.array([(0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3)]), 0
+    for i in range(60):
+        at = rng.integers(0, 3, 3)
+        body = np.array([at, at + [2, 0, 0], at + [0, 2, 0], at + [0, 0, 2]], float)
+        points = np.concatenate([rng.random((40, 3)) * 3, rng.integers(0, 4, (20, 3))]) + (i % 4) * 1.5  # some in the planes of faces
+        assert (M.inside(points, body, faces) == plainly(points, body[faces])).all()
+        far += M._far(points, body[faces])
+    assert 0 < far < 60
+    d = rng.random(1000)
+    assert M.tenth(d) == np.percentile(d, 10) and M.tenth(d[:1]) == d[0]
+
+
+def test_mesh_rows_move_a_mesh_once(spark):
+    v, f = tetrahedra(spark, np.random.default_rng(10), 20)
+    v, f = v.where("side = 'before' and v <> 5"), f.where("side = 'before'")
+    got = M.mesh_rows(v, f)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    for r in got.collect():
+        mine = sorted((p.v, p.x, p.y, p.z) for p in v.where(f"obj_id = '{r.obj_id}'").collect())
+        place = {p[0]: i for i, p in enumerate(mine)}
+        assert [list(p[1:]) for p in mine] == r.vertices
+        assert sorted([place[q.a], place[q.b], place[q.c]] for q in f.where(f"obj_id = '{r.obj_id}'").collect() if {q.a, q.b, q.c} <= set(place)) == r.faces
