@@ -1,8 +1,7 @@
 """From label records to numbered edits.
 
-Each record's specs are one array, in the order in which they are emitted, made in the record's own row and exploded once;
-numbers are ranks of that place for each object and prefix, and additions find their
-deletion by it. Random draws are digests of object, part and template, so a plan does
+Each part is a row that makes its own specs, and each record one more for the edits of groups and of the whole; rows are sorted once by
+object, branch, part or group and place. Numbers count those of a prefix up to there, and an addition's deletion is the last before it. Random draws are digests of object, part and template, so a plan does
 not depend on layout or process.
 """
 
@@ -31,10 +30,14 @@ _SPEC = "edit_type string, branch int, i int, j int, k int, del_j int, remove_pa
 _FIELDS = [f.split()[0] for f in _SPEC.split(", ")]
 
 
+_NONE_TYPE = "array<struct<" + ", ".join(f.replace(" ", ": ", 1) for f in _SPEC.split(", ")) + ">>"
+_NONE = lambda: F.array().cast(_NONE_TYPE)
+
+
 def _spec(kind, branch: int, i, j, k: int | Column, **more) -> Column:
     none = F.array().cast("array<int>")
     made = {"edit_type": F.lit(kind) if isinstance(kind, str) else kind, "branch": F.lit(branch), "i": i, "j": j, "k": F.lit(k) if isinstance(k, int) else k, "del_j": F.lit(None).cast("int"), "remove_part_ids": none, "keep_part_ids": none, "old_part_id": F.lit(-1), "old_label": F.lit(""), "edit_prompt": F.lit(""), "after_desc": F.lit(""), "mod_type": F.lit("")} | more
-    return F.struct(*[made[f].alias(f) for f in _FIELDS]).cast("struct<" + ", ".join(f.replace(" ", ": ", 1) for f in _SPEC.split(", ")) + ">")
+    return F.struct(*[made[f].alias(f) for f in _FIELDS]).cast(_NONE_TYPE[len("array<") : -1])
 
 
 def _group_specs() -> Column:
@@ -54,10 +57,11 @@ def _group_specs() -> Column:
     return F.flatten(F.filter(F.transform("group_edits", of_group), lambda x: x.isNotNull()))
 
 
-def _part_specs() -> Column:
-    """Edits of each part outside all groups: deletion, addition, then swaps, materials and scales each in their order."""
+def _part_specs(p: Column, i: Column) -> Column:
+    """Edits of a part outside all groups: deletion, addition, then swaps, materials and scales each in their order."""
+    one = _one(p)
 
-    def of_edit(kind: str, k: int, i, one):
+    def of_edit(kind: str, k: int):
         def made(e, j):
             asked = (e["type"] == kind) & (F.length(e["prompt"]) > 0)
             if kind == "modification":
@@ -66,22 +70,17 @@ def _part_specs() -> Column:
 
         return made
 
-    def of_part(p, i):
-        one = _one(p)
-        phrase = part_phrase(p["desc"], p["label"], p["part_id"])
-
-        def asked(kind: str, prefix: str):
-            hit = F.get(F.filter(p["edits"], lambda e: (e["type"] == kind) & (F.length(e["prompt"]) > 0)), F.lit(0))
-            return F.coalesce(hit["prompt"], F.concat(F.lit(prefix), phrase))
+    phrase = part_phrase(p["desc"], p["label"], p["part_id"])
 
-        free = ~(F.coalesce(p["core"], F.lit(False)) | F.coalesce(D.is_core(p["label"]), F.lit(False)))
-        both = F.array(_spec("deletion", 1, i, F.lit(0), 0, **one, edit_prompt=asked("deletion", "Remove the "), after_desc=F.coalesce(p["desc_without"], F.lit(""))), _spec("addition", 1, i, F.lit(0), 1, del_j=F.lit(0), **one, edit_prompt=asked("addition", "Add the "), after_desc=F.col("object_desc")))
-        made = [F.when(free, both).otherwise(F.slice(both, 1, 0))]
-        for k, kind in ((2, "modification"), (3, "material"), (4, "scale")):
-            made.append(F.filter(F.coalesce(F.transform(p["edits"], of_edit(kind, k, i, one)), F.slice(both, 1, 0)), lambda x: x.isNotNull()))
-        return F.when(~F.coalesce(F.array_contains("grouped", p["part_id"]), F.lit(False)), F.concat(*made))
+    def asked(kind: str, prefix: str):
+        hit = F.get(F.filter(p["edits"], lambda e: (e["type"] == kind) & (F.length(e["prompt"]) > 0)), F.lit(0))
+        return F.coalesce(hit["prompt"], F.concat(F.lit(prefix), phrase))
 
-    return F.flatten(F.filter(F.transform("parts", of_part), lambda x: x.isNotNull()))
+    free = ~(F.coalesce(p["core"], F.lit(False)) | F.coalesce(D.is_core(p["label"]), F.lit(False)))
+    made = [F.when(free, F.array(_spec("deletion", 1, i, F.lit(0), 0, **one, edit_prompt=asked("deletion", "Remove the "), after_desc=F.coalesce(p["desc_without"], F.lit(""))), _spec("addition", 1, i, F.lit(0), 1, del_j=F.lit(0), **one, edit_prompt=asked("addition", "Add the "), after_desc=F.col("object_desc"))))]
+    for k, kind in ((2, "modification"), (3, "material"), (4, "scale")):
+        made.append(F.when(F.array_contains(p["edits"]["type"], kind), F.filter(F.transform(p["edits"], of_edit(kind, k)), lambda x: x.isNotNull())))
+    return F.when(~F.col("in_group"), F.concat(*[F.coalesce(m, _NONE()) for m in made]))
 
 
 def _one(p) -> dict[str, Column]:
@@ -94,34 +93,48 @@ def _whole_specs(most: int) -> Column:
     return F.filter(F.transform("global_edits", spec), lambda x: x.isNotNull())
 
 
-def _lacking_specs(kind: str, branch: int, templates: list[str]) -> Column:
-    """A made edit for each part that was given none of this type."""
-
-    def of_part(p, i):
-        prompt = fill_template(_drawn(templates, F.col("obj_id"), F.lit(kind), p["part_id"]), part=part_phrase(p["desc"], p["label"], p["part_id"]))
-        return F.when(~F.exists(p["edits"], lambda e: (e["type"] == kind) & (F.length(e["prompt"]) > 0)), _spec(kind, branch, i, F.lit(0), 0, **_one(p), edit_prompt=prompt))
-
-    return F.filter(F.transform("parts", of_part), lambda x: x.isNotNull())
+def _lacking_specs(p: Column, i: Column, kind: str, branch: int, templates: list[str]) -> Column:
+    """A made edit of a part that was given none of this type."""
+    prompt = fill_template(_drawn(templates, F.col("obj_id"), F.lit(kind), p["part_id"]), part=part_phrase(p["desc"], p["label"], p["part_id"]))
+    return F.when(~F.exists(p["edits"], lambda e: (e["type"] == kind) & (F.length(e["prompt"]) > 0)), F.array(_spec(kind, branch, i, F.lit(0), 0, **_one(p), edit_prompt=prompt)))
 
 
-def plan(records: DataFrame, least_parts: int = 2, most_global: int = 3) -> DataFrame:
-    """Specs of all records with at least ``least_parts`` parts: edit_id, type, parts, prompt, source deletion.
+def plan(records: DataFrame, least_parts: int = 2, most_global: int = 3, types: tuple[str, ...] | None = None) -> DataFrame:
+    """Specs of all records with at least ``least_parts`` parts: edit_id, type, parts, prompt, source deletion. Where ``types`` are named, theirs alone, as they are in the whole plan.
 
-    A record makes all its specs in its own row; records, not specs, are shuffled, once, by object.
+    Records, not specs, are shuffled, once, by object.
     """
     zero = F.lit(0)
+    wanted = lambda *kinds: types is None or not set(kinds).isdisjoint(types)
     r = records.where(F.size("parts") >= least_parts).withColumns({"all_ids": F.transform("parts", lambda p: p["part_id"]), "view": F.coalesce(F.get("orthogonal_views", zero), zero)})
     r = r.withColumn("grouped", F.array_distinct(F.flatten(F.transform("group_edits", lambda g: g["part_ids"])))).repartition("obj_id")
-    same = fill_template(_drawn(IDENTITY, F.col("obj_id"), F.lit("identity")), obj=F.coalesce(D.filled(F.col("object_desc")), F.lit("object")))
-    every = [_group_specs(), _part_specs(), _whole_specs(most_global), _lacking_specs("scale", 3, SCALE), _lacking_specs("material", 4, MATERIAL), F.array(_spec("identity", 5, zero, zero, 0, edit_prompt=same, after_desc=F.col("object_desc")))]
-    none = F.array().cast("array<struct<" + ", ".join(f.replace(" ", ": ", 1) for f in _SPEC.split(", ")) + ">>")
-    specs = r.select("obj_id", "shard", "object_desc", "view", F.posexplode(F.concat(*[F.coalesce(e, none) for e in every])).alias("place", "s")).select("obj_id", "shard", "object_desc", "view", "place", "s.*")
-    specs = specs.withColumn("prefix", D.choose(F.col("edit_type"), D.PREFIX))
-    seq = F.row_number().over(W.partitionBy("obj_id", "prefix").orderBy("place")) - 1
-    named = specs.withColumn("edit_id", F.format_string("%s_%s_%03d", "prefix", "obj_id", seq))
-    # the deletion an addition came of is the last before it in the same branch and group or part
-    at = F.last(F.when(F.col("edit_type") == "deletion", F.col("edit_id")), ignorenulls=True).over(W.partitionBy("obj_id", "branch", "i").orderBy("place").rowsBetween(W.unboundedPreceding, -1))
-    linked = named.withColumn("source_del_id", F.when(F.col("edit_type") == "addition", at).otherwise(F.lit("")))
+    whole = [_group_specs(), *[_whole_specs(most_global)] * wanted("global")]
+    if wanted("identity"):
+        same = fill_template(_drawn(IDENTITY, F.col("obj_id"), F.lit("identity")), obj=F.coalesce(D.filled(F.col("object_desc")), F.lit("object")))
+        whole.append(F.array(_spec("identity", 5, zero, zero, 0, edit_prompt=same, after_desc=F.col("object_desc"))))
+    part = r.schema["parts"].dataType.elementType.simpleString()
+    item = f"struct<i:int,p:{part},in_group:boolean,whole:{_NONE_TYPE}>"
+    of_part = lambda p, i: F.struct(i.alias("i"), p.alias("p"), F.coalesce(F.array_contains("grouped", p["part_id"]), F.lit(False)).alias("in_group"), F.lit(None).alias("whole")).cast(item)
+    rest = F.struct(F.lit(-1).alias("i"), F.lit(None).alias("p"), F.lit(False).alias("in_group"), F.concat(*[F.coalesce(e, _NONE()) for e in whole]).alias("whole")).cast(item)
+    items = r.select("obj_id", "shard", "object_desc", "view", "all_ids", F.concat(F.transform("parts", of_part), F.array(rest)).alias("x")).withColumn("x", F.explode_outer("x")).select("obj_id", "shard", "object_desc", "view", "all_ids", "x.*")
+    p, i = F.col("p"), F.col("i")
+    every = [_part_specs(p, i), *[_lacking_specs(p, i, "scale", 3, SCALE)] * wanted("scale"), *[_lacking_specs(p, i, "material", 4, MATERIAL)] * wanted("material")]
+    made = F.when(i < 0, F.col("whole")).otherwise(F.concat(*[F.coalesce(e, _NONE()) for e in every]))
+    # made in a projection, which is compiled; a generator's own expression is not, and an inner one would have all of it made once more, to ask for its size
+    specs = items.select("obj_id", "shard", "object_desc", "view", made.alias("made")).select("obj_id", "shard", "object_desc", "view", F.posexplode_outer("made").alias("place", "s")).where("s is not null").select("obj_id", "shard", "object_desc", "view", "place", "s.*")
+    if types is not None:
+        specs = specs.where(F.col("edit_type").isin(*types, *["deletion"] * wanted("addition")))
+    so_far = W.partitionBy("obj_id").orderBy("branch", "i", "place").rowsBetween(W.unboundedPreceding, W.currentRow)
+    kinds = D.PREFIX if types is None else {k: v for k, v in D.PREFIX.items() if k in types or (k == "deletion" and wanted("addition"))}
+    counts = {k: F.count_if(F.col("edit_type") == k).over(so_far) for k in kinds}
+    named = specs.withColumns({f"__{k}": n for k, n in counts.items()}).withColumn("prefix", D.choose(F.col("edit_type"), D.PREFIX))
+    # types that share a prefix are numbered together
+    seq = D.choose(F.col("edit_type"), {k: sum((F.col(f"__{o}") for o in kinds if D.PREFIX[o] == D.PREFIX[k]), F.lit(0)) for k in kinds}, F.lit(None)) - 1
+    named = named.withColumn("edit_id", F.format_string("%s_%s_%03d", "prefix", "obj_id", seq))
+    # an addition is only made after a deletion of its group or part, so that one is the last before it
+    linked = named.withColumn("source_del_id", F.when(F.col("edit_type") == "addition", F.format_string("%s_%s_%03d", F.lit(D.PREFIX["deletion"]), "obj_id", F.col("__deletion") - 1) if "deletion" in kinds else F.lit("")).otherwise(F.lit("")))
+    if types is not None:
+        linked = linked.where(F.col("edit_type").isin(*types))
     return linked.select("edit_id", "edit_type", "obj_id", "shard", "object_desc", "remove_part_ids", "keep_part_ids", "old_part_id", "old_label", "source_del_id", "edit_prompt", "after_desc", "mod_type", F.col("view").alias("best_view"))
 
 

@@ -367,7 +367,7 @@ def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     parts = frame(spark, sf_dir, "parts")
     objects = parts.groupBy("obj_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("part_id", "label"))), lambda p: p["label"]).alias("labels")).withColumn("shard", F.lit("00"))
-    return plan(L.by_rules(objects)).where("edit_type = 'deletion'").select("obj_id", "old_part_id", F.array_join("keep_part_ids", ",").alias("keep"))
+    return plan(L.by_rules(objects), types=("deletion",)).select("obj_id", "old_part_id", F.array_join("keep_part_ids", ",").alias("keep"))
 
 
 QUERIES["k13_keep_list"] = _kept

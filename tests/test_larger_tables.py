@@ -38,3 +38,24 @@ def test_vertex_colours_of_late_suppliers(spark, shifted):
     held_to_sql(spark, shifted, "a17_vertex_colours")
     seen = spark.createDataFrame([(1, 300.0, -4.0, 900.0)], "vertex int, r double, g double, b double")
     assert [tuple(r) for r in G.vertex_colours(seen, seen).collect()] == [(1, 255, 0, 255)]
+
+
+def test_specs_are_made_once(spark):
+    """An inner generator asks for the size of its array in a filter below, which makes every spec a second time."""
+    for name in ("planner_specs", "k13_keep_list"):
+        text = plan(Q.QUERIES[name](spark, SF))
+        assert not any("md5" in line or "named_struct" in line for line in text.splitlines() if "Filter" in line), name
+    # the plan for deletions alone draws no prompts
+    assert "md5" not in plan(Q.QUERIES["k13_keep_list"](spark, SF)) and "md5" in plan(Q.QUERIES["planner_specs"](spark, SF))
+
+
+def test_part_of_a_plan(spark):
+    from quarrykit.operators import labels as L
+    from quarrykit.operators.planner import plan as planned
+
+    labels = [("a", "00", ["body", "left_arm", "left_arm", "wheel"]), ("b", "00", ["x"]), ("c", "01", ["base", "head"])]
+    records = L.by_rules(spark.createDataFrame(labels, "obj_id string, shard string, labels array<string>"))
+    whole = [r for r in planned(records).collect()]
+    for types in (("deletion",), ("addition",), ("scale", "identity"), ("addition", "material")):
+        got = planned(records, types=types).collect()
+        assert sorted(map(str, got)) == sorted(str(r) for r in whole if r.edit_type in types) and got
