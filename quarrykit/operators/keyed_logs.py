@@ -68,17 +68,22 @@ def not_done(specs: DataFrame, key: str, *done: DataFrame) -> DataFrame:
 
 
 def cross_check(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
-    """(key, problem) with ``missing`` and ``unexpected`` keys."""
-    want, have = expected.select(key).distinct(), actual.select(key).distinct()
-    return want.join(have, key, "left_anti").withColumn("problem", F.lit("missing")).unionByName(have.join(want, key, "left_anti").withColumn("problem", F.lit("unexpected")))
+    """(key, problem) with ``missing`` and ``unexpected`` keys. Both sides are read and grouped once, as one table.
+
+    A null key is found on neither side, so it is reported where it stands."""
+    both = expected.select(key, F.lit(True).alias("__want")).unionByName(actual.select(key, F.lit(False).alias("__want")))
+    sides = both.groupBy(key).agg(F.max("__want").alias("__w"), F.min("__want").alias("__h"))
+    problems = F.array_compact(F.array(F.when(F.col("__w") & (F.col("__h") | F.col(key).isNull()), F.lit("missing")), F.when(~F.col("__h") & (~F.col("__w") | F.col(key).isNull()), F.lit("unexpected"))))
+    return sides.select(key, F.explode(problems).alias("problem"))
 
 
 def worker_outputs(pending: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """(key, problem, n) with missing, duplicate and unexpected keys of the workers' rows."""
-    both = pending.select(key).distinct().withColumn("p", F.lit(1)).join(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), key, "full")
-    n = F.coalesce("n", F.lit(0))
-    problem = F.array_compact(F.array(F.when(n == 0, F.lit("missing")), F.when(n > 1, F.lit("duplicate")), F.when(F.col("p").isNull(), F.lit("unexpected"))))
-    return both.select(key, F.explode(problem).alias("problem"), n.cast("long").alias("n"))
+    """(key, problem, n) with missing, duplicate and unexpected keys of the workers' rows. Both sides are read and grouped once, as one table."""
+    both = pending.select(key, F.lit(True).alias("p"), F.lit(0).alias("n")).unionByName(rows.where(F.col(key).isNotNull()).select(key, F.lit(False).alias("p"), F.lit(1).alias("n")))
+    sides = both.groupBy(key).agg(F.max("p").alias("p"), F.sum("n").alias("n"))
+    n = F.col("n")
+    problem = F.array_compact(F.array(F.when(n == 0, F.lit("missing")), F.when(n > 1, F.lit("duplicate")), F.when(~F.col("p"), F.lit("unexpected"))))
+    return sides.select(key, F.explode(problem).alias("problem"), n.cast("long").alias("n"))
 
 
 def duplicate_counts(df: DataFrame, key: str) -> DataFrame:

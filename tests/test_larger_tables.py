@@ -59,3 +59,12 @@ def test_part_of_a_plan(spark):
     for types in (("deletion",), ("addition",), ("scale", "identity"), ("addition", "material")):
         got = planned(records, types=types).collect()
         assert sorted(map(str, got)) == sorted(str(r) for r in whole if r.edit_type in types) and got
+
+
+def test_cross_check_groups_once(spark):
+    from quarrykit.operators import keyed_logs as K
+
+    a, b = (spark.createDataFrame([(k,) for k in ks], "k string") for ks in ([1, 1, 2, None, ""], [2, 3, 3, None]))
+    made = K.cross_check(a, b, "k")
+    assert "Join" not in plan(made) and plan(made).count("Aggregate") == 1
+    assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, [("1", "missing"), ("", "missing"), ("3", "unexpected"), (None, "missing"), (None, "unexpected")]))
