@@ -68,3 +68,13 @@ def test_cross_check_groups_once(spark):
     made = K.cross_check(a, b, "k")
     assert "Join" not in plan(made) and plan(made).count("Aggregate") == 1
     assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, [("1", "missing"), ("", "missing"), ("3", "unexpected"), (None, "missing"), (None, "unexpected")]))
+
+
+def test_worker_outputs_group_once(spark):
+    from quarrykit.operators import keyed_logs as K
+
+    a, b = (spark.createDataFrame([(k,) for k in ks], "k string") for ks in ([1, 1, 2, None], [2, 2, 3, 3, 4, None]))
+    made = K.worker_outputs(a, b, "k")
+    assert "Join" not in plan(made) and plan(made).count("Aggregate") == 1
+    want = [("1", "missing", 0), (None, "missing", 0), ("2", "duplicate", 2), ("3", "duplicate", 2), ("3", "unexpected", 2), ("4", "unexpected", 1)]
+    assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, want))
