@@ -10,6 +10,16 @@ from quarrykit.functions.domain import filled
 from quarrykit.functions.text import reversed_prompt
 
 
+def by_source(edits: DataFrame, source: DataFrame, key: str = "source_del_id") -> DataFrame:
+    """``edits`` with the columns of their source, nulls where they have none.
+
+    Most edits name no source. They would all go to one task, so each goes by its own id instead, beside a mark that no source bears."""
+    named = F.length(key) > 0
+    left = edits.withColumns({"__own": ~F.coalesce(named, F.lit(False)), "__at": F.when(named, F.col(key)).otherwise(F.col("edit_id"))})
+    right = source.where(named).withColumns({"__own": F.lit(False), "__at": F.col(key)}).drop(key)
+    return left.join(right, ["__own", "__at"], "left").drop("__own", "__at")
+
+
 def with_source_seq(edits: DataFrame) -> DataFrame:
     """Additions get the ``seq`` of their source deletion in the same object, -1 where it is missing."""
     source = edits.where("edit_type = 'deletion'").select("obj_id", F.col("edit_id").alias("source_del_id"), F.col("seq").alias("source_seq"))
@@ -61,7 +71,7 @@ def resolved_prompts(edits: DataFrame, results: DataFrame, specs: DataFrame) ->
     res = results.where("status = 'success'").groupBy("edit_id").agg(F.max_by("prompt", "pos").alias("result_prompt"))
     own = specs.select("edit_id", F.col("prompt").alias("spec_prompt"))
     src = specs.select(F.col("edit_id").alias("source_del_id"), F.col("prompt").alias("source_prompt"))
-    both = edits.join(res, "edit_id", "left").join(own, "edit_id", "left").join(src, "source_del_id", "left")
+    both = by_source(edits.join(res, "edit_id", "left").join(own, "edit_id", "left"), src)
     return both.select("edit_id", F.coalesce(filled(F.col("result_prompt")), filled(F.col("spec_prompt")), reversed_prompt(filled(F.col("source_prompt"))), F.lit("")).alias("prompt"))
 
 
@@ -113,5 +123,7 @@ def training_meta(edits: DataFrame) -> DataFrame:
 
 
 def first_existing(candidates: DataFrame, key: str, path: str = "path", rank: str = "rank") -> DataFrame:
-    """Of each key the candidate path of least rank: original array, pair's array, legacy folder, any edit that has one."""
-    return candidates.groupBy(key).agg(F.min_by(path, rank).alias(path))
+    """Of each key the candidate path of least rank: original array, pair's array, legacy folder, any edit that has one.
+
+    A path is no buffer of a hash aggregate, so rows are sorted; they are brought together first, lest the task that makes them sorts them as well."""
+    return candidates.repartition(key).groupBy(key).agg(F.min_by(path, rank).alias(path))

@@ -78,3 +78,25 @@ def test_worker_outputs_group_once(spark):
     assert "Join" not in plan(made) and plan(made).count("Aggregate") == 1
     want = [("1", "missing", 0), (None, "missing", 0), ("2", "duplicate", 2), ("3", "duplicate", 2), ("3", "unexpected", 2), ("4", "unexpected", 1)]
     assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, want))
+
+
+def test_edits_without_a_source_spread_out(spark):
+    from quarrykit.operators import datasets as DS
+    from quarrykit.operators import pairing as P
+
+    rows = [(f"e{i}", "e1" if i % 7 == 0 else "" if i % 2 else None) for i in range(2000)]
+    edits = spark.createDataFrame([(*r, "deletion") for r in rows], "edit_id string, source_del_id string, edit_type string")
+    specs = spark.createDataFrame([(k, f"Remove {k}") for k, _ in rows] + [("", "Remove nothing")], "edit_id string, prompt string")
+    log = spark.createDataFrame([], "edit_id string, status string, prompt string, pos long")
+    files = spark.createDataFrame([(k, "b", "a") for k, _ in rows], "edit_id string, before_path string, after_path string")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for made in (P.resolved_prompts(edits, log, specs), DS.resolved_entries(edits, files)):
+            sizes = [r.n for r in made.selectExpr("spark_partition_id() as p").groupBy("p").agg({"*": "count"}).toDF("p", "n").collect()]
+            assert sum(sizes) == 2000 and max(sizes) < 1200
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert {r.prompt for r in P.resolved_prompts(edits, log, specs.where("edit_id in ('e1', '')")).collect()} == {"Remove e1", "Add e1", ""}
