@@ -100,3 +100,16 @@ def test_edits_without_a_source_spread_out(spark):
         for k, v in kept.items():
             spark.conf.set(k, v)
     assert {r.prompt for r in P.resolved_prompts(edits, log, specs.where("edit_id in ('e1', '')")).collect()} == {"Remove e1", "Add e1", ""}
+
+
+def sorted_in_one_task(df) -> bool:
+    """No aggregate below the shuffle: rows whose buffers are sorted are sorted by one of the two tasks."""
+    return "Aggregate" not in plan(df, "executedPlan").partition("Exchange")[2]
+
+
+def test_first_existing_sorts_once(spark):
+    from quarrykit.operators import pairing as P
+
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "y", 0), ("b", "z", 3)], "k string, path string, rank int")
+    made = P.first_existing(rows, "k")
+    assert sorted_in_one_task(made) and {tuple(r) for r in made.collect()} == {("a", "y"), ("b", "z")}
