@@ -8,21 +8,22 @@ from pyspark.sql import functions as F
 
 from quarrykit.functions import domain as D
 from quarrykit.operators.keyed_logs import last_wins
+from quarrykit.operators.pairing import by_source
 from quarrykit.operators.selection import numbered
 
 
 def flat_pairs(files: DataFrame) -> DataFrame:
     """(pair, before, after) of a listing (pair, side, kind, path): each side's archive, else its legacy folder; both sides must be there."""
-    best = files.groupBy("pair", "side").agg(F.min_by("path", F.when(F.col("kind") == "npz", 0).otherwise(1)).alias("path"))
-    side = lambda s: F.max(F.when(F.col("side") == s, F.col("path"))).alias(s)
-    return best.groupBy("pair").agg(side("before"), side("after")).where("before is not null and after is not null")
+    rank = F.when(F.col("kind") == "npz", 0).otherwise(1)
+    side = lambda s: F.min_by("path", F.when(F.col("side") == s, rank)).alias(s)
+    return files.repartition("pair").groupBy("pair").agg(side("before"), side("after")).where("before is not null and after is not null")
 
 
 def resolved_entries(edits: DataFrame, files: DataFrame) -> DataFrame:
     """(edit_id, before, after): an addition reads its source deletion's sides the other way round, an identity the same side twice."""
     own = edits.join(files, "edit_id", "left")
     src = files.select(F.col("edit_id").alias("source_del_id"), F.col("before_path").alias("sb"), F.col("after_path").alias("sa"))
-    both = own.join(src, "source_del_id", "left")
+    both = by_source(own, src)
     kind = F.col("edit_type")
     before = F.when(kind == "addition", F.col("sa")).otherwise(F.col("before_path"))
     after = F.when(kind == "addition", F.col("sb")).when(kind == "identity", F.col("before_path")).otherwise(F.col("after_path"))

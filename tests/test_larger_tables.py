@@ -113,3 +113,11 @@ def test_first_existing_sorts_once(spark):
     rows = spark.createDataFrame([("a", "x", 1), ("a", "y", 0), ("b", "z", 3)], "k string, path string, rank int")
     made = P.first_existing(rows, "k")
     assert sorted_in_one_task(made) and {tuple(r) for r in made.collect()} == {("a", "y"), ("b", "z")}
+
+
+def test_flat_pairs_sort_once(spark):
+    from quarrykit.operators import datasets as DS
+
+    rows = [("p", "before", "dir", "pd"), ("p", "before", "npz", "pn"), ("p", "after", "dir", "pa"), ("q", "before", "npz", "qb"), ("r", "after", "npz", "ra")]
+    made = DS.flat_pairs(spark.createDataFrame(rows, "pair string, side string, kind string, path string"))
+    assert sorted_in_one_task(made) and [tuple(r) for r in made.collect()] == [("p", "pn", "pa")]
