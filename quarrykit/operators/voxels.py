@@ -6,7 +6,8 @@ Set work is joins and aggregates on (object, x, y, z). Work that needs an object
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,10 @@ XYZ = ["x", "y", "z"]
 
 def set_sizes(a: DataFrame, b: DataFrame, key: str = "obj_id") -> DataFrame:
     """(key, only_a, only_b, common) over the distinct cells of two sides."""
-    both = a.select(key, *XYZ).distinct().withColumn("a", F.lit(1)).join(b.select(key, *XYZ).distinct().withColumn("b", F.lit(1)), [key, *XYZ], "full")
-    return both.groupBy(key).agg(F.count_if(F.col("b").isNull()).alias("only_a"), F.count_if(F.col("a").isNull()).alias("only_b"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("common"))
+    both = a.select(key, *XYZ, F.lit(True).alias("a")).unionByName(b.select(key, *XYZ, F.lit(False).alias("a")))
+    nowhere = F.when(reduce(or_, [F.col(c).isNull() for c in (key, *XYZ)]), F.col("a"))  # what is null is equal to nothing on the other side
+    cells = both.groupBy(key, *XYZ, nowhere.alias("nowhere")).agg(F.max("a").alias("a"), F.max(~F.col("a")).alias("b"))
+    return cells.groupBy(key).agg(F.count_if(~F.col("b")).alias("only_a"), F.count_if(~F.col("a")).alias("only_b"), F.count_if(F.col("a") & F.col("b")).alias("common"))
 
 
 def locality(sizes: DataFrame) -> DataFrame:

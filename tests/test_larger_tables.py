@@ -121,3 +121,12 @@ def test_flat_pairs_sort_once(spark):
     rows = [("p", "before", "dir", "pd"), ("p", "before", "npz", "pn"), ("p", "after", "dir", "pa"), ("q", "before", "npz", "qb"), ("r", "after", "npz", "ra")]
     made = DS.flat_pairs(spark.createDataFrame(rows, "pair string, side string, kind string, path string"))
     assert sorted_in_one_task(made) and [tuple(r) for r in made.collect()] == [("p", "pn", "pa")]
+
+
+def test_set_sizes_group_cells_once(spark):
+    from quarrykit.operators import voxels as VX
+
+    a, b = (spark.createDataFrame(rows, "obj_id string, x int, y int, z int") for rows in ([("a", 0, 0, 0), ("a", 0, 0, 0), ("a", 1, 0, 0), ("a", None, 0, 0), ("c", 1, 1, 1)], [("a", 0, 0, 0), ("a", None, 0, 0), ("b", 0, 0, 0)]))
+    made = VX.set_sizes(a, b)
+    assert "Join" not in plan(made)
+    assert {tuple(r) for r in made.collect()} == {("a", 2, 1, 1), ("b", 0, 1, 0), ("c", 1, 0, 0)}
