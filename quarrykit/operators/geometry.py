@@ -33,13 +33,19 @@ def orthogonal_views(frames: DataFrame, targets=(0, 90, 180, -90), target_elevat
     """
     x, y, z = F.col("cx"), F.col("cy"), F.col("cz")
     seen = F.coalesce(F.col("has_image"), F.lit(False)) if "has_image" in frames.columns else F.lit(True)
-    wanted = frames.withColumns({"__seen": seen, "target": F.explode(F.array(*[F.lit(float(t)) for t in targets]))})
-    da, de = circular_distance(azimuth(x, y), F.col("target")), elevation(x, y, z) - target_elevation
-    place = F.when(x * x + y * y + z * z >= 1e-12, F.struct(F.round(F.sqrt(da * da + de * de), 9).alias("d"), "view"))
-    with_image = lambda c: F.min(F.when(F.col("__seen"), c))
-    near = wanted.groupBy(key, "target").agg(F.max("__seen").alias("any"), with_image(place).alias("a"), with_image(F.col("view")).alias("b"), F.min(place).alias("c"), F.min("view").alias("d"))
-    view = F.when(F.col("any"), F.coalesce("a.view", "b")).otherwise(F.coalesce("c.view", "d"))
-    return near.select(key, "target", view.alias("view"))
+    at = frames.select(key, "view", seen.alias("seen"), (x * x + y * y + z * z >= 1e-12).alias("placed"), azimuth(x, y).alias("azimuth"), elevation(x, y, z).alias("elevation"))
+    with_image = lambda c: F.min(F.when(F.col("seen"), c))
+
+    def nearest(target: float, least) -> Column:
+        da, de = circular_distance(F.col("azimuth"), F.lit(target)), F.col("elevation") - target_elevation
+        return least(F.when(F.col("placed"), F.struct(F.round(F.sqrt(da * da + de * de), 9).alias("d"), "view")))
+
+    # one row for each object, and objects brought together first, so a frame is sorted once and not in two tasks for each target
+    every = [float(t) for t in targets]
+    near = at.repartition(key).groupBy(key).agg(*[nearest(t, least).alias(f"{n}{i}") for i, t in enumerate(every) for n, least in (("a", with_image), ("c", F.min))], F.max("seen").alias("any"), with_image(F.col("view")).alias("b"), F.min("view").alias("d"))
+    view = lambda i: F.when(F.col("any"), F.coalesce(F.col(f"a{i}")["view"], F.col("b"))).otherwise(F.coalesce(F.col(f"c{i}")["view"], F.col("d")))
+    made = near.select(key, F.explode_outer(F.array(*[F.struct(F.lit(t).alias("target"), view(i).alias("view")) for i, t in enumerate(every)])).alias("t"))
+    return made.select(key, "t.target", "t.view")
 
 
 def orbit(views: DataFrame, n: int = 42, azimuths: int = 7, radius: float = 2.5, lowest: float = -20.0, highest: float = 80.0) -> DataFrame:
@@ -133,12 +139,23 @@ def assembled(parts: DataFrame, wanted: DataFrame, key: str = "obj_id") -> DataF
 
 def split_faces(faces: DataFrame, key: str = "obj_id") -> DataFrame:
     """Faces (a, b, c, part) with their vertices numbered anew from 0 within each part."""
-    # equal faces are numbered once and counted, so that no face needs an id of its own
-    face = faces.groupBy(key, "part", F.struct("a", "b", "c").alias("face")).agg(F.count("*").cast("int").alias("times"))
-    long = face.select(key, "part", "face", "times", F.posexplode(F.array("face.a", "face.b", "face.c")).alias("corner", "v"))
-    anew = long.withColumn("i", F.dense_rank().over(W.partitionBy(key, "part").orderBy("v")) - 1)
-    made = anew.groupBy(key, "part", "face", "times").agg(*[F.max(F.when(F.col("corner") == k, F.col("i"))).alias(c) for k, c in enumerate("abc")])
-    return made.select(key, "part", "a", "b", "c", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("__n")).drop("__n")
+    kind, part = (faces.schema[c].dataType.simpleString() for c in (key, "part"))
+    names = ["part", "a", "b", "c"]
+
+    def run(b: pa.RecordBatch):
+        f = Lists(b, *names)
+        values = f.numpy(np.int64)
+        within = np.unique(values[0], return_inverse=True)[1] if len(values[0]) else values[0]
+        mesh, v = np.tile(f.row * (within.max(initial=0) + 1) + within, 3), np.concatenate(values[1:])
+        order = np.lexsort((v, mesh))
+        new = np.append(True, mesh[order][1:] != mesh[order][:-1])[: len(order)]
+        rank = np.cumsum(new | np.append(True, v[order][1:] != v[order][:-1])[: len(order)])
+        anew = np.empty(len(order), np.int64)
+        anew[order] = rank - np.maximum.accumulate(np.where(new, rank, 0))
+        a, b_, c = np.split(anew.astype(np.int32), 3)
+        yield rows_of(b, key, f.row, part=f.values[0], a=pa.array(a), b=pa.array(b_), c=pa.array(c))
+
+    return by_batches(packed(key, f=(faces, {n: F.col(n) for n in names})), run, f"{key} {kind}, part {part}, a int, b int, c int")
 
 
 def lower_tenth(d: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:

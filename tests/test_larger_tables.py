@@ -130,3 +130,11 @@ def test_set_sizes_group_cells_once(spark):
     made = VX.set_sizes(a, b)
     assert "Join" not in plan(made)
     assert {tuple(r) for r in made.collect()} == {("a", 2, 1, 1), ("b", 0, 1, 0), ("c", 1, 0, 0)}
+
+
+def test_views_of_an_object_sort_once(spark):
+    rows = [("a", 0, 0.0, 0.0, 0.0, True), ("a", 1, 2.0, 0.0, 1.0, False), ("a", 2, 0.0, 2.0, 1.0, True), ("b", 4, 0.0, -2.0, 1.0, None), ("b", 3, -2.0, 0.0, 1.0, False), ("n", 7, 0.0, 0.0, 0.0, True)]
+    made = G.orthogonal_views(spark.createDataFrame(rows, "obj_id string, view int, cx double, cy double, cz double, has_image boolean"))
+    assert sorted_in_one_task(made) and "Expand" not in plan(made)
+    got = {(r.obj_id, r.target): r.view for r in made.collect()}
+    assert got == {**{("a", t): 2 for t in (0.0, 90.0, 180.0, -90.0)}, ("b", 0.0): 4, ("b", 90.0): 3, ("b", 180.0): 3, ("b", -90.0): 4, **{("n", t): 7 for t in (0.0, 90.0, 180.0, -90.0)}}
