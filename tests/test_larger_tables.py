@@ -138,3 +138,10 @@ def test_views_of_an_object_sort_once(spark):
     assert sorted_in_one_task(made) and "Expand" not in plan(made)
     got = {(r.obj_id, r.target): r.view for r in made.collect()}
     assert got == {**{("a", t): 2 for t in (0.0, 90.0, 180.0, -90.0)}, ("b", 0.0): 4, ("b", 90.0): 3, ("b", 180.0): 3, ("b", -90.0): 4, **{("n", t): 7 for t in (0.0, 90.0, 180.0, -90.0)}}
+
+
+def test_split_faces_move_once(spark):
+    rows = [("a", 0, 5, 9, 7), ("a", 0, 5, 9, 7), ("a", 1, 5, 6, 5), ("b", 0, -3, 100, 8), ("a", 0, 9, 11, 5)]
+    made = G.split_faces(spark.createDataFrame(rows, "obj_id string, part int, a int, b int, c int"))
+    assert plan(made, "executedPlan").count("Exchange") == 1 and "Window" not in plan(made)
+    assert sorted(map(tuple, made.select("obj_id", "part", "a", "b", "c").collect())) == [("a", 0, 0, 2, 1), ("a", 0, 0, 2, 1), ("a", 0, 2, 3, 0), ("a", 1, 0, 1, 0), ("b", 0, 0, 2, 1)]
